@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from carelake.functions.codes import to_int
@@ -23,13 +23,13 @@ def windowed_total(df: DataFrame, keys: list[str], value: str, alias: str = "qua
     """Replace ``value`` by its total over ``keys`` on every row, then drop repeats.
 
     Same result as ``sum(value).over(partitionBy(keys))`` followed by a full-row
-    distinct, written as an aggregate joined back to the distinct other columns so
-    that no key's rows are gathered in one task.
+    distinct.  Written as (1) a group-by on all other columns with partial sums,
+    combined map-side, then (2) a window sum of those partial sums per key.  The
+    window only sees the distinct variants of a key's other columns (a handful),
+    never the key's raw rows, so a hot key is reduced before it is gathered.
     """
-    totals = sum_by(df, keys, value, alias="_total")
-    totals = totals.select(*[F.col(k).alias(f"_t_{k}") for k in keys], "_total")
-    rest = df.drop(value).distinct()
-    # null keys form a group of their own, as in a window partition
-    cond = [rest[k].eqNullSafe(totals[f"_t_{k}"]) for k in keys]
-    joined = rest.join(totals, on=cond, how="inner")
-    return joined.drop(*[f"_t_{k}" for k in keys]).withColumnRenamed("_total", alias)
+    v = to_int(value) if dict(df.dtypes)[value] == "string" else F.col(value)
+    rest = [c for c in df.columns if c != value]
+    parts = df.withColumn(value, v.cast("long")).groupBy(*rest).agg(F.sum(value).alias("_part"))
+    total = F.sum("_part").over(Window.partitionBy(*keys))
+    return parts.withColumn(alias, total).drop("_part")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,13 +14,21 @@ class Sources:
 
     Hospital tables carry every year in one DataFrame with a 2-digit ``YEAR``
     column.  Tables are named exactly (``T_MCOaaC``), so a pattern cannot catch a
-    neighbouring table (``T_MCOaaCSTC``).
+    neighbouring table (``T_MCOaaCSTC``).  Tables can be given as DataFrames or as
+    loaders; a loader runs the first time its table is asked for, so a build only
+    resolves the tables it reads.
     """
 
-    def __init__(self, tables: Mapping[str, DataFrame | None]):
-        self._tables = {k: v for k, v in tables.items() if v is not None}
+    def __init__(self, tables: Mapping[str, DataFrame | None] | None = None,
+                 loaders: Mapping[str, Callable[[], DataFrame | None]] | None = None):
+        self._tables = {k: v for k, v in (tables or {}).items() if v is not None}
+        self._loaders = dict(loaders or {})
 
     def get(self, name: str) -> DataFrame | None:
+        if name not in self._tables and name in self._loaders:
+            df = self._loaders.pop(name)()
+            if df is not None:
+                self._tables[name] = df
         return self._tables.get(name)
 
     def get_with(self, name: str, columns: Iterable[str]) -> DataFrame | None:
@@ -31,16 +39,17 @@ class Sources:
         return df
 
     def names(self) -> list[str]:
-        return sorted(self._tables)
+        return sorted(set(self._tables) | set(self._loaders))
 
     def with_tables(self, **more: DataFrame | None) -> "Sources":
-        merged = dict(self._tables)
-        merged.update({k: v for k, v in more.items() if v is not None})
-        return Sources(merged)
+        merged = Sources(self._tables, self._loaders)
+        merged._tables.update({k: v for k, v in more.items() if v is not None})
+        return merged
 
     @classmethod
     def from_folder(cls, spark: SparkSession, folder: str, names: Iterable[str]) -> "Sources":
-        """Read ``folder/<name>`` for each name (parquet, ``YEAR``-partitioned for
-        year-split tables); names without a folder are absent."""
+        """``folder/<name>`` for each name (parquet, ``YEAR``-partitioned for
+        year-split tables), read when first asked for; a missing folder is an
+        absent table."""
         folder = folder.rstrip("/")
-        return cls({n: read_optional(spark, f"{folder}/{n}") for n in names})
+        return cls(loaders={n: (lambda n=n: read_optional(spark, f"{folder}/{n}")) for n in names})

@@ -320,9 +320,14 @@ def with_standins(names: list[str], body: str) -> str:
     return f"WITH {ctes}\n{body}"
 
 
-def standin(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def standin(spark: SparkSession, sf_dir: str, name: str,
+            bases: dict[str, DataFrame] | None = None) -> DataFrame:
+    """One stand-in table; ``bases`` shares the source-table reads of one query."""
+    bases = {} if bases is None else bases
     base, cols = specs(SPARK)[name]
-    src = spark.read.parquet(f"{sf_dir.rstrip('/')}/{base}.parquet")
+    if base not in bases:
+        bases[base] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{base}.parquet")
+    src = bases[base]
     df = src.selectExpr(*[f"{e} AS {c}" for c, e in cols])
     if name == "IR_PHA_R":
         _, alt = specs(SPARK)["IR_PHA_R_ALT"]
@@ -331,6 +336,9 @@ def standin(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def standin_sources(spark: SparkSession, sf_dir: str, names: list[str] | None = None) -> Sources:
-    """The stand-in claims tables as ``Sources`` (all of them by default)."""
+    """The stand-in claims tables as ``Sources`` (all of them by default), each
+    built when a plan first asks for it."""
     all_names = [n for n in specs(SPARK) if n != "IR_PHA_R_ALT"]
-    return Sources({n: standin(spark, sf_dir, n) for n in (names or all_names)})
+    bases: dict[str, DataFrame] = {}
+    return Sources(loaders={n: (lambda n=n: standin(spark, sf_dir, n, bases))
+                            for n in (names or all_names)})
