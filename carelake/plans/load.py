@@ -30,6 +30,7 @@ from carelake.sinks import write_table
 from carelake.sources.readers import ensure_columns, read_csv_table
 
 DEFAULT_MIN_YEAR, DEFAULT_MAX_YEAR = 2010, 2024
+DRIVER_YEAR = "_driver_year"
 
 
 def normalise_dates(df: DataFrame, date_cols: list[str], min_year: int,
@@ -40,8 +41,9 @@ def normalise_dates(df: DataFrame, date_cols: list[str], min_year: int,
     if not present:
         return df, None
     moved = {c: remap_date(parse_any_date(c), min_year, max_year) for c in present}
-    driver = F.year(moved[present[0]])
-    return df.withColumns({c: date_text(d) for c, d in moved.items()}), driver
+    # the driving year is taken from the raw text, before the columns are rewritten
+    df = df.withColumn(DRIVER_YEAR, F.year(moved[present[0]]))
+    return df.withColumns({c: date_text(d) for c, d in moved.items()}), F.col(DRIVER_YEAR)
 
 
 def patient_lookup(ben: DataFrame) -> DataFrame:
@@ -105,10 +107,11 @@ def load_table(raw: DataFrame, table: str, ids: DataFrame | None = None,
     df = add_patient_key(df, table, ids)
     if table == "IR_PHA_R":
         df = ensure_columns(df, IR_PHA_R_COLUMNS)
-    if not is_year_split(table):
-        return df
-    year = year_of_row(df, table, driver, min_year, max_year)
-    return df.withColumn("YEAR", two_digit_year(year) if is_pmsi(table) else year.cast("string"))
+    if is_year_split(table):
+        year = year_of_row(df.drop(DRIVER_YEAR) if driver is not None else df, table, driver,
+                           min_year, max_year)
+        df = df.withColumn("YEAR", two_digit_year(year) if is_pmsi(table) else year.cast("string"))
+    return df.drop(DRIVER_YEAR) if driver is not None else df
 
 
 def unique_demographics(ben: DataFrame) -> DataFrame:

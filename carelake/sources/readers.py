@@ -65,7 +65,9 @@ def _fix_year(df: DataFrame) -> DataFrame:
     """A ``YEAR=07`` partition directory is read back as the number 7; restore the
     2-digit text that the hospital keys use."""
     if "YEAR" in df.columns and not isinstance(df.schema["YEAR"].dataType, StringType):
-        df = df.withColumn("YEAR", F.lpad(F.col("YEAR").cast("string"), 2, "0"))
+        y = F.col("YEAR").cast("string")
+        # pad 1-digit values only: 4-digit city-care years stay whole
+        df = df.withColumn("YEAR", F.when(F.length(y) < 2, F.lpad(y, 2, "0")).otherwise(y))
     return df
 
 
