@@ -63,7 +63,8 @@ def _diagnoses(df: DataFrame, vid, source: str, roles: dict[str, str]) -> DataFr
 
 def build_condition_pmsi(src: Sources, stays: DataFrame) -> DataFrame:
     """Principal, related and associated diagnoses of the stays (one row per
-    diagnosis role), without empty codes, distinct."""
+    diagnosis role), without empty codes, distinct.  ``stays`` must be distinct,
+    as ``build_stays`` returns it."""
     mco = visit_id("mco", "ETA_NUM", "RSA_NUM")
     ssr = visit_id("ssr", "ETA_NUM", "RHA_NUM")
     had = visit_id("had", "ETA_NUM_EPMSI", "RHAD_NUM")
@@ -79,6 +80,10 @@ def build_condition_pmsi(src: Sources, stays: DataFrame) -> DataFrame:
     if (t := src.get("T_HADaaD")) is not None:
         parts.append(_diagnoses(t, had, "HAD", {"DGN_ASS": ASSOCIATED}))
     dx = require(union_all(parts), "condition_pmsi").filter(F.col("condition_code").isNotNull())
+    # Distinct diagnoses joined to distinct stays give distinct rows: de-duplicate the
+    # narrow diagnosis rows (combined map-side, so repeated copies never travel)
+    # instead of the wide joined rows.
+    dx = dx.distinct()
     st = stays_for_join(stays, "person_id", "stay_start_date", "stay_end_date", "finess_geo")
     j = dx.join(st, "visit_id")
     out = j.select(
@@ -88,5 +93,5 @@ def build_condition_pmsi(src: Sources, stays: DataFrame) -> DataFrame:
         F.col("stay_end_date").alias("condition_end_date"),
         "condition_code",
         F.lit("CIM-10").alias("condition_vocabulary"),
-        "finess_geo", "visit_id", "condition_type", "condition_source").distinct()
+        "finess_geo", "visit_id", "condition_type", "condition_source")
     return out.select(*OUTPUT_SCHEMAS["condition_pmsi"].names)

@@ -134,6 +134,11 @@ def build_drug_pmsi(src: Sources, stays: DataFrame) -> DataFrame:
             continue
         parts.append(_drug_lines(df, s, i))
     lines = require(union_all(parts), "drug_pmsi")
+    # Partial sums per (table, stay, drug, delay) before the stay join: combined
+    # map-side, so a stay with very many lines reaches the join as a few rows.  The
+    # totals below add these partial sums up.
+    line_keys = [c for c in lines.columns if c != "_qty"]
+    lines = lines.groupBy(*line_keys).agg(F.sum(to_int("_qty").cast("long")).alias("_qty"))
     j = lines.join(stays_for_join(stays, "person_id", "stay_start_date"), "visit_id")
     ir = src.get("IR_PHA_R")
     if ir is not None:
@@ -149,6 +154,10 @@ def build_drug_pmsi(src: Sources, stays: DataFrame) -> DataFrame:
         .alias("date_origin"),
         F.col("PHA_ATC_CLA").alias("drug_code_atc"),
         F.col("PHA_ATC_LIB").alias("molecule"))
-    rows = rows.withColumn("drug_id", surrogate_id("visit_id", "drug_date", "drug_code"))
-    totals = windowed_total(rows, ["_branch", "visit_id", "drug_code", "drug_date"], "_qty")
+    # rows are already partial sums (a hot stay is a few rows here): one shuffle on the
+    # total's key serves both the group-by and the window of the total
+    keys = ["_branch", "visit_id", "drug_code", "drug_date"]
+    totals = windowed_total(rows.repartition(*keys), keys, "_qty")
+    # the id is a function of the total's key: computed after the shuffles
+    totals = totals.withColumn("drug_id", surrogate_id("visit_id", "drug_date", "drug_code"))
     return totals.select(*OUTPUT_SCHEMAS["drug_pmsi"].names)

@@ -9,7 +9,6 @@ from carelake.catalog import DCIR_KEY_COLS, OUTPUT_SCHEMAS
 from carelake.functions.codes import to_int
 from carelake.functions.dates import parse_date
 from carelake.functions.keys import flux_key
-from carelake.operators.dedupe import distinct_by_key_partition
 from carelake.operators.union import require
 from carelake.sources.tables import Sources
 
@@ -31,10 +30,12 @@ def build_prestations(src: Sources) -> DataFrame:
 
 
 def claim_lines(prestations: DataFrame, *extra: str) -> DataFrame:
-    """Distinct (``dcir_key``, ``person_id``, extra columns) of the prestations,
-    hash-partitioned on ``dcir_key`` for the join that follows."""
-    return distinct_by_key_partition(prestations.select("dcir_key", "person_id", *extra),
-                                     "dcir_key")
+    """Distinct (``dcir_key``, ``person_id``, extra columns) of the prestations.
+
+    The distinct is combined map-side before its shuffle, so repeated copies of a
+    claim line are collapsed where they are read, however many there are.
+    """
+    return prestations.select("dcir_key", "person_id", *extra).distinct()
 
 
 __all__ = ["DCIR_KEY_COLS", "build_prestations", "claim_lines"]

@@ -64,6 +64,9 @@ def build_procedure(src: Sources, stays: DataFrame) -> DataFrame:
     (same act, same day, same stay) merged with summed counts."""
     acts = require(union_all([_acts(src.get(s.table), s) for s in ACT_SOURCES
                               if src.get(s.table) is not None]), "procedure_pmsi")
+    # partial counts per (stay, act, delay) before the stay join, combined map-side
+    act_keys = [c for c in acts.columns if c != "_qty"]
+    acts = acts.groupBy(*act_keys).agg(F.sum(F.col("_qty").cast("long")).alias("_qty"))
     st = stays_for_join(stays, "person_id", "stay_start_date", "finess_geo")
     j = acts.join(st, "visit_id")
     start = delay_date("stay_start_date", "_delay")
@@ -72,9 +75,10 @@ def build_procedure(src: Sources, stays: DataFrame) -> DataFrame:
         "procedure_source", "_qty",
         start.alias("procedure_start_date"),
         date_origin("_delay").alias("date_origin"))
-    lines = lines.withColumn(
-        "procedure_id", surrogate_id("visit_id", "procedure_start_date", "procedure_code")
-    ).withColumn("procedure_end_date", F.col("procedure_start_date"))
-    keys = [c for c in OUTPUT_SCHEMAS["procedure_pmsi"].names if c != "quantity"]
-    summed = lines.groupBy(*keys).agg(F.sum(F.col("_qty").cast("long")).alias("quantity"))
+    keys = [c for c in lines.columns if c != "_qty"]
+    summed = lines.groupBy(*keys).agg(F.sum("_qty").alias("quantity"))
+    # id and end date are functions of the group key: computed after the shuffle
+    summed = summed.withColumns({
+        "procedure_id": surrogate_id("visit_id", "procedure_start_date", "procedure_code"),
+        "procedure_end_date": F.col("procedure_start_date")})
     return summed.select(*OUTPUT_SCHEMAS["procedure_pmsi"].names)

@@ -16,6 +16,11 @@ from carelake.sources.tables import Sources
 CONTROL_COLS = ["EXE_SOI_DTD", "EXE_SOI_DTF", "NUM_ENQ_IDT", "YEAR"]
 
 
+# Control rows are not de-duplicated before their join: repeated rows only repeat
+# join output, which the final distinct of ``build_stays`` removes; a distinct on
+# the control columns would cost a shuffle that does not serve the join.
+
+
 def _stay_row(df: DataFrame, stay_id: Column, finess: Column) -> DataFrame:
     return df.select(
         stay_id.alias("stay_id"),
@@ -31,7 +36,7 @@ def mco_stays(src: Sources) -> DataFrame | None:
     if c is None or um is None:
         return None
     keys = ["ETA_NUM", "RSA_NUM", "YEAR"]
-    c = c.select("ETA_NUM", "RSA_NUM", *CONTROL_COLS).distinct()
+    c = c.select("ETA_NUM", "RSA_NUM", *CONTROL_COLS)
     geo = ["ETA_NUM_GEO"] if "ETA_NUM_GEO" in um.columns else []
     um = um.filter(first_unit("UM_ORD_NUM", "RUM_ORD_NUM")).select(*keys, *geo)
     j = c.join(um, keys)
@@ -45,7 +50,7 @@ def mco_ace_stays(src: Sources) -> DataFrame | None:
     if c is None or fb is None:
         return None
     keys = ["ETA_NUM", "SEQ_NUM", "YEAR"]
-    c = c.select("ETA_NUM", "SEQ_NUM", *CONTROL_COLS).distinct()
+    c = c.select("ETA_NUM", "SEQ_NUM", *CONTROL_COLS)
     geo = ["ETA_NUM_GEO"] if "ETA_NUM_GEO" in fb.columns else []
     fb = fb.select(*keys, *geo).distinct()
     j = c.join(fb, keys)
@@ -60,7 +65,7 @@ def ssr_stays(src: Sources) -> DataFrame | None:
     if c is None or b is None:
         return None
     keys = ["ETA_NUM", "RHA_NUM", "YEAR"]
-    c = c.select("ETA_NUM", "RHA_NUM", *CONTROL_COLS).distinct()
+    c = c.select("ETA_NUM", "RHA_NUM", *CONTROL_COLS)
     geo = ["ETA_NUM_GEO"] if "ETA_NUM_GEO" in b.columns else []
     if "RHS_NUM" in b.columns:
         b = b.filter(F.col("RHS_NUM") == "001")
