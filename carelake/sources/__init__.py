@@ -9,9 +9,10 @@ from carelake.sources.readers import (
     shard_name,
     source_file_parts,
 )
+from carelake.sources.shards import from_shard_layout, read_year_shards
 from carelake.sources.tables import Sources
 
 __all__ = [
-    "Sources", "ensure_columns", "read_csv_table", "read_optional", "read_shards",
+    "Sources", "ensure_columns", "from_shard_layout", "read_year_shards", "read_csv_table", "read_optional", "read_shards",
     "read_table", "shard_name", "source_file_parts",
 ]
