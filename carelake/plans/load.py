@@ -156,4 +156,7 @@ def load_delivery(spark: SparkSession, csv_dir: str, out_dir: str, tables: Itera
         if table == "IR_BEN_R":
             m = write_table(unique_demographics(loaded), f"{out_dir}/IR_BEN_R_uniq")
             rows.append(("IR_BEN_R_uniq", m, 1))
-    return spark.createDataFrame(rows, "table string, rows long, shards long")
+    summary = spark.createDataFrame(rows, "table string, rows long, shards long")
+    # one small file (one row per table) next to the tables
+    summary.coalesce(1).write.mode("overwrite").json(f"{out_dir}/_load_summary")
+    return summary

@@ -53,6 +53,20 @@ def orphan_counts(outputs: Mapping[str, DataFrame], person: DataFrame,
     return union_all(parts)
 
 
+def patient_key_orphans(tables: Mapping[str, DataFrame], ben: DataFrame) -> DataFrame:
+    """Per loaded table, rows whose patient key (``NUM_ENQ``) is missing or not in
+    the referential (``IR_BEN_R``).  Every count should be 0."""
+    ids = ben.select(F.col("NUM_ENQ")).filter(F.col("NUM_ENQ").isNotNull()).distinct()
+    parts = []
+    for name, df in tables.items():
+        if "NUM_ENQ" not in df.columns:
+            continue
+        parts.append(orphans(df.select("NUM_ENQ"), ids, "NUM_ENQ")
+                     .agg(F.count(F.lit(1)).alias("orphans"))
+                     .select(F.lit("NUM_ENQ").alias("check"), F.lit(name).alias("table"), "orphans"))
+    return union_all(parts)
+
+
 def stay_year_conflicts(tables: Mapping[str, DataFrame], only_conflicts: bool = True) -> DataFrame:
     """Stays whose tables landed in more than one year shard (should be none).
 

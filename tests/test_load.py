@@ -59,9 +59,9 @@ def test_load_delivery(spark, tmp_path):
     make_delivery(src)
     tables = ["IR_BEN_R", "KI_ECD_R", "T_MCOaaC", "T_MCOaaUM", "ER_PRS_F", "T_HADaaC"]
     summary = load.load_delivery(spark, str(src), str(out), tables, 2010, 2022)
-    got = {r["table"]: (r["rows"], r["shards"]) for r in summary.collect()}
-    assert got["IR_BEN_R"] == (4, 1) and got["IR_BEN_R_uniq"] == (4, 1)
-    assert got["KI_ECD_R"] == (3, 1) and "T_HADaaC" not in got
+    loaded = {r["table"]: (r["rows"], r["shards"]) for r in summary.collect()}
+    assert loaded["IR_BEN_R"] == (4, 1) and loaded["IR_BEN_R_uniq"] == (4, 1)
+    assert loaded["KI_ECD_R"] == (3, 1) and "T_HADaaC" not in loaded
 
     ben = read_table(spark, str(out / "IR_BEN_R"))
     # every date format read, year folded into the window (2010 + 2022 % 13), dd/MM/yyyy
@@ -82,6 +82,11 @@ def test_load_delivery(spark, tmp_path):
     assert got["1002"] == (None, "10/01/2022", "N3")
     assert all(len(r["YEAR"]) == 2 for r in c.collect())
 
+    # load summary written as JSON; patient keys of the loaded tables checked
+    assert spark.read.json(str(out / "_load_summary")).count() == len(loaded)
+    checks = quality.patient_key_orphans({"KI_ECD_R": ecd, "T_MCOaaC": read_table(spark, str(out / "T_MCOaaC"))}, ben)
+    assert {r["table"]: r["orphans"] for r in checks.collect()} == {"KI_ECD_R": 1, "T_MCOaaC": 0}
+
     # every table of one stay landed in the same year shard
     um = read_table(spark, str(out / "T_MCOaaUM"))
     conflicts = quality.stay_year_conflicts({"T_MCOaaC": c, "T_MCOaaUM": um})
