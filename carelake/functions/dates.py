@@ -17,14 +17,33 @@ def _c(x: str | Column) -> Column:
 
 
 def parse_date(c: str | Column, pattern: str = DATE_TEXT_PATTERN) -> Column:
-    """Text in ``dd/MM/yyyy`` -> date; anything else -> null."""
-    return F.try_to_date(_c(c), pattern)
+    """Text in ``dd/MM/yyyy`` -> date; anything else -> null (texts not of the
+    pattern's shape are not handed to the parser)."""
+    c = _c(c)
+    return F.when(_fits(c, pattern), F.try_to_date(c, pattern))
+
+
+def _fits(text: Column, pattern: str) -> Column:
+    """Cheap shape test of a text against a pattern: separators present, and the
+    exact length for patterns without separators.  A failed parse is costly (an
+    exception per row), so a pattern is only tried on texts of its shape."""
+    seps = [ch for ch in "/-:" if ch in pattern]
+    if seps and pattern == DATE_TEXT_PATTERN:
+        return (F.length(text) == len(pattern)) & text.contains("/")
+    if seps:
+        cond = None
+        for ch in seps:
+            has = text.contains(ch)
+            cond = has if cond is None else cond & has
+        return cond
+    return F.length(text) == len(pattern.replace("'", ""))
 
 
 def parse_any_date(c: str | Column, patterns: list[str] | None = None) -> Column:
     """First pattern that reads the trimmed text wins; blank or unreadable -> null."""
     text = F.trim(_c(c).cast("string"))
-    tries = [F.try_to_timestamp(text, F.lit(p)) for p in (patterns or DATE_INPUT_PATTERNS)]
+    tries = [F.when(_fits(text, p), F.try_to_timestamp(text, F.lit(p)))
+             for p in (patterns or DATE_INPUT_PATTERNS)]
     return F.coalesce(*tries).cast("date")
 
 
