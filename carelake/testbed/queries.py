@@ -793,6 +793,21 @@ def b15_load(spark, sf):
     return load_plan.load_table(_raw_stays(spark, sf), "T_MCOaaC")
 
 
+@query("stream_load", _load_sql())
+def stream_load(spark, sf):
+    """The incremental load: raw stay rows land as text files in a delivery folder,
+    a streaming run (availableNow) loads them, the loaded table is read back."""
+    from carelake.streaming import stream_load as run_stream
+
+    root = scratch_path(spark, "stream_load")
+    write_csv(_raw_stays(spark, sf), f"{root}/T_MCOaaC")
+    q = run_stream(spark, f"{root}/T_MCOaaC", "T_MCOaaC", f"{root}/final", checkpoint=f"{root}/ckpt")
+    q.awaitTermination(600)
+    if q.exception() is not None:
+        raise q.exception()
+    return readers.read_table(spark, f"{root}/final")
+
+
 # ---------------------------------------------------------------------------
 # Integrity checks
 # ---------------------------------------------------------------------------
@@ -851,6 +866,18 @@ def q3_orphans(spark, sf):
     return quality.orphan_counts(outputs, person, stays)
 
 
+@query("q3_patient_keys", f"""
+SELECT 'NUM_ENQ' AS "check", 'T_MCOaaC' AS "table", count(*) AS orphans
+FROM ({_load_sql()}) t
+WHERE NUM_ENQ IS NULL OR NUM_ENQ NOT IN (
+    SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_acctbal > 0)""")
+def q3_patient_keys(spark, sf):
+    loaded = load_plan.load_table(_raw_stays(spark, sf), "T_MCOaaC")
+    ben = _t(spark, sf, "customer").filter(F.col("c_acctbal") > 0).select(
+        F.col("c_custkey").cast("string").alias("NUM_ENQ"))
+    return quality.patient_key_orphans({"T_MCOaaC": loaded}, ben)
+
+
 _Q4_TABLES = ["T_MCOaaC", "T_MCOaaUM", "T_MCOaaB", "T_MCOaaCSTC", "T_MCOaaFBSTC", "T_SSRaaC",
               "T_SSRaaB", "T_HADaaC", "T_HADaaB"]
 
