@@ -5,7 +5,6 @@ from carelake.operators.dedupe import (
     Order,
     asc,
     desc,
-    distinct_by_key_partition,
     distinct_rows,
     first_and_last_per_key,
     first_per_key,
@@ -14,7 +13,7 @@ from carelake.operators.joins import lookup, orphans, restrict_to, row_count_at_
 from carelake.operators.union import melt_roles, require, union_all, union_distinct
 
 __all__ = [
-    "Order", "asc", "desc", "distinct_by_key_partition", "distinct_rows",
+    "Order", "asc", "desc", "distinct_rows",
     "first_and_last_per_key", "first_per_key", "lookup", "melt_roles", "orphans", "require",
     "restrict_to", "row_count_at_most", "sum_by", "union_all", "union_distinct",
     "windowed_total",

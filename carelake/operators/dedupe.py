@@ -88,13 +88,3 @@ def first_and_last_per_key(df: DataFrame, keys: list[str], order: list[Order],
 def distinct_rows(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Full-row distinct, optionally after narrowing to ``cols`` (prune first)."""
     return (df.select(*cols) if cols else df).distinct()
-
-
-def distinct_by_key_partition(df: DataFrame, key: str) -> DataFrame:
-    """Distinct rows, shuffled on ``key`` only.
-
-    The hash partitioning on ``key`` satisfies both the distinct (key is one of
-    its columns) and a following equi-join on ``key``, so the join does not
-    shuffle this side again.
-    """
-    return df.repartition(key).distinct()

@@ -52,8 +52,6 @@ def _with(names: list[str], body: str) -> str:
 
 
 D = O.d
-FLUX_COLS = ("FLX_DIS_DTD, FLX_TRT_DTD, FLX_EMT_TYP, FLX_EMT_NUM, FLX_EMT_ORD, ORG_CLE_NUM, "
-             "DCT_ORD_NUM, PRS_ORD_NUM, REM_TYP_AFF")
 
 Q: dict[str, Query] = {}
 SQL: dict[str, str] = {}
