@@ -28,8 +28,13 @@ def visit_id(family: str, *key_cols: str | Column, ace: bool = False,
 
 
 def flux_key(cols: list[str] | None = None) -> Column:
-    """City-care claim-line key: the 9 flux columns joined by ``_`` in fixed order."""
-    return F.concat_ws("_", *[F.col(c) for c in (cols or DCIR_KEY_COLS)])
+    """City-care claim-line key: the 9 flux columns joined by ``_`` in fixed order.
+
+    A line with no flux part at all has no key (null, not ``''``): such lines would
+    otherwise all share one key and every claim join would pair them all.
+    """
+    parts = [F.col(c) for c in (cols or DCIR_KEY_COLS)]
+    return F.when(F.coalesce(*parts).isNotNull(), F.concat_ws("_", *parts))
 
 
 def surrogate_id(*parts: str | Column) -> Column:

@@ -28,6 +28,8 @@ def test_flux_key_order_and_nulls(spark):
     df = frame(spark, " ".join(DCIR_KEY_COLS), [tuple(vals)])
     assert one(spark, keys.flux_key(), " ".join(DCIR_KEY_COLS), [tuple(vals)]) == ["0_1_2_3_5_6_7_8"]
     assert df.count() == 1
+    # no part at all: no key (never joins), rather than a shared empty key
+    assert one(spark, keys.flux_key(), " ".join(DCIR_KEY_COLS), [(None,) * 9]) == [None]
 
 
 def test_surrogate_id_prints_dates_iso(spark):
