@@ -81,6 +81,7 @@ def test_load_delivery(spark, tmp_path):
     assert got["2001"] == ("05/01/2022", None, "N2")
     assert got["1002"] == (None, "10/01/2022", "N3")
     assert all(len(r["YEAR"]) == 2 for r in c.collect())
+    assert loaded["T_MCOaaC"] == (3, c.select("YEAR").distinct().count())
 
     # load summary written as JSON; patient keys of the loaded tables checked
     assert spark.read.json(str(out / "_load_summary")).count() == len(loaded)
