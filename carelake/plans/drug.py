@@ -156,7 +156,9 @@ def build_drug_pmsi(src: Sources, stays: DataFrame) -> DataFrame:
         F.col("PHA_ATC_LIB").alias("molecule"))
     # rows are already partial sums (a hot stay is a few rows here): one shuffle on the
     # total's key serves both the group-by and the window of the total
-    keys = ["_branch", "visit_id", "drug_code", "drug_date"]
+    keys = ["visit_id", "drug_code", "drug_date"]
+    if len(parts) > 1:  # with one source table the branch tag is a constant
+        keys = ["_branch"] + keys
     totals = windowed_total(rows.repartition(*keys), keys, "_qty")
     # the id is a function of the total's key: computed after the shuffles
     totals = totals.withColumn("drug_id", surrogate_id("visit_id", "drug_date", "drug_code"))

@@ -54,6 +54,9 @@ def test_drug_lines_combine_before_first_shuffle(spark):
     exchange = next(i for i, x in enumerate(lines) if i > final and "Exchange hashpartitioning(" in x)
     partial = next(i for i, x in enumerate(lines) if i > exchange and "partial_sum(cast(try_cast(_qty" in x)
     assert final < exchange < partial
+    # after the stay join, one shuffle serves both the total's group-by and its window
+    above_join = "\n".join(lines[:next(i for i, x in enumerate(lines) if "SortMergeJoin" in x or "BroadcastHashJoin" in x)])
+    assert above_join.count("Exchange") == 1, above_join
 
 
 def test_hot_patient_latest_record_pick(spark):
