@@ -46,6 +46,7 @@ def main() -> None:
         plan = df._jdf.queryExecution().explainString(
             spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
         plan = re.sub(r"file:[^ ,\]]*/plans-[0-9a-f]+/in/", "<final>/", plan)
+        plan = re.sub(r"file:[^ ,\]]*/plans-[0-9a-f]+/out/", "<omop>/", plan)
         with open(f"{out}/{step}.txt", "w") as fh:
             fh.write(plan)
         if step in ("person", "stays_pmsi", "prestations"):
