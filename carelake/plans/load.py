@@ -8,7 +8,7 @@ the year of a row is a function of its own values.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,13 +57,16 @@ def patient_lookup(ben: DataFrame) -> DataFrame:
             .groupBy("BEN_IDT_ANO").agg(F.max("BEN_NIR_PSA").alias("_NUM_ENQ")))
 
 
-def add_patient_key(df: DataFrame, table: str, ids: DataFrame | None) -> DataFrame:
+def add_patient_key(df: DataFrame, table: str, ids: DataFrame | None,
+                    key_map: Mapping[str, Mapping[str, str]] | None = None) -> DataFrame:
     """Add ``NUM_ENQ`` and ``NUM_ENQ_IDT`` (equal) from the table's patient link.
 
-    Tables without a link, or without their link column, pass unchanged; an
-    unknown pseudonym gives a null key.
+    ``key_map`` (default ``catalog.PATIENT_KEY_MAP``) gives, per table, the column
+    holding the patient and the referential column it refers to.  Tables without a
+    link, or without their link column, pass unchanged; an unknown pseudonym gives
+    a null key.
     """
-    info = PATIENT_KEY_MAP.get(table)
+    info = (PATIENT_KEY_MAP if key_map is None else key_map).get(table)
     if not info:
         return df
     if table == "IR_BEN_R":
@@ -101,11 +104,18 @@ def year_of_row(df: DataFrame, table: str, driver: Column | None, min_year: int,
 
 
 def load_table(raw: DataFrame, table: str, ids: DataFrame | None = None,
-               min_year: int = DEFAULT_MIN_YEAR, max_year: int = DEFAULT_MAX_YEAR) -> DataFrame:
+               min_year: int = DEFAULT_MIN_YEAR, max_year: int = DEFAULT_MAX_YEAR,
+               date_columns: Mapping[str, list[str]] | None = None,
+               key_map: Mapping[str, Mapping[str, str]] | None = None) -> DataFrame:
     """One raw table -> loaded table (``YEAR`` added for year-split tables:
-    2 digits for hospital tables, 4 for city-care tables)."""
-    df, driver = normalise_dates(raw, DATE_COLUMNS.get(table, []), min_year, max_year)
-    df = add_patient_key(df, table, ids)
+    2 digits for hospital tables, 4 for city-care tables).
+
+    ``date_columns`` (default ``catalog.DATE_COLUMNS``) lists the declared date
+    columns per table, in order: the first one present drives the year.
+    """
+    declared = (DATE_COLUMNS if date_columns is None else date_columns).get(table, [])
+    df, driver = normalise_dates(raw, declared, min_year, max_year)
+    df = add_patient_key(df, table, ids, key_map)
     if table == "IR_PHA_R":
         df = ensure_columns(df, IR_PHA_R_COLUMNS)
     if is_year_split(table):
@@ -140,7 +150,9 @@ def _read_raw(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def load_delivery(spark: SparkSession, csv_dir: str, out_dir: str, tables: Iterable[str],
-                  min_year: int = DEFAULT_MIN_YEAR, max_year: int = DEFAULT_MAX_YEAR) -> DataFrame:
+                  min_year: int = DEFAULT_MIN_YEAR, max_year: int = DEFAULT_MAX_YEAR,
+                  date_columns: Mapping[str, list[str]] | None = None,
+                  key_map: Mapping[str, Mapping[str, str]] | None = None) -> DataFrame:
     """Load every listed table found as ``csv_dir/<table>.csv`` into
     ``out_dir/<table>`` (parquet, partitioned by ``YEAR`` when year-split).
 
@@ -154,7 +166,7 @@ def load_delivery(spark: SparkSession, csv_dir: str, out_dir: str, tables: Itera
         raw = _read_raw(spark, f"{csv_dir}/{table}.csv")
         if raw is None:
             continue
-        loaded = load_table(raw, table, ids, min_year, max_year)
+        loaded = load_table(raw, table, ids, min_year, max_year, date_columns, key_map)
         part = ["YEAR"] if is_year_split(table) else None
         n = write_table(loaded, f"{out_dir}/{table}", part)
         shards = _year_folders(spark, f"{out_dir}/{table}") if part else 1

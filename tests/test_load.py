@@ -132,3 +132,13 @@ def test_key_collisions(spark):
     df = spark.createDataFrame([("a", None, "b"), ("a", "b", None), ("x", "y", "z")], "p1 string, p2 string, p3 string")
     got = quality.key_collisions(df, F.concat_ws("_", "p1", "p2", "p3"), ["p1", "p2", "p3"])
     assert rows(got) == [("a_b", 2)]
+
+
+def test_declared_dates_and_links_can_be_given(spark):
+    raw = spark.createDataFrame([("X1", "20200105", "7")], "PID string, WHEN_SEEN string, N string")
+    out = load.load_table(raw, "T_HADaaZ", None, 2010, 2022,
+                          date_columns={"T_HADaaZ": ["WHEN_SEEN"]},
+                          key_map={"T_HADaaZ": {"col": "PID", "ref_col": "BEN_NIR_PSA"}})
+    r = out.first()
+    # 2020 -> 2010 + 2020 % 13 = 2015; no stay key in this table: the year of its date
+    assert (r["WHEN_SEEN"], r["NUM_ENQ"], r["YEAR"]) == ("05/01/2015", "X1", "15")
