@@ -38,6 +38,28 @@ DCIR_KEY_COLS = [
     "ORG_CLE_NUM", "DCT_ORD_NUM", "PRS_ORD_NUM", "REM_TYP_AFF",
 ]
 
+# Labels written into the output tables.
+CIM10_DCIR = "CIM10"
+CIM10_PMSI = "CIM-10"
+PRINCIPAL_DIAGNOSIS = "Diagnostic principal"
+RELATED_DIAGNOSIS = "Diagnostic relié"
+ASSOCIATED_DIAGNOSIS = "Diagnostic associé"
+NABM = "NABM"
+LPP = "LPP"
+CCAM = "CCAM"
+CSARR = "CSARR"
+CIP7, CIP13, UCD7, UCD13 = "CIP7", "CIP13", "UCD7", "UCD13"
+DCIR = "DCIR"
+ACE_SUFFIX = " ACE"
+MAIN_CAUSE_RANK = "0"
+
+# Code values the filters test.
+DEVICE_LINE_TYPES = ["1", "3", "6"]
+ACT_PHASES = ["0", "1"]
+FIRST_WEEKLY_SUMMARY = "001"
+FIRST_UNIT = "1"
+NO_CODE = "0"
+
 # Stay-identifying key per hospital table; ``aa`` stands for the 2-digit year.
 MCO_KEY = ["ETA_NUM", "RSA_NUM"]
 ACE_KEY = ["ETA_NUM", "SEQ_NUM"]

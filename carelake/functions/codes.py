@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from carelake.catalog import CIP13, CIP7, FIRST_UNIT, NO_CODE, UCD13, UCD7
 from carelake.functions.dates import parse_date
 
 
@@ -45,19 +46,19 @@ def strip_zeros(c: str | Column) -> Column:
 def cip_code(c13: str | Column, cip7: str | Column) -> Column:
     """Pharmacy code: the 13-digit code unless it is ``'0'``, then the 7-digit one."""
     c13, cip7 = _c(c13), _c(cip7)
-    return F.when(c13 != "0", c13).when(cip7 != "0", cip7)
+    return F.when(c13 != NO_CODE, c13).when(cip7 != NO_CODE, cip7)
 
 
 def cip_vocabulary(c13: str | Column, cip7: str | Column) -> Column:
     """Vocabulary that goes with ``cip_code``: ``CIP13``, ``CIP7`` or null."""
     c13, cip7 = _c(c13), _c(cip7)
-    return F.when(c13 != "0", F.lit("CIP13")).when(cip7 != "0", F.lit("CIP7"))
+    return F.when(c13 != NO_CODE, F.lit(CIP13)).when(cip7 != NO_CODE, F.lit(CIP7))
 
 
 def ucd_vocabulary(code: str | Column) -> Column:
     """Hospital drug vocabulary by code length: 7 -> ``UCD7``, 13 -> ``UCD13``."""
     n = F.length(_c(code))
-    return F.when(n == 7, F.lit("UCD7")).when(n == 13, F.lit("UCD13"))
+    return F.when(n == 7, F.lit(UCD7)).when(n == 13, F.lit(UCD13))
 
 
 def facility(geo: str | Column, fallback: str | Column) -> Column:
@@ -76,7 +77,7 @@ def first_unit(um: str | Column, rum: str | Column) -> Column:
     """First unit of a stay: ``RUM_ORD_NUM = '1'``, or ``UM_ORD_NUM = '1'`` when
     ``RUM_ORD_NUM`` is missing."""
     um, rum = _c(um), _c(rum)
-    return ((um == "1") & rum.isNull()) | (rum == "1")
+    return ((um == FIRST_UNIT) & rum.isNull()) | (rum == FIRST_UNIT)
 
 
 def device_end_date(typ: str | Column, end_text: str | Column, start_text: str | Column) -> Column:

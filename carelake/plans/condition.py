@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelake.catalog import OUTPUT_SCHEMAS
+from carelake.catalog import (
+    ASSOCIATED_DIAGNOSIS,
+    CIM10_DCIR,
+    CIM10_PMSI,
+    DCIR,
+    OUTPUT_SCHEMAS,
+    PRINCIPAL_DIAGNOSIS,
+    RELATED_DIAGNOSIS,
+)
 from carelake.functions.dates import parse_date
 from carelake.functions.keys import surrogate_id, visit_id
 from carelake.operators.dedupe import asc, desc, first_and_last_per_key
@@ -42,15 +50,15 @@ def build_condition_dcir(src: Sources, person: DataFrame) -> DataFrame:
         F.col("last_IMB_ALD_DTD").alias("condition_start_date"),
         F.col("IMB_ALD_DTF").alias("condition_end_date"),
         F.col("MED_MTF_COD").alias("condition_code"),
-        F.lit("CIM10").alias("condition_vocabulary"),
+        F.lit(CIM10_DCIR).alias("condition_vocabulary"),
         F.lit(None).cast("string").alias("finess"),
         F.lit(None).cast("string").alias("visit_id"),
         F.col("IMB_ETM_NAT").alias("condition_type"),
-        F.lit("DCIR").alias("condition_source"))
+        F.lit(DCIR).alias("condition_source"))
     return out
 
 
-PRINCIPAL, RELATED, ASSOCIATED = "Diagnostic principal", "Diagnostic relié", "Diagnostic associé"
+PRINCIPAL, RELATED, ASSOCIATED = PRINCIPAL_DIAGNOSIS, RELATED_DIAGNOSIS, ASSOCIATED_DIAGNOSIS
 
 
 def _diagnoses(df: DataFrame, vid, source: str, roles: dict[str, str]) -> DataFrame:
@@ -92,6 +100,6 @@ def build_condition_pmsi(src: Sources, stays: DataFrame) -> DataFrame:
         F.col("stay_start_date").alias("condition_start_date"),
         F.col("stay_end_date").alias("condition_end_date"),
         "condition_code",
-        F.lit("CIM-10").alias("condition_vocabulary"),
+        F.lit(CIM10_PMSI).alias("condition_vocabulary"),
         "finess_geo", "visit_id", "condition_type", "condition_source")
     return out.select(*OUTPUT_SCHEMAS["condition_pmsi"].names)

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelake.catalog import IR_PHA_R_COLUMNS, OUTPUT_SCHEMAS
+from carelake.catalog import CIP13, CIP7, DCIR, IR_PHA_R_COLUMNS, OUTPUT_SCHEMAS, UCD7
 from carelake.functions.codes import cip_code, cip_vocabulary, strip_zeros, to_int, ucd_vocabulary
 from carelake.functions.dates import date_origin, delay_date
 from carelake.functions.keys import flux_key, surrogate_id, visit_id
@@ -31,8 +31,7 @@ def nomenclature_by_vocabulary(ir: DataFrame) -> DataFrame:
     """
     ir = ensure_columns(ir, IR_PHA_R_COLUMNS)
     parts = [ir.select(F.lit(v).alias("drug_vocabulary"), F.col(c).alias("drug_code"), *ATC)
-             for v, c in (("CIP7", "PHA_PRS_IDE"), ("CIP13", "PHA_CIP_C13"),
-                          ("UCD7", "PHA_CIP_UCD"))]
+             for v, c in ((CIP7, "PHA_PRS_IDE"), (CIP13, "PHA_CIP_C13"), (UCD7, "PHA_CIP_UCD"))]
     return union_all(parts).filter(F.col("drug_code").isNotNull()).distinct()
 
 
@@ -51,7 +50,7 @@ def build_drug_dcir(src: Sources, prestations: DataFrame) -> DataFrame:
         parts.append(ucd.select(
             flux_key().alias("dcir_key"),
             strip_zeros("UCD_UCD_COD").alias("drug_code"),
-            F.lit("UCD7").alias("drug_vocabulary"),
+            F.lit(UCD7).alias("drug_vocabulary"),
             to_int("UCD_DLV_NBR").alias("q")))
     lines = require(union_all(parts), "drug_dcir")
     # one aggregate for the three vocabularies (vocabulary is a group key)
@@ -71,7 +70,7 @@ def build_drug_dcir(src: Sources, prestations: DataFrame) -> DataFrame:
         F.col("PHA_ATC_LIB").alias("molecule"),
         "quantity",
         F.col("dcir_key").alias("visit_id"),
-        F.lit("DCIR").alias("drug_source"))
+        F.lit(DCIR).alias("drug_source"))
     return out.select(*OUTPUT_SCHEMAS["drug_dcir"].names)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelake.catalog import OUTPUT_SCHEMAS
+from carelake.catalog import ACE_SUFFIX, DCIR, NABM, OUTPUT_SCHEMAS
 from carelake.functions.codes import pad_code, to_int
 from carelake.functions.keys import flux_key, surrogate_id, visit_id
 from carelake.operators.union import require, union_all
@@ -26,7 +26,7 @@ def build_measurement_pmsi(src: Sources, stays: DataFrame) -> DataFrame:
             parts.append(d.select(
                 visit_id(fam, "ETA_NUM", "SEQ_NUM", ace=True).alias("visit_id"),
                 "NABM_COD", "ACT_NBR",
-                F.lit(f"{fam.upper()} ACE").alias("measurement_source")))
+                F.lit(fam.upper() + ACE_SUFFIX).alias("measurement_source")))
     u = require(union_all(parts), "measurement_pmsi")
     j = u.join(stays_for_join(stays, "person_id", "stay_start_date"), "visit_id")
     out = j.select(
@@ -36,7 +36,7 @@ def build_measurement_pmsi(src: Sources, stays: DataFrame) -> DataFrame:
         F.lit(None).cast("date").alias("measurement_end_date"),
         to_int("ACT_NBR").alias("quantity"),
         pad_code("NABM_COD", 4).alias("measurement_code"),
-        F.lit("NABM").alias("measurement_vocabulary"),
+        F.lit(NABM).alias("measurement_vocabulary"),
         "visit_id", "measurement_source")
     return out.select(*OUTPUT_SCHEMAS["measurement_pmsi"].names)
 
@@ -54,7 +54,7 @@ def build_measurement_dcir(src: Sources, prestations: DataFrame) -> DataFrame:
         F.col("presta_end_date").alias("measurement_end_date"),
         "quantity",
         F.col("BIO_PRS_IDE").alias("measurement_code"),
-        F.lit("NABM").alias("measurement_vocabulary"),
+        F.lit(NABM).alias("measurement_vocabulary"),
         F.col("dcir_key").alias("visit_id"),
-        F.lit("DCIR").alias("measurement_source"))
+        F.lit(DCIR).alias("measurement_source"))
     return out.select(*OUTPUT_SCHEMAS["measurement_dcir"].names)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelake.catalog import OUTPUT_SCHEMAS
+from carelake.catalog import MAIN_CAUSE_RANK, OUTPUT_SCHEMAS
 from carelake.functions.dates import parse_date
 from carelake.operators.dedupe import asc, desc, first_per_key
 from carelake.operators.joins import restrict_to
@@ -73,7 +73,7 @@ def build_causes_of_death(src: Sources, person: DataFrame) -> DataFrame:
     if cci is not None:
         parts.append(cci.select(F.col("NUM_ENQ_IDT").alias("person_id"),
                                 F.col("DCD_CIM_COD").alias("cause_of_death"),
-                                F.lit("0").alias("cause_rank")))
+                                F.lit(MAIN_CAUSE_RANK).alias("cause_rank")))
     ecd = src.get("KI_ECD_R")
     if ecd is not None:
         parts.append(ecd.select(F.col("NUM_ENQ_IDT").alias("person_id"),

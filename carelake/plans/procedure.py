@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelake.catalog import OUTPUT_SCHEMAS
+from carelake.catalog import ACE_SUFFIX, ACT_PHASES, CCAM, CSARR, OUTPUT_SCHEMAS
 from carelake.functions.codes import int_equals, quantity_or_one
 from carelake.functions.dates import date_origin, delay_date
 from carelake.functions.keys import surrogate_id, visit_id
@@ -34,13 +34,13 @@ class ActSource:
 # Act tables: code column, vocabulary, source tag, delay and count columns, and the
 # phase/activity columns of the "act performed" filter (none for CSARR).
 ACT_SOURCES = [
-    ActSource("T_MCOaaA", "mco", ("ETA_NUM", "RSA_NUM"), False, "CDC_ACT", "CCAM", "MCO",
+    ActSource("T_MCOaaA", "mco", ("ETA_NUM", "RSA_NUM"), False, "CDC_ACT", CCAM, "MCO",
               "ENT_DAT_DEL", "NBR_EXE_ACT", "PHA_ACT", "ACV_ACT"),
-    ActSource("T_MCOaaFMSTC", "mco", ("ETA_NUM", "SEQ_NUM"), True, "CCAM_COD", "CCAM", "MCO ACE",
+    ActSource("T_MCOaaFMSTC", "mco", ("ETA_NUM", "SEQ_NUM"), True, "CCAM_COD", CCAM, "MCO" + ACE_SUFFIX,
               "DEL_DAT_ENT", None, "PHA_ACT", "ACV_ACT"),
-    ActSource("T_SSRaaCCAM", "ssr", ("ETA_NUM", "RHA_NUM"), False, "CCAM_ACT", "CCAM", "SSR",
+    ActSource("T_SSRaaCCAM", "ssr", ("ETA_NUM", "RHA_NUM"), False, "CCAM_ACT", CCAM, "SSR",
               "CCAM_DEL_ENT_UM", "CCAM_NBR_REA", "CCAM_PHA_ACT", "CCAM_COD_ACT"),
-    ActSource("T_SSRaaCSARR", "ssr", ("ETA_NUM", "RHA_NUM"), False, "CSARR_COD", "CSARR", "SSR",
+    ActSource("T_SSRaaCSARR", "ssr", ("ETA_NUM", "RHA_NUM"), False, "CSARR_COD", CSARR, "SSR",
               "ENT_DAT_DEL_UM", "NBR_CSARR"),
 ]
 
@@ -48,7 +48,7 @@ ACT_SOURCES = [
 def _acts(df: DataFrame, s: ActSource) -> DataFrame:
     if s.phase is not None:
         # phase 0/1 (text), activity 1 (numeric: '01' counts)
-        df = df.filter(F.col(s.phase).isin("0", "1") & int_equals(s.activity, 1))
+        df = df.filter(F.col(s.phase).isin(*ACT_PHASES) & int_equals(s.activity, 1))
     qty = quantity_or_one(s.quantity) if s.quantity else F.lit(1)
     return df.select(
         visit_id(s.family, *s.keys, ace=s.ace).alias("visit_id"),

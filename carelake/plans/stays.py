@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carelake.catalog import OUTPUT_SCHEMAS
+from carelake.catalog import FIRST_WEEKLY_SUMMARY, OUTPUT_SCHEMAS
 from carelake.functions.codes import facility, first_unit
 from carelake.functions.dates import parse_date
 from carelake.functions.keys import visit_id
@@ -68,7 +68,7 @@ def ssr_stays(src: Sources) -> DataFrame | None:
     c = c.select("ETA_NUM", "RHA_NUM", *CONTROL_COLS)
     geo = ["ETA_NUM_GEO"] if "ETA_NUM_GEO" in b.columns else []
     if "RHS_NUM" in b.columns:
-        b = b.filter(F.col("RHS_NUM") == "001")
+        b = b.filter(F.col("RHS_NUM") == FIRST_WEEKLY_SUMMARY)
     b = b.select(*keys, *geo)
     j = c.join(b, keys)
     fin = facility("ETA_NUM_GEO", "ETA_NUM") if geo else F.col("ETA_NUM")
