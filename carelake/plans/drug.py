@@ -153,12 +153,15 @@ def build_drug_pmsi(src: Sources, stays: DataFrame) -> DataFrame:
         .alias("date_origin"),
         F.col("PHA_ATC_CLA").alias("drug_code_atc"),
         F.col("PHA_ATC_LIB").alias("molecule"))
-    # rows are already partial sums (a hot stay is a few rows here): one shuffle on the
-    # total's key serves both the group-by and the window of the total
+    # Rows are partial sums per (table, stay, drug, delay), so a hot stay is a bounded
+    # number of rows here.  Clustering on visit_id serves both the total's group-by
+    # and its window.  After a shuffle join on visit_id (a large run) the rows are
+    # already partitioned that way and Spark drops this repartition; after a
+    # broadcast join it is the one shuffle of the total.
     keys = ["visit_id", "drug_code", "drug_date"]
     if len(parts) > 1:  # with one source table the branch tag is a constant
         keys = ["_branch"] + keys
-    totals = windowed_total(rows.repartition(*keys), keys, "_qty")
+    totals = windowed_total(rows.repartition("visit_id"), keys, "_qty")
     # the id is a function of the total's key: computed after the shuffles
     totals = totals.withColumn("drug_id", surrogate_id("visit_id", "drug_date", "drug_code"))
     return totals.select(*OUTPUT_SCHEMAS["drug_pmsi"].names)
