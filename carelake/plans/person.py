@@ -50,6 +50,7 @@ def build_person(src: Sources) -> DataFrame:
     ben = unique_patients(ben)
     cci = src.get("KI_CCI_R")
     if cci is not None:
+        cci = ensure_columns(cci, ["BEN_DCD_DTE"])
         dcd = (cci.select("NUM_ENQ_IDT", parse_date("BEN_DCD_DTE").alias("DCD_KI"))
                .groupBy("NUM_ENQ_IDT").agg(F.min("DCD_KI").alias("DCD_KI")))
         ben = ben.join(dcd, "NUM_ENQ_IDT", "left")
