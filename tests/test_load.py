@@ -142,3 +142,20 @@ def test_declared_dates_and_links_can_be_given(spark):
     r = out.first()
     # 2020 -> 2010 + 2020 % 13 = 2015; no stay key in this table: the year of its date
     assert (r["WHEN_SEEN"], r["NUM_ENQ"], r["YEAR"]) == ("05/01/2015", "X1", "15")
+
+
+def test_build_subset_reads_earlier_hubs(spark, tmp_path):
+    src = delivery(spark)
+    out = str(tmp_path / "omop")
+    steps.build_all(spark, src, out, ["person", "stays_pmsi"])
+    # a later run of one table reads the stored stays
+    summary = steps.build_all(spark, src, out, ["medical_units"])
+    assert {r["table"]: r["rows"] for r in summary.collect()} == {"medical_units": 6}
+
+
+def test_scratch_folder_comes_from_the_session(spark):
+    from carelake.sinks import scratch_path, shared_dir
+
+    root = shared_dir(spark)
+    assert root == (spark.conf.get("spark.checkpoint.dir", None) or root)
+    assert scratch_path(spark, "x").startswith(root + "/carelake/x-")
