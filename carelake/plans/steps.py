@@ -8,6 +8,7 @@ recomputation, short lineage, nothing lost with an executor).
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,21 +50,45 @@ def build_table(step: str, src: Sources, hubs: dict[str, DataFrame]) -> DataFram
     return fn(src) if hub is None else fn(src, hubs[hub])
 
 
+def levels() -> list[list[str]]:
+    """Steps grouped by dependency depth: each level only reads hubs of earlier ones."""
+    depth: dict[str, int] = {}
+    for step, (hub, _) in STEPS.items():
+        depth[step] = 0 if hub is None else depth[hub] + 1
+    return [[s for s in STEPS if depth[s] == d] for d in range(max(depth.values()) + 1)]
+
+
 def build_all(spark: SparkSession, src: Sources, out_dir: str,
-              steps: Iterable[str] | None = None) -> DataFrame:
-    """Build and write the tables; returns the build summary (table, rows)."""
+              steps: Iterable[str] | None = None, max_concurrent_builds: int = 1) -> DataFrame:
+    """Build and write the tables; returns the build summary (table, rows).
+
+    Builds of one dependency level are independent; with ``max_concurrent_builds``
+    above 1 they are submitted as concurrent jobs of the same application, which
+    keeps executors busy through each job's last tasks.
+    """
     out_dir = out_dir.rstrip("/")
-    wanted = list(steps) if steps is not None else list(STEPS)
+    wanted = set(STEPS) if steps is None else set(steps)
     hubs: dict[str, DataFrame] = {}
-    rows = []
-    for step in STEPS:
-        if step not in wanted:
-            continue
-        hub = STEPS[step][0]
-        if hub is not None and hub not in hubs:
-            hubs[hub] = read_table(spark, f"{out_dir}/{hub}")
-        n = write_table(build_table(step, src, hubs), f"{out_dir}/{step}")
-        rows.append((step, n))
-        if step in ("person", "stays_pmsi", "prestations"):
-            hubs[step] = read_table(spark, f"{out_dir}/{step}")
+    counts: dict[str, int] = {}
+
+    def run(step: str) -> None:
+        counts[step] = write_table(build_table(step, src, hubs), f"{out_dir}/{step}")
+
+    for level in levels():
+        todo = [s for s in level if s in wanted]
+        for step in todo:
+            hub = STEPS[step][0]
+            if hub is not None and hub not in hubs:
+                hubs[hub] = read_table(spark, f"{out_dir}/{hub}")
+        if max_concurrent_builds > 1 and len(todo) > 1:
+            with ThreadPoolExecutor(max_workers=max_concurrent_builds) as pool:
+                for f in [pool.submit(run, s) for s in todo]:
+                    f.result()
+        else:
+            for step in todo:
+                run(step)
+        for step in todo:
+            if step in ("person", "stays_pmsi", "prestations"):
+                hubs[step] = read_table(spark, f"{out_dir}/{step}")
+    rows = [(s, counts[s]) for s in STEPS if s in counts]
     return spark.createDataFrame(rows, "table string, rows long")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,13 +24,15 @@ class Sources:
                  loaders: Mapping[str, Callable[[], DataFrame | None]] | None = None):
         self._tables = {k: v for k, v in (tables or {}).items() if v is not None}
         self._loaders = dict(loaders or {})
+        self._lock = threading.Lock()
 
     def get(self, name: str) -> DataFrame | None:
-        if name not in self._tables and name in self._loaders:
-            df = self._loaders.pop(name)()
-            if df is not None:
-                self._tables[name] = df
-        return self._tables.get(name)
+        with self._lock:  # builds may run concurrently
+            if name not in self._tables and name in self._loaders:
+                df = self._loaders.pop(name)()
+                if df is not None:
+                    self._tables[name] = df
+            return self._tables.get(name)
 
     def get_with(self, name: str, columns: Iterable[str]) -> DataFrame | None:
         """The table when it has all ``columns``, else None (branch guard)."""

@@ -159,3 +159,11 @@ def test_scratch_folder_comes_from_the_session(spark):
     root = shared_dir(spark)
     assert root == (spark.conf.get("spark.checkpoint.dir", None) or root)
     assert scratch_path(spark, "x").startswith(root + "/carelake/x-")
+
+
+def test_concurrent_build_gives_the_same_tables(spark, tmp_path):
+    src = delivery(spark)
+    a = steps.build_all(spark, src, str(tmp_path / "seq"))
+    b = steps.build_all(spark, delivery(spark), str(tmp_path / "par"), max_concurrent_builds=4)
+    assert rows(a) == rows(b)
+    assert steps.levels()[0] == ["person", "prestations"]
