@@ -134,25 +134,19 @@ def build_drug_pmsi(src: Sources, stays: DataFrame) -> DataFrame:
         parts.append(_drug_lines(df, s, i))
     lines = require(union_all(parts), "drug_pmsi")
     # Partial sums per (table, stay, drug, delay) before the stay join: combined
-    # map-side, so a stay with very many lines reaches the join as a few rows.  The
+    # map-side, so a stay with very many lines reaches the join as one row per
+    # distinct (drug, delay).  The
     # totals below add these partial sums up.
     line_keys = [c for c in lines.columns if c != "_qty"]
     lines = lines.groupBy(*line_keys).agg(F.sum(to_int("_qty").cast("long")).alias("_qty"))
     j = lines.join(stays_for_join(stays, "person_id", "stay_start_date"), "visit_id")
-    ir = src.get("IR_PHA_R")
-    if ir is not None:
-        j = lookup(j, atc_by_ucd(ir), "drug_code", "left")
-    else:
-        j = ensure_columns(j, ATC)
     drug_date = F.when(F.col("_by_delay"), delay_date("stay_start_date", "_delay")) \
         .otherwise(F.col("stay_start_date"))
     rows = j.select(
         "_branch", "person_id", "drug_code", "drug_vocabulary", "visit_id", "drug_source", "_qty",
         drug_date.alias("drug_date"),
         F.when(F.col("_by_delay"), date_origin("_delay")).otherwise(F.lit("stay_start"))
-        .alias("date_origin"),
-        F.col("PHA_ATC_CLA").alias("drug_code_atc"),
-        F.col("PHA_ATC_LIB").alias("molecule"))
+        .alias("date_origin"))
     # Rows are partial sums per (table, stay, drug, delay), so a hot stay is a bounded
     # number of rows here.  Clustering on visit_id serves both the total's group-by
     # and its window.  After a shuffle join on visit_id (a large run) the rows are
@@ -162,6 +156,15 @@ def build_drug_pmsi(src: Sources, stays: DataFrame) -> DataFrame:
     if len(parts) > 1:  # with one source table the branch tag is a constant
         keys = ["_branch"] + keys
     totals = windowed_total(rows.repartition("visit_id"), keys, "_qty")
+    # ATC class and label depend on the code only (one row per code): looked up after
+    # the totals, so the labels do not travel through the aggregation
+    ir = src.get("IR_PHA_R")
+    if ir is not None:
+        totals = lookup(totals, atc_by_ucd(ir), "drug_code", "left")
+    else:
+        totals = ensure_columns(totals, ATC)
     # the id is a function of the total's key: computed after the shuffles
-    totals = totals.withColumn("drug_id", surrogate_id("visit_id", "drug_date", "drug_code"))
+    totals = totals.withColumns({
+        "drug_id": surrogate_id("visit_id", "drug_date", "drug_code"),
+        "drug_code_atc": F.col("PHA_ATC_CLA"), "molecule": F.col("PHA_ATC_LIB")})
     return totals.select(*OUTPUT_SCHEMAS["drug_pmsi"].names)
