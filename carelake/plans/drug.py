@@ -135,8 +135,7 @@ def build_drug_pmsi(src: Sources, stays: DataFrame) -> DataFrame:
     lines = require(union_all(parts), "drug_pmsi")
     # Partial sums per (table, stay, drug, delay) before the stay join: combined
     # map-side, so a stay with very many lines reaches the join as one row per
-    # distinct (drug, delay).  The
-    # totals below add these partial sums up.
+    # distinct (drug, delay).  The totals below add these partial sums up.
     line_keys = [c for c in lines.columns if c != "_qty"]
     lines = lines.groupBy(*line_keys).agg(F.sum(to_int("_qty").cast("long")).alias("_qty"))
     j = lines.join(stays_for_join(stays, "person_id", "stay_start_date"), "visit_id")
