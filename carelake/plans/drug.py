@@ -55,12 +55,14 @@ def build_drug_dcir(src: Sources, prestations: DataFrame) -> DataFrame:
     lines = require(union_all(parts), "drug_dcir")
     # one aggregate for the three vocabularies (vocabulary is a group key)
     med = sum_by(lines, ["dcir_key", "drug_code", "drug_vocabulary"], "q")
+    j = med.join(claim_lines(prestations, "presta_start_date"), "dcir_key")
+    # ATC labels (and their fan-out) joined after the claim join: they do not travel
+    # through its shuffle
     ir = src.get("IR_PHA_R")
     if ir is not None:
-        med = lookup(med, nomenclature_by_vocabulary(ir), ["drug_vocabulary", "drug_code"], "left")
+        j = lookup(j, nomenclature_by_vocabulary(ir), ["drug_vocabulary", "drug_code"], "left")
     else:
-        med = ensure_columns(med, ATC)
-    j = med.join(claim_lines(prestations, "presta_start_date"), "dcir_key")
+        j = ensure_columns(j, ATC)
     out = j.select(
         surrogate_id("dcir_key", "presta_start_date", "drug_code").alias("drug_id"),
         "person_id",
