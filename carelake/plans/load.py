@@ -28,7 +28,7 @@ from carelake.functions.keys import stable_year, two_digit_year
 from carelake.operators.dedupe import asc, first_per_key
 from carelake.operators.joins import lookup
 from carelake.sinks import write_table
-from carelake.sources.readers import ensure_columns, read_csv_table
+from carelake.sources.readers import discover_tables, ensure_columns, read_csv_table
 
 DEFAULT_MIN_YEAR, DEFAULT_MAX_YEAR = 2010, 2024
 DRIVER_YEAR = "_driver_year"
@@ -149,16 +149,19 @@ def _read_raw(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def load_delivery(spark: SparkSession, csv_dir: str, out_dir: str, tables: Iterable[str],
+def load_delivery(spark: SparkSession, csv_dir: str, out_dir: str, tables: Iterable[str] | None = None,
                   min_year: int = DEFAULT_MIN_YEAR, max_year: int = DEFAULT_MAX_YEAR,
                   date_columns: Mapping[str, list[str]] | None = None,
                   key_map: Mapping[str, Mapping[str, str]] | None = None) -> DataFrame:
     """Load every listed table found as ``csv_dir/<table>.csv`` into
-    ``out_dir/<table>`` (parquet, partitioned by ``YEAR`` when year-split).
+    ``out_dir/<table>`` (parquet, partitioned by ``YEAR`` when year-split).  Without
+    a list, every ``*.csv`` file of the folder is a table named after its file.
 
     Returns the load summary: one row per table with its row and shard counts.
     """
     csv_dir, out_dir = csv_dir.rstrip("/"), out_dir.rstrip("/")
+    if tables is None:
+        tables = discover_tables(spark, csv_dir)
     ben = _read_raw(spark, f"{csv_dir}/IR_BEN_R.csv")
     ids = patient_lookup(ben) if ben is not None and "BEN_IDT_ANO" in ben.columns else None
     rows = []

@@ -1,6 +1,7 @@
 """Readers for raw deliveries and stored tables."""
 
 from carelake.sources.readers import (
+    discover_tables,
     ensure_columns,
     read_csv_table,
     read_optional,
@@ -13,6 +14,6 @@ from carelake.sources.shards import from_shard_layout, read_year_shards
 from carelake.sources.tables import Sources
 
 __all__ = [
-    "Sources", "ensure_columns", "from_shard_layout", "read_year_shards", "read_csv_table", "read_optional", "read_shards",
+    "Sources", "discover_tables", "ensure_columns", "from_shard_layout", "read_year_shards", "read_csv_table", "read_optional", "read_shards",
     "read_table", "shard_name", "source_file_parts",
 ]

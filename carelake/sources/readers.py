@@ -27,6 +27,18 @@ def read_csv_table(spark: SparkSession, path: str, schema: StructType | None = N
     return df.select(*[null_if_na(F.col(c).cast("string"), NA_TOKENS).alias(c) for c in df.columns])
 
 
+def discover_tables(spark: SparkSession, folder: str, suffix: str = ".csv") -> list[str]:
+    """Table names of a delivery folder: the stems of its ``*.csv`` files.
+
+    Only the file listing is read (the ``binaryFile`` source with nothing but the
+    path selected); the result is one name per file, a bounded list.
+    """
+    listing = (spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}")
+               .load(folder.rstrip("/")).select("path"))
+    names = {r.path.rsplit("/", 1)[-1][: -len(suffix)] for r in listing.collect()}
+    return sorted(names)
+
+
 def _is_missing_path(err: AnalysisException) -> bool:
     cond = getattr(err, "getCondition", None) or getattr(err, "getErrorClass", None)
     name = cond() if cond else None

@@ -167,3 +167,16 @@ def test_concurrent_build_gives_the_same_tables(spark, tmp_path):
     b = steps.build_all(spark, delivery(spark), str(tmp_path / "par"), max_concurrent_builds=4)
     assert rows(a) == rows(b)
     assert steps.levels()[0] == ["person", "prestations"]
+
+
+def test_load_discovers_the_tables_of_a_folder(spark, tmp_path):
+    from carelake.sources import discover_tables
+
+    src, out = tmp_path / "csv", tmp_path / "final"
+    src.mkdir()
+    make_delivery(src)
+    (src / "notes.txt").write_text("not a table")
+    assert discover_tables(spark, str(src)) == ["ER_PRS_F", "IR_BEN_R", "KI_ECD_R", "T_MCOaaC", "T_MCOaaUM"]
+    summary = load.load_delivery(spark, str(src), str(out), None, 2010, 2022)
+    assert {r["table"] for r in summary.collect()} == {
+        "ER_PRS_F", "IR_BEN_R", "IR_BEN_R_uniq", "KI_ECD_R", "T_MCOaaC", "T_MCOaaUM"}
