@@ -10,10 +10,10 @@ from carelake.operators.dedupe import (
     first_per_key,
 )
 from carelake.operators.joins import lookup, orphans, restrict_to, row_count_at_most
-from carelake.operators.union import melt_roles, require, union_all, union_distinct
+from carelake.operators.union import apply_steps, melt_roles, require, union_all, union_distinct
 
 __all__ = [
-    "Order", "asc", "desc", "distinct_rows",
+    "Order", "apply_steps", "asc", "desc", "distinct_rows",
     "first_and_last_per_key", "first_per_key", "lookup", "melt_roles", "orphans", "require",
     "restrict_to", "row_count_at_most", "sum_by", "union_all", "union_distinct",
     "windowed_total",

@@ -46,21 +46,27 @@ def _is_missing_path(err: AnalysisException) -> bool:
 
 
 def read_optional(spark: SparkSession, path: str, fmt: str = "parquet",
-                  reader_options: Mapping[str, str] | None = None) -> DataFrame | None:
+                  reader_options: Mapping[str, str] | None = None,
+                  require_rows: bool = False) -> DataFrame | None:
     """Read a table that may be absent: a missing path gives None.
 
-    Other failures (unreadable files, schema conflicts between files) are raised:
-    hiding them would silently drop a whole source branch.
+    With ``require_rows`` an empty table counts as absent too (one ``isEmpty``
+    probe, which reads at most one row).  Other failures (unreadable files, schema
+    conflicts between files) are raised: hiding them would silently drop a whole
+    source branch.
     """
     reader = spark.read.format(fmt)
     for k, v in (reader_options or {}).items():
         reader = reader.option(k, v)
     try:
-        return _fix_year(reader.load(path))
+        df = _fix_year(reader.load(path))
     except AnalysisException as err:
         if _is_missing_path(err):
             return None
         raise
+    if require_rows and df.isEmpty():
+        return None
+    return df
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

@@ -50,9 +50,12 @@ class Sources:
         return merged
 
     @classmethod
-    def from_folder(cls, spark: SparkSession, folder: str, names: Iterable[str]) -> "Sources":
+    def from_folder(cls, spark: SparkSession, folder: str, names: Iterable[str],
+                    empty_is_absent: bool = False) -> "Sources":
         """``folder/<name>`` for each name (parquet, ``YEAR``-partitioned for
         year-split tables), read when first asked for; a missing folder is an
-        absent table."""
+        absent table, and so is an empty one with ``empty_is_absent``."""
         folder = folder.rstrip("/")
-        return cls(loaders={n: (lambda n=n: read_optional(spark, f"{folder}/{n}")) for n in names})
+        return cls(loaders={n: (lambda n=n: read_optional(spark, f"{folder}/{n}",
+                                                          require_rows=empty_is_absent))
+                            for n in names})

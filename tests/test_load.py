@@ -180,3 +180,12 @@ def test_load_discovers_the_tables_of_a_folder(spark, tmp_path):
     summary = load.load_delivery(spark, str(src), str(out), None, 2010, 2022)
     assert {r["table"] for r in summary.collect()} == {
         "ER_PRS_F", "IR_BEN_R", "IR_BEN_R_uniq", "KI_ECD_R", "T_MCOaaC", "T_MCOaaUM"}
+
+
+def test_empty_tables_can_count_as_absent(spark, tmp_path):
+    spark.createDataFrame([], "ETA_NUM string").write.parquet(str(tmp_path / "T_MCOaaC"))
+    spark.createDataFrame([("1",)], "ETA_NUM string").write.parquet(str(tmp_path / "T_MCOaaUM"))
+    names = ["T_MCOaaC", "T_MCOaaUM"]
+    assert Sources.from_folder(spark, str(tmp_path), names).get("T_MCOaaC") is not None
+    strict = Sources.from_folder(spark, str(tmp_path), names, empty_is_absent=True)
+    assert strict.get("T_MCOaaC") is None and strict.get("T_MCOaaUM") is not None

@@ -5,6 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from carelake.operators import (
+    apply_steps,
     asc,
     desc,
     first_and_last_per_key,
@@ -103,3 +104,10 @@ def test_melt_roles(spark):
     got = rows(melt_roles(df, ["v"], {"pal": "principal", "rel": "related"}, "code", "role"))
     assert got == srt([("s1", "A", "principal"), ("s1", None, "related"),
                        ("s2", "B", "principal"), ("s2", "C", "related")])
+
+
+def test_apply_steps_in_order(spark):
+    df = frame(spark, "x", [("1",), ("2",)])
+    got = apply_steps(df, [lambda d: d.withColumn("y", F.col("x") * 10),
+                           lambda d: d.filter(F.col("y") > 10)])
+    assert rows(got, ["x", "y"]) == [("2", 20.0)]
