@@ -6,7 +6,9 @@ import threading
 from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from carelake.catalog import is_pmsi
 from carelake.sources.readers import read_optional
 
 
@@ -49,6 +51,25 @@ class Sources:
         merged._tables.update({k: v for k, v in more.items() if v is not None})
         return merged
 
+    def for_years(self, years: Iterable[str]) -> "Sources":
+        """Hospital tables restricted to some 2-digit years, other tables unchanged.
+
+        Every table of a stay is in the stay's year shard and every hospital join
+        includes ``YEAR``, so hospital builds on these sources are exact for those
+        years; on ``YEAR``-partitioned storage the filter prunes whole folders.
+        City-care years come from each table's own date and are not restricted.
+        """
+        years = [str(y) for y in years]
+
+        def restrict(name: str, df: DataFrame | None) -> DataFrame | None:
+            if df is None or not is_pmsi(name) or "YEAR" not in df.columns:
+                return df
+            return df.filter(F.col("YEAR").isin(years))
+
+        tables = {n: restrict(n, d) for n, d in self._tables.items()}
+        loaders = {n: (lambda n=n, f=f: restrict(n, f())) for n, f in self._loaders.items()}
+        return Sources(tables, loaders)
+
     @classmethod
     def from_folder(cls, spark: SparkSession, folder: str, names: Iterable[str],
                     empty_is_absent: bool = False) -> "Sources":

@@ -189,3 +189,19 @@ def test_empty_tables_can_count_as_absent(spark, tmp_path):
     assert Sources.from_folder(spark, str(tmp_path), names).get("T_MCOaaC") is not None
     strict = Sources.from_folder(spark, str(tmp_path), names, empty_is_absent=True)
     assert strict.get("T_MCOaaC") is None and strict.get("T_MCOaaUM") is not None
+
+
+def test_year_by_year_hospital_builds_are_exact(spark, tmp_path):
+    from carelake.plans import build_person, build_stays
+
+    src = delivery(spark)
+    person = build_person(src)
+    full = build_stays(src, person)
+    one_year = build_stays(src.for_years(["22"]), person)
+    assert rows(one_year) == rows(full.filter(F.col("stay_id").contains("_22_")))
+    # stored, YEAR-partitioned: the year filter reaches the scan as a partition filter
+    src.get("T_MCOaaC").write.partitionBy("YEAR").parquet(str(tmp_path / "T_MCOaaC"))
+    stored = Sources.from_folder(spark, str(tmp_path), ["T_MCOaaC"]).for_years(["22"])
+    plan = stored.get("T_MCOaaC")._jdf.queryExecution().executedPlan().toString()
+    import re
+    assert re.search(r"PartitionFilters: \[[^\]]*YEAR", plan), plan
