@@ -61,12 +61,26 @@ def build_condition_dcir(src: Sources, person: DataFrame) -> DataFrame:
 PRINCIPAL, RELATED, ASSOCIATED = PRINCIPAL_DIAGNOSIS, RELATED_DIAGNOSIS, ASSOCIATED_DIAGNOSIS
 
 
-def _diagnoses(df: DataFrame, vid, source: str, roles: dict[str, str]) -> DataFrame:
-    roles = {c: r for c, r in roles.items() if c in df.columns}
+def _diagnoses(df: DataFrame, vid, source: str, roles: list[str]) -> DataFrame:
+    """One row per (row, diagnosis column); ``_role`` is the column's name, a short
+    tag that becomes the role label after the shuffles."""
+    roles = [c for c in roles if c in df.columns]
     base = df.select(vid.alias("visit_id"), *roles)
-    long = melt_roles(base, ["visit_id"], roles, "condition_code", "condition_type")
-    return long.select("visit_id", "condition_code", F.lit(source).alias("condition_source"),
-                       "condition_type")
+    long = melt_roles(base, ["visit_id"], {c: c for c in roles}, "condition_code", "_role")
+    return long.select("visit_id", "condition_code", F.lit(source).alias("condition_source"), "_role")
+
+
+# Diagnosis column -> role label (one label per column within each source).
+ROLE_LABELS = {"DGN_PAL": PRINCIPAL, "DGN_REL": RELATED, "ASS_DGN": ASSOCIATED,
+               "DGN_COD": ASSOCIATED, "DGN_ASS": ASSOCIATED}
+
+
+def _role_label(tag: str):
+    label = None
+    for colname, text in ROLE_LABELS.items():
+        cond = F.col(tag) == colname
+        label = F.when(cond, F.lit(text)) if label is None else label.when(cond, F.lit(text))
+    return label
 
 
 def build_condition_pmsi(src: Sources, stays: DataFrame) -> DataFrame:
@@ -78,15 +92,15 @@ def build_condition_pmsi(src: Sources, stays: DataFrame) -> DataFrame:
     had = visit_id("had", "ETA_NUM_EPMSI", "RHAD_NUM")
     parts = []
     if (t := src.get("T_MCOaaB")) is not None:
-        parts.append(_diagnoses(t, mco, "MCO", {"DGN_PAL": PRINCIPAL, "DGN_REL": RELATED}))
+        parts.append(_diagnoses(t, mco, "MCO", ["DGN_PAL", "DGN_REL"]))
     if (t := src.get("T_MCOaaD")) is not None:
-        parts.append(_diagnoses(t, mco, "MCO", {"ASS_DGN": ASSOCIATED}))
+        parts.append(_diagnoses(t, mco, "MCO", ["ASS_DGN"]))
     if (t := src.get("T_SSRaaD")) is not None:
-        parts.append(_diagnoses(t, ssr, "SSR", {"DGN_COD": ASSOCIATED}))
+        parts.append(_diagnoses(t, ssr, "SSR", ["DGN_COD"]))
     if (t := src.get("T_HADaaB")) is not None:
-        parts.append(_diagnoses(t, had, "HAD", {"DGN_PAL": PRINCIPAL}))
+        parts.append(_diagnoses(t, had, "HAD", ["DGN_PAL"]))
     if (t := src.get("T_HADaaD")) is not None:
-        parts.append(_diagnoses(t, had, "HAD", {"DGN_ASS": ASSOCIATED}))
+        parts.append(_diagnoses(t, had, "HAD", ["DGN_ASS"]))
     dx = require(union_all(parts), "condition_pmsi").filter(F.col("condition_code").isNotNull())
     # Distinct diagnoses joined to distinct stays give distinct rows: de-duplicate the
     # narrow diagnosis rows (combined map-side, so repeated copies never travel)
@@ -101,5 +115,5 @@ def build_condition_pmsi(src: Sources, stays: DataFrame) -> DataFrame:
         F.col("stay_end_date").alias("condition_end_date"),
         "condition_code",
         F.lit(CIM10_PMSI).alias("condition_vocabulary"),
-        "finess_geo", "visit_id", "condition_type", "condition_source")
+        "finess_geo", "visit_id", _role_label("_role").alias("condition_type"), "condition_source")
     return out.select(*OUTPUT_SCHEMAS["condition_pmsi"].names)
