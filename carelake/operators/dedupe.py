@@ -13,7 +13,16 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
+from pyspark.sql.types import (
+    ByteType,
+    DateType,
+    IntegerType,
+    LongType,
+    NumericType,
+    ShortType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 
 @dataclass(frozen=True)
@@ -44,6 +53,8 @@ def _sortable(df: DataFrame, o: Order) -> list[Column]:
         value = -F.unix_date(c)
     elif isinstance(dtype, (TimestampType, TimestampNTZType)):
         value = -F.unix_micros(c.cast("timestamp"))
+    elif isinstance(dtype, (ByteType, ShortType, IntegerType, LongType)):
+        value = -c.cast("decimal(38,0)")  # no overflow at the type's minimum
     elif isinstance(dtype, NumericType):
         value = -c
     else:

@@ -111,3 +111,10 @@ def test_apply_steps_in_order(spark):
     got = apply_steps(df, [lambda d: d.withColumn("y", F.col("x") * 10),
                            lambda d: d.filter(F.col("y") > 10)])
     assert rows(got, ["x", "y"]) == [("2", 20.0)]
+
+
+def test_descending_pick_on_extreme_integers(spark):
+    lo, hi = -(2 ** 63), 2 ** 63 - 1
+    df = spark.createDataFrame([("k", lo, "a"), ("k", hi, "b"), ("k", None, "c")], "k string, n long, p string")
+    assert rows(first_per_key(df, ["k"], [desc("n")])) == [("k", hi, "b")]
+    assert rows(first_per_key(df, ["k"], [desc("n", nulls_first=True)])) == [("k", None, "c")]
