@@ -228,3 +228,10 @@ def test_same_answers_with_ansi_off(spark, src):
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
     assert on == off
+
+
+def test_rehab_external_biology_needs_a_matching_stay(spark, src, stays):
+    """Read on request only: with the stays built here it adds no row."""
+    default = build_measurement_pmsi(src, stays)
+    with_rehab = build_measurement_pmsi(src, stays, include_rehab_external=True)
+    assert rows(default) == rows(with_rehab)
