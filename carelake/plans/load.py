@@ -152,10 +152,13 @@ def _read_raw(spark: SparkSession, path: str) -> DataFrame | None:
 def load_delivery(spark: SparkSession, csv_dir: str, out_dir: str, tables: Iterable[str] | None = None,
                   min_year: int = DEFAULT_MIN_YEAR, max_year: int = DEFAULT_MAX_YEAR,
                   date_columns: Mapping[str, list[str]] | None = None,
-                  key_map: Mapping[str, Mapping[str, str]] | None = None) -> DataFrame:
+                  key_map: Mapping[str, Mapping[str, str]] | None = None,
+                  files_per_year: int | None = None) -> DataFrame:
     """Load every listed table found as ``csv_dir/<table>.csv`` into
     ``out_dir/<table>`` (parquet, partitioned by ``YEAR`` when year-split).  Without
     a list, every ``*.csv`` file of the folder is a table named after its file.
+    With ``files_per_year`` the year-split tables are written as about that many
+    files per year, rows of one stay together (one shuffle per table).
 
     Returns the load summary: one row per table with its row and shard counts.
     """
@@ -171,7 +174,9 @@ def load_delivery(spark: SparkSession, csv_dir: str, out_dir: str, tables: Itera
             continue
         loaded = load_table(raw, table, ids, min_year, max_year, date_columns, key_map)
         part = ["YEAR"] if is_year_split(table) else None
-        n = write_table(loaded, f"{out_dir}/{table}", part)
+        stay_key = [k for k in PMSI_STAY_KEYS.get(table, []) if k in loaded.columns] or None
+        n = write_table(loaded, f"{out_dir}/{table}", part,
+                        files_per_partition=files_per_year if part else None, cluster_by=stay_key)
         shards = _year_folders(spark, f"{out_dir}/{table}") if part else 1
         rows.append((table, n, shards))
         if table == "IR_BEN_R":

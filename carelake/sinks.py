@@ -10,13 +10,22 @@ from pyspark.sql import functions as F
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                mode: str = "overwrite", max_records_per_file: int | None = None) -> int:
+                mode: str = "overwrite", max_records_per_file: int | None = None,
+                files_per_partition: int | None = None,
+                cluster_by: list[str] | None = None) -> int:
     """Write ``df`` as parquet from the executors and return its row count.
 
     The count is observed during the write (one pass over the plan, no second
     job).  With ``partition_by`` each task writes its rows into the partition
-    folders it holds; no shuffle is added.
+    folders it holds; no shuffle is added.  With ``files_per_partition`` = k the
+    rows are first shuffled on (partition columns, hash of ``cluster_by`` mod k):
+    about k files per partition folder instead of one per task, a large partition
+    spread over k tasks, and rows of one ``cluster_by`` key in one file.
     """
+    if partition_by and files_per_partition:
+        keys = [F.col(c) for c in (cluster_by or df.columns)]
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(files_per_partition))
+        df = df.repartition(*[F.col(c) for c in partition_by], bucket)
     obs = Observation("write")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = observed.write.mode(mode)

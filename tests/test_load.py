@@ -205,3 +205,21 @@ def test_year_by_year_hospital_builds_are_exact(spark, tmp_path):
     plan = stored.get("T_MCOaaC")._jdf.queryExecution().executedPlan().toString()
     import re
     assert re.search(r"PartitionFilters: \[[^\]]*YEAR", plan), plan
+
+
+def test_files_per_year(spark, tmp_path):
+    import os
+
+    from carelake.sinks import write_table
+
+    df = spark.range(5000).select(F.col("id").cast("string").alias("RSA_NUM"),
+                                  F.lit("E1").alias("ETA_NUM"),
+                                  F.when(F.col("id") % 3 == 0, "21").otherwise("22").alias("YEAR"))
+    n = write_table(df.repartition(12), str(tmp_path / "t"), ["YEAR"], files_per_partition=2,
+                    cluster_by=["ETA_NUM", "RSA_NUM"])
+    assert n == 5000
+    for year in ("21", "22"):
+        files = [f for f in os.listdir(tmp_path / "t" / f"YEAR={year}") if f.endswith(".parquet")]
+        assert 1 <= len(files) <= 2
+    back = spark.read.parquet(str(tmp_path / "t"))
+    assert back.count() == 5000
