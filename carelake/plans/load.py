@@ -28,7 +28,13 @@ from carelake.functions.keys import stable_year, two_digit_year
 from carelake.operators.dedupe import asc, first_per_key
 from carelake.operators.joins import lookup
 from carelake.sinks import write_table
-from carelake.sources.readers import discover_tables, ensure_columns, read_csv_table
+from carelake.sources.readers import (
+    discover_tables,
+    ensure_columns,
+    is_missing_path,
+    read_csv_table,
+    read_table,
+)
 
 DEFAULT_MIN_YEAR, DEFAULT_MAX_YEAR = 2010, 2024
 DRIVER_YEAR = "_driver_year"
@@ -143,8 +149,7 @@ def _read_raw(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return read_csv_table(spark, path)
     except AnalysisException as err:
-        if "PATH_NOT_FOUND" in str(getattr(err, "getCondition", lambda: "")()) \
-                or "Path does not exist" in str(err):
+        if is_missing_path(err):
             return None
         raise
 
@@ -180,7 +185,9 @@ def load_delivery(spark: SparkSession, csv_dir: str, out_dir: str, tables: Itera
         shards = _year_folders(spark, f"{out_dir}/{table}") if part else 1
         rows.append((table, n, shards))
         if table == "IR_BEN_R":
-            m = write_table(unique_demographics(loaded), f"{out_dir}/IR_BEN_R_uniq")
+            # from the table just written, not from the raw text again
+            stored = read_table(spark, f"{out_dir}/{table}")
+            m = write_table(unique_demographics(stored), f"{out_dir}/IR_BEN_R_uniq")
             rows.append(("IR_BEN_R_uniq", m, 1))
     summary = spark.createDataFrame(rows, "table string, rows long, shards long")
     # one small file (one row per table) next to the tables

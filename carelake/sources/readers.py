@@ -39,7 +39,8 @@ def discover_tables(spark: SparkSession, folder: str, suffix: str = ".csv") -> l
     return sorted(names)
 
 
-def _is_missing_path(err: AnalysisException) -> bool:
+def is_missing_path(err: AnalysisException) -> bool:
+    """The analysis error of a path that does not exist."""
     cond = getattr(err, "getCondition", None) or getattr(err, "getErrorClass", None)
     name = cond() if cond else None
     return name == "PATH_NOT_FOUND" or "Path does not exist" in str(err)
@@ -61,7 +62,7 @@ def read_optional(spark: SparkSession, path: str, fmt: str = "parquet",
     try:
         df = _fix_year(reader.load(path))
     except AnalysisException as err:
-        if _is_missing_path(err):
+        if is_missing_path(err):
             return None
         raise
     if require_rows and df.isEmpty():
