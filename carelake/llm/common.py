@@ -25,7 +25,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     before = spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
@@ -62,3 +62,9 @@ def record_batches(columns: Iterable[tuple[str, pa.DataType, list]]) -> pa.Recor
         names.append(name)
         arrays.append(pa.array(values, type=kind))
     return pa.RecordBatch.from_arrays(arrays, names=names)
+
+
+def row_key(id_col: str, text_col: str) -> Column:
+    """A digest of a row's id and text: rows with equal keys hold the same id and text."""
+    ident = F.coalesce(F.concat(F.lit("="), F.col(id_col).cast("string")), F.lit("null"))
+    return F.md5(F.concat_ws("\n", ident, whole_text(text_col)))

@@ -20,7 +20,8 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     Sampled splitters range-partition the normalised bytes, Spark's external sort
     places equal texts next to each other, and the window over the sorted rows
-    compares whole neighbouring texts.  A text held by more than a quarter of a
+    compares whole neighbouring texts.  Splitters are cut to a text's first 32
+    characters and its hash, so that the sample on the driver holds no whole texts.  A text held by more than a quarter of a
     partition's share of the rows is dealt out over several ranges (its copies are
     salted); the heads of those ranges, fewer than eight times the partitions in all,
     are compared once more.
@@ -39,8 +40,9 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     salted = (base.join(F.broadcast(hot), "h", "left")
               .withColumn("salt", F.when(F.col("ranges").isNull(), F.lit(0)).otherwise(
                   F.pmod(F.xxhash64("doc_id", "n_cp"), F.col("ranges")).cast("int"))))
-    sorted_rows = salted.repartitionByRange("norm", "salt")
-    group = Window.partitionBy("norm", "salt")
+    place = ["front", "h", "salt"]
+    sorted_rows = salted.withColumn("front", F.substring("norm", 1, 32)).repartitionByRange(*place)
+    group = Window.partitionBy(*place, "norm")
     order = group.orderBy(F.col("n_cp").desc(), F.col("doc_id").asc_nulls_last())
     local = sorted_rows.select(
         "doc_id", "salt", "n_cp", F.col("ranges").isNotNull().alias("split"),

@@ -5,13 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import decontamination, exact_dedup, language_id, secrets
+from carelake.llm import (decontamination, exact_dedup, language_id, line_dedup, near_dedup, packing,
+                          secrets, substring_dedup)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary() -> str:
+    """Path of the public byte-level vocabulary that documents are packed with."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = packing.pack_documents(_table(spark, sf_dir, "documents"), vocabulary())
+    return placed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"),
+                         "sequence_id", "offset")
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held = language_id.held_out("doc_id")
@@ -37,6 +51,17 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         _span_text(F.col("spans")).alias("spans"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.without_repeated_substrings(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+                        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.deduplicate_lines(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_removed", F.size("spans").cast("long").alias("n_spans"), "text")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", decontamination.n_hit("spans").alias("n_hit"),
@@ -49,11 +74,19 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_best_fit_packing": op1_best_fit_packing,
     "op2_language_id": op2_language_id,
     "op4_secret_scan": op4_secret_scan,
+    "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_line_dedup": op6_line_dedup,
     "op8_decontamination": op8_decontamination,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
 SQL = {
