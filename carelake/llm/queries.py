@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import (decontamination, exact_dedup, language_id, line_dedup, near_dedup, packing,
-                          secrets, substring_dedup)
+from carelake.llm import (decontamination, exact_dedup, language_id, line_dedup, near_dedup, packing, pii,
+                          revisits, secrets, substring_dedup)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,19 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", language_id.held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+# the registered query's key; a real run passes its own secret
+PSEUDONYM_KEY = b"registered-query-key"
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.pseudonymise(_table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
+
+    def of(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select("doc_id", *[of(k).alias(f"n_{k}") for k in pii.KINDS], "text")
+
+
 def _span_text(spans: Column) -> Column:
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(
         ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
@@ -62,6 +75,34 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_removed", F.size("spans").cast("long").alias("n_spans"), "text")
 
 
+def crawl_records(pages: DataFrame) -> DataFrame:
+    """Capture records of ``pages``: each page as a full response, one a minute in the
+    order of the page ids, and a not-modified answer a day later for two in three.  Some
+    answers name a weak tag, another tag, only a time, or nothing."""
+    n, tag = F.col("page_id"), F.concat(F.lit('"'), F.substring(F.md5("html"), 1, 16), F.lit('"'))
+    at = F.timestamp_seconds(F.lit(1_600_000_000) + n * 60)
+    modified = F.date_format(at, "yyyy-MM-dd HH:mm:ss")
+    full = pages.select(
+        (n * 2).alias("record_id"), "url", at.alias("fetched_at"), F.lit(200).alias("status"),
+        F.create_map(F.lit("ETag"), tag, F.lit("Last-Modified"), modified, F.lit("Content-Type"), F.lit("text/html"),
+                     F.lit("Date"), modified).alias("headers"), F.col("html").alias("payload"))
+    said = (F.when(n % 11 == 0, F.create_map(F.lit("Server"), F.lit("x")))
+            .when(n % 7 == 0, F.create_map(F.lit("etag"), F.lit('"other"'), F.lit("Expires"), F.lit("0")))
+            .when(n % 5 == 0, F.create_map(F.lit("last-modified"), modified, F.lit("Content-Type"), F.lit("text/plain")))
+            .otherwise(F.create_map(F.lit("ETAG"), F.concat(F.lit("W/"), tag), F.lit("Date"), F.lit("later"))))
+    again = pages.filter(n % 3 != 0).select(
+        (n * 2 + 1).alias("record_id"), "url", (at + F.expr("interval 1 day")).alias("fetched_at"),
+        F.lit(304).alias("status"), said.alias("headers"), F.lit(None).cast("string").alias("payload"))
+    return full.unionAll(again)
+
+
+def op7_revisit_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = revisits.resolve_revisits(crawl_records(_table(spark, sf_dir, "pages")))
+    named = F.array_join(F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat_ws("=", e["key"], e["value"])), ";")
+    return found.select("record_id", "site", "base_id", "outcome", named.alias("headers"),
+                        F.md5("payload").alias("payload_md5"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", decontamination.n_hit("spans").alias("n_hit"),
@@ -81,9 +122,11 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_language_id": op2_language_id,
+    "op3_pii": op3_pii,
     "op4_secret_scan": op4_secret_scan,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_line_dedup": op6_line_dedup,
+    "op7_revisit_resolution": op7_revisit_resolution,
     "op8_decontamination": op8_decontamination,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,

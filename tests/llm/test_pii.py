@@ -1,0 +1,92 @@
+import datetime as dt
+import random
+import re
+
+import pytest
+
+from carelake.llm import pii
+
+KEY = b"test"
+
+
+def test_permutation_is_a_bijection_without_fixed_points():
+    for size in (2, 3, 7, 10, 26, 100, 997):
+        image = [pii.permuted(KEY, "x", size, x) for x in range(size)]
+        assert sorted(image) == list(range(size))
+        assert all(a != b for a, b in enumerate(image))
+        assert image != [pii.permuted(b"other", "x", size, x) for x in range(size)] or size < 4
+    assert pii.permuted(KEY, "x", 1, 0) == 0
+
+
+def one(text):
+    found = pii.pseudonyms(text, KEY)
+    assert len(found) == 1, (text, found)
+    return found[0]
+
+
+def card(rng, n=16):
+    body = "4" + "".join(rng.choice("0123456789") for _ in range(n - 2))
+    return body + pii.luhn_digit(body)
+
+
+def test_formats_stay_valid():
+    rng = random.Random(1)
+    for _ in range(50):
+        number = card(rng, rng.choice([13, 16, 19]))
+        _, _, kind, new = one(f"pay {number} now")
+        assert kind == "card" and len(new) == len(number) and new != number and new[0] == "4"
+        assert pii.luhn_digit(new[:-1]) == new[-1]
+    _, _, kind, new = one("DE89 3704 0044 0532 0130 00.")
+    plain = new.replace(" ", "")
+    assert kind == "iban" and re.fullmatch(r"DE\d\d(?: \d{4}){4} \d\d", new) and pii._iban_number(plain[4:] + plain[:4]) % 97 == 1
+    for text in ("2021-02-28", "31.12.1999", "28/02/2020", "02/28/2020"):
+        _, _, kind, new = one(text)
+        assert kind == "date" and new != text and re.sub(r"\d", "9", new) == re.sub(r"\d", "9", text)
+    dt.date.fromisoformat(one("2021-02-28")[3])
+    _, _, kind, new = one("+1 (988) 555-2485")
+    assert kind == "phone" and re.fullmatch(r"\+1 \([2-9]\d\d\) [2-9]\d\d-\d{4}", new)
+    _, _, kind, new = one("at 42.144.35.254, then")
+    assert kind == "address" and 1 <= int(new.split(".")[0]) <= 223 and all(int(x) <= 255 for x in new.split("."))
+    _, _, kind, new = one("bosbt.42@mail8.example.com")
+    assert kind == "mail" and re.fullmatch(r"[a-z]{5}\.\d\d@mail8\.example\.com", new)
+    _, _, kind, new = one("123-45-6789")
+    assert kind == "national" and re.fullmatch(r"\d{3}-\d{2}-\d{4}", new)
+
+
+def test_values_that_fail_their_check_stay():
+    for text in ("4041894974608796", "DE88370400440532013000", "2021-02-30", "31.04.2020", "300.1.2.3", "666-12-1234", "000-12-1234",
+                 "version 3.0", "no digits", "", "v1.2.3.4", "abc4041894974608795", "1111111111111111", "240.1.1.1"):
+        assert pii.pseudonyms(text, KEY) == [], text
+
+
+def test_equal_values_stay_linked_however_written():
+    plain = one("4041894974608795")[3]
+    assert one("4041 8949 7460 8795")[3].replace(" ", "") == plain == one("x 4041-8949-7460-8795")[3].replace("-", "")
+    assert re.sub(r"\D", "", one("+1 (988) 555-2485")[3])[-10:] == re.sub(r"\D", "", one("988-555-2485")[3])
+    rng = random.Random(2)
+    values = {card(rng) for _ in range(300)}
+    assert len({pii._known(KEY, "card", v) for v in values}) == len(values)
+
+
+def test_table(docs_of):
+    rows = [(1, None), (2, ""), (3, "é 42.144.35.254 é"), (4, "to 42.144.35.254"), (4, "to 42.144.35.254"), (None, "a@b.co"), (5, "x " * 5000)]
+    out = pii.pseudonymise(docs_of(rows).withColumnRenamed("lang", "spans"), KEY).collect()
+    assert len(out) == len(rows)
+    by = {r["doc_id"]: r for r in out}
+    assert by[1]["text"] is None and by[2]["text"] == "" and by[5]["text"] == "x " * 5000
+    s = by[3]["spans"][0]
+    assert (s["start"], s["end"]) == (2, 15) and by[3]["text"] == f"é {s['pseudonym']} é"
+    assert by[4]["text"] == f"to {s['pseudonym']}" and by[None]["text"] != "a@b.co"
+    assert pii.pseudonymise(docs_of([]), KEY).count() == 0
+    with pytest.raises(ValueError):
+        pii.pseudonymise(docs_of([]), b"")
+
+
+def test_driver_sample_keeps_no_value(sample):
+    df, rows = sample
+    out = {r["doc_id"]: r["text"] for r in pii.pseudonymise(df, KEY).collect()}
+    for doc, text, _ in rows:
+        for start, end, _, new in pii.pseudonyms(text, KEY):
+            assert text[start:end] not in out[doc] and new in out[doc]
+        left = pii.pseudonyms(out[doc], KEY)
+        assert len(left) == len(pii.pseudonyms(text, KEY))
