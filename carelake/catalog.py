@@ -7,6 +7,9 @@ as a string so that codes with leading zeros (``'001'``) survive.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from dataclasses import dataclass
+
 from pyspark.sql.types import (
     DateType,
     IntegerType,
@@ -28,8 +31,9 @@ NA_TOKENS = [
 ]
 
 # Accepted input date layouts, tried in this order (Spark datetime patterns).
-# dd/MM/yyyy, ddMMMyyyy:HH:mm:ss, ddMMMyyyy, yyyyMMdd, yyyy-MM-dd
-DATE_INPUT_PATTERNS = ["d/M/yyyy", "ddMMMyyyy:HH:mm:ss", "ddMMMyyyy", "yyyyMMdd", "yyyy-M-d"]
+# dd/MM/yyyy, ddMMMyyyy:HH:mm:ss, ddMMMyyyy, yyyyMMdd, yyyy-MM-dd; days, months and
+# times with a separator or a month name around them may have one digit
+DATE_INPUT_PATTERNS = ["d/M/yyyy", "dMMMyyyy:H:m:s", "dMMMyyyy", "yyyyMMdd", "yyyy-M-d"]
 DATE_TEXT_PATTERN = "dd/MM/yyyy"
 
 # The 9 city-care flux columns, in the order that forms ``dcir_key``.
@@ -114,7 +118,7 @@ DATE_COLUMNS: dict[str, list[str]] = {
     "ER_PRS_F": ["EXE_SOI_DTD", "EXE_SOI_DTF", "FLX_DIS_DTD", "FLX_TRT_DTD"],
     "ER_PHA_F": ["FLX_DIS_DTD", "FLX_TRT_DTD"],
     "ER_UCD_F": ["FLX_DIS_DTD", "FLX_TRT_DTD"],
-    "ER_TIP_F": ["FLX_DIS_DTD", "FLX_TRT_DTD", "TIP_ACL_DTD", "TIP_ACL_DTF"],
+    "ER_TIP_F": ["FLX_DIS_DTD", "FLX_TRT_DTD", "TIP_ACL_DTD", "TIP_ACL_DTF", "TIP_ALC_DTF"],
     "ER_BIO_F": ["FLX_DIS_DTD", "FLX_TRT_DTD"],
     "T_MCOaaC": ["EXE_SOI_DTD", "EXE_SOI_DTF"],
     "T_MCOaaCSTC": ["EXE_SOI_DTD", "EXE_SOI_DTF"],
@@ -123,14 +127,48 @@ DATE_COLUMNS: dict[str, list[str]] = {
 }
 
 
+YEAR_PLACEHOLDER = "aa"
+CITY_PREFIX = "ER_"
+REFERENTIAL, PATIENT_ID = "IR_BEN_R", "BEN_NIR_PSA"
+
+
 def is_pmsi(table: str) -> bool:
     """Hospital tables carry the ``aa`` year placeholder in their generic name."""
-    return "aa" in table
+    return YEAR_PLACEHOLDER in table
 
 
 def is_year_split(table: str) -> bool:
     """Hospital (``aa``) and city-care (``ER_``) tables are stored per year."""
-    return is_pmsi(table) or table.startswith("ER_")
+    return is_pmsi(table) or table.startswith(CITY_PREFIX)
+
+
+def shard_name(table: str, year: int) -> str:
+    """File stem of one year of a table: hospital tables name the year where their
+    placeholder stands, city-care tables at the end, other tables not at all."""
+    if is_pmsi(table):
+        before, after = table.split(YEAR_PLACEHOLDER, 1)
+        return f"{before}{int(year) % 100:02d}{after}"
+    return f"{table}_{int(year)}" if is_year_split(table) else table
+
+
+@dataclass(frozen=True)
+class PatientLink:
+    """How a table names its patients: the column, and whether that holds referential
+    pseudonyms (to be looked up) or patient keys."""
+
+    column: str
+    by_pseudonym: bool
+
+
+def patient_link(table: str, key_map: Mapping[str, Mapping[str, str]] | None = None) -> PatientLink | None:
+    """The link of a table by ``key_map`` (default ``PATIENT_KEY_MAP``); the referential
+    names patients by their key itself."""
+    entry = (PATIENT_KEY_MAP if key_map is None else key_map).get(table)
+    if entry is None:
+        return None
+    if table == REFERENTIAL:
+        return PatientLink(PATIENT_ID, by_pseudonym=False)
+    return PatientLink(entry["col"], by_pseudonym=entry["ref_col"] != PATIENT_ID)
 
 
 def all_strings(columns: list[str]) -> StructType:
@@ -202,6 +240,3 @@ OUTPUT_SCHEMAS: dict[str, StructType] = {
         ("measurement_end_date", D), ("quantity", I), ("measurement_code", S),
         ("measurement_vocabulary", S), ("visit_id", S), ("measurement_source", S)),
 }
-
-# Hospital outputs are stored partitioned by the 2-digit year of their visit.
-PARTITION_COLUMNS: dict[str, list[str]] = {}

@@ -7,19 +7,15 @@ from pyspark.sql import functions as F
 
 from carelake.catalog import CIP13, CIP7, FIRST_UNIT, NO_CODE, UCD13, UCD7
 from carelake.functions.dates import parse_date
+from carelake.functions.numbers import to_int
 
 
 def _c(x: str | Column) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def to_int(c: str | Column) -> Column:
-    """Integer text -> int; other text -> null (same with ANSI on or off)."""
-    return _c(c).try_cast("int")
-
-
 def int_equals(c: str | Column, value: int) -> Column:
-    """Numeric equality on a text column: ``'01'`` equals 1, ``'x'`` equals nothing."""
+    """Numeric equality on a text column: ``'01'`` and ``'1.0'`` equal 1, ``'x'`` nothing."""
     return to_int(c) == F.lit(value)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from carelake.catalog import DATE_INPUT_PATTERNS, DATE_TEXT_PATTERN
+from carelake.functions.numbers import to_int
 
 
 def _c(x: str | Column) -> Column:
@@ -24,19 +25,19 @@ def parse_date(c: str | Column, pattern: str = DATE_TEXT_PATTERN) -> Column:
 
 
 def _fits(text: Column, pattern: str) -> Column:
-    """Cheap shape test of a text against a pattern: separators present, and the
-    exact length for patterns without separators.  A failed parse is costly (an
-    exception per row), so a pattern is only tried on texts of its shape."""
-    seps = [ch for ch in "/-:" if ch in pattern]
-    if seps and pattern == DATE_TEXT_PATTERN:
-        return (F.length(text) == len(pattern)) & text.contains("/")
-    if seps:
-        cond = None
-        for ch in seps:
-            has = text.contains(ch)
-            cond = has if cond is None else cond & has
-        return cond
-    return F.length(text) == len(pattern.replace("'", ""))
+    """Whether the text has the pattern's separators, and a letter where the pattern
+    names the month.  A failed parse is costly (an exception per row), so a pattern is
+    only tried on texts that hold what it cannot do without; lengths are left to the
+    parser (days and times may have one digit), but for the two-digit date text."""
+    needed = [text.contains(ch) for ch in "/-:" if ch in pattern]
+    if "MMM" in pattern:
+        needed.append(text.rlike("[A-Za-z]"))
+    if pattern == DATE_TEXT_PATTERN:
+        needed.append(F.length(text) == len(pattern))
+    cond = text.isNotNull()
+    for need in needed:
+        cond = cond & need
+    return cond
 
 
 def parse_any_date(c: str | Column, patterns: list[str] | None = None) -> Column:
@@ -75,9 +76,9 @@ def remap_date(d: str | Column, min_year: int, max_year: int) -> Column:
 
 
 def delay_days(c: str | Column) -> Column:
-    """Delay text -> days: missing -> 0, a number -> itself, other text -> null."""
+    """Delay text -> days: missing -> 0, a number -> its whole part, other text -> null."""
     c = _c(c)
-    return F.when(c.isNull(), F.lit(0)).otherwise(c.try_cast("int"))
+    return F.when(c.isNull(), F.lit(0)).otherwise(to_int(c))
 
 
 def delay_date(start: str | Column, delay: str | Column) -> Column:

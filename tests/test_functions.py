@@ -5,7 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from carelake.functions import codes, dates, keys
-from carelake.sources.readers import shard_name, source_file_parts
+from carelake.functions.dates import parse_any_date
+from carelake.functions.numbers import to_int
+from carelake.catalog import shard_name
+from carelake.sources.readers import source_file_parts
 from conftest import frame, rows
 
 
@@ -140,3 +143,21 @@ def test_shard_names_both_ways(spark):
     got = [(r[0], r[1]) for r in df.select(t, y).collect()]
     assert got == [("T_MCOaaC", "2022"), ("ER_PRS_F", "2021"), ("IR_BEN_R", None),
                    ("T_SSRaaCCAM", "2009")]
+
+
+def test_decimal_text_is_cut(spark):
+    df = frame(spark, "t", [("1.5",), ("2.0",), ("01.0",), ("-3.9",), (".5",), ("7.",), (" 4.2 ",), ("1e3",), ("x.1",), ("",), (None,), ("12",)])
+    for ansi in ("true", "false"):
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        try:
+            got = {r[0]: r[1] for r in df.select("t", to_int("t")).collect()}
+        finally:
+            spark.conf.set("spark.sql.ansi.enabled", "true")
+        assert got == {"1.5": 1, "2.0": 2, "01.0": 1, "-3.9": -3, ".5": 0, "7.": 7, " 4.2 ": 4, "1e3": None, "x.1": None,
+                       "": None, None: None, "12": 12}
+
+
+def test_one_digit_days_and_times(spark):
+    texts = ["5JAN2022", "05JAN2022", "5JAN2022:10:00:00", "05JAN2022:1:2:3", "5/1/2022", "2022-1-5", "20220105"]
+    df = frame(spark, "t", [(t,) for t in texts])
+    assert {str(r[0]) for r in df.select(parse_any_date("t")).collect()} == {"2022-01-05"}
