@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -22,31 +23,55 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     about k files per partition folder instead of one per task, a large partition
     spread over k tasks, and rows of one ``cluster_by`` key in one file.
     """
+    return write_observed(df, path, partition_by, mode, max_records_per_file, files_per_partition, cluster_by)["rows"]
+
+
+def write_observed(df: DataFrame, path: str, partition_by: list[str] | None = None,
+                   mode: str = "overwrite", max_records_per_file: int | None = None,
+                   files_per_partition: int | None = None, cluster_by: list[str] | None = None,
+                   **more: Column) -> dict:
+    """``write_table`` that returns the row count as ``rows`` and, observed in the same
+    pass, the aggregates of ``more`` by name."""
     if partition_by and files_per_partition:
         keys = [F.col(c) for c in (cluster_by or df.columns)]
         bucket = F.pmod(F.xxhash64(*keys), F.lit(files_per_partition))
         df = df.repartition(*[F.col(c) for c in partition_by], bucket)
     obs = Observation("write")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in more.items()])
     writer = observed.write.mode(mode)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return int(obs.get["rows"])
+    return dict(obs.get)
+
+
+def write_hub(df: DataFrame, path: str, key: str) -> DataFrame:
+    """Write ``df`` as parquet bucketed and sorted by ``key`` and return it as a table.
+
+    Joins and aggregations on the key read it without a shuffle or sort of this side.
+    The table is external: its files stay when its (session) catalog entry is dropped.
+    """
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"carelake_hub_{uuid.uuid4().hex}"
+    (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).mode("overwrite")
+     .option("path", path).saveAsTable(name))
+    return spark.table(name)
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ";", mode: str = "overwrite") -> None:
     """Raw-delivery layout: ``;``-separated text with a header row."""
-    df.write.mode(mode).option("sep", sep).option("header", True).csv(path)
+    df.write.mode(mode).option("sep", sep).option("header", True).option("escape", '"').csv(path)
 
 
 def shared_dir(spark: SparkSession) -> str:
     """Root folder shared by driver and executors.
 
-    Taken from ``spark.checkpoint.dir`` as the cluster sets it; only when it is
-    unset (local tests) a fresh local folder is made and registered.
+    Taken from ``spark.checkpoint.dir`` as the cluster sets it.  Where it is unset, a
+    local session gets a fresh local folder; any other session must name a folder, as
+    executors could not see a local one.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -56,6 +81,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="carelake-")
         if sc is not None:
             sc.setCheckpointDir(root)

@@ -9,34 +9,58 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType, StructType
 
-from carelake.catalog import NA_TOKENS
+from carelake.catalog import NA_TOKENS, all_strings
 from carelake.functions.codes import null_if_na
 
 
+# read behind the last column: holds the first field that a row has too many
+SURPLUS = "_carelake_surplus"
+
+
+def csv_columns(spark: SparkSession, path: str, sep: str = ";") -> list[str]:
+    """Column names of a delivery table, from a file header."""
+    return csv_options(spark.read, sep).csv(path).columns
+
+
+def csv_options(reader, sep: str = ";"):
+    """Options of a delivery file, for batch and streaming readers: quoted fields may
+    hold separators, doubled quotes, backslashes and line breaks."""
+    return (reader.option("sep", sep).option("header", True).option("quote", '"').option("escape", '"')
+            .option("multiLine", True).option("mode", "PERMISSIVE"))
+
+
+def checked_rows(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows as ``columns`` with missing-value tokens as null; a row with more fields
+    than the header fails the job (shorter rows end in nulls)."""
+    whole = F.when(F.col(SURPLUS).isNotNull(), F.raise_error(F.concat(
+        F.lit("a row has more fields than the header, from: "), F.col(SURPLUS))).cast("boolean")).otherwise(F.lit(True))
+    return df.filter(whole).select(*[null_if_na(F.col(c), NA_TOKENS).alias(c) for c in columns])
+
+
 def read_csv_table(spark: SparkSession, path: str, schema: StructType | None = None,
                    sep: str = ";") -> DataFrame:
     """One raw delivery table: ``;``-separated, header row, every column text.
 
     Never infers types (codes such as ``'001'`` keep their zeros).  Missing-value
-    tokens (``NA``, ``null``, ``NaN``...) become null.
+    tokens (``NA``, ``null``, ``NaN``...) become null.  Quoted fields are read whole; a
+    row with too many fields is an error.  Since a field may hold line breaks, one file
+    is read by one task: large tables come as folders of part files.
     """
-    reader = spark.read.option("sep", sep).option("header", True).option("mode", "PERMISSIVE")
-    if schema is not None:
-        reader = reader.schema(schema).option("enforceSchema", False)
-    df = reader.csv(path)
-    return df.select(*[null_if_na(F.col(c).cast("string"), NA_TOKENS).alias(c) for c in df.columns])
+    columns = schema.names if schema is not None else csv_columns(spark, path, sep)
+    df = csv_options(spark.read, sep).schema(all_strings([*columns, SURPLUS])).csv(path)
+    return checked_rows(df, columns)
 
 
 def discover_tables(spark: SparkSession, folder: str, suffix: str = ".csv") -> list[str]:
-    """Table names of a delivery folder: the stems of its ``*.csv`` files.
+    """Table names of a delivery folder: the stems of its ``*.csv`` entries, each a file
+    or a folder of part files.
 
-    Only the file listing is read (the ``binaryFile`` source with nothing but the
-    path selected); the result is one name per file, a bounded list.
+    Lists the folder itself, not what its table folders hold: one name per table.
     """
-    listing = (spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}")
-               .load(folder.rstrip("/")).select("path"))
-    names = {r.path.rsplit("/", 1)[-1][: -len(suffix)] for r in listing.collect()}
-    return sorted(names)
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder.rstrip("/"))
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [entry.getPath().getName() for entry in files.listStatus(root)]
+    return sorted(n[: -len(suffix)] for n in names if n.endswith(suffix))
 
 
 def is_missing_path(err: AnalysisException) -> bool:
@@ -117,14 +141,3 @@ def source_file_parts(path_col: Column | None = None) -> tuple[Column, Column]:
     year = (F.when(dcir, F.regexp_extract(name, r"^(ER_.+)_(\d{4})$", 2))
             .when(pmsi, F.concat(F.lit("20"), F.regexp_extract(name, r"^(T_(MCO|SSR|HAD))(\d{2})(.+)$", 3))))
     return table, year
-
-
-def shard_name(table: str, year: int) -> str:
-    """Per-year file stem of a table: ``T_MCOaaC`` + 2022 -> ``T_MCO22C``,
-    ``ER_PRS_F`` + 2022 -> ``ER_PRS_F_2022``, others unchanged."""
-    y = str(year)
-    if "aa" in table:
-        return table.replace("aa", y[2:] if len(y) == 4 else y)
-    if table.startswith("ER_"):
-        return f"{table}_{y}"
-    return table

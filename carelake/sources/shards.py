@@ -16,8 +16,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.catalog import is_pmsi
-from carelake.sources.readers import read_optional, shard_name
+from carelake.catalog import is_pmsi, is_year_split, shard_name
+from carelake.sources.readers import read_optional
 from carelake.sources.tables import Sources
 
 
@@ -54,7 +54,7 @@ def from_shard_layout(spark: SparkSession, folder: str, tables: Iterable[str],
     years = list(range(min_year, max_year + 1))
 
     def loader(t: str):
-        if is_pmsi(t) or t.startswith("ER_"):
+        if is_year_split(t):
             return lambda: read_year_shards(spark, folder, t, years)
         return lambda: (lambda d: None if d is None else _as_text(d))(
             read_optional(spark, f"{folder}/{t}.parquet"))

@@ -31,7 +31,9 @@ class Sources:
     def get(self, name: str) -> DataFrame | None:
         with self._lock:  # builds may run concurrently
             if name not in self._tables and name in self._loaders:
-                df = self._loaders.pop(name)()
+                # a loader that raises stays, so the next call tries (and fails) again
+                df = self._loaders[name]()
+                del self._loaders[name]
                 if df is not None:
                     self._tables[name] = df
             return self._tables.get(name)

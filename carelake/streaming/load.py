@@ -9,13 +9,16 @@ run that dies resumes where it stopped.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from carelake.catalog import NA_TOKENS, all_strings, is_year_split
-from carelake.functions.codes import null_if_na
+from carelake.catalog import all_strings, is_year_split
 from carelake.plans.load import DEFAULT_MAX_YEAR, DEFAULT_MIN_YEAR, load_table
 from carelake.sinks import shared_dir
+from carelake.sources.readers import SURPLUS, checked_rows, csv_columns, csv_options
 
 
 def delivery_stream(spark: SparkSession, folder: str, columns: list[str] | None = None,
@@ -26,27 +29,35 @@ def delivery_stream(spark: SparkSession, folder: str, columns: list[str] | None
     given (a stream needs its schema up front).
     """
     if columns is None:
-        columns = spark.read.option("sep", sep).option("header", True).csv(folder).columns
-    reader = (spark.readStream.schema(all_strings(columns))
-              .option("sep", sep).option("header", True))
+        columns = csv_columns(spark, folder, sep)
+    reader = csv_options(spark.readStream.schema(all_strings([*columns, SURPLUS])), sep)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    df = reader.csv(folder)
-    return df.select(*[null_if_na(df[c], NA_TOKENS).alias(c) for c in columns])
+    return checked_rows(reader.csv(folder), columns)
+
+
+def checkpoint_name(table: str, out_path: str) -> str:
+    """Folder name of the bookkeeping of one (table, output) pair."""
+    return f"stream-{table}-{hashlib.md5(out_path.rstrip('/').encode()).hexdigest()}"
 
 
 def stream_load(spark: SparkSession, folder: str, table: str, out_path: str,
                 ids: DataFrame | None = None, checkpoint: str | None = None,
                 min_year: int = DEFAULT_MIN_YEAR, max_year: int = DEFAULT_MAX_YEAR,
-                columns: list[str] | None = None) -> StreamingQuery:
+                columns: list[str] | None = None, year_files: int = 1) -> StreamingQuery:
     """Load the new files of ``folder`` into ``out_path`` and stop (``availableNow``).
 
     ``ids`` is the patient-key lookup (a static table, joined to each micro-batch).
-    The checkpoint defaults to a folder under the cluster's shared checkpoint root.
+    The checkpoint defaults to a folder of the shared checkpoint root that belongs to
+    this table and output, so another output of the same table starts from the first
+    file; on a cluster that root has to be set (``sinks.shared_dir``).
     """
     raw = delivery_stream(spark, folder, columns)
     loaded = load_table(raw, table, ids, min_year, max_year)
-    ckpt = checkpoint or f"{shared_dir(spark)}/carelake/stream-{table}"
+    if is_year_split(table):
+        # a micro-batch writes ``year_files`` files a year, not one from every task
+        loaded = loaded.repartition("YEAR", F.pmod(F.xxhash64(*loaded.columns), F.lit(year_files)))
+    ckpt = checkpoint or f"{shared_dir(spark)}/carelake/{checkpoint_name(table, out_path)}"
     writer = (loaded.writeStream.format("parquet")
               .option("path", out_path)
               .option("checkpointLocation", ckpt)

@@ -1,9 +1,10 @@
+import pytest
 from pyspark.sql import functions as F
 
 from carelake.plans import load, quality, steps
-from carelake.sources.readers import read_csv_table, read_table
+from carelake.sources.readers import discover_tables, read_csv_table, read_table
 from carelake.sources.tables import Sources
-from conftest import rows
+from conftest import frame, rows
 from snds_fixture import delivery
 
 
@@ -58,7 +59,9 @@ def test_load_delivery(spark, tmp_path):
     src.mkdir()
     make_delivery(src)
     tables = ["IR_BEN_R", "KI_ECD_R", "T_MCOaaC", "T_MCOaaUM", "ER_PRS_F", "T_HADaaC"]
-    summary = load.load_delivery(spark, str(src), str(out), tables, 2010, 2022)
+    with pytest.raises(ValueError, match="T_HADaaC"):
+        load.load_delivery(spark, str(src), str(out), tables, 2010, 2022)
+    summary = load.load_delivery(spark, str(src), str(out), tables, 2010, 2022, missing_ok=True)
     loaded = {r["table"]: (r["rows"], r["shards"]) for r in summary.collect()}
     assert loaded["IR_BEN_R"] == (4, 1) and loaded["IR_BEN_R_uniq"] == (4, 1)
     assert loaded["KI_ECD_R"] == (3, 1) and "T_HADaaC" not in loaded
@@ -223,3 +226,71 @@ def test_files_per_year(spark, tmp_path):
         assert 1 <= len(files) <= 2
     back = spark.read.parquet(str(tmp_path / "t"))
     assert back.count() == 5000
+
+
+def _write(path, text):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text(text)
+
+
+def test_quoted_fields_and_surplus(spark, tmp_path):
+    _write(tmp_path / "T.csv", 'a;b;c\n"x""y";2;3\n"p\\";3;4\n"one\ntwo";5;NA\n"s;t";6\n')
+    df = read_csv_table(spark, str(tmp_path / "T.csv"))
+    assert rows(df) == sorted([('x"y', "2", "3"), ("p\\", "3", "4"), ("one\ntwo", "5", None), ("s;t", "6", None)])
+    assert df.count() == 4
+    _write(tmp_path / "U.csv", "a;b\n1;2\n1;2;3\n")
+    with pytest.raises(Exception, match="more fields than the header"):
+        read_csv_table(spark, str(tmp_path / "U.csv")).select("a").collect()
+
+
+def test_folder_tables_are_discovered_and_loaded(spark, tmp_path):
+    head = "ETA_NUM;RSA_NUM;EXE_SOI_DTD;EXE_SOI_DTF;NIR_ANO_17\n"
+    _write(tmp_path / "csv/T_MCOaaC.csv/part-0.csv", head + "1;10;5JAN2022;05JAN2022:1:2:3;N1\n")
+    _write(tmp_path / "csv/T_MCOaaC.csv/part-1.csv", head + "1;11;05/01/2022;;N2\n")
+    _write(tmp_path / "csv/KI_CCI_R.csv", "BEN_IDT_ANO;BEN_DCD_DTE\nA;01/02/2020\n")
+    assert discover_tables(spark, str(tmp_path / "csv")) == ["KI_CCI_R", "T_MCOaaC"]
+    summary = load.load_delivery(spark, str(tmp_path / "csv"), str(tmp_path / "out"), None, 2010, 2022)
+    assert rows(summary, ["table", "rows"]) == [("KI_CCI_R", 1), ("T_MCOaaC", 2)]
+    got = read_table(spark, str(tmp_path / "out/T_MCOaaC"))
+    assert rows(got, ["RSA_NUM", "EXE_SOI_DTD", "EXE_SOI_DTF"]) == [
+        ("10", "05/01/2017", "05/01/2017"), ("11", "05/01/2017", None)]
+
+
+def test_files_per_year_do_not_depend_on_tasks(spark, tmp_path):
+    raw = spark.range(400).select(F.lit("1").alias("ETA_NUM"), F.col("id").cast("string").alias("RSA_NUM")).repartition(16)
+    raw.write.option("sep", ";").option("header", True).csv(str(tmp_path / "csv/T_MCOaaUM.csv"))
+    summary = load.load_delivery(spark, str(tmp_path / "csv"), str(tmp_path / "out"), ["T_MCOaaUM"], 2020, 2022)
+    assert rows(summary) == [("T_MCOaaUM", 400, 3)]
+    for year in ("20", "21", "22"):
+        assert len(list((tmp_path / f"out/T_MCOaaUM/YEAR={year}").glob("part-*.parquet"))) == 1
+
+
+def test_rows_without_any_readable_date_spread(spark):
+    raw = spark.range(60).select(F.col("id").cast("string").alias("X"), F.lit("??").alias("EXE_SOI_DTD"))
+    assert not load.has_readable_date(raw, "ER_PRS_F")
+    spread = load.load_table(raw, "ER_PRS_F", dated=False)
+    assert spread.select("YEAR").distinct().count() > 5
+    one = raw.unionAll(spark.createDataFrame([("y", "01/02/2015")], raw.schema))
+    assert load.has_readable_date(one, "ER_PRS_F")
+
+
+def test_second_name_of_the_device_end_date(spark):
+    raw = frame(spark, "TIP_ACL_DTD TIP_ALC_DTF TIP_PRS_TYP", [("05/01/2014", "07FEB1999:00:00:00", "3")])
+    got = load.load_table(raw, "ER_TIP_F", min_year=2010, max_year=2022)
+    # 1999 -> 2010 + 1999 % 13
+    assert rows(got, ["TIP_ACL_DTD", "TIP_ALC_DTF"]) == [("05/01/2022", "07/02/2020")]
+
+
+def test_no_local_scratch_off_a_local_master(spark, monkeypatch):
+    from carelake import sinks
+
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:
+            master = "spark://host:7077"
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        sinks.shared_dir(Session)

@@ -26,3 +26,14 @@ def test_stream_load_is_incremental_and_matches_batch(spark, tmp_path):
     after = read_table(spark, out)
     assert after.count() == 3
     assert rows(after.filter("RSA_NUM = '7'").select("EXE_SOI_DTD", "NUM_ENQ")) == [("05/01/2015", "N3")]
+
+
+def test_two_outputs_of_one_table(spark, tmp_path):
+    """Each output has its own bookkeeping: both get all rows, a re-run adds none."""
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("ETA_NUM;RSA_NUM\n1;2\n1;3\n")
+    for out in ("x", "y", "x"):
+        q = stream_load(spark, str(tmp_path / "in"), "T_MCOaaUM", str(tmp_path / out))
+        q.awaitTermination(120)
+        assert q.exception() is None
+        assert spark.read.parquet(str(tmp_path / out)).count() == 2
