@@ -9,12 +9,12 @@ from carelake.operators.dedupe import (
     first_and_last_per_key,
     first_per_key,
 )
-from carelake.operators.joins import lookup, orphans, restrict_to, row_count_at_most
-from carelake.operators.union import apply_steps, melt_roles, require, union_all, union_distinct
+from carelake.operators.joins import estimated_bytes, lookup, orphans, restrict_to
+from carelake.operators.union import melt_roles, require, union_all, union_distinct
 
 __all__ = [
-    "Order", "apply_steps", "asc", "desc", "distinct_rows",
+    "Order", "asc", "desc", "distinct_rows", "estimated_bytes",
     "first_and_last_per_key", "first_per_key", "lookup", "melt_roles", "orphans", "require",
-    "restrict_to", "row_count_at_most", "sum_by", "union_all", "union_distinct",
+    "restrict_to", "sum_by", "union_all", "union_distinct",
     "windowed_total",
 ]

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelake.functions.codes import to_int
+from carelake.functions.numbers import to_int
 
 
 def sum_by(df: DataFrame, keys: list[str], value: str, alias: str = "quantity") -> DataFrame:
@@ -22,14 +22,12 @@ def sum_by(df: DataFrame, keys: list[str], value: str, alias: str = "quantity")
 def windowed_total(df: DataFrame, keys: list[str], value: str, alias: str = "quantity") -> DataFrame:
     """Replace ``value`` by its total over ``keys`` on every row, then drop repeats.
 
-    Same result as ``sum(value).over(partitionBy(keys))`` followed by a full-row
-    distinct.  Written as (1) a group-by on all other columns with partial sums,
-    combined map-side, then (2) a window sum of those partial sums per key.  The
-    window only sees the distinct variants of a key's other columns (a handful),
-    never the key's raw rows, so a hot key is reduced before it is gathered.
+    Same rows as ``sum(value).over(partitionBy(keys))`` followed by a full-row distinct,
+    from one aggregate: the total of each key, and the distinct variants of the other
+    columns as a set that is spread out again.  Combined map-side and dealt out by the
+    whole key: no window, no sort, and never a key's raw rows in one task.
     """
     v = to_int(value) if dict(df.dtypes)[value] == "string" else F.col(value)
-    rest = [c for c in df.columns if c != value]
-    parts = df.withColumn(value, v.cast("long")).groupBy(*rest).agg(F.sum(value).alias("_part"))
-    total = F.sum("_part").over(Window.partitionBy(*keys))
-    return parts.withColumn(alias, total).drop("_part")
+    rest = [c for c in df.columns if c not in keys and c != value]
+    totals = df.groupBy(*keys).agg(F.sum(v.cast("long")).alias(alias), F.collect_set(F.struct(*rest)).alias("_rows"))
+    return totals.select(*keys, alias, F.explode("_rows").alias("_row")).select(*keys, "_row.*", alias)

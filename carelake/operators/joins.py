@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when its row count is at most this bound.  Drug
-# nomenclatures hold tens of thousands of codes; the bound leaves room for label
-# fan-out while keeping the broadcast well under executor memory.
-MAX_BROADCAST_ROWS = 2_000_000
+# A dimension is broadcast only when the planner's size estimate is at most this many
+# bytes: well under executor memory, room for a nomenclature of some 100,000 codes.
+MAX_BROADCAST_BYTES = 64 << 20
 
 
 def restrict_to(df: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFrame:
@@ -22,18 +21,19 @@ def orphans(df: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFrame:
     return df.join(keys, on=on, how="left_anti")
 
 
-def row_count_at_most(df: DataFrame, bound: int) -> bool:
-    """True when ``df`` has at most ``bound`` rows; reads at most ``bound + 1``."""
-    return df.limit(bound + 1).count() <= bound
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate, from file sizes and plan shape; runs no job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def lookup(df: DataFrame, dim: DataFrame, on: str | list[str], how: str = "left",
-           max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Join a dimension; broadcast it only after checking its size.
+           max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Join a dimension; broadcast it only if its estimated size is small.
 
-    Beyond the bound the join is left to the planner (shuffle join, AQE may still
-    switch to a broadcast from runtime sizes).
+    The estimate is made while the plan is built and runs no job.  Beyond the bound the
+    join is left to the planner (shuffle join, AQE may still switch to a broadcast from
+    runtime sizes).
     """
-    if row_count_at_most(dim, max_broadcast_rows):
+    if estimated_bytes(dim) <= max_broadcast_bytes:
         dim = F.broadcast(dim)
     return df.join(dim, on=on, how=how)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -48,7 +47,3 @@ def melt_roles(df: DataFrame, ids: list[str], roles: dict[str, str],
         label = F.when(cond, F.lit(text)) if label is None else label.when(cond, F.lit(text))
     return long.withColumn(role_name, label).drop("_role_col")
 
-
-def apply_steps(df: DataFrame, steps: Iterable[Callable[[DataFrame], DataFrame]]) -> DataFrame:
-    """A transform plan: ``df.transform(step)`` for each step, in order."""
-    return reduce(DataFrame.transform, steps, df)

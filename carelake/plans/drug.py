@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelake.catalog import CIP13, CIP7, DCIR, IR_PHA_R_COLUMNS, OUTPUT_SCHEMAS, UCD7
+from carelake.catalog import ACE_KEY, CIP13, CIP7, DCIR, IR_PHA_R_COLUMNS, OUTPUT_SCHEMAS, PMSI_STAY_KEYS, UCD7
 from carelake.functions.codes import cip_code, cip_vocabulary, strip_zeros, to_int, ucd_vocabulary
 from carelake.functions.dates import date_origin, delay_date
 from carelake.functions.keys import flux_key, surrogate_id, visit_id
@@ -35,34 +35,40 @@ def nomenclature_by_vocabulary(ir: DataFrame) -> DataFrame:
     return union_all(parts).filter(F.col("drug_code").isNotNull()).distinct()
 
 
-def build_drug_dcir(src: Sources, prestations: DataFrame) -> DataFrame:
-    """Delivered quantity per claim line and drug, with its ATC class."""
+def delivered_quantities(src: Sources) -> DataFrame:
+    """Delivered quantity per (claim, drug code, vocabulary), from the pharmacy and the
+    retrocession lines: one aggregate for the three vocabularies."""
     parts = []
-    pha = src.get("ER_PHA_F")
+    pha, ucd = src.get("ER_PHA_F"), src.get("ER_UCD_F")
     if pha is not None:
         parts.append(pha.select(
             flux_key().alias("dcir_key"),
             cip_code("PHA_PRS_C13", "PHA_PRS_IDE").alias("drug_code"),
             cip_vocabulary("PHA_PRS_C13", "PHA_PRS_IDE").alias("drug_vocabulary"),
             to_int("PHA_ACT_QSN").alias("q")).filter(F.col("drug_vocabulary").isNotNull()))
-    ucd = src.get("ER_UCD_F")
     if ucd is not None:
         parts.append(ucd.select(
             flux_key().alias("dcir_key"),
             strip_zeros("UCD_UCD_COD").alias("drug_code"),
             F.lit(UCD7).alias("drug_vocabulary"),
             to_int("UCD_DLV_NBR").alias("q")))
-    lines = require(union_all(parts), "drug_dcir")
-    # one aggregate for the three vocabularies (vocabulary is a group key)
-    med = sum_by(lines, ["dcir_key", "drug_code", "drug_vocabulary"], "q")
+    return sum_by(require(union_all(parts), "drug_dcir"), ["dcir_key", "drug_code", "drug_vocabulary"], "q")
+
+
+def with_atc(drugs: DataFrame, ir: DataFrame | None) -> DataFrame:
+    """ATC class and label by (vocabulary, code); null without a nomenclature."""
+    if ir is None:
+        return ensure_columns(drugs, ATC)
+    return lookup(drugs, nomenclature_by_vocabulary(ir), ["drug_vocabulary", "drug_code"], "left")
+
+
+def build_drug_dcir(src: Sources, prestations: DataFrame) -> DataFrame:
+    """Delivered quantity per claim line and drug, with its ATC class."""
+    med = delivered_quantities(src)
     j = med.join(claim_lines(prestations, "presta_start_date"), "dcir_key")
     # ATC labels (and their fan-out) joined after the claim join: they do not travel
     # through its shuffle
-    ir = src.get("IR_PHA_R")
-    if ir is not None:
-        j = lookup(j, nomenclature_by_vocabulary(ir), ["drug_vocabulary", "drug_code"], "left")
-    else:
-        j = ensure_columns(j, ATC)
+    j = with_atc(j, src.get("IR_PHA_R"))
     out = j.select(
         surrogate_id("dcir_key", "presta_start_date", "drug_code").alias("drug_id"),
         "person_id",
@@ -87,19 +93,21 @@ class DrugSource:
     code_required: bool
 
 
-# Hospital medication tables: stay key, delay column (None: the drug is dated at
-# the stay start), quantity column, and whether rows without a code are dropped.
-DRUG_SOURCES = [
-    DrugSource("T_MCOaaFHSTC", "mco", ("ETA_NUM", "SEQ_NUM"), True, None, "QUA", True),
-    DrugSource("T_MCOaaMEDTHROMBO", "mco", ("ETA_NUM", "RSA_NUM"), False, "DAT_DELAI", "ADM_NBR", False),
-    DrugSource("T_MCOaaMED", "mco", ("ETA_NUM", "RSA_NUM"), False, "DELAI", "ADM_NBR", True),
-    DrugSource("T_MCOaaMEDATU", "mco", ("ETA_NUM", "RSA_NUM"), False, "DAT_DELAI", "ADM_NBR", False),
-    DrugSource("T_HADaaMEDATU", "had", ("ETA_NUM_EPMSI", "RHAD_NUM"), False, "DAT_DELAI", "ADM_NBR", False),
-    DrugSource("T_HADaaMEDCHL", "had", ("ETA_NUM_EPMSI", "RHAD_NUM"), False, "DAT_DELAI", "ADM_NBR", False),
-    DrugSource("T_HADaaMED", "had", ("ETA_NUM_EPMSI", "RHAD_NUM"), False, "DAT_DELAI", "ADM_NBR", False),
-    DrugSource("T_SSRaaMEDATU", "ssr", ("ETA_NUM", "RHA_NUM"), False, "DAT_DELAI", "ADM_NBR", False),
-    DrugSource("T_SSRaaMED", "ssr", ("ETA_NUM", "RHA_NUM"), False, "DAT_DELAI", "ADM_NBR", False),
-]
+# Fixed values that must equal the source system's: the hospital medication tables with
+# their delay column (None: the drug is dated at the stay start), quantity column, and
+# whether rows without a code are dropped.  Stay keys come from the catalog.
+DRUG_SOURCES = [DrugSource(table, table[2:5].lower(), tuple(PMSI_STAY_KEYS[table]), PMSI_STAY_KEYS[table] == ACE_KEY, *rest)
+                for table, *rest in [
+    ("T_MCOaaFHSTC", None, "QUA", True),
+    ("T_MCOaaMEDTHROMBO", "DAT_DELAI", "ADM_NBR", False),
+    ("T_MCOaaMED", "DELAI", "ADM_NBR", True),
+    ("T_MCOaaMEDATU", "DAT_DELAI", "ADM_NBR", False),
+    ("T_HADaaMEDATU", "DAT_DELAI", "ADM_NBR", False),
+    ("T_HADaaMEDCHL", "DAT_DELAI", "ADM_NBR", False),
+    ("T_HADaaMED", "DAT_DELAI", "ADM_NBR", False),
+    ("T_SSRaaMEDATU", "DAT_DELAI", "ADM_NBR", False),
+    ("T_SSRaaMED", "DAT_DELAI", "ADM_NBR", False),
+]]
 
 
 def atc_by_ucd(ir: DataFrame) -> DataFrame:
@@ -148,15 +156,10 @@ def build_drug_pmsi(src: Sources, stays: DataFrame) -> DataFrame:
         drug_date.alias("drug_date"),
         F.when(F.col("_by_delay"), date_origin("_delay")).otherwise(F.lit("stay_start"))
         .alias("date_origin"))
-    # Rows are partial sums per (table, stay, drug, delay), so a hot stay is a bounded
-    # number of rows here.  Clustering on visit_id serves both the total's group-by
-    # and its window.  After a shuffle join on visit_id (a large run) the rows are
-    # already partitioned that way and Spark drops this repartition; after a
-    # broadcast join it is the one shuffle of the total.
-    keys = ["visit_id", "drug_code", "drug_date"]
-    if len(parts) > 1:  # with one source table the branch tag is a constant
-        keys = ["_branch"] + keys
-    totals = windowed_total(rows.repartition("visit_id"), keys, "_qty")
+    # one aggregate per (table, stay, code, date); the few variants of the other columns
+    # travel in it as a set, and a heavy stay is many keys, not one
+    keys = ["_branch", "visit_id", "drug_code", "drug_date"]
+    totals = windowed_total(rows, keys, "_qty")
     # ATC class and label depend on the code only (one row per code): looked up after
     # the totals, so the labels do not travel through the aggregation
     ir = src.get("IR_PHA_R")

@@ -13,18 +13,14 @@ from carelake.plans.prestations import claim_lines
 from carelake.plans.stays import stays_for_join
 from carelake.sources.tables import Sources
 
-# External-care biology tables.  ``build_stays`` makes no rehabilitation external-care
-# stays, so the rehabilitation table's rows never find a stay: it is read only on
-# request (stays from elsewhere), which spares a whole scan and shuffle by default.
+# External-care biology tables.  Rehabilitation rows find a stay where the stays hold
+# rehabilitation external care (``build_stays(..., include_rehab_external=True)``).
 BIOLOGY_SOURCES = [("T_MCOaaFLSTC", "mco"), ("T_SSRaaFLSTC", "ssr")]
 
 
-def build_measurement_pmsi(src: Sources, stays: DataFrame,
-                           include_rehab_external: bool = False) -> DataFrame:
+def build_measurement_pmsi(src: Sources, stays: DataFrame) -> DataFrame:
     parts = []
     for table, fam in BIOLOGY_SOURCES:
-        if fam == "ssr" and not include_rehab_external:
-            continue
         d = src.get(table)
         if d is not None:
             parts.append(d.select(

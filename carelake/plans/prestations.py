@@ -38,4 +38,11 @@ def claim_lines(prestations: DataFrame, *extra: str) -> DataFrame:
     return prestations.select("dcir_key", "person_id", *extra).distinct()
 
 
-__all__ = ["DCIR_KEY_COLS", "build_prestations", "claim_lines"]
+def claim_hub(prestations: DataFrame) -> DataFrame:
+    """The claim lines that the city-care builds join: distinct, without those that have
+    no key (no line joins them).  ``claim_lines`` of this table gives the same rows as of
+    all prestations."""
+    return claim_lines(prestations.filter(F.col("dcir_key").isNotNull()), "presta_start_date", "presta_end_date")
+
+
+__all__ = ["DCIR_KEY_COLS", "build_prestations", "claim_hub", "claim_lines"]

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carelake.catalog import FIRST_WEEKLY_SUMMARY, OUTPUT_SCHEMAS
+from carelake.catalog import ACE_KEY, FIRST_WEEKLY_SUMMARY, HAD_KEY, MCO_KEY, OUTPUT_SCHEMAS, SSR_KEY
 from carelake.functions.codes import facility, first_unit
 from carelake.functions.dates import parse_date
 from carelake.functions.keys import visit_id
@@ -13,89 +16,95 @@ from carelake.operators.joins import restrict_to
 from carelake.operators.union import require, union_all
 from carelake.sources.tables import Sources
 
-CONTROL_COLS = ["EXE_SOI_DTD", "EXE_SOI_DTF", "NUM_ENQ_IDT", "YEAR"]
+CONTROL_COLS = ["EXE_SOI_DTD", "EXE_SOI_DTF", "NUM_ENQ_IDT"]
 
 
-# Control rows are not de-duplicated before their join: repeated rows only repeat
-# join output, which the final distinct of ``build_stays`` removes; a distinct on
-# the control columns would cost a shuffle that does not serve the join.
+@dataclass(frozen=True)
+class StayFamily:
+    """One family of stays: a control table (dates, patient) joined on the stay key and
+    year to a detail table.  The facility is the geographic one where it is delivered,
+    else the fallback; ``geo_in_control`` tells which of the two tables holds it."""
 
+    prefix: str
+    control: str
+    detail: str
+    keys: tuple[str, str]
+    ace: bool = False
+    fallback: str | None = None
+    geo_in_control: bool = False
+    keep: Callable[[DataFrame], DataFrame] | None = None
 
-def _stay_row(df: DataFrame, stay_id: Column, finess: Column) -> DataFrame:
-    return df.select(
-        stay_id.alias("stay_id"),
-        finess.alias("finess_geo"),
-        F.col("NUM_ENQ_IDT").alias("person_id"),
-        parse_date("EXE_SOI_DTD").alias("stay_start_date"),
-        parse_date("EXE_SOI_DTF").alias("stay_end_date"))
 
+def _first_units(units: DataFrame) -> DataFrame:
+    return units.filter(first_unit("UM_ORD_NUM", "RUM_ORD_NUM"))
 
-def mco_stays(src: Sources) -> DataFrame | None:
-    """Inpatient short stays: control table joined to the first medical unit."""
-    c, um = src.get("T_MCOaaC"), src.get("T_MCOaaUM")
-    if c is None or um is None:
-        return None
-    keys = ["ETA_NUM", "RSA_NUM", "YEAR"]
-    c = c.select("ETA_NUM", "RSA_NUM", *CONTROL_COLS)
-    geo = ["ETA_NUM_GEO"] if "ETA_NUM_GEO" in um.columns else []
-    um = um.filter(first_unit("UM_ORD_NUM", "RUM_ORD_NUM")).select(*keys, *geo)
-    j = c.join(um, keys)
-    fin = facility("ETA_NUM_GEO", "ETA_NUM") if geo else F.col("ETA_NUM")
-    return _stay_row(j, visit_id("mco", "ETA_NUM", "RSA_NUM"), fin)
-
-
-def mco_ace_stays(src: Sources) -> DataFrame | None:
-    """Short-stay external care: ACE control table joined to its billing table."""
-    c, fb = src.get("T_MCOaaCSTC"), src.get("T_MCOaaFBSTC")
-    if c is None or fb is None:
-        return None
-    keys = ["ETA_NUM", "SEQ_NUM", "YEAR"]
-    c = c.select("ETA_NUM", "SEQ_NUM", *CONTROL_COLS)
-    geo = ["ETA_NUM_GEO"] if "ETA_NUM_GEO" in fb.columns else []
-    fb = fb.select(*keys, *geo).distinct()
-    j = c.join(fb, keys)
-    fin = facility("ETA_NUM_GEO", "ETA_NUM") if geo else F.col("ETA_NUM")
-    return _stay_row(j, visit_id("mco", "ETA_NUM", "SEQ_NUM", ace=True), fin)
-
-
-def ssr_stays(src: Sources) -> DataFrame | None:
-    """Rehabilitation stays: control table joined to the first weekly summary
-    (``RHS_NUM = '001'``, text equality) when the summary number is delivered."""
-    c, b = src.get("T_SSRaaC"), src.get("T_SSRaaB")
-    if c is None or b is None:
+
+def _first_summaries(weeks: DataFrame) -> DataFrame:
+    """First weekly summary (text equality) when the summary number is delivered."""
+    return weeks.filter(F.col("RHS_NUM") == FIRST_WEEKLY_SUMMARY) if "RHS_NUM" in weeks.columns else weeks
+
+
+MCO = StayFamily("mco", "T_MCOaaC", "T_MCOaaUM", tuple(MCO_KEY), fallback="ETA_NUM", keep=_first_units)
+MCO_ACE = StayFamily("mco", "T_MCOaaCSTC", "T_MCOaaFBSTC", tuple(ACE_KEY), ace=True, fallback="ETA_NUM")
+SSR = StayFamily("ssr", "T_SSRaaC", "T_SSRaaB", tuple(SSR_KEY), fallback="ETA_NUM", keep=_first_summaries)
+HAD = StayFamily("had", "T_HADaaC", "T_HADaaB", tuple(HAD_KEY), fallback="ETA_NUM_TWO", geo_in_control=True)
+FAMILIES = [MCO, MCO_ACE, SSR, HAD]
+
+
+def _dated(control: DataFrame, *cols: str | Column) -> DataFrame:
+    return control.select(*cols, F.col("NUM_ENQ_IDT").alias("person_id"),
+                          parse_date("EXE_SOI_DTD").alias("stay_start_date"),
+                          parse_date("EXE_SOI_DTF").alias("stay_end_date"))
+
+
+def family_stays(src: Sources, family: StayFamily) -> DataFrame | None:
+    """Distinct stays of one family, or None when one of its tables is absent.
+
+    Each side is projected to the stay key and its share of the result and made
+    distinct (combined before the shuffle): repeated control or detail rows never
+    multiply in the join, and the joined rows are distinct as they are.  No aggregate
+    follows the join, so a heavy stay key can be split at run time.
+    """
+    control, detail = src.get(family.control), src.get(family.detail)
+    if control is None or detail is None:
         return None
-    keys = ["ETA_NUM", "RHA_NUM", "YEAR"]
-    c = c.select("ETA_NUM", "RHA_NUM", *CONTROL_COLS)
-    geo = ["ETA_NUM_GEO"] if "ETA_NUM_GEO" in b.columns else []
-    if "RHS_NUM" in b.columns:
-        b = b.filter(F.col("RHS_NUM") == FIRST_WEEKLY_SUMMARY)
-    b = b.select(*keys, *geo)
-    j = c.join(b, keys)
-    fin = facility("ETA_NUM_GEO", "ETA_NUM") if geo else F.col("ETA_NUM")
-    return _stay_row(j, visit_id("ssr", "ETA_NUM", "RHA_NUM"), fin)
-
-
-def had_stays(src: Sources) -> DataFrame | None:
-    """Home hospitalisation stays: control table joined to its summaries."""
-    c, b = src.get("T_HADaaC"), src.get("T_HADaaB")
-    if c is None or b is None:
+    keys = [*family.keys, "YEAR"]
+    geo_side = control if family.geo_in_control else detail
+    geo = all(c in geo_side.columns for c in ("ETA_NUM_GEO", family.fallback))
+    if geo:
+        finess = facility("ETA_NUM_GEO", family.fallback)
+    else:
+        finess = F.lit(None).cast("string") if family.geo_in_control else F.col(family.fallback)
+    place = [finess.alias("finess_geo")]
+    detail = family.keep(detail) if family.keep else detail
+    detail = detail.select(*keys, *([] if family.geo_in_control else place)).distinct()
+    control = _dated(control, *keys, *(place if family.geo_in_control else [])).distinct()
+    return control.join(detail, keys).select(
+        visit_id(family.prefix, *family.keys, ace=family.ace).alias("stay_id"),
+        "finess_geo", "person_id", "stay_start_date", "stay_end_date")
+
+
+def rehab_external_stays(src: Sources) -> DataFrame | None:
+    """Rehabilitation external care: its control table alone names date and patient."""
+    control = src.get("T_SSRaaCSTC")
+    if control is None:
         return None
-    keys = ["ETA_NUM_EPMSI", "RHAD_NUM", "YEAR"]
-    both = "ETA_NUM_GEO" in c.columns and "ETA_NUM_TWO" in c.columns
-    geo = ["ETA_NUM_GEO", "ETA_NUM_TWO"] if both else []
-    c = c.select("ETA_NUM_EPMSI", "RHAD_NUM", *CONTROL_COLS, *geo)
-    b = b.select(*keys).distinct()
-    j = c.join(b, keys)
-    fin = facility("ETA_NUM_GEO", "ETA_NUM_TWO") if both else F.lit(None).cast("string")
-    return _stay_row(j, visit_id("had", "ETA_NUM_EPMSI", "RHAD_NUM"), fin)
-
-
-def build_stays(src: Sources, person: DataFrame) -> DataFrame:
-    """Union of the four stay families, restricted to known patients, distinct."""
-    u = require(union_all([mco_stays(src), mco_ace_stays(src), ssr_stays(src), had_stays(src)]),
-                "stays_pmsi")
-    out = restrict_to(u, person.select("person_id"), "person_id").distinct()
-    return out.select(*OUTPUT_SCHEMAS["stays_pmsi"].names)
+    rows = _dated(control, *ACE_KEY, "YEAR").distinct()
+    return rows.select(visit_id("ssr", *ACE_KEY, ace=True).alias("stay_id"), F.col("ETA_NUM").alias("finess_geo"),
+                       "person_id", "stay_start_date", "stay_end_date")
+
+
+def build_stays(src: Sources, person: DataFrame, include_rehab_external: bool = False) -> DataFrame:
+    """Union of the four stay families, restricted to known patients, each row once.
+
+    With ``include_rehab_external`` rehabilitation external care is a fifth family, so
+    that its biology finds its stays; the source system has no such stays.
+    """
+    parts = [family_stays(src, f) for f in FAMILIES]
+    if include_rehab_external:
+        parts.append(rehab_external_stays(src))
+    stays = require(union_all(parts), "stays_pmsi")
+    return restrict_to(stays, person.select("person_id"), "person_id").select(*OUTPUT_SCHEMAS["stays_pmsi"].names)
 
 
 def stays_for_join(stays: DataFrame, *cols: str) -> DataFrame:

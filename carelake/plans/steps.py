@@ -2,7 +2,10 @@
 
 ``person``, ``stays_pmsi`` and ``prestations`` feed several later builds; they
 are written first and read back, so later builds start from stored files (no
-recomputation, short lineage, nothing lost with an executor).
+recomputation, short lineage, nothing lost with an executor).  The six hospital
+builds join the stays on their id, the three city-care builds the distinct claim
+lines on their key: those two are stored bucketed by it, so that each build shuffles
+its own lines alone.
 """
 
 from __future__ import annotations
@@ -18,10 +21,10 @@ from carelake.plans.drug import build_drug_dcir, build_drug_pmsi
 from carelake.plans.measurement import build_measurement_dcir, build_measurement_pmsi
 from carelake.plans.medical_units import build_medical_units
 from carelake.plans.person import build_causes_of_death, build_person
-from carelake.plans.prestations import build_prestations
+from carelake.plans.prestations import build_prestations, claim_hub
 from carelake.plans.procedure import build_procedure
 from carelake.plans.stays import build_stays
-from carelake.sinks import write_table
+from carelake.sinks import write_hub, write_table
 from carelake.sources.readers import read_table
 from carelake.sources.tables import Sources
 
@@ -68,18 +71,28 @@ def build_all(spark: SparkSession, src: Sources, out_dir: str,
     """
     out_dir = out_dir.rstrip("/")
     wanted = set(STEPS) if steps is None else set(steps)
+    if unknown := sorted(wanted - set(STEPS)):
+        raise ValueError(f"unknown steps: {', '.join(unknown)}; known: {', '.join(STEPS)}")
     hubs: dict[str, DataFrame] = {}
     counts: dict[str, int] = {}
 
     def run(step: str) -> None:
         counts[step] = write_table(build_table(step, src, hubs), f"{out_dir}/{step}")
 
+    def hub_of(step: str) -> DataFrame:
+        stored = read_table(spark, f"{out_dir}/{step}")
+        if step == "stays_pmsi":
+            return write_hub(stored, f"{out_dir}/_hubs/stays", "stay_id")
+        if step == "prestations":
+            return write_hub(claim_hub(stored), f"{out_dir}/_hubs/claims", "dcir_key")
+        return stored
+
     for level in levels():
         todo = [s for s in level if s in wanted]
         for step in todo:
             hub = STEPS[step][0]
             if hub is not None and hub not in hubs:
-                hubs[hub] = read_table(spark, f"{out_dir}/{hub}")
+                hubs[hub] = hub_of(hub)
         if max_concurrent_builds > 1 and len(todo) > 1:
             with ThreadPoolExecutor(max_workers=max_concurrent_builds) as pool:
                 for f in [pool.submit(run, s) for s in todo]:
@@ -87,8 +100,5 @@ def build_all(spark: SparkSession, src: Sources, out_dir: str,
         else:
             for step in todo:
                 run(step)
-        for step in todo:
-            if step in ("person", "stays_pmsi", "prestations"):
-                hubs[step] = read_table(spark, f"{out_dir}/{step}")
     rows = [(s, counts[s]) for s in STEPS if s in counts]
     return spark.createDataFrame(rows, "table string, rows long")

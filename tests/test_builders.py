@@ -21,7 +21,7 @@ from carelake.plans import (
     build_stays,
 )
 from carelake.sources.tables import Sources
-from conftest import rows, srt
+from conftest import frame, rows, srt
 from snds_fixture import KEY1, KEY2, delivery
 
 D = dt.date
@@ -230,8 +230,32 @@ def test_same_answers_with_ansi_off(spark, src):
     assert on == off
 
 
-def test_rehab_external_biology_needs_a_matching_stay(spark, src, stays):
-    """Read on request only: with the stays built here it adds no row."""
-    default = build_measurement_pmsi(src, stays)
-    with_rehab = build_measurement_pmsi(src, stays, include_rehab_external=True)
-    assert rows(default) == rows(with_rehab)
+def test_rehab_external_biology(spark, src):
+    """Both biology tables are read; rehabilitation rows find a stay on request."""
+    src = src.with_tables(
+        T_SSRaaFLSTC=frame(spark, "ETA_NUM SEQ_NUM YEAR NABM_COD ACT_NBR", [("S", "7", "22", "123", "2")]),
+        T_SSRaaCSTC=frame(spark, "ETA_NUM SEQ_NUM YEAR NUM_ENQ_IDT EXE_SOI_DTD EXE_SOI_DTF",
+                          [("S", "7", "22", rows(build_person(src))[0][0], "01/02/2022", None)]))
+    person = build_person(src)
+    default = build_measurement_pmsi(src, build_stays(src, person))
+    more = build_measurement_pmsi(src, build_stays(src, person, include_rehab_external=True))
+    extra = sorted(set(rows(more)) - set(rows(default)))
+    assert len(extra) == 1 and "SSR ACE" in extra[0] and "0123" in extra[0]
+    assert set(rows(default)) <= set(rows(more))
+
+
+def test_rehab_biology_alone_gives_no_rows(spark, src):
+    only = Sources({"T_SSRaaFLSTC": frame(spark, "ETA_NUM SEQ_NUM YEAR NABM_COD ACT_NBR", [("S", "7", "22", "1", "2")])})
+    assert build_measurement_pmsi(only, build_stays(src, build_person(src))).count() == 0
+
+
+def test_repeated_stay_rows_stay_linear(spark, src):
+    """1,000 equal control rows and 1,000 equal unit rows: one stay, no product."""
+    person = rows(build_person(src))[0][0]
+    c = frame(spark, "ETA_NUM RSA_NUM YEAR NUM_ENQ_IDT EXE_SOI_DTD EXE_SOI_DTF", [("1", "2", "22", person, "01/02/2022", None)] * 1000)
+    um = frame(spark, "ETA_NUM RSA_NUM YEAR UM_ORD_NUM RUM_ORD_NUM ETA_NUM_GEO", [("1", "2", "22", "1", None, "G")] * 1000)
+    stays = build_stays(Sources({"T_MCOaaC": c, "T_MCOaaUM": um}), build_person(src))
+    assert stays.count() == 1
+    stays.collect()
+    plan = stays._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Join") < plan.index("HashAggregate")  # both sides distinct below the join, nothing above it

@@ -5,7 +5,6 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from carelake.operators import (
-    apply_steps,
     asc,
     desc,
     first_and_last_per_key,
@@ -14,7 +13,7 @@ from carelake.operators import (
     melt_roles,
     require,
     restrict_to,
-    row_count_at_most,
+    estimated_bytes,
     sum_by,
     union_all,
     union_distinct,
@@ -82,15 +81,33 @@ def test_windowed_total_equals_window_then_distinct(spark):
     assert rows(got, ["v", "c", "p", "o", "quantity"]) == rows(ref, ["v", "c", "p", "o", "quantity"])
 
 
+def dim_fits(dim):
+    return estimated_bytes(dim) <= 64 << 20
+
+
 def test_lookup_fans_out_and_keeps_unknown(spark):
     facts = frame(spark, "code q", [("1", "5"), ("2", "6"), ("9", "7")])
     dim = frame(spark, "code label", [("1", "a"), ("1", "b"), ("2", "c")])
     got = rows(lookup(facts, dim, "code"), ["code", "q", "label"])
     assert got == srt([("1", "5", "a"), ("1", "5", "b"), ("2", "6", "c"), ("9", "7", None)])
     # past the bound the dimension is not broadcast (planner's choice)
-    plan = lookup(facts, dim, "code", max_broadcast_rows=1)
-    assert row_count_at_most(dim, 3) and not row_count_at_most(dim, 2)
-    assert plan.count() == 4
+    hinted, free = lookup(facts, dim, "code"), lookup(facts, dim, "code", max_broadcast_bytes=1)
+    logical = [d._jdf.queryExecution().analyzed().toString() for d in (hinted, free)]
+    assert ["strategy=broadcast" in x for x in logical] == [dim_fits(dim), False] and free.count() == 4
+
+
+def test_lookup_runs_no_job(spark, tmp_path):
+    frame(spark, "code label", [(str(i), "x") for i in range(50)]).write.parquet(str(tmp_path / "dim"))
+    dim = spark.read.parquet(str(tmp_path / "dim"))
+    facts = frame(spark, "code q", [("1", "5")])
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lookup-plan", "plan only")
+    try:
+        assert 0 < estimated_bytes(dim) < 1 << 20
+        lookup(facts, dim, "code")
+        assert list(tracker.getJobIdsForGroup("lookup-plan")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_restrict_to_is_semi_join(spark):
@@ -106,13 +123,6 @@ def test_melt_roles(spark):
                        ("s2", "B", "principal"), ("s2", "C", "related")])
 
 
-def test_apply_steps_in_order(spark):
-    df = frame(spark, "x", [("1",), ("2",)])
-    got = apply_steps(df, [lambda d: d.withColumn("y", F.col("x") * 10),
-                           lambda d: d.filter(F.col("y") > 10)])
-    assert rows(got, ["x", "y"]) == [("2", 20.0)]
-
-
 def test_descending_pick_on_extreme_integers(spark):
     lo, hi = -(2 ** 63), 2 ** 63 - 1
     df = spark.createDataFrame([("k", lo, "a"), ("k", hi, "b"), ("k", None, "c")], "k string, n long, p string")

@@ -53,3 +53,64 @@ def test_filters_and_columns_reach_the_scans(spark, stored, no_broadcast):
         "ETA_NUM", "RSA_NUM", "ETA_NUM_GEO", "UM_ORD_NUM", "RUM_ORD_NUM"}
     dev = _plan(build_device_dcir(stored, build_prestations(stored)))
     assert re.search(r"PushedFilters: \[[^\]]*In\(TIP_PRS_TYP", dev)
+
+
+def test_hub_sides_are_not_shuffled(spark, stored, no_broadcast, tmp_path):
+    """Builds that join a stored hub shuffle their own lines only."""
+    from carelake.plans import steps
+    from carelake.plans.prestations import claim_hub
+    from carelake.sinks import write_hub
+
+    person = build_person(stored)
+    hubs = {"stays_pmsi": write_hub(build_stays(stored, person), str(tmp_path / "stays"), "stay_id"),
+            "prestations": write_hub(claim_hub(build_prestations(stored)), str(tmp_path / "claims"), "dcir_key")}
+    plain = {"stays_pmsi": spark.read.parquet(str(tmp_path / "stays")),
+             "prestations": spark.read.parquet(str(tmp_path / "claims"))}
+    checked = 0
+    for step, (hub, _) in steps.STEPS.items():
+        if hub not in hubs:
+            continue
+        with_hub, without = steps.build_table(step, stored, hubs), steps.build_table(step, stored, plain)
+        assert _plan(with_hub).count("Exchange hashpartitioning") < _plan(without).count("Exchange hashpartitioning")
+        assert sorted(map(str, with_hub.collect())) == sorted(map(str, without.collect()))
+        checked += 1
+    assert checked == 9
+
+
+def test_planning_runs_no_job(spark, stored):
+    from carelake.plans import steps
+
+    for name in stored.names():  # resolving a stored table reads its schema
+        stored.get(name)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "plan only")
+    try:
+        hubs = {"person": build_person(stored), "prestations": build_prestations(stored)}
+        hubs["stays_pmsi"] = build_stays(stored, hubs["person"])
+        for step in steps.STEPS:
+            steps.build_table(step, stored, hubs)
+        assert list(tracker.getJobIdsForGroup("planning")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_unknown_step_raises(spark, stored, tmp_path):
+    from carelake.plans.steps import build_all
+
+    with pytest.raises(ValueError, match="stay_pmsi"):
+        build_all(spark, stored, str(tmp_path), steps=["stay_pmsi"])
+
+
+def test_failed_read_is_not_an_absent_table():
+    calls = []
+
+    def load():
+        calls.append(1)
+        if len(calls) == 1:
+            raise OSError("unreadable")
+        return "table"
+
+    src = Sources(loaders={"T": load})
+    with pytest.raises(OSError):
+        src.get("T")
+    assert src.get("T") == "table" == src.get("T") and len(calls) == 2

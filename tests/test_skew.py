@@ -50,9 +50,9 @@ def test_drug_lines_combine_before_first_shuffle(spark):
     # tree order (parent first): final line sum, then its hash exchange, then the partial
     # sum: lines are combined map-side before they are shuffled
     lines = plan.splitlines()
-    final = next(i for i, x in enumerate(lines) if "functions=[sum(cast(try_cast(_qty" in x)
+    final = next(i for i, x in enumerate(lines) if "functions=[sum(cast(coalesce(try_cast(_qty" in x)
     exchange = next(i for i, x in enumerate(lines) if i > final and "Exchange hashpartitioning(" in x)
-    partial = next(i for i, x in enumerate(lines) if i > exchange and "partial_sum(cast(try_cast(_qty" in x)
+    partial = next(i for i, x in enumerate(lines) if i > exchange and "partial_sum(cast(coalesce(try_cast(_qty" in x)
     assert final < exchange < partial
 
 
