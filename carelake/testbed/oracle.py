@@ -7,6 +7,8 @@ the needed stand-ins and fragments in front of a final SELECT.
 
 from __future__ import annotations
 
+import re
+
 from carelake.testbed.standins import standin_sql
 
 
@@ -20,8 +22,15 @@ def vid(family: str, eta: str, key: str, ace: bool = False) -> str:
     return f"concat_ws('_', {', '.join(parts)})"
 
 
-FLUX = ("concat_ws('_', FLX_DIS_DTD, FLX_TRT_DTD, FLX_EMT_TYP, FLX_EMT_NUM, FLX_EMT_ORD, "
-        "ORG_CLE_NUM, DCT_ORD_NUM, PRS_ORD_NUM, REM_TYP_AFF)")
+# a claim without any of the nine parts has no key
+FLUX = ("nullif(concat_ws('_', FLX_DIS_DTD, FLX_TRT_DTD, FLX_EMT_TYP, FLX_EMT_NUM, FLX_EMT_ORD, "
+        "ORG_CLE_NUM, DCT_ORD_NUM, PRS_ORD_NUM, REM_TYP_AFF), '')")
+
+
+def whole_numbers(sql: str) -> str:
+    """``try_cast(x AS INTEGER)`` in a query text stands for the number a text holds, cut
+    at its decimal point (a plain cast would round it)."""
+    return re.sub(r"try_cast\((.+?) AS INTEGER\)", r"CAST(trunc(TRY_CAST(\1 AS DOUBLE)) AS INTEGER)", sql, flags=re.S)
 
 
 def delay(c: str) -> str:
@@ -360,6 +369,16 @@ JOIN (SELECT DISTINCT dcir_key, person_id, presta_start_date, presta_end_date FR
 """
 
 
+# rehabilitation external care: stays from its control table alone
+REHAB_STAYS = f"""
+SELECT * FROM stays
+UNION ALL
+SELECT DISTINCT concat_ws('_', 'ssr', YEAR, 'ace', ETA_NUM, SEQ_NUM), ETA_NUM, NUM_ENQ_IDT,
+       {d('EXE_SOI_DTD')}, {d('EXE_SOI_DTF')}
+FROM T_SSRaaCSTC WHERE NUM_ENQ_IDT IN (SELECT person_id FROM person)
+"""
+
+
 def compose(standins: list[str], ctes: list[tuple[str, str]], body: str) -> str:
     """``WITH <stand-ins>, <fragments> <body>``."""
     parts = [f"{n} AS ({standin_sql(n)})" for n in standins]

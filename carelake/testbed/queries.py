@@ -34,7 +34,8 @@ from carelake.plans import (
 from carelake.plans import load as load_plan
 from carelake.plans import quality
 from carelake.plans.condition import CONDITION_ORDER
-from carelake.plans.drug import nomenclature_by_vocabulary
+from carelake.catalog import shard_name
+from carelake.plans.drug import delivered_quantities, with_atc
 from carelake.sinks import scratch_path, write_csv, write_table
 from carelake.sources import readers
 from carelake.testbed import oracle as O
@@ -61,7 +62,7 @@ def query(name: str, sql: str | None):
     def deco(fn: Query) -> Query:
         Q[name] = fn
         if sql is not None:
-            SQL[name] = sql
+            SQL[name] = O.whole_numbers(sql)
         return fn
     return deco
 
@@ -128,23 +129,25 @@ def x3_parse_date(spark, sf):
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, dl AS delay,
        CAST(l_shipdate AS DATE) + CASE WHEN dl IS NULL THEN 0 ELSE try_cast(dl AS INTEGER) END AS event_date
 FROM (SELECT *, CASE WHEN l_suppkey % 16 = 0 THEN NULL WHEN l_suppkey % 16 = 1 THEN 'x'
-                     ELSE CAST(l_suppkey % 16 AS VARCHAR) END AS dl FROM lineitem)""")
+                     WHEN l_suppkey % 16 = 2 THEN '3.0' ELSE CAST(l_suppkey % 16 AS VARCHAR) END AS dl FROM lineitem)""")
 def x10_delay_date(spark, sf):
     li = _t(spark, sf, "lineitem")
     m = F.col("l_suppkey") % 16
-    dl = F.when(m == 0, F.lit(None).cast("string")).when(m == 1, F.lit("x")).otherwise(m.cast("string"))
+    dl = F.when(m == 0, F.lit(None).cast("string")).when(m == 1, F.lit("x")).when(m == 2, F.lit("3.0")).otherwise(m.cast("string"))
     df = li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", dl.alias("delay"),
                    F.col("l_shipdate").cast("date").alias("start"))
     return df.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "delay",
                      dates.delay_date("start", "delay").alias("event_date"))
 
 
-_FMT_SQL = """CASE event_id % 6
+_FMT_SQL = """CASE event_id % 8
   WHEN 0 THEN strftime(ts, '%d/%m/%Y')
   WHEN 1 THEN upper(strftime(ts, '%d%b%Y:%H:%M:%S'))
   WHEN 2 THEN upper(strftime(ts, '%d%b%Y'))
   WHEN 3 THEN strftime(ts, '%Y%m%d')
   WHEN 4 THEN ' ' || strftime(ts, '%Y-%m-%d')
+  WHEN 5 THEN upper(strftime(ts, '%-d%b%Y'))
+  WHEN 6 THEN upper(strftime(ts, '%-d%b%Y:')) || CAST(hour(ts) AS VARCHAR) || ':' || CAST(minute(ts) AS VARCHAR) || ':2'
   ELSE 'n/a' END"""
 
 
@@ -156,12 +159,14 @@ SELECT event_id, t AS date_text,
 FROM (SELECT event_id, {_FMT_SQL} AS t FROM events)""")
 def x12_multi_format(spark, sf):
     e = _t(spark, sf, "events")
-    k = F.col("event_id") % 6
+    k = F.col("event_id") % 8
     t = (F.when(k == 0, F.date_format("ts", "dd/MM/yyyy"))
          .when(k == 1, F.upper(F.date_format("ts", "ddMMMyyyy:HH:mm:ss")))
          .when(k == 2, F.upper(F.date_format("ts", "ddMMMyyyy")))
          .when(k == 3, F.date_format("ts", "yyyyMMdd"))
          .when(k == 4, F.concat(F.lit(" "), F.date_format("ts", "yyyy-MM-dd")))
+         .when(k == 5, F.upper(F.date_format("ts", "dMMMyyyy")))
+         .when(k == 6, F.concat(F.upper(F.date_format("ts", "dMMMyyyy:H:m")), F.lit(":2")))
          .otherwise(F.lit("n/a")))
     df = e.select("event_id", t.alias("date_text"))
     return df.select("event_id", "date_text", dates.parse_any_date("date_text").alias("parsed"))
@@ -206,7 +211,9 @@ _HK = ("CAST(('0x' || substr(md5(concat_ws('|', CAST(o_orderkey % 97 AS VARCHAR)
 
 @query("x17_assign_year", f"""
 SELECT o_orderkey, substr(CAST(2010 + {_HK} % 15 AS VARCHAR), 3, 2) AS pmsi_year,
-       CAST(year({_remap_sql('CAST(o_orderdate AS DATE)', 2010, 2024)}) AS VARCHAR) AS dcir_year
+       CAST(year({_remap_sql('CAST(o_orderdate AS DATE)', 2010, 2024)}) AS VARCHAR) AS dcir_year,
+       CAST(2010 + CAST(('0x' || substr(md5(CAST(o_orderkey AS VARCHAR) || '|nan'), 1, 8)) AS BIGINT) % 15 AS VARCHAR)
+           AS undated_year
 FROM orders""")
 def x17_assign_year(spark, sf):
     o = _t(spark, sf, "orders")
@@ -215,7 +222,11 @@ def x17_assign_year(spark, sf):
     pmsi = load_plan.load_table(pmsi, "T_MCOaaA").select("o_orderkey", F.col("YEAR").alias("pmsi_year"))
     dcir = o.select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("EXE_SOI_DTD"))
     dcir = load_plan.load_table(dcir, "ER_PRS_F").select("o_orderkey", F.col("YEAR").alias("dcir_year"))
-    return pmsi.join(dcir, "o_orderkey")
+    # no row has a readable driving date: rows spread by their hash
+    junk = o.select(F.col("o_orderkey").cast("string").alias("o_orderkey"), F.lit("??").alias("EXE_SOI_DTD"))
+    spread = load_plan.load_table(junk, "ER_PRS_F", dated=load_plan.has_readable_date(junk, "ER_PRS_F")).select(
+        F.col("o_orderkey").cast("long").alias("o_orderkey"), F.col("YEAR").alias("undated_year"))
+    return pmsi.join(dcir, "o_orderkey").join(spread, "o_orderkey")
 
 
 @query("x20_shard_name", """
@@ -243,12 +254,15 @@ def x20_shard_name(spark, sf):
 SELECT o_orderkey, try_cast(substr(o_orderpriority, 1, 1) AS INTEGER) AS priority_num,
        try_cast(o_orderpriority AS INTEGER) AS priority_whole,
        try_cast(CASE WHEN o_orderkey % 7 = 0 THEN '0' || CAST(o_orderkey % 3 AS VARCHAR)
-                     ELSE o_orderstatus END AS INTEGER) AS status_num
+                     WHEN o_orderkey % 7 = 1 THEN '1.5' WHEN o_orderkey % 7 = 2 THEN '2.0'
+                     WHEN o_orderkey % 7 = 3 THEN '-01.9' ELSE o_orderstatus END AS INTEGER) AS status_num
 FROM orders""")
 def x5_try_cast(spark, sf):
     o = _t(spark, sf, "orders")
     st = F.when(F.col("o_orderkey") % 7 == 0,
-                F.concat(F.lit("0"), (F.col("o_orderkey") % 3).cast("string"))).otherwise(F.col("o_orderstatus"))
+                F.concat(F.lit("0"), (F.col("o_orderkey") % 3).cast("string"))) \
+        .when(F.col("o_orderkey") % 7 == 1, F.lit("1.5")).when(F.col("o_orderkey") % 7 == 2, F.lit("2.0")) \
+        .when(F.col("o_orderkey") % 7 == 3, F.lit("-01.9")).otherwise(F.col("o_orderstatus"))
     return o.select("o_orderkey", codes.to_int(F.substring("o_orderpriority", 1, 1)).alias("priority_num"),
                     codes.to_int("o_orderpriority").alias("priority_whole"),
                     codes.to_int(st).alias("status_num"))
@@ -427,7 +441,9 @@ _NA = "('', 'NA', 'null', 'NaN', 'N/A', 'None', 'nan', 'NULL', '#N/A', '<NA>', '
 SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
        CASE WHEN pr IN {_NA} THEN NULL ELSE pr END AS o_orderpriority,
        strftime(o_orderdate, '%d/%m/%Y') AS o_orderdate,
-       lpad(CAST(o_orderkey % 1000 AS VARCHAR), 3, '0') AS code
+       lpad(CAST(o_orderkey % 1000 AS VARCHAR), 3, '0') AS code,
+       CASE o_orderkey % 5 WHEN 0 THEN 'x"y' WHEN 1 THEN 'p' || chr(92) WHEN 2 THEN 'a;"b"' WHEN 3 THEN 'one' || chr(10) || 'two'
+                           ELSE 'plain' END AS note
 FROM (SELECT *, CASE o_orderkey % 9 WHEN 0 THEN 'NA' WHEN 1 THEN 'null' WHEN 2 THEN 'NaN'
                      ELSE o_orderpriority END AS pr FROM orders)""")
 def s1_csv_scan(spark, sf):
@@ -435,10 +451,13 @@ def s1_csv_scan(spark, sf):
     k = F.col("o_orderkey") % 9
     pr = (F.when(k == 0, F.lit("NA")).when(k == 1, F.lit("null")).when(k == 2, F.lit("NaN"))
           .otherwise(F.col("o_orderpriority")))
+    m = F.col("o_orderkey") % 5
+    note = (F.when(m == 0, F.lit('x"y')).when(m == 1, F.lit("p\\")).when(m == 2, F.lit('a;"b"'))
+            .when(m == 3, F.lit("one\ntwo")).otherwise(F.lit("plain")))
     raw = o.select(F.col("o_orderkey").cast("string").alias("o_orderkey"),
                    F.col("o_custkey").cast("string").alias("o_custkey"),
                    pr.alias("o_orderpriority"), dates.date_text("o_orderdate").alias("o_orderdate"),
-                   F.lpad((F.col("o_orderkey") % 1000).cast("string"), 3, "0").alias("code"))
+                   F.lpad((F.col("o_orderkey") % 1000).cast("string"), 3, "0").alias("code"), note.alias("note"))
     path = scratch_path(spark, "s1_csv")
     write_csv(raw, path)
     return readers.read_csv_table(spark, path)
@@ -520,17 +539,7 @@ def j5_clean_patients(spark, sf):
     O.DRUG_MED_ATC))
 def j11_left_broadcast(spark, sf):
     src = standin_sources(spark, sf, ["ER_PHA_F", "ER_UCD_F", "IR_PHA_R"])
-    pha, ucd = src.get("ER_PHA_F"), src.get("ER_UCD_F")
-    lines = union.union_all([
-        pha.select(keys.flux_key().alias("dcir_key"),
-                   codes.cip_code("PHA_PRS_C13", "PHA_PRS_IDE").alias("drug_code"),
-                   codes.cip_vocabulary("PHA_PRS_C13", "PHA_PRS_IDE").alias("drug_vocabulary"),
-                   codes.to_int("PHA_ACT_QSN").alias("q")).filter(F.col("drug_vocabulary").isNotNull()),
-        ucd.select(keys.flux_key().alias("dcir_key"), codes.strip_zeros("UCD_UCD_COD").alias("drug_code"),
-                   F.lit("UCD7").alias("drug_vocabulary"), codes.to_int("UCD_DLV_NBR").alias("q"))])
-    med = aggregate.sum_by(lines, ["dcir_key", "drug_code", "drug_vocabulary"], "q")
-    return joins.lookup(med, nomenclature_by_vocabulary(src.get("IR_PHA_R")),
-                        ["drug_vocabulary", "drug_code"], "left")
+    return with_atc(delivered_quantities(src), src.get("IR_PHA_R"))
 
 
 @query("j22_key_map", """
@@ -564,16 +573,7 @@ def j22_key_map(spark, sf):
 
 @query("a1_sum_by_key", O.compose(["ER_PHA_F", "ER_UCD_F"], [], O.DRUG_MED))
 def a1_sum_by_key(spark, sf):
-    src = standin_sources(spark, sf, ["ER_PHA_F", "ER_UCD_F"])
-    pha, ucd = src.get("ER_PHA_F"), src.get("ER_UCD_F")
-    lines = union.union_all([
-        pha.select(keys.flux_key().alias("dcir_key"),
-                   codes.cip_code("PHA_PRS_C13", "PHA_PRS_IDE").alias("drug_code"),
-                   codes.cip_vocabulary("PHA_PRS_C13", "PHA_PRS_IDE").alias("drug_vocabulary"),
-                   codes.to_int("PHA_ACT_QSN").alias("q")).filter(F.col("drug_vocabulary").isNotNull()),
-        ucd.select(keys.flux_key().alias("dcir_key"), codes.strip_zeros("UCD_UCD_COD").alias("drug_code"),
-                   F.lit("UCD7").alias("drug_vocabulary"), codes.to_int("UCD_DLV_NBR").alias("q"))])
-    return aggregate.sum_by(lines, ["dcir_key", "drug_code", "drug_vocabulary"], "q")
+    return delivered_quantities(standin_sources(spark, sf, ["ER_PHA_F", "ER_UCD_F"]))
 
 
 @query("a2_sum_null_group", _with(["T_MCOaaDMIP"], f"""
@@ -744,6 +744,16 @@ for _q, _name in BUILD_QUERIES.items():
     query(_q, O.table_sql(_name))(_table(_name))
 
 
+@query("b8_rehab_external", O.compose(
+    O.HUB_STAYS[0] + ["T_MCOaaFLSTC", "T_SSRaaFLSTC", "T_SSRaaCSTC"],
+    [("person", O.PERSON), ("four_families", O.STAYS), ("stays", O.REHAB_STAYS.replace("FROM stays", "FROM four_families"))],
+    O.MEASUREMENT_PMSI))
+def b8_rehab_external(spark, sf):
+    """Biology over stays that include rehabilitation external care."""
+    src = _src(spark, sf)
+    return build_measurement_pmsi(src, build_stays(src, build_person(src), include_rehab_external=True))
+
+
 # ---------------------------------------------------------------------------
 # Raw-claims load (B15): multi-format dates, year window, patient key, hash year
 # ---------------------------------------------------------------------------
@@ -791,6 +801,16 @@ def b15_load(spark, sf):
     return load_plan.load_table(_raw_stays(spark, sf), "T_MCOaaC")
 
 
+@query("s2_delivery_scan", _load_sql())
+def s2_delivery_scan(spark, sf):
+    """A whole delivery folder whose table is a folder of part files: discovered, loaded
+    and read back."""
+    root = scratch_path(spark, "s2_delivery")
+    write_csv(_raw_stays(spark, sf).repartition(3), f"{root}/csv/T_MCOaaC.csv")
+    load_plan.load_delivery(spark, f"{root}/csv", f"{root}/final")
+    return readers.read_table(spark, f"{root}/final/T_MCOaaC")
+
+
 @query("stream_load", _load_sql())
 def stream_load(spark, sf):
     """The incremental load: raw stay rows land as text files in a delivery folder,
@@ -841,8 +861,9 @@ def q2_build_summary(spark, sf):
 
 @query("q3_orphans", O.compose(
     O.HUB_STAYS[0] + ["T_MCOaaFLSTC", "T_SSRaaFLSTC", "ER_PRS_F"],
-    O.HUB_STAYS[1] + [("mp", O.MEASUREMENT_PMSI), ("mu", O.MEDICAL_UNITS),
-                      ("pr", O.PRESTATIONS)], """
+    O.HUB_STAYS[1] + [("mp", O.MEASUREMENT_PMSI), ("good_mu", O.MEDICAL_UNITS), ("pr", O.PRESTATIONS), ("mu", """
+SELECT CASE WHEN unit_nb = '2' THEN 'gone' ELSE person_id END AS person_id,
+       CASE WHEN unit_nb = '3' THEN 'gone' ELSE visit_id END AS visit_id FROM good_mu""")], """
 SELECT 'person_id' AS "check", 'measurement_pmsi' AS "table",
        count(*) AS orphans FROM mp WHERE person_id NOT IN (SELECT person_id FROM person)
 UNION ALL SELECT 'visit_id', 'measurement_pmsi', count(*) FROM mp
@@ -858,8 +879,12 @@ def q3_orphans(spark, sf):
     src = _src(spark, sf)
     person = build_person(src)
     stays = build_stays(src, person)
+    units = build_medical_units(src, stays)
+    # planted: units of no person and of no stay
+    units = units.withColumns({"person_id": F.when(F.col("unit_nb") == "2", F.lit("gone")).otherwise(F.col("person_id")),
+                               "visit_id": F.when(F.col("unit_nb") == "3", F.lit("gone")).otherwise(F.col("visit_id"))})
     outputs = {"measurement_pmsi": build_measurement_pmsi(src, stays),
-               "medical_units": build_medical_units(src, stays),
+               "medical_units": units,
                "prestations": build_prestations(src)}
     return quality.orphan_counts(outputs, person, stays)
 
@@ -885,7 +910,8 @@ SELECT family, count(*) AS stays, count(*) FILTER (WHERE years > 1) AS conflicts
   SELECT family, stay_key, count(DISTINCT YEAR) AS years FROM (
     SELECT 'T_MCO' AS family, concat_ws('|', ETA_NUM, RSA_NUM) AS stay_key, YEAR FROM T_MCOaaC
     UNION ALL SELECT 'T_MCO', concat_ws('|', ETA_NUM, RSA_NUM), YEAR FROM T_MCOaaUM
-    UNION ALL SELECT 'T_MCO', concat_ws('|', ETA_NUM, RSA_NUM), YEAR FROM T_MCOaaB
+    UNION ALL SELECT 'T_MCO', concat_ws('|', ETA_NUM, RSA_NUM),
+      CASE WHEN ETA_NUM = '13' THEN '99' ELSE YEAR END FROM T_MCOaaB
     UNION ALL SELECT 'T_MCO_ace', concat_ws('|', ETA_NUM, SEQ_NUM), YEAR FROM T_MCOaaCSTC
     UNION ALL SELECT 'T_MCO_ace', concat_ws('|', ETA_NUM, SEQ_NUM), YEAR FROM T_MCOaaFBSTC
     UNION ALL SELECT 'T_SSR', concat_ws('|', ETA_NUM, RHA_NUM), YEAR FROM T_SSRaaC
@@ -896,7 +922,11 @@ SELECT family, count(*) AS stays, count(*) FILTER (WHERE years > 1) AS conflicts
 ) GROUP BY family"""))
 def q4_stay_year(spark, sf):
     src = standin_sources(spark, sf, _Q4_TABLES)
-    per = quality.stay_year_conflicts({n: src.get(n) for n in _Q4_TABLES}, only_conflicts=False)
+    tables = {n: src.get(n) for n in _Q4_TABLES}
+    # planted: one facility's diagnoses in another year than their stays
+    tables["T_MCOaaB"] = tables["T_MCOaaB"].withColumn(
+        "YEAR", F.when(F.col("ETA_NUM") == "13", F.lit("99")).otherwise(F.col("YEAR")))
+    per = quality.stay_year_conflicts(tables, only_conflicts=False)
     return per.groupBy("family").agg(F.count(F.lit(1)).alias("stays"),
                                      F.count(F.when(F.col("years") > 1, 1)).alias("conflicts"))
 

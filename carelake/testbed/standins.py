@@ -82,8 +82,9 @@ def _control(d: Dialect, family: str) -> list[tuple[str, str]]:
 
 
 def _flux(d: Dialect, okey: str) -> list[tuple[str, str]]:
-    """The 9 flux columns of a city-care claim, from its order key."""
-    return [
+    """The 9 flux columns of a city-care claim, from its order key; all null for a few
+    claims."""
+    parts = [
         ("FLX_DIS_DTD", d.dmy(d.add_days("DATE '2015-01-01'", f"{okey} % 2000"))),
         ("FLX_TRT_DTD", d.dmy(d.add_days("DATE '2015-01-01'", f"{okey} % 1500"))),
         ("FLX_EMT_TYP", d.s(f"{okey} % 3")),
@@ -94,6 +95,7 @@ def _flux(d: Dialect, okey: str) -> list[tuple[str, str]]:
         ("PRS_ORD_NUM", "'1'"),
         ("REM_TYP_AFF", d.s(f"{okey} % 2")),
     ]
+    return [(c, f"CASE WHEN {okey} % 997 = 0 THEN NULL ELSE {e} END") for c, e in parts]
 
 
 def _ucd(d: Dialect, shift: int, null_mod: int | None = None) -> str:
@@ -104,8 +106,8 @@ def _ucd(d: Dialect, shift: int, null_mod: int | None = None) -> str:
 
 
 def _acv(d: Dialect) -> str:
-    return ("CASE l_suppkey % 5 WHEN 0 THEN '1' WHEN 1 THEN '01' WHEN 2 THEN '2' "
-            "WHEN 3 THEN 'x' ELSE NULL END")
+    return ("CASE l_suppkey % 7 WHEN 0 THEN '1' WHEN 1 THEN '01' WHEN 2 THEN '2' "
+            "WHEN 3 THEN 'x' WHEN 4 THEN '01.0' WHEN 5 THEN '1.5' ELSE NULL END")
 
 
 def specs(d: Dialect) -> dict[str, tuple[str, list[tuple[str, str]]]]:
@@ -172,14 +174,14 @@ def specs(d: Dialect) -> dict[str, tuple[str, list[tuple[str, str]]]]:
         ("PSE_ACT_NAT", s("o_orderkey % 9")),
         ("PSP_SPE_COD", f"CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE {s('o_custkey % 40')} END"),
         ("PSP_ACT_NAT", s("o_custkey % 8")),
-        ("PRS_ACT_QTE", f"CASE WHEN o_orderkey % 17 = 0 THEN 'x' ELSE {s('1 + o_orderkey % 4')} END"),
+        ("PRS_ACT_QTE", f"CASE WHEN o_orderkey % 17 = 0 THEN 'x' WHEN o_orderkey % 17 = 1 THEN '2.0' ELSE {s('1 + o_orderkey % 4')} END"),
         ("ETB_PRE_FIN", s("o_custkey % 500")),
     ])
     t["ER_PHA_F"] = (li, _flux(d, "l_orderkey") + [
         ("PHA_PRS_C13", f"CASE l_suppkey % 4 WHEN 0 THEN '0' WHEN 1 THEN NULL "
                         f"ELSE lpad({s('l_partkey')}, 13, '0') END"),
         ("PHA_PRS_IDE", f"CASE WHEN l_linenumber = 7 THEN '0' ELSE {s('l_partkey')} END"),
-        ("PHA_ACT_QSN", f"CASE WHEN l_suppkey % 19 = 0 THEN 'x' ELSE {s('l_linenumber')} END"),
+        ("PHA_ACT_QSN", f"CASE WHEN l_suppkey % 19 = 0 THEN 'x' WHEN l_suppkey % 19 = 1 THEN '1.5' ELSE {s('l_linenumber')} END"),
     ])
     t["ER_UCD_F"] = (li, _flux(d, "l_orderkey") + [
         ("UCD_UCD_COD", f"CASE WHEN l_suppkey % 10 = 0 THEN '000' "
@@ -202,6 +204,7 @@ def specs(d: Dialect) -> dict[str, tuple[str, list[tuple[str, str]]]]:
     t["T_MCOaaC"] = ("orders", _control(d, "mco"))
     t["T_MCOaaCSTC"] = ("orders", _control(d, "ace"))
     t["T_SSRaaC"] = ("orders", _control(d, "ssr"))
+    t["T_SSRaaCSTC"] = ("orders", _control(d, "ssr_ace"))
     t["T_HADaaC"] = ("orders", _control(d, "had") + [
         ("ETA_NUM_GEO", f"CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE 'H' || {s('o_custkey % 70')} END"),
         ("ETA_NUM_TWO", f"'T' || {s('o_orderkey % 83')}"),
@@ -238,7 +241,7 @@ def specs(d: Dialect) -> dict[str, tuple[str, list[tuple[str, str]]]]:
         ("PHA_ACT", s("l_linenumber % 3")),
         ("ACV_ACT", _acv(d)),
         ("ENT_DAT_DEL", f"CASE WHEN l_suppkey % 16 = 0 THEN NULL ELSE {s('l_suppkey % 16')} END"),
-        ("NBR_EXE_ACT", f"CASE WHEN l_linenumber = 3 THEN NULL ELSE {s('l_linenumber')} END"),
+        ("NBR_EXE_ACT", f"CASE WHEN l_linenumber = 3 THEN NULL WHEN l_linenumber = 4 THEN '2.0' ELSE {s('l_linenumber')} END"),
     ])
     t["T_MCOaaFMSTC"] = (li, _stay_keys(d, "ace", lk) + [
         ("CCAM_COD", f"'F' || lpad({s('l_partkey % 700')}, 6, '0')"),
@@ -274,8 +277,8 @@ def specs(d: Dialect) -> dict[str, tuple[str, list[tuple[str, str]]]]:
         ("NABM_COD", nabm), ("ACT_NBR", s("l_linenumber"))])
     t["T_SSRaaFLSTC"] = (li, _stay_keys(d, "ssr_ace", lk) + [
         ("NABM_COD", nabm), ("ACT_NBR", s("l_linenumber"))])
-    delay = f"CASE WHEN l_suppkey % 5 = 0 THEN NULL ELSE {s('l_suppkey % 6')} END"
-    adm = s("l_linenumber")
+    delay = f"CASE WHEN l_suppkey % 5 = 0 THEN NULL WHEN l_suppkey % 5 = 1 THEN '3.0' ELSE {s('l_suppkey % 6')} END"
+    adm = f"CASE WHEN l_suppkey % 13 = 0 THEN '1.5' ELSE {s('l_linenumber')} END"
     t["T_MCOaaFHSTC"] = (li, _stay_keys(d, "ace", lk) + [
         ("UCD_UCD_COD", _ucd(d, 0, 8)), ("QUA", s("l_linenumber"))])
     t["T_MCOaaMED"] = (li, _stay_keys(d, "mco", lk) + [
@@ -291,9 +294,10 @@ def specs(d: Dialect) -> dict[str, tuple[str, list[tuple[str, str]]]]:
             ("UCD_UCD_COD", _ucd(d, shift)), ("DAT_DELAI", delay), ("ADM_NBR", adm)])
     t["T_MCOaaDMIP"] = (li, _stay_keys(d, "mco", lk) + [
         ("DELAI", f"CASE WHEN l_suppkey % 6 = 0 THEN NULL WHEN l_suppkey % 6 = 1 THEN 'x' "
+                  f"WHEN l_suppkey % 6 = 2 THEN '3.0' "
                   f"ELSE {s('l_suppkey % 20')} END"),
         ("LPP_COD", f"CASE WHEN l_linenumber = 6 THEN NULL ELSE {s('3000000 + l_partkey % 800')} END"),
-        ("NBR_POS", s("l_linenumber")),
+        ("NBR_POS", f"CASE WHEN l_linenumber = 2 THEN '2.0' ELSE {s('l_linenumber')} END"),
     ])
     t["T_MCOaaFPSTC"] = (li, _stay_keys(d, "ace", lk) + [
         ("DEL_DAT_ENT", s("l_suppkey % 10")),
