@@ -14,9 +14,11 @@ from carelake.llm.common import record_batches, row_key, slices, whole_text, wri
 
 LENGTH = 200
 ANCHOR_BYTES = 16
-# distinct surroundings of one anchor that are sorted in one task; anchors with more
-# are counted window by window instead
-SORTED_GROUP = 512
+# distinct surroundings of one anchor that are sorted in one task (about a megabyte);
+# anchors with more are split by longer keys first, and what is still larger after that
+# is counted window by window
+SORTED_GROUP = 4096
+SPLITS = 4
 SHALLOW_DEPTH = 64
 
 _WINDOW = LENGTH - ANCHOR_BYTES + 1
@@ -204,8 +206,8 @@ class _Sorted:
             self.minima.append(np.minimum(last[:-half], last[half:]))
 
     def between(self, members: np.ndarray) -> np.ndarray:
-        """For members in order: prefix shared by each and the next."""
-        low, high = self.rank[members[:-1]], self.rank[members[1:]]
+        """Prefix shared by each member and the next."""
+        low, high = np.sort([self.rank[members[:-1]], self.rank[members[1:]]], axis=0)
         level = np.frexp((high - low).astype(float))[1] - 1
         out = np.empty(len(low), dtype=np.int64)
         for k in np.unique(level):
@@ -259,13 +261,7 @@ def shared_ranges(stretches: list[tuple[bytes, int]]) -> list[tuple[int, int] |
         block[by_left] = np.append(0, np.cumsum(shared < left))
         members = alive[np.lexsort((ahead.rank[alive], block[alive]))]
         same = block[members[:-1]] == block[members[1:]]
-        right = np.zeros(len(members) - 1, dtype=np.int64)
-        if same.any():
-            lengths = np.zeros(len(members) - 1, dtype=np.int64)
-            for group in np.split(np.arange(len(members)), np.flatnonzero(~same) + 1):
-                if len(group) > 1:
-                    lengths[group[:-1]] = ahead.between(members[group])
-            right = np.where(same, lengths, 0)
+        right = np.where(same, ahead.between(members), 0)
         best = _best(right)
         good = (best > 0) & (best + left >= LENGTH)
         left_most[members[good]] = np.maximum(left_most[members[good]], left)
@@ -277,33 +273,50 @@ def shared_ranges(stretches: list[tuple[bytes, int]]) -> list[tuple[int, int] |
 
 
 def _sorted_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by anchor; emits the shared range of each distinct stretch."""
-    held: list[tuple[int, int, bytes]] = []
+    """Rows sorted by group; emits the shared range of each distinct stretch."""
+    current, held = None, []
+    columns = ("group", "anchor", "content", "left", "data")
 
-    def finish() -> Iterator[tuple[int, int, int]]:
-        found = shared_ranges([(data, left) for _, left, data in held]) if len(held) > 1 else []
-        for (content, _, _), both in zip(held, found):
-            if both:
-                yield content, *both
+    def finish() -> list[tuple[int, int, int, int]]:
+        found = shared_ranges([(data, left) for _, _, left, data in held]) if len(held) > 1 else []
+        return [(anchor, content, *both) for (anchor, content, _, _), both in zip(held, found) if both]
 
-    current = None
+    rows: list[tuple[int, int, int, int]] = []
     for batch in batches:
-        rows: list[tuple[int, int, int, int]] = []
-        for anchor, content, left, data in zip(*(batch.column(c).to_pylist()
-                                                 for c in ("anchor", "content", "left", "data"))):
-            if anchor != current:
-                rows += [(current, *x) for x in finish()]
-                current, held = anchor, []
-            held.append((content, left, data))
-        if rows:
-            yield _range_batch(rows)
-    rows = [(current, *x) for x in finish()]
-    if rows:
+        for group, *stretch in zip(*(batch.column(c).to_pylist() for c in columns)):
+            if group != current:
+                rows += finish()
+                current, held = group, []
+            held.append(stretch)
         yield _range_batch(rows)
+        rows = []
+    yield _range_batch(finish())
 
 
 def _range_batch(rows: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
-    return record_batches([(name, pa.int64(), list(x)) for name, x in zip(("anchor", "content", "low", "high"), zip(*rows))])
+    names = ("anchor", "content", "low", "high")
+    return record_batches([(name, pa.int64(), [r[i] for r in rows]) for i, name in enumerate(names)])
+
+
+def split_keys(data: bytes, left: int) -> Iterator[bytes]:
+    """Parts of a stretch such that any two stretches that share a window around the
+    anchor have one in common: whatever the length of the left part they share, it falls
+    into one of a few ranges, each with a part that must then be shared."""
+    step = -(-_WINDOW // SPLITS)
+    for low in range(0, _WINDOW, step):
+        end = left + LENGTH + 1 - min(low + step, _WINDOW)
+        if low <= left and end <= len(data):
+            yield bytes([low]) + data[left - low:end]
+
+
+def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = []
+        for anchor, content, left, data in zip(*(batch.column(c).to_pylist() for c in ("anchor", "content", "left", "data"))):
+            for part in split_keys(data, left):
+                digest = hashlib.blake2b(part, digest_size=8).digest()
+                rows.append((int.from_bytes(digest, "big", signed=True), anchor, content))
+        yield record_batches([(name, pa.int64(), [r[i] for r in rows]) for i, name in enumerate(("group", "anchor", "content"))])
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -368,8 +381,8 @@ def repeated_ranges(base: DataFrame) -> DataFrame:
        of anchors and stretches are counted.
     2. A stretch that occurs twice is covered whole.  An anchor with several distinct
        stretches has one copy of each fetched and compared by bytes (sorted around the
-       anchor); anchors with very many are counted window by window, which needs no
-       common group.
+       anchor).  Anchors with very many are split by longer shared parts; what is still
+       as large is counted window by window, which needs no common group.
     3. The ranges found go back to every occurrence of their stretch.
     """
     found = written(base.mapInArrow(
@@ -387,15 +400,23 @@ def repeated_ranges(base: DataFrame) -> DataFrame:
         _cut_out, "anchor bigint, content bigint, left int, data binary"), "bytes").dropDuplicates(["anchor", "content"])
     bytes_of = bytes_of.join(several.select("anchor", "content", "variants"), ["anchor", "content"])
     bytes_of = written(bytes_of, "variants")
-    few = (bytes_of.filter(F.col("variants") <= SORTED_GROUP).select("anchor", "content", "left", "data")
-           .repartition("anchor").sortWithinPartitions("anchor", "content")
-           .mapInArrow(_sorted_groups, "anchor bigint, content bigint, low bigint, high bigint"))
-    single = bytes_of.filter(F.col("variants") > SORTED_GROUP).select("anchor", "content", "data").mapInArrow(
+    columns = ["group", "anchor", "content", "left", "data"]
+    few = bytes_of.filter(F.col("variants") <= SORTED_GROUP).withColumn("group", F.col("anchor")).select(*columns)
+    hot = bytes_of.filter(F.col("variants") > SORTED_GROUP).select("anchor", "content", "left", "data")
+    parts = written(hot.select("anchor", "content", "left", "data").mapInArrow(
+        _split, "group bigint, anchor bigint, content bigint"), "parts")
+    sizes = parts.groupBy("group").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    parts = written(parts.join(sizes, "group"), "shared-parts")
+    some = parts.filter(F.col("n") <= SORTED_GROUP).join(hot, ["anchor", "content"]).select(*columns)
+    pairs = (few.unionAll(some).repartition("group").sortWithinPartitions("group", "content")
+             .mapInArrow(_sorted_groups, "anchor bigint, content bigint, low bigint, high bigint"))
+    rest = parts.filter(F.col("n") > SORTED_GROUP).select("anchor", "content").distinct()
+    single = hot.join(rest, ["anchor", "content"]).select("anchor", "content", "data").mapInArrow(
         _windows, "anchor bigint, content bigint, at bigint, window binary")
     twice = single.groupBy("window").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("window")
     many = (single.join(twice, "window").groupBy("anchor", "content")
             .agg(F.min("at").alias("low"), (F.max("at") + LENGTH).alias("high")))
-    ranges = whole.unionAll(few).unionAll(many).groupBy("anchor", "content").agg(
+    ranges = whole.unionAll(pairs).unionAll(many).groupBy("anchor", "content").agg(
         F.min("low").alias("low"), F.max("high").alias("high"))
     ranges = written(ranges, "ranges")
     hits = matched.select("rk", "start", "anchor", "content").join(ranges, ["anchor", "content"])

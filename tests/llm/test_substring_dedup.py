@@ -47,9 +47,9 @@ def variety(rng):
     return rows
 
 
-@pytest.mark.parametrize("group", [512, 2])
+@pytest.mark.parametrize("group", [4096, 12, 2])
 def test_against_brute_force(docs_of, monkeypatch, group):
-    """Also with every anchor of more than two variants counted window by window."""
+    """Also with anchors split by longer keys and counted window by window."""
     monkeypatch.setattr(substring_dedup, "SORTED_GROUP", group)
     rows = variety(random.Random(group))
     df = docs_of(rows).withColumnRenamed("source", "data").withColumnRenamed("lang", "rk")
@@ -123,5 +123,19 @@ def test_shared_ranges_against_all_pairs():
         assert shared_ranges(stretches) == want
 
 
+def test_stretches_that_share_a_window_share_a_part():
+    rng = random.Random(13)
+    for _ in range(300):
+        common = bytes(rng.choice(b"abcd") for _ in range(200))
+        at = rng.randrange(185)  # place of the anchor in the shared window
+        stretches = []
+        for _ in range(2):
+            before = bytes(rng.choice(b"abcd") for _ in range(rng.randrange(184 - at + 1)))
+            after = bytes(rng.choice(b"abcd") for _ in range(rng.randrange(at + 1)))
+            stretches.append((before + common + after, len(before) + at))
+        a, b = (set(substring_dedup.split_keys(*x)) for x in stretches)
+        assert a & b
+
+
 def test_empty_table(docs_of):
     assert got(docs_of([])) == []
