@@ -132,6 +132,78 @@ QUERIES = {
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
+# ---------------------------------------------------------------------------- SQL
+
+_ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _positions(table: str, expression: str, size: int, *columns: str) -> str:
+    """Words of a table's texts with the ``size`` words that start at each."""
+    return rf"""
+        SELECT *, list(word) OVER (PARTITION BY rid ORDER BY pos ROWS BETWEEN CURRENT ROW AND {size - 1} FOLLOWING) AS ahead
+        FROM (SELECT rid, {', '.join(columns)}, n, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM (
+            SELECT *, len(words) AS n FROM (
+                SELECT *, row_number() OVER () AS rid, regexp_extract_all({_ASCII_LOWER}, '{expression}') AS words FROM {table})))"""
+
+
+_SQL_OP8 = rf"""
+    WITH d AS ({_positions("documents", r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", 10, "doc_id")}),
+         b AS ({_positions("(SELECT DISTINCT CAST(item_id AS VARCHAR) AS item_id, text FROM benchmark)",
+                           r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", 10, "item_id")}),
+         tests AS (SELECT DISTINCT item_id, least(n, 10) AS size, array_to_string(ahead, ' ') AS test
+                   FROM b WHERE len(ahead) = least(n, 10)),
+         found AS (SELECT DISTINCT d.rid, d.pos, t.size, t.item_id
+                   FROM (SELECT rid, pos, size, array_to_string(ahead[1:size], ' ') AS test
+                         FROM d, (SELECT DISTINCT size FROM tests) WHERE len(ahead) >= size) d JOIN tests t USING (size, test)),
+         words AS (SELECT rid, count(DISTINCT place) AS n_hit FROM (SELECT rid, unnest(range(pos, pos + size)) AS place FROM found) GROUP BY rid),
+         items AS (SELECT rid, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS names
+                   FROM (SELECT DISTINCT rid, item_id FROM found) GROUP BY rid),
+         docs AS (SELECT doc_id, rid, len(regexp_extract_all({_ASCII_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS n_words
+                  FROM (SELECT *, row_number() OVER () AS rid FROM documents))
+    SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(names, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+    FROM docs LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)"""
+
+_SQL_OP10 = rf"""
+    WITH RECURSIVE w AS ({_positions("documents", r"[^\x20\x09-\x0D]+", 5, "doc_id")}),
+         s AS (SELECT DISTINCT rid, array_to_string(ahead, ' ') AS shingle FROM w WHERE len(ahead) = 5 OR (n < 5 AND pos = 1)),
+         sizes AS (SELECT rid, count(*) AS n FROM s GROUP BY rid),
+         shared AS (SELECT x.rid AS a, y.rid AS b, count(*) AS common FROM s x JOIN s y USING (shingle) WHERE x.rid <> y.rid GROUP BY ALL),
+         links AS (SELECT a, b FROM shared JOIN sizes p ON p.rid = a JOIN sizes q ON q.rid = b
+                   WHERE 100 * common >= 75 * (p.n + q.n - common)),
+         reach AS (SELECT rid AS a, rid AS b FROM sizes UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+         docs AS (SELECT doc_id, row_number() OVER () AS rid FROM documents),
+         lowest AS (SELECT reach.a AS rid, min(doc_id) AS low FROM reach JOIN docs ON docs.rid = reach.b GROUP BY 1)
+    SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, CASE WHEN n IS NULL THEN doc_id ELSE low END AS component_id,
+           doc_id IS NOT DISTINCT FROM CASE WHEN n IS NULL THEN doc_id ELSE low END AS kept
+    FROM docs LEFT JOIN sizes USING (rid) LEFT JOIN lowest USING (rid)"""
+
+_URL = r"^(?i:https?)://([^/?#]*)([^?#]*)(?:\?([^#]*))?(?:#.*)?$"
+_SQL_OP7 = rf"""
+    WITH parts AS (SELECT *, regexp_extract(trim(url), '{_URL}', 1) AS host, regexp_extract(trim(url), '{_URL}', 2) AS path,
+                          array_to_string(list_sort(list_filter(string_split(regexp_extract(trim(url), '{_URL}', 3), '&'),
+                              lambda p: p <> '' AND NOT starts_with(p, 'utm_'))), '&') AS query FROM pages),
+         p AS (SELECT page_id AS n, CASE WHEN regexp_matches(trim(url), '{_URL}') THEN
+                      'http://' || regexp_replace(regexp_replace(lower(host), ':(80|443)$', ''), '^www\.', '')
+                      || regexp_replace(path, '/+$', '') || CASE WHEN query <> '' THEN '?' || query ELSE '' END ELSE trim(url) END AS site,
+                      make_timestamp((1600000000 + page_id * 60) * 1000000) AS ts,
+                      strftime(make_timestamp((1600000000 + page_id * 60) * 1000000), '%Y-%m-%d %H:%M:%S') AS modified,
+                      '"' || substr(md5(html), 1, 16) || '"' AS tag, md5(html) AS payload_md5 FROM parts),
+         full_at AS (SELECT site, ts, max(n) AS n FROM p GROUP BY site, ts),
+         r AS (SELECT n, site, ts + INTERVAL 1 DAY AS ts, modified, tag FROM p WHERE n % 3 <> 0),
+         paired AS (SELECT r.n, r.site, r.modified, r.tag, f.n AS base FROM r ASOF LEFT JOIN full_at f ON r.site = f.site AND r.ts > f.ts),
+         judged AS (SELECT x.*, b.modified AS old_modified, b.payload_md5,
+                    CASE WHEN base IS NULL THEN 'no_earlier_response' WHEN x.n % 11 = 0 THEN 'no_validator'
+                         WHEN x.n % 7 = 0 THEN 'validator_mismatch'
+                         WHEN x.n % 5 = 0 THEN CASE WHEN x.modified = b.modified THEN 'resolved' ELSE 'validator_mismatch' END
+                         WHEN x.tag = b.tag THEN 'resolved' ELSE 'validator_mismatch' END AS outcome, b.tag AS old_tag
+                    FROM paired x LEFT JOIN p b ON b.n = x.base)
+    SELECT n * 2 + 1 AS record_id, site, base * 2 AS base_id, outcome,
+           CASE WHEN outcome = 'resolved' THEN 'content-type=text/html;date=' || CASE WHEN n % 5 = 0 THEN old_modified ELSE 'later' END
+                || ';etag=' || CASE WHEN n % 5 = 0 THEN old_tag ELSE 'W/' || tag END || ';last-modified=' || old_modified END AS headers,
+           CASE WHEN outcome = 'resolved' THEN payload_md5 END AS payload_md5
+    FROM judged"""
+
 SQL = {
     "op9_exact_dedup": r"""
         WITH t AS (SELECT doc_id, coalesce(text, '') AS text,
@@ -140,4 +212,7 @@ SQL = {
                           first_value(doc_id) OVER w AS keep_id, row_number() OVER w AS rn
                    FROM t WINDOW w AS (PARTITION BY norm ORDER BY length(text) DESC, doc_id ASC NULLS LAST))
         SELECT doc_id, keep_id, group_size, rn = 1 AS kept, text_sha256 FROM s""",
+    "op7_revisit_resolution": _SQL_OP7,
+    "op8_decontamination": _SQL_OP8,
+    "op10_minhash_near_dedup": _SQL_OP10,
 }
