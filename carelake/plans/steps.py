@@ -61,6 +61,16 @@ def levels() -> list[list[str]]:
     return [[s for s in STEPS if depth[s] == d] for d in range(max(depth.values()) + 1)]
 
 
+def stored_hub(table: DataFrame, step: str, out_dir: str) -> DataFrame:
+    """A written hub as the later builds read it: stays and claim lines laid out by the
+    key they are joined on, other tables as they are."""
+    if step == "stays_pmsi":
+        return write_hub(table, f"{out_dir}/_hubs/stays", "stay_id")
+    if step == "prestations":
+        return write_hub(claim_hub(table), f"{out_dir}/_hubs/claims", "dcir_key")
+    return table
+
+
 def build_all(spark: SparkSession, src: Sources, out_dir: str,
               steps: Iterable[str] | None = None, max_concurrent_builds: int = 1) -> DataFrame:
     """Build and write the tables; returns the build summary (table, rows).
@@ -79,20 +89,13 @@ def build_all(spark: SparkSession, src: Sources, out_dir: str,
     def run(step: str) -> None:
         counts[step] = write_table(build_table(step, src, hubs), f"{out_dir}/{step}")
 
-    def hub_of(step: str) -> DataFrame:
-        stored = read_table(spark, f"{out_dir}/{step}")
-        if step == "stays_pmsi":
-            return write_hub(stored, f"{out_dir}/_hubs/stays", "stay_id")
-        if step == "prestations":
-            return write_hub(claim_hub(stored), f"{out_dir}/_hubs/claims", "dcir_key")
-        return stored
 
     for level in levels():
         todo = [s for s in level if s in wanted]
         for step in todo:
             hub = STEPS[step][0]
             if hub is not None and hub not in hubs:
-                hubs[hub] = hub_of(hub)
+                hubs[hub] = stored_hub(read_table(spark, f"{out_dir}/{hub}"), hub, out_dir)
         if max_concurrent_builds > 1 and len(todo) > 1:
             with ThreadPoolExecutor(max_workers=max_concurrent_builds) as pool:
                 for f in [pool.submit(run, s) for s in todo]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 import tempfile
 import uuid
@@ -51,11 +52,11 @@ def write_hub(df: DataFrame, path: str, key: str) -> DataFrame:
     """Write ``df`` as parquet bucketed and sorted by ``key`` and return it as a table.
 
     Joins and aggregations on the key read it without a shuffle or sort of this side.
-    The table is external: its files stay when its (session) catalog entry is dropped.
+    The table is external and named after its path, so a re-run replaces it.
     """
     spark = df.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    name = f"carelake_hub_{uuid.uuid4().hex}"
+    name = f"carelake_hub_{hashlib.md5(path.encode()).hexdigest()}"
     (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).mode("overwrite")
      .option("path", path).saveAsTable(name))
     return spark.table(name)

@@ -17,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-from carelake.plans.steps import STEPS, build_table  # noqa: E402
+from carelake.plans.steps import STEPS, build_table, stored_hub  # noqa: E402
 from carelake.sinks import scratch_path, write_table  # noqa: E402
 from carelake.sources import Sources  # noqa: E402
 from carelake.sources.readers import read_table  # noqa: E402
@@ -51,7 +51,7 @@ def main() -> None:
             fh.write(plan)
         if step in ("person", "stays_pmsi", "prestations"):
             write_table(df, f"{root}/out/{step}")
-            hubs[step] = read_table(spark, f"{root}/out/{step}")
+            hubs[step] = stored_hub(read_table(spark, f"{root}/out/{step}"), step, f"{root}/out")
         print(step, plan.count("Exchange"), "exchanges")
     spark.stop()
 
