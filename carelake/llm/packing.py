@@ -21,11 +21,32 @@ END_ID = 2
 # more are joined by shuffle
 BROADCAST_OFFSETS = 2_000_000
 
-_TEXT_AT_ONCE = 8_000_000
-_MEMO_WORDS = 400_000
+_TEXT_AT_ONCE = 4_000_000
+_MEMO_WORDS = 300_000
+_WORDS_AT_ONCE = 2_000
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
+def _byte_characters() -> dict[str, int]:
+    """The characters that byte-level vocabularies write bytes as: printable bytes as
+    themselves, the others in order from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(rest)}
+
+
+def _as_ranks(tokenizer):
+    """An encoder over the ranks of a byte-level vocabulary whose merges are in the
+    order of its ids."""
+    import tiktoken
+    from public_tokenizers import PATTERN
+
+    byte_of = _byte_characters()
+    ranks = {bytes(byte_of[c] for c in token): i for token, i in tokenizer.get_vocab(with_added_tokens=False).items()
+             if all(c in byte_of for c in token) and not token.startswith("<|")}
+    return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 class WordMemo:
     """Token ids of texts, remembered word by word.
 
@@ -39,26 +60,53 @@ class WordMemo:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        # new words go through the same vocabulary as ranks, which is much faster
+        self.ranked = _as_ranks(self.tokenizer)
+        size = self.tokenizer.get_vocab_size()
+        self.spaced = np.array([(self.tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
         self.first: dict[str, bytes | None] = {}
         self.later: dict[str, bytes | None] = {}
 
-    def _learn(self, known: dict, words: list[str], before: str) -> None:
+    def _forget(self, known: dict) -> None:
         if len(known) > _MEMO_WORDS:
             known.clear()
-        words = [w for w in set(words) if w not in known]
-        plain = [w for w in words if w and not w[0].isspace() and not w[-1].isspace()]
-        known.update(dict.fromkeys(words))
-        found = self.tokenizer.encode_batch_fast([before + w for w in plain], add_special_tokens=False)
-        known.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(plain, found))
+
+    def _learn_first(self, words: list[str]) -> None:
+        self._forget(self.first)
+        for word in set(words) - self.first.keys():
+            plain = not word or not word[-1].isspace()
+            self.first[word] = self._ids(word).tobytes() if plain else None
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+
+    def _learn_later(self, texts: list[list[str]]) -> None:
+        """New words are encoded together, each after a space: only the first id of such
+        a word can begin with a space, which tells the words' ids apart."""
+        self._forget(self.later)
+        new = set().union(*texts) - self.later.keys()
+        odd = [w for w in new if not w or w[0].isspace() or w[-1].isspace()]
+        new.difference_update(odd)
+        words = list(new)
+        for i in range(0, len(words), _WORDS_AT_ONCE):
+            some = words[i:i + _WORDS_AT_ONCE]
+            ids = np.array(self.ranked.encode_ordinary(" " + " ".join(some)), dtype="<u4")
+            raw, starts = ids.tobytes(), (4 * np.flatnonzero(self.spaced[ids])).tolist()
+            if len(starts) != len(some):  # a character that is white space to one of the two only
+                self.later.update((w, self._ids(" " + w).tobytes()) for w in some)
+                continue
+            self.later.update((w, raw[low:high]) for w, low, high in zip(some, starts, [*starts[1:], len(raw)]))
+        self.later.update(dict.fromkeys(odd))
 
     def _joined(self, texts: list[list[str]]) -> list[bytes | None]:
-        self._learn(self.first, [words[0] for words in texts], "")
-        self._learn(self.later, [w for words in texts for w in words[1:]], " ")
+        starts = [words.pop(0) for words in texts]
+        self._learn_first(starts)
+        self._learn_later(texts)
         first, later = self.first, self.later.__getitem__
         out: list[bytes | None] = []
-        for words in texts:
+        for start, words in zip(starts, texts):
             try:
-                out.append(first[words[0]] + b"".join(map(later, words[1:])))
+                out.append(first[start] + b"".join(map(later, words)))
             except TypeError:  # white space at a word's edge: not a safe cut
                 out.append(None)
         return out
@@ -68,9 +116,7 @@ class WordMemo:
         odd = [i for i, x in enumerate(out) if x is None]
         again = self._joined([_CUT.split(texts[i]) for i in odd]) if odd else []
         for i, ids in zip(odd, again):
-            if ids is None:
-                ids = np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, dtype="<u4").tobytes()
-            out[i] = ids
+            out[i] = self._ids(texts[i]).tobytes() if ids is None else ids
         return out
 
 
