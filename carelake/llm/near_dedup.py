@@ -23,19 +23,22 @@ MANTISSA_BITS = 10
 # 4 registers a band: a pair at the threshold meets in none of the 32 bands with
 # probability (1 - 0.75^4)^32, about 5 in a million
 BAND_REGISTERS = 4
+# set sizes with registers of the small and of the large form
+FEW_UP_TO, MANY_FROM = 344, 256
 # an estimate this many standard errors below the threshold needs no verification
 SIGMAS = 5.0
-# in a bucket of up to this many classes all unlinked pairs are compared at once;
-# larger buckets compare one pivot after another with all their other classes
-SMALL_BUCKET = 24
-PIVOTS_PER_ROUND = 4
+# in a bucket of up to this many classes unlinked pairs become rows; in larger ones they
+# are compared in blocks of this many rows a side, and only links become rows
+SMALL_BUCKET = 32
+BLOCK_ROWS = 1024
 # members of one pivot that a task verifies; more go to further tasks
 MEMBERS_PER_GROUP = 256
 
 _EMPTY = 0xFFFF
 _BUCKETS = 1 << BUCKET_BITS
-_TEXT_AT_ONCE = 4_000_000
+_TEXT_AT_ONCE = 1_000_000
 _POWER = np.uint64(0x9E3779B97F4A7C15)
+_SEEDS = np.random.default_rng(20).integers(0, 1 << 63, _BUCKETS, dtype=np.uint64) * np.uint64(2)
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else 32 if c == 32 or 9 <= c <= 13 else c for c in range(256))
 
 
@@ -89,31 +92,54 @@ def shingle_sets(texts: list[str]) -> list[np.ndarray]:
     return out
 
 
-def registers(hashes: np.ndarray) -> np.ndarray:
-    """HyperMinHash registers of a sorted set: per bucket the leading zeros of its
-    smallest hash and the bits that follow its first one; 0xFFFF for an empty bucket."""
-    out = np.full(_BUCKETS, _EMPTY, dtype=np.uint16)
-    if not len(hashes):
-        return out
-    bucket = (hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
-    first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-    # the 53 bits after the bucket number, exact as a double
-    rest = (hashes[first] << np.uint64(BUCKET_BITS)) >> np.uint64(11)
-    fraction, size = np.frexp(rest.astype(np.float64))
-    zeros = np.where(rest == 0, 53, 53 - size).astype(np.int64)
-    mantissa = np.where(rest == 0, 0, ((fraction * 2 - 1) * (1 << MANTISSA_BITS))).astype(np.int64)
-    out[bucket[first]] = (zeros << MANTISSA_BITS) + mantissa
-    return out
+def _compressed(minima: np.ndarray) -> np.ndarray:
+    """Registers of 64-bit minima: leading zeros and the bits that follow the first one
+    (of the upper 53 bits, which a double holds exactly)."""
+    upper = minima >> np.uint64(11)
+    fraction, size = np.frexp(upper.astype(np.float64))
+    zeros = np.where(upper == 0, 53, 53 - size).astype(np.uint16)
+    mantissa = np.where(upper == 0, 0, (fraction * 2 - 1) * (1 << MANTISSA_BITS)).astype(np.uint16)
+    return (zeros << np.uint16(MANTISSA_BITS)) + mantissa
+
 
+def registers(hashes: np.ndarray) -> tuple[np.ndarray | None, np.ndarray | None]:
+    """HyperMinHash registers of a sorted set, in the one or two forms that fit its size.
 
-def band_keys(regs: np.ndarray) -> np.ndarray:
-    """64-bit keys of the bands with at least one filled register."""
-    bands = regs.reshape(-1, BAND_REGISTERS)
-    filled = np.flatnonzero((bands != _EMPTY).any(axis=1))
-    content = np.zeros(len(filled), dtype=np.uint64)
-    for k in range(BAND_REGISTERS):
-        content = (content << np.uint64(16)) | bands[filled, k].astype(np.uint64)
-    return _mixed(_mixed(content) + (filled.astype(np.uint64) + np.uint64(1)) * _POWER).view(np.int64)
+    A large set is dealt out over the buckets by its hashes' first bits; a bucket keeps
+    the smallest of its share (0xFFFF if it has none).  Shares of a small set would be
+    empty or single elements, so there every bucket takes the smallest of all elements,
+    hashed anew for it.  Sizes in between have both forms: of two linked sets, which
+    differ by a quarter at most, both have one in common.
+    """
+    few = many = None
+    if 0 < len(hashes) <= FEW_UP_TO:
+        again = (hashes[:, None] ^ _SEEDS) * _POWER
+        again ^= again >> np.uint64(29)
+        again *= np.uint64(0xBF58476D1CE4E5B9)
+        few = _compressed(again.min(axis=0))
+    if len(hashes) >= MANY_FROM:
+        many = np.full(_BUCKETS, _EMPTY, dtype=np.uint16)
+        bucket = (hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+        first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        many[bucket[first]] = _compressed(hashes[first] << np.uint64(BUCKET_BITS))
+    return few, many
+
+
+def band_keys(few: np.ndarray | None, many: np.ndarray | None) -> np.ndarray:
+    """64-bit keys of the bands of either form; bands with a single filled register say
+    too little and are left out (large sets have next to none)."""
+    out = [np.empty(0, dtype=np.int64)]
+    for form, regs in enumerate((few, many)):
+        if regs is None:
+            continue
+        bands = regs.reshape(-1, BAND_REGISTERS)
+        filled = np.flatnonzero((bands != _EMPTY).sum(axis=1) > 1)
+        content = np.zeros(len(filled), dtype=np.uint64)
+        for k in range(BAND_REGISTERS):
+            content = (content << np.uint64(16)) | bands[filled, k].astype(np.uint64)
+        band = (filled.astype(np.uint64) * np.uint64(2) + np.uint64(form + 1)) * _POWER
+        out.append(_mixed(_mixed(content) + band).view(np.int64))
+    return np.concatenate(out)
 
 
 def estimated_similarity(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int) -> tuple[float, int]:
@@ -130,13 +156,17 @@ def estimated_similarity(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int) -> tu
     return max(0.0, (share - chance) / (1 - chance)), k
 
 
-def may_link(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int) -> bool:
-    """False where the sizes or the estimate rule out a link."""
+def may_link(a: tuple, b: tuple, n_a: int, n_b: int) -> bool:
+    """False where the sizes or the estimate rule out a link; ``a`` and ``b`` hold both
+    forms of the registers."""
     if 100 * min(n_a, n_b) < SHARE_OF_HUNDRED * max(n_a, n_b):
         return False
-    estimate, k = estimated_similarity(a, b, n_a, n_b)
-    wanted = SHARE_OF_HUNDRED / 100
-    return k == 0 or estimate >= wanted - SIGMAS * (wanted * (1 - wanted) / k) ** 0.5
+    for x, y in zip(a, b):
+        if x is not None and y is not None:
+            estimate, k = estimated_similarity(x, y, n_a, n_b)
+            wanted = SHARE_OF_HUNDRED / 100
+            return estimate >= wanted - SIGMAS * (wanted * (1 - wanted) / max(1, k)) ** 0.5
+    return True
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -152,18 +182,23 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batch, "text", _TEXT_AT_ONCE):
             sets = shingle_sets(part.column("text").to_pylist())
             keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
-            regs = [registers(s).tobytes() if len(s) else None for s in sets]
+            forms = [[None if r is None else r.tobytes() for r in registers(s)] for s in sets]
             yield record_batches([
                 ("doc_id", part.schema.field("doc_id").type, part.column("doc_id")),
                 ("rk", pa.string(), part.column("rk")), ("n_shingles", pa.int64(), [len(s) for s in sets]),
-                ("cls", pa.binary(), keys), ("regs", pa.binary(), regs)])
+                ("cls", pa.binary(), keys), ("few", pa.binary(), [f[0] for f in forms]),
+                ("many", pa.binary(), [f[1] for f in forms])])
+
+
+def _form(regs: bytes | None) -> np.ndarray | None:
+    return None if regs is None else np.frombuffer(regs, dtype=np.uint16)
 
 
 def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keys, of = [], []
-        for i, regs in enumerate(batch.column("regs").to_pylist()):
-            own = band_keys(np.frombuffer(regs, dtype=np.uint16))
+        for i, (few, many) in enumerate(zip(batch.column("few").to_pylist(), batch.column("many").to_pylist())):
+            own = band_keys(_form(few), _form(many))
             keys.append(own)
             of.append(np.full(len(own), i))
         if keys:
@@ -172,9 +207,10 @@ def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 @F.pandas_udf(BooleanType())
-def _estimate_allows(ra: pd.Series, rb: pd.Series, na: pd.Series, nb: pd.Series) -> pd.Series:
-    return pd.Series([may_link(np.frombuffer(a, dtype=np.uint16), np.frombuffer(b, dtype=np.uint16), m, n)
-                      for a, b, m, n in zip(ra, rb, na, nb)], dtype=bool)
+def _estimate_allows(few_a: pd.Series, many_a: pd.Series, n_a: pd.Series,
+                     few_b: pd.Series, many_b: pd.Series, n_b: pd.Series) -> pd.Series:
+    return pd.Series([may_link((_form(fa), _form(ma)), (_form(fb), _form(mb)), na, nb)
+                      for fa, ma, na, fb, mb, nb in zip(few_a, many_a, n_a, few_b, many_b, n_b)], dtype=bool)
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,11 +240,11 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, name: str)
 
     ``b`` is the pivot; its members are verified together, in parts of bounded size.
     """
-    side = classes.select("cls", "regs", F.col("n_shingles").alias("n"), "rk")
+    side = classes.select("cls", "few", "many", F.col("n_shingles").alias("n"), "rk")
     a = side.select(*[F.col(c).alias(f"{c}_a") for c in side.columns])
     b = side.select(*[F.col(c).alias(f"{c}_b") for c in side.columns])
     likely = (pairs.join(a, F.col("a") == F.col("cls_a")).join(b, F.col("b") == F.col("cls_b"))
-              .filter(_estimate_allows("regs_a", "regs_b", "n_a", "n_b"))
+              .filter(_estimate_allows("few_a", "many_a", "n_a", "few_b", "many_b", "n_b"))
               .select("a", "b", "rk_a", "rk_b"))
     likely = written(likely, f"{name}-likely")
     sizes = likely.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / MEMBERS_PER_GROUP).cast("int").alias("parts"))
@@ -239,14 +275,115 @@ def _open_buckets(rows: DataFrame) -> DataFrame:
     return rows.join(spread.select("key", "size"), "key")
 
 
+class _Side:
+    """Rows of one side of a block, as arrays."""
+
+    def __init__(self, rows: list[dict]):
+        self.rows = rows
+        self.n = np.array([len(r["shingles"]) // 8 for r in rows])
+        self.label = np.array([r["label"] for r in rows], dtype=object)
+        self.cls = np.array([r["cls"] for r in rows], dtype=object)
+        self.pivot = np.array([r["pivot"] for r in rows])
+        self.has = [np.array([r[form] is not None for r in rows]) for form in ("few", "many")]
+        empty = np.full(_BUCKETS, _EMPTY, dtype=np.uint16)
+        self.regs = [np.array([empty if r[form] is None else _form(r[form]) for r in rows]) for form in ("few", "many")]
+        self.sets = [np.frombuffer(r["shingles"], dtype=np.uint64) for r in rows]
+
+
+def _block_links(key: int, pivots: list[dict], members: list[dict]) -> Iterator[tuple[bytes, bytes]]:
+    """Links between pivots and members of other components, found by the estimate and
+    confirmed on the full sets.  A pair that meets in several large buckets is compared
+    in the one with the smallest key."""
+    if not pivots or not members:
+        return
+    side = _Side(members)
+    wanted = SHARE_OF_HUNDRED / 100
+    for p in pivots:
+        n, own = len(p["shingles"]) // 8, np.frombuffer(p["shingles"], dtype=np.uint64)
+        maybe = ((side.label != p["label"]) & (100 * np.minimum(side.n, n) >= SHARE_OF_HUNDRED * np.maximum(side.n, n))
+                 & ~(side.pivot & (side.cls <= p["cls"])))
+        open_, likely = maybe.copy(), np.zeros(len(members), dtype=bool)
+        for form, (has, regs) in enumerate(zip(side.has, side.regs)):
+            mine = p[("few", "many")[form]]
+            at = np.flatnonzero(open_ & has) if mine is not None else []
+            if not len(at):
+                continue
+            x, y = regs[at], _form(mine)
+            used = ((x != _EMPTY) | (y != _EMPTY)).sum(axis=1)
+            share = ((x == y) & (x != _EMPTY)).sum(axis=1) / np.maximum(1, used)
+            likely[at] = share >= wanted - SIGMAS * np.sqrt(wanted * (1 - wanted) / np.maximum(1, used))
+            open_[at] = False
+        for i in np.flatnonzero(likely | open_):
+            member = members[i]
+            if min(p["keys"] & member["keys"]) == key and linked(own, side.sets[i]):
+                yield max(p["cls"], member["cls"]), min(p["cls"], member["cls"])
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (key, part, block): one block of pivots and members at a time."""
+    current, sides = None, ([], [])
+
+    def found() -> pa.RecordBatch:
+        links = list(_block_links(current[0], *sides))
+        return record_batches([("a", pa.binary(), [a for a, _ in links]), ("b", pa.binary(), [b for _, b in links])])
+
+    for batch in batches:
+        for row in batch.to_pylist():
+            group = (row["key"], row["part"], row["block"])
+            if group != current:
+                if current:
+                    yield found()
+                current, sides = group, ([], [])
+            row["keys"] = set(row["keys"])
+            sides[row["member"]].append(row)
+    if current:
+        yield found()
+
+
+def _with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in slices(batch, "text", _TEXT_AT_ONCE):
+            sets = [x.tobytes() for x in shingle_sets(part.column("text").to_pylist())]
+            yield record_batches([(c, pa.binary(), part.column(c)) for c in ("cls", "few", "many")]
+                                 + [("shingles", pa.binary(), sets)])
+
+
+def _links_in_blocks(large: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links across components in large buckets (``key, cls, label, size``).
+
+    The classes outside a bucket's largest component are compared with all its classes
+    of other components.  Both sides are dealt out into blocks of bounded size, which
+    are compared inside a task; only links come out.
+    """
+    main = (large.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("size"))
+            .select("key", F.col("top.label").alias("main"),
+                    F.ceil(F.col("size") / BLOCK_ROWS).cast("int").alias("parts"),
+                    F.ceil((F.col("size") - F.col("top.n")) / BLOCK_ROWS).cast("int").alias("blocks")))
+    keys = large.groupBy("cls").agg(F.collect_list("key").alias("keys"))  # at most the bands of two forms
+    described = classes.select("cls", "few", "many", "rk").join(keys, "cls")
+    sets = described.join(docs.select("rk", "text"), "rk").select("cls", "few", "many", "text").mapInArrow(
+        _with_sets, "cls binary, few binary, many binary, shingles binary").dropDuplicates(["cls"])
+    sets = written(sets.join(keys, "cls"), "large-sets")
+    rows = (large.select("key", "cls", "label").join(main, "key").withColumn("pivot", F.col("label") != F.col("main"))
+            .join(sets, "cls"))
+    own = F.xxhash64("cls")
+    members = rows.withColumns({"part": F.pmod(own, "parts").cast("int"), "member": F.lit(1),
+                                "block": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))})
+    pivots = rows.filter("pivot").withColumns({"block": F.pmod(own, "blocks").cast("int"), "member": F.lit(0),
+                                               "part": F.explode(F.sequence(F.lit(0), F.col("parts") - 1))})
+    columns = ["key", "part", "block", "member", "cls", "label", "pivot", "few", "many", "shingles", "keys"]
+    dealt = members.select(*columns).unionAll(pivots.select(*columns)).repartition("key", "part", "block")
+    found = dealt.sortWithinPartitions("key", "part", "block").mapInArrow(_blocks, "a binary, b binary")
+    return written(found, "large-links")
+
+
 def _all_links(live: DataFrame, star: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """Links that connect every two classes which meet in a bucket and are linked.
 
-    First every class is compared with the smallest class of each of its buckets.  In
-    the buckets that still hold several components, pairs across components follow:
-    all of them in small buckets; in larger ones the classes outside the bucket's
-    largest component become pivots, a few a round, each compared with every class of
-    another component.  That ends when no such class is left, so no pair across
+    First every class is compared with the most central class of each of its buckets.
+    In the buckets that still hold several components, pairs across components follow:
+    as rows in small buckets, in blocks inside tasks in larger ones.  No pair across
     components is left out and none inside one is needed.
     """
     edges = _confirmed(star, classes, docs, "star")
@@ -255,36 +392,16 @@ def _all_links(live: DataFrame, star: DataFrame, classes: DataFrame, docs: DataF
     other = small.select("key", F.col("cls").alias("b"), F.col("label").alias("label_b"))
     pairs = (small.join(other, "key").filter((F.col("cls") > F.col("b")) & (F.col("label") != F.col("label_b")))
              .select(F.col("cls").alias("a"), "b").distinct())
-    fresh = written(pairs.join(star, ["a", "b"], "left_anti"), "small-pairs")
+    tested = star.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    fresh = written(pairs.join(tested, ["a", "b"], "left_anti"), "small-pairs")
+    more = []
     if not fresh.isEmpty():
-        edges = written(edges.unionAll(_confirmed(fresh, classes, docs, "small")), "links")
-    tested = star.unionAll(fresh)
-    large = rows.filter(F.col("size") > SMALL_BUCKET).select("key", "cls")
-    used = None
-    while not large.isEmpty():
-        large = written(_open_buckets(_labelled(large, edges)).select("key", "cls", "label"), "large")
-        main = (large.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-                .groupBy("key").agg(F.max(F.struct("n", "label")).alias("top")).select("key", F.col("top.label").alias("main")))
-        free = large.join(main, "key").filter("label <> main")
-        if used is not None:
-            free = free.join(used, ["key", "cls"], "left_anti")
-        slot = F.pmod(F.xxhash64("cls"), F.lit(PIVOTS_PER_ROUND))
-        pivots = written(free.groupBy("key", slot.alias("slot")).agg(F.min(F.struct("cls", "label")).alias("p"))
-                         .select("key", F.col("p.cls").alias("cls"), F.col("p.label").alias("label")), "pivots")
-        if pivots.isEmpty():
-            break
-        used = pivots.select("key", "cls") if used is None else used.unionAll(pivots.select("key", "cls"))
-        against = pivots.select("key", F.col("cls").alias("b"), F.col("label").alias("label_b"))
-        pairs = (large.join(against, "key").filter(F.col("label") != F.col("label_b"))
-                 .select(F.greatest("cls", "b").alias("a"), F.least("cls", "b").alias("b")).distinct())
-        fresh = written(pairs.join(tested, ["a", "b"], "left_anti"), "large-pairs")
-        found = _confirmed(fresh, classes, docs, "large")
-        if not found.isEmpty():
-            edges = written(edges.unionAll(found), "links")
-        tested = tested.unionAll(fresh)
-        # buckets whose classes outside the main component have all been pivots are done
-        left = free.join(pivots.select("key", "cls"), ["key", "cls"], "left_anti").select("key").distinct()
-        large = large.select("key", "cls").join(left, "key", "left_semi")
+        more.append(_confirmed(fresh, classes, docs, "small"))
+    large = rows.filter(F.col("size") > SMALL_BUCKET)
+    if not large.isEmpty():
+        more.append(_links_in_blocks(large, classes, docs))
+    for found in more:
+        edges = edges.unionAll(found)
     return edges
 
 
@@ -295,16 +412,18 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     base = base.withColumn("rk", row_key("doc_id", "text"))
     kind = docs.schema[id_col].dataType.simpleString()
     rows = written(base.mapInArrow(
-        _described, f"doc_id {kind}, rk string, n_shingles bigint, cls binary, regs binary"), "sets")
+        _described, f"doc_id {kind}, rk string, n_shingles bigint, cls binary, few binary, many binary"), "sets")
     classes = written(rows.filter("cls is not null").groupBy("cls").agg(
-        F.min("doc_id").alias("low_id"), F.min("rk").alias("rk"), F.first("regs").alias("regs"),
-        F.first("n_shingles").alias("n_shingles")), "classes")
-    bands = written(classes.select("cls", "regs").mapInArrow(_banded, "key bigint, cls binary"), "bands")
-    buckets = (bands.groupBy("key").agg(F.min("cls").alias("pivot"), F.max("cls").alias("top"))
-               .filter("pivot <> top").select("key", "pivot"))
-    live = written(bands.join(buckets, "key"), "live")
-    star = written(live.filter("cls <> pivot").select(F.col("cls").alias("a"), F.col("pivot").alias("b")).distinct(),
-                   "star")
+        F.min("doc_id").alias("low_id"), F.min("rk").alias("rk"), F.first("few").alias("few"),
+        F.first("many").alias("many"), F.first("n_shingles").alias("n_shingles")), "classes")
+    bands = written(classes.select("cls", "few", "many").mapInArrow(_banded, "key bigint, cls binary"), "bands")
+    sizes = bands.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    live = written(bands.join(sizes, "key"), "live")
+    # a class that meets many others is central: the likely origin of a group of copies
+    central = live.groupBy("cls").agg(F.sum("size").alias("meets"))
+    top = (live.join(central, "cls").groupBy("key").agg(F.max(F.struct("meets", "cls")).alias("top"))
+           .select("key", F.col("top.cls").alias("b")))
+    star = written(live.join(top, "key").filter("cls <> b").select(F.col("cls").alias("a"), "b").distinct(), "star")
     edges = _all_links(live.select("key", "cls"), star, classes, base)
     labels = connected_components(edges).withColumnRenamed("node", "cls")
     named = classes.select("cls", "low_id").join(labels, "cls", "left").select(

@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 
 from carelake.llm import near_dedup
 
@@ -51,14 +52,16 @@ def test_sets_match_brute_force(sample):
 
 
 def test_estimate_is_close():
+    """Both register forms, at several similarities."""
     rng = np.random.default_rng(5)
-    for share in (0.5, 0.75, 0.95):
-        pool = np.unique(rng.integers(0, 2**63, 6000, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
-        n = int(len(pool) * share)
-        only = (len(pool) - n) // 2
-        a, b = np.sort(pool[:n + only]), np.sort(np.concatenate([pool[:n], pool[n + only:]]))
-        found, k = near_dedup.estimated_similarity(near_dedup.registers(a), near_dedup.registers(b), len(a), len(b))
-        assert k == 128 and abs(found - share) < 0.2
+    for form, size in ((0, 250), (1, 3000)):
+        for share in (0.5, 0.75, 0.95):
+            pool = rng.permutation(np.unique(rng.integers(0, 2**63, size, dtype=np.uint64) * np.uint64(2) + np.uint64(1)))
+            both, only = int(size * share), (size - int(size * share)) // 2
+            a, b = np.sort(pool[:both + only]), np.sort(np.concatenate([pool[:both], pool[both + only:]]))
+            x, y = near_dedup.registers(a)[form], near_dedup.registers(b)[form]
+            found, k = near_dedup.estimated_similarity(x, y, len(a), len(b))
+            assert k == 128 and abs(found - share) < 0.2
 
 
 def edited(words, rng, edits):
@@ -82,14 +85,20 @@ def test_links_against_brute_force(docs_of):
     assert got(df) == brute(rows)
 
 
-def test_pivot_rounds_in_a_large_bucket(docs_of, monkeypatch):
-    """A hub with variants that are linked to it but hardly to each other."""
+@pytest.mark.parametrize("block", [1024, 5])
+def test_blocks_of_a_large_bucket(docs_of, monkeypatch, block):
+    """Hubs with variants that are linked to them but hardly to each other, and chains."""
     rng = random.Random(4)
     monkeypatch.setattr(near_dedup, "SMALL_BUCKET", 3)
-    words = [f"w{i}" for i in range(400)]
-    rows = [(500, " ".join(words))]
-    for i in range(30):
-        rows.append((i, edited(words, rng, 10)))
+    monkeypatch.setattr(near_dedup, "BLOCK_ROWS", block)
+    rows = []
+    for size in (60, 150, 300, 500):
+        words = [f"w{size}x{i}" for i in range(size)]
+        for i in range(14):
+            rows.append((size * 100 + i, edited(words, rng, size // 35)))
+        for i in range(10):
+            words = edited(words, rng, size // 50 + 1).split(" ")
+            rows.append((size * 100 + 50 + i, " ".join(words)))
     assert got(docs_of(rows)) == brute(rows)
 
 
