@@ -17,9 +17,9 @@ from carelake.llm.common import record_batches, slices, whole_text, written
 
 CAPACITY = 1024
 END_ID = 2
-# offsets of up to this many (task, length) pairs are broadcast (16 bytes each);
+# offsets of up to this many (task, length) pairs are broadcast (some 80 MB as a table);
 # more are joined by shuffle
-BROADCAST_OFFSETS = 2_000_000
+BROADCAST_OFFSETS = 500_000
 
 _TEXT_AT_ONCE = 4_000_000
 _MEMO_WORDS = 300_000
