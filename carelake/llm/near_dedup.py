@@ -216,7 +216,7 @@ def _estimate_allows(few_a: pd.Series, many_a: pd.Series, n_a: pd.Series,
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (pivot, part, member first): the pivot's row comes before its
     members.  Emits the confirmed links."""
-    pivot, own, last = None, None, None
+    pivot, own = None, None
     for batch in batches:
         for part in slices(batch, "text", _TEXT_AT_ONCE):
             a, b = [], []
@@ -227,35 +227,30 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if not is_member:
                     if (p, piece) != pivot:
                         pivot, own = (p, piece), found
-                elif (p, piece, cls) != last:
-                    last = (p, piece, cls)
-                    if linked(own, found):
-                        a.append(cls)
-                        b.append(p)
+                elif linked(own, found):
+                    a.append(cls)
+                    b.append(p)
             yield record_batches([("a", pa.binary(), a), ("b", pa.binary(), b)])
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, name: str) -> DataFrame:
+def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, name: str) -> DataFrame:
     """The pairs (a, b) that are linked: first by estimate, then on the full sets.
 
     ``b`` is the pivot; its members are verified together, in parts of bounded size.
     """
-    side = classes.select("cls", "few", "many", F.col("n_shingles").alias("n"), "rk")
+    side = classes.select("cls", "few", "many", F.col("n_shingles").alias("n"))
     a = side.select(*[F.col(c).alias(f"{c}_a") for c in side.columns])
     b = side.select(*[F.col(c).alias(f"{c}_b") for c in side.columns])
     likely = (pairs.join(a, F.col("a") == F.col("cls_a")).join(b, F.col("b") == F.col("cls_b"))
               .filter(_estimate_allows("few_a", "many_a", "n_a", "few_b", "many_b", "n_b"))
-              .select("a", "b", "rk_a", "rk_b"))
+              .select("a", "b"))
     likely = written(likely, f"{name}-likely")
     sizes = likely.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / MEMBERS_PER_GROUP).cast("int").alias("parts"))
     dealt = likely.join(sizes, "b").withColumn("part", F.pmod(F.xxhash64("a"), "parts").cast("int"))
-    wanted = dealt.select(F.col("rk_a").alias("rk"), F.col("b").alias("pivot"), "part",
-                          F.lit(True).alias("member"), F.col("a").alias("cls"))
-    pivots = (likely.groupBy("b").agg(F.first("rk_b").alias("rk"), F.count(F.lit(1)).alias("n"))
-              .select("rk", F.col("b").alias("pivot"), F.explode(F.sequence(
-                  F.lit(0), F.ceil(F.col("n") / MEMBERS_PER_GROUP).cast("int") - 1)).alias("part"),
-                  F.lit(False).alias("member"), F.col("b").alias("cls")))
-    rows = wanted.unionAll(pivots).join(docs.select("rk", "text"), "rk")
+    wanted = dealt.select(F.col("b").alias("pivot"), "part", F.lit(True).alias("member"), F.col("a").alias("cls"))
+    pivots = sizes.select(F.col("b").alias("pivot"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+                          F.lit(False).alias("member"), F.col("b").alias("cls"))
+    rows = wanted.unionAll(pivots).join(texts, "cls")
     grouped = (rows.select("pivot", "part", "member", "cls", "text").repartition("pivot", "part")
                .sortWithinPartitions("pivot", "part", "member", "cls"))
     return written(grouped.mapInArrow(_verified, "a binary, b binary"), f"{name}-links")
@@ -348,7 +343,7 @@ def _with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                  + [("shingles", pa.binary(), sets)])
 
 
-def _links_in_blocks(large: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+def _links_in_blocks(large: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
     """Links across components in large buckets (``key, cls, label, size``).
 
     The classes outside a bucket's largest component are compared with all its classes
@@ -361,9 +356,9 @@ def _links_in_blocks(large: DataFrame, classes: DataFrame, docs: DataFrame) -> D
                     F.ceil(F.col("size") / BLOCK_ROWS).cast("int").alias("parts"),
                     F.ceil((F.col("size") - F.col("top.n")) / BLOCK_ROWS).cast("int").alias("blocks")))
     keys = large.groupBy("cls").agg(F.collect_list("key").alias("keys"))  # at most the bands of two forms
-    described = classes.select("cls", "few", "many", "rk").join(keys, "cls")
-    sets = described.join(docs.select("rk", "text"), "rk").select("cls", "few", "many", "text").mapInArrow(
-        _with_sets, "cls binary, few binary, many binary, shingles binary").dropDuplicates(["cls"])
+    described = classes.select("cls", "few", "many").join(keys.select("cls"), "cls").join(texts, "cls")
+    sets = described.select("cls", "few", "many", "text").mapInArrow(
+        _with_sets, "cls binary, few binary, many binary, shingles binary")
     sets = written(sets.join(keys, "cls"), "large-sets")
     rows = (large.select("key", "cls", "label").join(main, "key").withColumn("pivot", F.col("label") != F.col("main"))
             .join(sets, "cls"))
@@ -378,7 +373,7 @@ def _links_in_blocks(large: DataFrame, classes: DataFrame, docs: DataFrame) -> D
     return written(found, "large-links")
 
 
-def _all_links(live: DataFrame, star: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+def _all_links(live: DataFrame, star: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
     """Links that connect every two classes which meet in a bucket and are linked.
 
     First every class is compared with the most central class of each of its buckets.
@@ -386,7 +381,7 @@ def _all_links(live: DataFrame, star: DataFrame, classes: DataFrame, docs: DataF
     as rows in small buckets, in blocks inside tasks in larger ones.  No pair across
     components is left out and none inside one is needed.
     """
-    edges = _confirmed(star, classes, docs, "star")
+    edges = _confirmed(star, classes, texts, "star")
     rows = written(_open_buckets(_labelled(live, edges)), "open")
     small = rows.filter(F.col("size") <= SMALL_BUCKET)
     other = small.select("key", F.col("cls").alias("b"), F.col("label").alias("label_b"))
@@ -396,10 +391,10 @@ def _all_links(live: DataFrame, star: DataFrame, classes: DataFrame, docs: DataF
     fresh = written(pairs.join(tested, ["a", "b"], "left_anti"), "small-pairs")
     more = []
     if not fresh.isEmpty():
-        more.append(_confirmed(fresh, classes, docs, "small"))
+        more.append(_confirmed(fresh, classes, texts, "small"))
     large = rows.filter(F.col("size") > SMALL_BUCKET)
     if not large.isEmpty():
-        more.append(_links_in_blocks(large, classes, docs))
+        more.append(_links_in_blocks(large, classes, texts))
     for found in more:
         edges = edges.unionAll(found)
     return edges
@@ -419,12 +414,16 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     bands = written(classes.select("cls", "few", "many").mapInArrow(_banded, "key bigint, cls binary"), "bands")
     sizes = bands.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     live = written(bands.join(sizes, "key"), "live")
+    # the texts of classes that meet any other, once each; no other text moves
+    meeting = classes.select("cls", "rk").join(live.select("cls").distinct(), "cls")
+    texts = written(meeting.join(base.select("rk", "text"), "rk").groupBy("rk", "cls").agg(F.first("text").alias("text"))
+                    .select("cls", "text"), "texts")
     # a class that meets many others is central: the likely origin of a group of copies
     central = live.groupBy("cls").agg(F.sum("size").alias("meets"))
     top = (live.join(central, "cls").groupBy("key").agg(F.max(F.struct("meets", "cls")).alias("top"))
            .select("key", F.col("top.cls").alias("b")))
     star = written(live.join(top, "key").filter("cls <> b").select(F.col("cls").alias("a"), "b").distinct(), "star")
-    edges = _all_links(live.select("key", "cls"), star, classes, base)
+    edges = _all_links(live.select("key", "cls"), star, classes, texts)
     labels = connected_components(edges).withColumnRenamed("node", "cls")
     named = classes.select("cls", "low_id").join(labels, "cls", "left").select(
         "cls", F.coalesce("label", "cls").alias("label"), "low_id")
