@@ -44,7 +44,8 @@ def _with_lower_names(headers: str) -> Column:
 
 
 def _latest_before(points: DataFrame, n: int) -> DataFrame:
-    """``site, at, base``: for each (site, time) the response of the latest earlier time.
+    """``site, at, base_at, base_id``: for each (site, time) the response of the latest
+    earlier time.
 
     ``points`` holds one row per site and time with the response of that time, if any.
     A site with more than a quarter of a partition's share of the points is cut into
@@ -65,9 +66,11 @@ def _latest_before(points: DataFrame, n: int) -> DataFrame:
     inside = Window.partitionBy("site", "range").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     earlier = Window.partitionBy("site").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     ends = dealt.groupBy("site", "range").agg(F.max(F.when(F.col("base").isNotNull(), F.struct("at", "base"))).alias("end"))
-    carried = ends.select("site", "range", F.last(F.col("end.base"), ignorenulls=True).over(earlier).alias("carried"))
-    near = dealt.select("site", "range", "at", F.last("base", ignorenulls=True).over(inside).alias("near"))
-    return near.join(carried, ["site", "range"]).select("site", "at", F.coalesce("near", "carried").alias("base"))
+    carried = ends.select("site", "range", F.last("end", ignorenulls=True).over(earlier).alias("carried"))
+    response = F.when(F.col("base").isNotNull(), F.struct("at", "base"))
+    near = dealt.select("site", "range", "at", F.last(response, ignorenulls=True).over(inside).alias("near"))
+    found = near.join(carried, ["site", "range"]).select("site", "at", F.coalesce("near", "carried").alias("found"))
+    return found.select("site", "at", F.col("found.at").alias("base_at"), F.col("found.base").alias("base_id"))
 
 
 def resolve_revisits(records: DataFrame) -> DataFrame:
@@ -94,18 +97,17 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     points = known.filter("status in (200, 304)").groupBy("site", F.col("fetched_at").alias("at")).agg(
         F.max(F.when(F.col("status") == 200, F.col("record_id"))).alias("base"))
     points = written(points, "site-times")
-    asof = _latest_before(points, partitions(records)).filter("base is not null")
+    asof = _latest_before(points, partitions(records)).filter("base_id is not null")
     revisits = base.filter("status = 304").select("record_id", "site", "fetched_at", F.col("headers").alias("new"))
-    paired = revisits.join(asof.withColumnRenamed("at", "fetched_at").withColumnRenamed("base", "base_id"),
-                           ["site", "fetched_at"], "left")
-    # one response per site, time and id: repeated rows of a response are one
+    paired = revisits.join(asof.withColumnRenamed("at", "fetched_at"), ["site", "fetched_at"], "left")
+    # one response per site, time and id (repeated rows are one); a payload moves once,
+    # both joins and the group-by are on the same three keys
     full = (known.filter("status = 200").join(points.select("site", F.col("at").alias("fetched_at"), F.col("base").alias("record_id")),
                                               ["site", "fetched_at", "record_id"], "left_semi")
-            .groupBy("site", F.col("record_id").alias("base_id"))
-            .agg(F.max(F.struct("fetched_at", F.to_json("headers").alias("json"), "payload")).alias("x"))
-            .select("site", "base_id", F.from_json("x.json", "map<string,string>").alias("old"),
-                    F.col("x.payload").alias("stored")))
-    joined = paired.join(full, ["site", "base_id"], "left")
+            .groupBy("site", "fetched_at", "record_id").agg(F.max(F.struct(F.to_json("headers").alias("json"), "payload")).alias("x"))
+            .select("site", F.col("fetched_at").alias("base_at"), F.col("record_id").alias("base_id"),
+                    F.from_json("x.json", "map<string,string>").alias("old"), F.col("x.payload").alias("stored")))
+    joined = paired.join(full, ["site", "base_at", "base_id"], "left")
     tag, time = _header("new", "etag"), _header("new", "last-modified")
     same = F.when(tag.isNotNull(), _strong(tag).eqNullSafe(_strong(_header("old", "etag")))).otherwise(
         time.eqNullSafe(_header("old", "last-modified")))
