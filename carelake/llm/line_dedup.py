@@ -1,4 +1,4 @@
-"""Line dedup: repeated multi-line chunks with content-defined boundaries."""
+"""Line dedup: all repeated runs of two or more lines."""
 
 from __future__ import annotations
 
@@ -25,7 +25,8 @@ def _line_hash(line: str) -> int:
 
 
 def chunks(lines: list[str]) -> Iterator[tuple[int, int]]:
-    """(first line, end line) of each chunk.
+    """(first line, end line) of each chunk of a tiling; the search for repeated runs
+    does not cut by it, since a run may begin and end anywhere.
 
     A hash rolls over the last two line hashes; a chunk of two or more lines ends where
     it is even.  A boundary depends on the lines next to it alone, so inserted lines
@@ -45,58 +46,90 @@ def chunks(lines: list[str]) -> Iterator[tuple[int, int]]:
         yield start, len(lines)
 
 
-def multi_line_chunks(text: str) -> Iterator[tuple[int, int, str]]:
-    """(first line, end line, text) of the chunks of at least two lines that hold more
-    than white space."""
+def multi_line_chunks(text: str) -> Iterator[tuple[int, int, bytes]]:
+    """(first line, end line, digest) of the shortest runs of at least two lines that
+    hold more than white space: every line that does with the line after it, and with
+    each number of the white-space lines that follow it or lead to it.
+
+    Together they cover a line of a longer run exactly where the run covers it: what
+    repeats as a whole repeats in these parts, wherever it begins and ends.
+    """
     lines = text.split("\n")
-    for start, end in chunks(lines):
-        chunk = "\n".join(lines[start:end])
-        if end - start >= MIN_LINES and not chunk.isspace():
-            yield start, end, chunk
-
-
-def _chunked(with_text: bool):
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text", _TEXT_AT_ONCE):
-                of, starts, ends, keys, texts = [], [], [], [], []
-                for row, text in enumerate(part.column("text").to_pylist()):
-                    for start, end, chunk in multi_line_chunks(text):
-                        of.append(row)
-                        starts.append(start)
-                        ends.append(end)
-                        raw = chunk.encode("utf-8", "surrogatepass")
-                        keys.append(hashlib.sha256(raw).digest())
-                        if with_text:
-                            texts.append(raw)
-                where = pa.array(of, type=pa.int64())
-                columns = [("doc_id", part.schema.field("doc_id").type, part.column("doc_id").take(where)),
-                           ("rk", pa.string(), part.column("rk").take(where)), ("start", pa.int64(), starts),
-                           ("end", pa.int64(), ends), ("key", pa.binary(), keys)]
-                yield record_batches(columns + [("chunk", pa.binary(), texts)] * with_text)
-
-    return cut
+    marks = [hashlib.sha256(x.encode("utf-8", "surrogatepass")).digest() for x in lines]
+    blank = [not x or x.isspace() for x in lines]
+    for i, own in enumerate(marks):
+        if blank[i]:
+            continue
+        ahead, end = hashlib.sha256(own), i + 1
+        while end < len(lines) and (blank[end] or end == i + 1):
+            ahead.update(marks[end])
+            end += 1
+            yield i, end, ahead.digest()
+            if not blank[end - 1]:
+                break
+        back, start = hashlib.sha256(b"back" + own), i
+        while start and blank[start - 1]:
+            start -= 1
+            back.update(marks[start])
+            yield start, i + 1, back.digest()
+
+
+def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in slices(batch, "text", _TEXT_AT_ONCE):
+            of, starts, ends, keys = [], [], [], []
+            for row, text in enumerate(part.column("text").to_pylist()):
+                for start, end, key in multi_line_chunks(text):
+                    of.append(row)
+                    starts.append(start)
+                    ends.append(end)
+                    keys.append(key)
+            where = pa.array(of, type=pa.int64())
+            yield record_batches([
+                ("doc_id", part.schema.field("doc_id").type, part.column("doc_id").take(where)),
+                ("rk", pa.string(), part.column("rk").take(where)), ("start", pa.int64(), starts),
+                ("end", pa.int64(), ends), ("key", pa.binary(), keys)])
+
+
+_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Line ranges of each row sorted and merged where they overlap or meet."""
+    for batch in batches:
+        merged = []
+        for spans in batch.column("spans"):
+            runs: list[list[int]] = []
+            for start, end in sorted((s["start"], s["end"]) for s in spans.as_py()):
+                if runs and start <= runs[-1][1]:
+                    runs[-1][1] = max(runs[-1][1], end)
+                else:
+                    runs.append([start, end])
+            merged.append([{"start": s, "end": e} for s, e in runs])
+        yield record_batches([("rk", pa.string(), batch.column("rk")), ("spans", _SPANS, merged)])
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``rk, spans``: per document (by its row key) the line ranges to remove.
+    """``rk, spans``: per document (by its row key) the line ranges to remove, disjoint
+    and by start.
 
-    Chunks are grouped by digest and full bytes, so equal bytes alone make a group;
-    copies are counted before the shuffle.  The occurrence with the smallest id (null
-    ids last), then row key and line, stays.
+    Runs are equal when their SHA-256 digests are; copies are counted before the
+    shuffle.  The occurrence with the smallest id (null ids last), then row key and
+    line, stays.
     """
     base = docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
     base = base.withColumn("rk", row_key("doc_id", "text"))
     kind = docs.schema[id_col].dataType.simpleString()
     narrow = f"doc_id {kind}, rk string, start bigint, end bigint, key binary"
     place = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("rk"), F.col("start"))
-    repeated = (base.mapInArrow(_chunked(True), f"{narrow}, chunk binary").groupBy("key", "chunk")
+    repeated = (base.mapInArrow(_chunked, narrow).groupBy("key")
                 .agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).filter("n > 1")
                 .select("key", F.col("first.rk").alias("first_rk"), F.col("first.start").alias("first_start")))
     repeated = written(repeated, "repeated")
-    found = (base.mapInArrow(_chunked(False), narrow).join(repeated, "key")
+    found = (base.mapInArrow(_chunked, narrow).join(repeated, "key")
              .filter(~((F.col("rk") == F.col("first_rk")) & (F.col("start") == F.col("first_start")))))
-    return found.groupBy("rk").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
+    spans = found.groupBy("rk").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    return spans.mapInArrow(_merged, "rk string, spans array<struct<start:bigint,end:bigint>>")
 
 
 def _remaining(text: Column, spans: Column) -> Column:
@@ -109,10 +142,12 @@ def _remaining(text: Column, spans: Column) -> Column:
 def deduplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_lines, n_removed, spans, text`` for every row.
 
-    A chunk of two or more lines that occurs more than once in the corpus (in one
-    document or in several) stays where it occurs first; everywhere else its lines go.
+    Of every run of two or more lines that occurs more than once in the corpus (in one
+    document or in several, also overlapping itself), all lines of all occurrences but
+    the first go, wherever the runs begin and end.  A first occurrence may lose lines to
+    another run that occurs still earlier; one copy of every line stays.
     ``spans`` are the removed line ranges (end exclusive), ``text`` what is left.
-    Lines are split at LF; white-space-only chunks and single lines never go.  Null
+    Lines are split at LF; white-space-only runs and single lines never go.  Null
     text counts as empty (one empty line).  Repeated rows of one id and text get one
     decision; an empty table gives no rows; extra columns are ignored.
     """
@@ -128,7 +163,7 @@ def deduplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 
 def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents with repeated chunks removed from their texts, all columns kept;
+    """The documents with repeated runs removed from their texts, all columns kept;
     documents whose text loses everything but white space go, others all stay."""
     key, ranges = "carelake_row_key", "carelake_spans"
     spans = repeated_spans(docs, id_col, text_col).select(F.col("rk").alias(key), F.col("spans").alias(ranges))

@@ -22,7 +22,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def unrepeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without repeated multi-line chunks; ``n_chars`` follows the text."""
+    """Texts without repeated multi-line runs; ``n_chars`` follows the text."""
     out = line_dedup.without_repeated_lines(docs)
     if "n_chars" not in out.columns:
         return out
