@@ -100,8 +100,8 @@ def _iban(key: bytes, m: re.Match) -> str | None:
 
 
 def _phone(key: bytes, m: re.Match) -> str | None:
-    """North American numbers keep a possible area and exchange; other international
-    numbers keep their first two digits."""
+    """North American numbers keep a possible area and exchange and have eleven digits
+    after a plus sign; other international numbers keep their first two digits."""
     digits = re.sub(r"\D", "", m.group())
     if digits[0] == "1" and len(digits) == 11 or len(digits) == 10 and m.group()[0] != "+":
         area, exchange, line = int(digits[-10:-7]), int(digits[-7:-4]), int(digits[-4:])
@@ -111,7 +111,7 @@ def _phone(key: bytes, m: re.Match) -> str | None:
         x, line = divmod(x, 10_000)
         area, exchange = divmod(x, 800)
         return _filled(m.group(), digits[:-10] + f"{area + 200}{exchange + 200}{line:04d}")
-    if m.group()[0] != "+" or not 8 <= len(digits) <= 15:
+    if m.group()[0] != "+" or digits[0] in "01" or not 8 <= len(digits) <= 15:
         return None
     return _filled(m.group(), digits[:2] + _digits(key, "phone+", digits[2:]))
 
@@ -141,7 +141,8 @@ _FIRST_DAY, _LAST_DAY = dt.date(1900, 1, 1).toordinal(), dt.date(2099, 12, 31).t
 
 
 def _date(key: bytes, m: re.Match) -> str | None:
-    """Calendar dates of 1900 to 2099; the order of the parts and the separators stay."""
+    """Calendar dates of 1900 to 2099; the order of the parts and the separators stay;
+    days and months have no leading zeros where one of them had one digit."""
     parts = re.split(r"([-/.])", m.group())
     year_first = len(parts[0]) == 4
     year, month, day = (parts[0], parts[2], parts[4]) if year_first else (parts[4], parts[2], parts[0])
@@ -160,9 +161,10 @@ def _date(key: bytes, m: re.Match) -> str | None:
         return None
     new = dt.date.fromordinal(_FIRST_DAY + permuted(key, "date", _LAST_DAY - _FIRST_DAY + 1, x))
     first, second = (new.month, new.day) if american or year_first else (new.day, new.month)
+    width = min(len(month), len(day))
     if year_first:
-        return f"{new.year}{parts[1]}{first:02d}{parts[3]}{second:02d}"
-    return f"{first:02d}{parts[1]}{second:02d}{parts[3]}{new.year}"
+        return f"{new.year}{parts[1]}{first:0{width}d}{parts[3]}{second:0{width}d}"
+    return f"{first:0{width}d}{parts[1]}{second:0{width}d}{parts[3]}{new.year}"
 
 
 def _mail(key: bytes, m: re.Match) -> str | None:
@@ -183,45 +185,77 @@ def _mail(key: bytes, m: re.Match) -> str | None:
     return "".join(reversed(new)) + "@" + domain
 
 
-# kind -> (expression, check and permutation), in the order in which they win at one place
-KINDS: dict[str, tuple[re.Pattern, Callable[[bytes, re.Match], str | None]]] = {
-    "mail": (re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}"), _mail),
-    "iban": (re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])"), _iban),
-    "card": (re.compile(r"(?<![\w.+-])[0-9](?:[ -]?[0-9]){12,18}(?![\w-])"), _card),
-    "date": (re.compile(r"(?<![\w./-])(?:[0-9]{4}([-/.])[0-9]{2}\1[0-9]{2}|[0-9]{2}([-/.])[0-9]{2}\2[0-9]{4})(?![\w/-])"), _date),
-    "address": (re.compile(r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\w]|\.[0-9])"), _address),
-    "national": (re.compile(r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])"), _national),
-    "phone": (re.compile(r"(?<![\w.+-])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])(?:[0-9]{2,4}[ .-]?){1,3}[0-9]{2,4}(?![\w-])"), _phone),
+# kind -> (expression, what may follow, check and permutation), in the order in which they
+# win at one place
+KINDS: dict[str, tuple[re.Pattern, re.Pattern, Callable[[bytes, re.Match], str | None]]] = {
+    "mail": (re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}"),
+             re.compile(""), _mail),
+    "iban": (re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}"), re.compile(r"(?![A-Za-z0-9])"), _iban),
+    "card": (re.compile(r"(?<![\w+])(?<![0-9]\.)[0-9](?:[ -]?[0-9]){12,18}"), re.compile(r"(?!\w)"), _card),
+    # a time may follow
+    "date": (re.compile(r"(?<![\w./-])(?:[0-9]{4}([-/.])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-/.])[0-9]{1,2}\2[0-9]{4})"),
+             re.compile(r"(?=T[0-9])|(?![\w/-])"), _date),
+    "address": (re.compile(r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}"), re.compile(r"(?![\w]|\.[0-9])"), _address),
+    "national": (re.compile(r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}"), re.compile(r"(?![\w-])"), _national),
+    # in groups, after a plus sign also without, or ten digits with or without the one ahead
+    "phone": (re.compile(r"(?<![\w+])(?<![0-9][.-])(?:(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{1,4}[ .-])"
+                         r"(?:[0-9]{2,4}[ .-]?){1,3}[0-9]{2,4}|\+[0-9]{8,15}|1?[0-9]{10})"),
+              re.compile(r"(?!\w|-\w)"), _phone),
 }
 _ANY = re.compile(r"[0-9@]")
+# kinds whose length is bounded: shorter ends are tried
+_BOUNDED = KINDS.keys() - {"mail"}
+# usual groups of digits
+_GROUPED = {"card": re.compile(r"[0-9]+|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,4}(?:\1[0-9]{3})?"
+                               r"|[0-9]{4}([ -])[0-9]{6}\2[0-9]{4,5}")}
 
 
 @lru_cache(maxsize=50_000)
 def _known(key: bytes, kind: str, value: str) -> str | None:
-    expression, change = KINDS[kind]
+    expression, _, change = KINDS[kind]
     # the value alone, so that a pseudonym depends on nothing around it
     m = expression.fullmatch(value)
     return change(key, m) if m else None
 
 
+def _valid(text: str, key: bytes, kind: str, at: int, to: int) -> Iterator[tuple[int, int, str]]:
+    """(start, end, pseudonym) of what passes its check and starts in ``at`` to ``to``,
+    by start, longest first: what matches gives way to its shorter ends, then to the
+    starts from the next character on."""
+    expression, after, _ = KINDS[kind]
+    while (m := expression.search(text, at)) and m.start() < to:
+        at = m.start() + 1
+        while m:
+            if after.match(text, m.end()):
+                new = _known(key, kind, m.group())
+                if new is not None:
+                    yield m.start(), m.end(), new
+            m = expression.match(text, at - 1, m.end() - 1) if kind in _BOUNDED else None
+
+
+def _next(text: str, key: bytes, kind: str, at: int) -> tuple[int, int, str] | None:
+    """The first valid value of a kind from ``at`` on; one that is grouped oddly gives
+    way to one in it that is not (a neighbour may pass the check by chance)."""
+    first = next(_valid(text, key, kind, at, len(text)), None)
+    if first is None or kind not in _GROUPED or _GROUPED[kind].fullmatch(text, *first[:2]):
+        return first
+    inside = (v for v in _valid(text, key, kind, *first[:2]) if _GROUPED[kind].fullmatch(text, *v[:2]))
+    return next(inside, first)
+
+
 def pseudonyms(text: str, key: bytes) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, pseudonym) of every value found, by start, without overlap:
-    the leftmost wins, of those the longest, then the kind listed first."""
+    the leftmost wins, of those the longest, then the kind listed first; the other
+    kinds are searched again behind it."""
     if not _ANY.search(text):
         return []
-    found = []
-    for order, (kind, (expression, _)) in enumerate(KINDS.items()):
-        if kind == "mail" and "@" not in text:
-            continue
-        for m in expression.finditer(text):
-            new = _known(key, kind, m.group())
-            if new is not None:
-                found.append((m.start(), -m.end(), order, kind, new))
-    out, free = [], 0
-    for start, end, _, kind, new in sorted(found):
-        if start >= free:
-            out.append((start, -end, kind, new))
-            free = -end
+    ahead = {kind: _next(text, key, kind, 0) for kind in KINDS if kind != "mail" or "@" in text}
+    out = []
+    while ahead := {kind: found for kind, found in ahead.items() if found}:
+        kind = min(ahead, key=lambda k: (ahead[k][0], -ahead[k][1]))
+        start, end, new = ahead[kind]
+        out.append((start, end, kind, new))
+        ahead = {k: found if found[0] >= end else _next(text, key, k, end) for k, found in ahead.items()}
     return out
 
 
@@ -235,7 +269,8 @@ def pseudonymise(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col:
     numbers that pass their format's check (Luhn, mod 97, calendar, ranges) give way to
     a keyed pseudonym of the same format that passes it too.  A value has one pseudonym
     wherever and however it is written, no two values share one, and no value is its
-    own.  Offsets are code points of the input, end exclusive.  Null texts stay null
+    own.  Text next to a value does not hide it: of what matches but fails its check,
+    shorter ends and later starts are tried.  Offsets are code points of the input, end exclusive.  Null texts stay null
     without spans; repeated rows are done one by one; an empty table gives no rows;
     extra columns are ignored.  One pass, no shuffle.
     """
