@@ -140,9 +140,9 @@ def unique_demographics(ben: DataFrame) -> DataFrame:
     return first_per_key(ben.select(*cols), ["NUM_ENQ"], [asc(c) for c in rest], rest)
 
 
-def _read_raw(spark: SparkSession, path: str) -> DataFrame | None:
+def _read_raw(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame | None:
     try:
-        return read_csv_table(spark, path)
+        return read_csv_table(spark, path, multi_line=multi_line)
     except AnalysisException as err:
         if is_missing_path(err):
             return None
@@ -171,7 +171,8 @@ def load_delivery(spark: SparkSession, csv_dir: str, out_dir: str, tables: Itera
                   min_year: int = DEFAULT_MIN_YEAR, max_year: int = DEFAULT_MAX_YEAR,
                   date_columns: Mapping[str, list[str]] | None = None,
                   key_map: Mapping[str, Mapping[str, str]] | None = None,
-                  year_files: int | None = None, missing_ok: bool = False) -> DataFrame:
+                  year_files: int | None = None, missing_ok: bool = False,
+                  one_line_tables: Iterable[str] = ()) -> DataFrame:
     """Load every listed table found as ``csv_dir/<table>.csv`` (a file or a folder of
     part files) into ``out_dir/<table>`` (parquet, partitioned by ``YEAR`` when
     year-split).  Without a list, every ``*.csv`` entry of the folder is a table named
@@ -180,20 +181,22 @@ def load_delivery(spark: SparkSession, csv_dir: str, out_dir: str, tables: Itera
     Year-split tables are shuffled once so that each year is about ``year_files`` files
     (by default as many as the delivered bytes ask for) with the rows of one stay
     together, however many tasks write.  The patient map is made once, from the stored
-    referential, which is loaded first.
+    referential, which is loaded first.  Files of ``one_line_tables``, for which the
+    delivery guarantees one row per line, are split into many tasks.
 
     Returns the load summary: one row per table with its row and shard counts.
     """
     csv_dir, out_dir = csv_dir.rstrip("/"), out_dir.rstrip("/")
     tables = discover_tables(spark, csv_dir) if tables is None else list(dict.fromkeys(tables))
-    found = {t: _read_raw(spark, f"{csv_dir}/{t}.csv") for t in tables}
+    one_line = set(one_line_tables)
+    found = {t: _read_raw(spark, f"{csv_dir}/{t}.csv", t not in one_line) for t in tables}
     absent = [t for t, raw in found.items() if raw is None]
     if absent and not missing_ok:
         raise ValueError(f"not in {csv_dir}: {', '.join(absent)}")
     rows: dict[str, list[tuple[str, int, int]]] = {}
     ids = None
     if REFERENTIAL not in found and any((x := patient_link(t, key_map)) and x.by_pseudonym for t in found):
-        ids = _stored_map(_read_raw(spark, f"{csv_dir}/{REFERENTIAL}.csv"), out_dir)
+        ids = _stored_map(_read_raw(spark, f"{csv_dir}/{REFERENTIAL}.csv", REFERENTIAL not in one_line), out_dir)
     for table in sorted(found, key=lambda t: t != REFERENTIAL):
         raw = found[table]
         if raw is None:

@@ -15,39 +15,57 @@ from carelake.functions.codes import null_if_na
 
 # read behind the last column: holds the first field that a row has too many
 SURPLUS = "_carelake_surplus"
+# the text of a row that is read as one line
+LINE = "_carelake_line"
 
 
-def csv_columns(spark: SparkSession, path: str, sep: str = ";") -> list[str]:
+def csv_columns(spark: SparkSession, path: str, sep: str = ";", multi_line: bool = True) -> list[str]:
     """Column names of a delivery table, from a file header."""
-    return csv_options(spark.read, sep).csv(path).columns
+    return csv_options(spark.read, sep, multi_line).csv(path).columns
 
 
-def csv_options(reader, sep: str = ";"):
+def csv_options(reader, sep: str = ";", multi_line: bool = True):
     """Options of a delivery file, for batch and streaming readers: quoted fields may
-    hold separators, doubled quotes, backslashes and line breaks."""
+    hold separators, doubled quotes, backslashes and, with ``multi_line``, line breaks.
+    Without, every line is a row and a large file is split into many tasks."""
     return (reader.option("sep", sep).option("header", True).option("quote", '"').option("escape", '"')
-            .option("multiLine", True).option("mode", "PERMISSIVE"))
+            .option("multiLine", multi_line).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", LINE)
+            # the text of a row is kept only where all its columns are read
+            .option("columnPruning", multi_line))
+
+
+def csv_schema(columns: list[str], multi_line: bool = True) -> StructType:
+    """What ``checked_rows`` asks a delivery file for."""
+    return all_strings([*columns, SURPLUS] if multi_line else [*columns, SURPLUS, LINE])
 
 
 def checked_rows(df: DataFrame, columns: list[str]) -> DataFrame:
     """Rows as ``columns`` with missing-value tokens as null; a row with more fields
-    than the header fails the job (shorter rows end in nulls)."""
+    than the header fails the job (shorter rows end in nulls), and so does a line with
+    an open quote where lines are rows."""
+    if LINE in df.columns:
+        # Spark keeps the text of rows shorter than the schema; with SURPLUS all others are
+        n_quotes = F.length(LINE) - F.length(F.replace(F.col(LINE), F.lit('"'), F.lit("")))
+        df = df.filter(F.when(n_quotes % 2 == 1, F.raise_error(F.concat(
+            F.lit("a field holds a line break or a lone quote, read the table with multi_line: "),
+            F.col(LINE))).cast("boolean")).otherwise(F.lit(True)))
     whole = F.when(F.col(SURPLUS).isNotNull(), F.raise_error(F.concat(
         F.lit("a row has more fields than the header, from: "), F.col(SURPLUS))).cast("boolean")).otherwise(F.lit(True))
     return df.filter(whole).select(*[null_if_na(F.col(c), NA_TOKENS).alias(c) for c in columns])
 
 
 def read_csv_table(spark: SparkSession, path: str, schema: StructType | None = None,
-                   sep: str = ";") -> DataFrame:
+                   sep: str = ";", multi_line: bool = True) -> DataFrame:
     """One raw delivery table: ``;``-separated, header row, every column text.
 
     Never infers types (codes such as ``'001'`` keep their zeros).  Missing-value
     tokens (``NA``, ``null``, ``NaN``...) become null.  Quoted fields are read whole; a
-    row with too many fields is an error.  Since a field may hold line breaks, one file
-    is read by one task: large tables come as folders of part files.
+    row with too many fields is an error.  While a field may hold line breaks, one file
+    is read by one task; where the delivery guarantees one row per line, ``multi_line``
+    off splits large files, and a line that breaks the guarantee is an error.
     """
-    columns = schema.names if schema is not None else csv_columns(spark, path, sep)
-    df = csv_options(spark.read, sep).schema(all_strings([*columns, SURPLUS])).csv(path)
+    columns = schema.names if schema is not None else csv_columns(spark, path, sep, multi_line)
+    df = csv_options(spark.read, sep, multi_line).schema(csv_schema(columns, multi_line)).csv(path)
     return checked_rows(df, columns)
 
 

@@ -15,22 +15,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from carelake.catalog import all_strings, is_year_split
+from carelake.catalog import is_year_split
 from carelake.plans.load import DEFAULT_MAX_YEAR, DEFAULT_MIN_YEAR, load_table
 from carelake.sinks import shared_dir
-from carelake.sources.readers import SURPLUS, checked_rows, csv_columns, csv_options
+from carelake.sources.readers import checked_rows, csv_columns, csv_options, csv_schema
 
 
 def delivery_stream(spark: SparkSession, folder: str, columns: list[str] | None = None,
-                    sep: str = ";", max_files_per_trigger: int | None = None) -> DataFrame:
+                    sep: str = ";", max_files_per_trigger: int | None = None, multi_line: bool = True) -> DataFrame:
     """Streaming DataFrame over the text files of one table's delivery folder.
 
     Every column is text; the column list is read from a file header when not
-    given (a stream needs its schema up front).
+    given (a stream needs its schema up front).  ``multi_line`` as in ``read_csv_table``.
     """
     if columns is None:
-        columns = csv_columns(spark, folder, sep)
-    reader = csv_options(spark.readStream.schema(all_strings([*columns, SURPLUS])), sep)
+        columns = csv_columns(spark, folder, sep, multi_line)
+    reader = csv_options(spark.readStream.schema(csv_schema(columns, multi_line)), sep, multi_line)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return checked_rows(reader.csv(folder), columns)
@@ -44,15 +44,16 @@ def checkpoint_name(table: str, out_path: str) -> str:
 def stream_load(spark: SparkSession, folder: str, table: str, out_path: str,
                 ids: DataFrame | None = None, checkpoint: str | None = None,
                 min_year: int = DEFAULT_MIN_YEAR, max_year: int = DEFAULT_MAX_YEAR,
-                columns: list[str] | None = None, year_files: int = 1) -> StreamingQuery:
+                columns: list[str] | None = None, year_files: int = 1, multi_line: bool = True) -> StreamingQuery:
     """Load the new files of ``folder`` into ``out_path`` and stop (``availableNow``).
 
     ``ids`` is the patient-key lookup (a static table, joined to each micro-batch).
     The checkpoint defaults to a folder of the shared checkpoint root that belongs to
     this table and output, so another output of the same table starts from the first
-    file; on a cluster that root has to be set (``sinks.shared_dir``).
+    file; on a cluster that root has to be set (``sinks.shared_dir``).  ``multi_line`` off,
+    where the delivery guarantees one row per line, splits large files.
     """
-    raw = delivery_stream(spark, folder, columns)
+    raw = delivery_stream(spark, folder, columns, multi_line=multi_line)
     loaded = load_table(raw, table, ids, min_year, max_year)
     if is_year_split(table):
         # a micro-batch writes ``year_files`` files a year, not one from every task
