@@ -9,7 +9,7 @@ City care: claims K1 (P1) and K2 (P2, null flux part); K3 has no claim.
 from __future__ import annotations
 
 from carelake.sources.tables import Sources
-from conftest import frame
+from helpers import frame
 
 
 def flux(n: int, ord_: str | None = "1") -> tuple:

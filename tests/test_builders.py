@@ -21,7 +21,7 @@ from carelake.plans import (
     build_stays,
 )
 from carelake.sources.tables import Sources
-from conftest import frame, rows, srt
+from helpers import frame, rows, srt
 from snds_fixture import KEY1, KEY2, delivery
 
 D = dt.date

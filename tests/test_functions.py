@@ -9,7 +9,7 @@ from carelake.functions.dates import parse_any_date
 from carelake.functions.numbers import to_int
 from carelake.catalog import shard_name
 from carelake.sources.readers import source_file_parts
-from conftest import frame, rows
+from helpers import frame, rows
 
 
 def one(spark, col, header="a b c", data=(("x", "y", "z"),)):

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from carelake.plans import load, quality, steps
 from carelake.sources.readers import discover_tables, read_csv_table, read_table
 from carelake.sources.tables import Sources
-from conftest import frame, rows
+from helpers import frame, rows
 from snds_fixture import delivery
 
 

@@ -5,7 +5,7 @@ import pytest
 from carelake.plans import load
 from carelake.sources.readers import read_csv_table, read_table
 from carelake.streaming import stream_load
-from conftest import rows
+from helpers import rows
 
 
 @pytest.fixture

@@ -19,7 +19,7 @@ from carelake.operators import (
     union_distinct,
     windowed_total,
 )
-from conftest import frame, rows, srt
+from helpers import frame, rows, srt
 
 D = dt.date
 

@@ -2,7 +2,7 @@ import pandas as pd
 
 from carelake.plans import build_person, build_stays
 from carelake.sources import from_shard_layout, read_year_shards
-from conftest import rows
+from helpers import rows
 
 
 def test_shard_layout_with_null_typed_column(spark, tmp_path):

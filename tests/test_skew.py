@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from carelake.plans import build_condition_dcir, build_drug_pmsi
 from carelake.sources.tables import Sources
-from conftest import frame, rows
+from helpers import frame, rows
 
 
 def _drug_delivery(spark, n_hot=3000, n_cold=100, per_cold=30):

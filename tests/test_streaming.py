@@ -1,7 +1,7 @@
 from carelake.plans.load import load_table, patient_lookup
 from carelake.sources.readers import read_csv_table, read_table
 from carelake.streaming import stream_load
-from conftest import frame, rows
+from helpers import frame, rows
 
 
 def test_stream_load_is_incremental_and_matches_batch(spark, tmp_path):
