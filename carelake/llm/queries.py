@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import (decontamination, exact_dedup, language_id, line_dedup, near_dedup, packing, pii,
-                          revisits, secrets, substring_dedup)
+from carelake.llm import (decontamination, divergence, exact_dedup, language_id, line_dedup, near_dedup, neighbours,
+                          packing, pii, revisits, secrets, substring_dedup, vector_codes)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -119,6 +121,21 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neighbours.nearest_neighbours(_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), F.col("distance").alias("score"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.compress_vectors(_table(spark, sf_dir, "embeddings"))
+    digest = hashlib.sha256(books.text().encode()).hexdigest()
+    return coded.select(F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_language_id": op2_language_id,
@@ -130,6 +147,9 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op11_nearest_neighbours": op11_nearest_neighbours,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 # ---------------------------------------------------------------------------- SQL
@@ -204,6 +224,61 @@ _SQL_OP7 = rf"""
            CASE WHEN outcome = 'resolved' THEN payload_md5 END AS payload_md5
     FROM judged"""
 
+
+
+def _sql_op12(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Integer codebooks of ``embeddings``, one statement a round; equal lengths that the
+    parts divide."""
+    steps = [rf"""kept AS (SELECT row_number() OVER (ORDER BY vec_id, embedding) AS rid, vec_id, label,
+                     list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS HUGEINT)) AS whole FROM embeddings
+                     WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+             rf"""parts AS (SELECT rid, pos, whole[(pos * len(whole) // {parts} + 1):((pos + 1) * len(whole) // {parts})] AS part
+                     FROM kept, range({parts}) r(pos))""",
+             rf"book0 AS (SELECT pos, rid - 1 AS entry, part AS mid FROM parts WHERE rid <= {entries})"]
+    for i in range(rounds + 1):
+        steps.append(rf"""near{i} AS MATERIALIZED (SELECT rid, pos, part, min(d) AS d, arg_min(entry, (d, entry)) AS entry FROM (
+            SELECT rid, pos, part, entry, list_sum(list_transform(list_zip(part, mid), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::HUGEINT AS d
+            FROM parts JOIN book{i} USING (pos)) GROUP BY rid, pos, part)""")
+        if i < rounds:
+            steps.append(rf"""mean{i} AS (SELECT pos, entry, list(m ORDER BY j) AS mid FROM (
+                SELECT pos, entry, j, CASE WHEN s >= 0 THEN s // n ELSE -((n - 1 - s) // n) END AS m FROM (
+                    SELECT pos, entry, j, sum(x)::HUGEINT AS s, count(*)::HUGEINT AS n FROM (
+                        SELECT pos, entry, unnest(part) AS x, generate_subscripts(part, 1) AS j FROM near{i}) GROUP BY ALL)) GROUP BY pos, entry)""")
+            steps.append(rf"""book{i + 1} AS MATERIALIZED (SELECT pos, entry, coalesce(m.mid, b.mid) AS mid
+                FROM book{i} b LEFT JOIN mean{i} m USING (pos, entry))""")
+    return rf"""WITH {", ".join(steps)},
+         coded AS (SELECT rid, string_agg(lpad(to_hex(entry), 2, '0'), '' ORDER BY pos) AS code, sum(d) AS error FROM near{rounds} GROUP BY rid)
+    SELECT vec_id, lower(code) AS code, CAST(error AS BIGINT) AS error,
+           CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+           (SELECT sha256(string_agg(array_to_string(mid, ','), ',' ORDER BY pos, entry)) FROM book{rounds}) AS codebooks_sha256
+    FROM kept JOIN coded USING (rid)"""
+
+
+_SQL_OP13 = r"""
+    WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                      regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents),
+         w AS (SELECT rid, lang, source, unnest(words) AS term FROM d),
+         kept AS (SELECT lang, term, count(*) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT rid) >= 30),
+         sizes AS (SELECT lang, count(*) AS v, sum(n) AS n_all FROM kept GROUP BY lang),
+         g AS (SELECT DISTINCT lang, source FROM d),
+         c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY ALL),
+         totals AS (SELECT lang, source, coalesce(sum(c.n), 0) AS total FROM g LEFT JOIN c USING (lang, source) GROUP BY lang, source),
+         p AS (SELECT lang, source, term, coalesce(c.n, 0) AS n,
+                      1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 5) // (total + 5 * v)::HUGEINT AS p,
+                      1 + 1000000000::HUGEINT * (kept.n + 5) // (n_all + 5 * v)::HUGEINT AS q
+               FROM totals JOIN sizes USING (lang) JOIN kept USING (lang) LEFT JOIN c USING (lang, source, term)),
+         apart AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+                   FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+         pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+                   FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+                   LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+         terms AS (SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM p WHERE n > 0 AND p > q),
+         ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+                    FROM (FROM pairs UNION ALL FROM terms))
+    SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+    FROM ranked WHERE part = 'pair' OR rank <= 50"""
+
 SQL = {
     "op9_exact_dedup": r"""
         WITH t AS (SELECT doc_id, coalesce(text, '') AS text,
@@ -215,4 +290,6 @@ SQL = {
     "op7_revisit_resolution": _SQL_OP7,
     "op8_decontamination": _SQL_OP8,
     "op10_minhash_near_dedup": _SQL_OP10,
+    "op12_vector_codes": _sql_op12(),
+    "op13_source_divergence": _SQL_OP13,
 }

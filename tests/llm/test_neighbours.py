@@ -1,0 +1,109 @@
+"""Nearest neighbours against all pairs."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from carelake.llm import neighbours
+from carelake.llm.neighbours import Polytopes, nearest_neighbours
+
+IS_QUERY = "id % 100 = 0"
+
+
+def nearest_of_all(rows, k=10):
+    """{query: [(id, distance)]} over all rows."""
+    rows = [(i, np.array(v, dtype=np.float64)) for i, v in rows]
+    out = {}
+    for q, a in rows:
+        if q % 100 == 0:
+            far = sorted((float(np.sqrt(((a - b) ** 2).sum())), i) for i, b in rows if i != q)
+            out[q] = [(i, d) for d, i in far[:k]]
+    return out
+
+
+def found_in(spark, rows, k=10, kind="array<float>", **more):
+    df = spark.createDataFrame([(i, None if v is None else [None if x is None else float(x) for x in v], "x") for i, v in rows],
+                               f"vec_id long, embedding {kind}, ids string").repartition(3)
+    out = {}
+    for r in sorted(nearest_neighbours(df, F.expr(IS_QUERY), k, **more).collect(), key=lambda r: (r["query_id"], r["rank"])):
+        assert r["rank"] == len(out.get(r["query_id"], [])) + 1
+        out.setdefault(r["query_id"], []).append((r["id"], r["distance"]))
+    return out
+
+
+def test_recall_on_the_table(spark):
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = [(r["vec_id"], r["embedding"]) for r in df.collect()]
+    want = nearest_of_all(rows)
+    got = {}
+    for r in nearest_neighbours(df, F.expr(IS_QUERY)).collect():
+        got.setdefault(r["query_id"], []).append(r)
+    assert set(got) == set(want) and all(len(v) == 10 for v in got.values())
+    hits = [len({r["id"] for r in got[q]} & {i for i, _ in want[q]}) / 10 for q in want]
+    assert np.mean(hits) >= 0.93
+    x = dict(rows)
+    for q, near in got.items():
+        for r in near:
+            assert r["distance"] == pytest.approx(np.linalg.norm(np.array(x[q]) - np.array(x[r["id"]])), abs=1e-12)
+
+
+def test_few_rows_are_searched_whole(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i * 50, rng.standard_normal(7).astype(np.float32).tolist()) for i in range(9)]
+    got, want = found_in(spark, rows), nearest_of_all(rows)
+    assert {q: [i for i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in want.items()}
+    assert all(len(v) == 8 for v in got.values())
+
+
+def test_equal_vectors_ties_and_hot_vector(spark):
+    rng = np.random.default_rng(4)
+    hot = [1.0, 2.0, 3.0, 4.0]
+    rows = [(i, hot) for i in range(0, 300)]
+    rows += [(300 + i, rng.standard_normal(4).astype(np.float32).tolist()) for i in range(300)]
+    got, want = found_in(spark, rows), nearest_of_all(rows)
+    for q in (0, 100, 200):
+        assert got[q] == want[q]  # ten least ids of the hot vector, without the query's own
+    assert set(got) == set(want)
+
+
+def test_rows_that_take_no_part(spark):
+    ok = [(i, [1.0, float(i), 2.0]) for i in range(1, 6)]
+    odd = [(100, [1.0, 1.0, 2.0]), (200, None), (300, [0.0, 0.0, 0.0]), (400, [1.0, None, 2.0]), (500, [1.0, float("nan"), 0.0]),
+           (600, [1.0, float("inf"), 0.0]), (700, []), (None, [1.0, 1.0, 1.0]), (800, [1.0, 2.0]), (100, [1.0, 1.0, 2.0])]
+    got = found_in(spark, ok + odd)
+    assert set(got) == {100}
+    assert [i for i, _ in got[100]] == [1, 2, 3, 4, 5]
+    assert found_in(spark, []) == {}
+    assert found_in(spark, [(200, None)]) == {}
+
+
+def test_large_and_tiny_components(spark):
+    rows = [(100 * i, [s * (i + 1), s, 0.0]) for i, s in enumerate([1e200, 1e200, 1e200])]
+    rows += [(1000 + 100 * i, [1e-200 * (i + 1), 1e-200, 0.0]) for i in range(3)]
+    got = found_in(spark, rows, kind="array<double>")
+    assert all(len(v) == 5 for v in got.values())
+    assert got[0][0][0] == 100 and got[0][0][1] == pytest.approx(1e200)
+
+
+def test_two_rotations_and_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK", 16)
+    rng = np.random.default_rng(5)
+    centres = rng.standard_normal((20, 8))
+    rows = [(i, (centres[i % 20] + 0.1 * rng.standard_normal(8)).astype(np.float32).tolist()) for i in range(600)]
+    want = nearest_of_all(rows)
+    for depth in (1, 2):
+        got = found_in(spark, rows, depth=depth)
+        hits = [len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 10 for q in want]
+        assert all(len(v) == 10 for v in got.values()) and np.mean(hits) >= 0.9
+
+
+def test_rotations_keep_lengths_and_codes_fit():
+    h = Polytopes(5, depth=2)
+    x = np.random.default_rng(1).standard_normal((50, 5))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    assert np.allclose(np.linalg.norm(h.rotated(x), axis=-1), 1)
+    codes = h.codes(x)
+    assert codes.shape == (50, h.tables) and codes.min() >= 0 and codes.max() < h.n_codes
+    # a vector's own code is the first that its query looks into
+    assert all((0, int(c[0])) in h.first_probes(h.rotated(v[None])[0]) for v, c in zip(x, codes))
+    assert Polytopes(1).codes(np.array([[1.0], [-1.0]])).max() <= 1
