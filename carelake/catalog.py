@@ -32,8 +32,9 @@ NA_TOKENS = [
 
 # Accepted input date layouts, tried in this order (Spark datetime patterns).
 # dd/MM/yyyy, ddMMMyyyy:HH:mm:ss, ddMMMyyyy, yyyyMMdd, yyyy-MM-dd; days, months and
-# times with a separator or a month name around them may have one digit
+# times may have one digit (of a compact date, see ``functions.dates.compact_date``)
 DATE_INPUT_PATTERNS = ["d/M/yyyy", "dMMMyyyy:H:m:s", "dMMMyyyy", "yyyyMMdd", "yyyy-M-d"]
+COMPACT_PATTERN = "yyyyMMdd"
 DATE_TEXT_PATTERN = "dd/MM/yyyy"
 
 # The 9 city-care flux columns, in the order that forms ``dcir_key``.

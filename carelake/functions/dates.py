@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from carelake.catalog import DATE_INPUT_PATTERNS, DATE_TEXT_PATTERN
+from carelake.catalog import COMPACT_PATTERN, DATE_INPUT_PATTERNS, DATE_TEXT_PATTERN
 from carelake.functions.numbers import to_int
 
 
@@ -40,10 +40,23 @@ def _fits(text: Column, pattern: str) -> Column:
     return cond
 
 
+# year, month, day of a compact date: from the left, month and day take two digits where
+# these name a month or a day and leave digits for what follows
+COMPACT_DIGITS = r"^(\d{4})(1[0-2]|0[1-9]|[1-9])(3[01]|[12]\d|0[1-9]|[1-9])$"
+
+
+def compact_date(c: str | Column) -> Column:
+    """``yyyyMMdd`` text -> timestamp; month and day may have one digit: ``2014115`` is
+    5 November, ``201415`` 5 January, ``201411`` 1 January."""
+    text = _c(c)
+    parts = F.regexp_replace(text, COMPACT_DIGITS, "$1-$2-$3")
+    return F.when(text.rlike(COMPACT_DIGITS), F.try_to_timestamp(parts, F.lit("yyyy-M-d")))
+
+
 def parse_any_date(c: str | Column, patterns: list[str] | None = None) -> Column:
     """First pattern that reads the trimmed text wins; blank or unreadable -> null."""
     text = F.trim(_c(c).cast("string"))
-    tries = [F.when(_fits(text, p), F.try_to_timestamp(text, F.lit(p)))
+    tries = [compact_date(text) if p == COMPACT_PATTERN else F.when(_fits(text, p), F.try_to_timestamp(text, F.lit(p)))
              for p in (patterns or DATE_INPUT_PATTERNS)]
     return F.coalesce(*tries).cast("date")
 

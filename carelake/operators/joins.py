@@ -1,7 +1,9 @@
-"""Joins: existence restriction and size-checked dimension lookups."""
+"""Joins: existence restriction, size-checked dimension lookups, hot keys on hubs."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,15 @@ from pyspark.sql import functions as F
 # bytes: well under executor memory, room for a nomenclature of some 100,000 codes.
 MAX_BROADCAST_BYTES = 64 << 20
 
+# Lines of one key that one task still joins alone.
+HOT_ROWS = 1_000_000
+# Keys that a join treats apart at most, and keys that are counted at a time while they
+# are looked for: a key with more than about one in 3,000 of all lines is never missed,
+# and a smaller one is no longer than an average task of a large run.
+MAX_HOT_KEYS, COUNTED_KEYS = 1_000, 10_000
+# Hub rows of hot keys that are sent to every task at most (narrow rows: some 10 MB).
+MAX_BROADCAST_ROWS = 100_000
+
 
 def restrict_to(df: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFrame:
     """Rows of ``df`` whose key exists in ``keys`` (``left_semi``: no fan-out,
@@ -37,3 +48,38 @@ def lookup(df: DataFrame, dim: DataFrame, on: str | list[str], how: str = "left"
     if estimated_bytes(dim) <= max_broadcast_bytes:
         dim = F.broadcast(dim)
     return df.join(dim, on=on, how=how)
+
+
+def hot_keys(lines: DataFrame, key: str, min_rows: int | None) -> list[str]:
+    """Keys that about ``min_rows`` lines or more share, the most frequent first; none
+    without ``min_rows``.  One pass over the key column with a sketch of bounded size,
+    combined in the tasks: no key is shuffled."""
+    if min_rows is None:
+        return []
+    found = lines.filter(F.col(key).isNotNull()).agg(F.expr(f"approx_top_k(`{key}`, {MAX_HOT_KEYS}, {COUNTED_KEYS})").alias("top")).first()
+    return [r["item"] for r in (found["top"] or []) if r["count"] >= min_rows]
+
+
+def join_hub(lines: DataFrame, hub: DataFrame, on: str, hot: Sequence[str] = (),
+             max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Inner join of many lines to a hub that is laid out by its key.
+
+    Such a hub is read without a shuffle, which also means that no partition of the join
+    can be split at run time: all lines of a key meet in one task.  Lines of the ``hot``
+    keys therefore are joined apart.  Their hub rows are counted; up to
+    ``max_broadcast_rows`` they are sent to the lines, which stay in the tasks that read
+    them.  Beyond, lines are dealt over salts and the hub rows repeated for each salt.
+    Which lines are hot changes the plan, never the rows.
+    """
+    if not hot:
+        return lines.join(hub, on)
+    is_hot = F.col(on).isin(*hot)
+    rest = lines.filter(~is_hot).join(hub, on)
+    heavy, few = lines.filter(is_hot), hub.filter(is_hot)
+    if few.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
+        return rest.unionByName(heavy.join(F.broadcast(few), on))
+    salts = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # lines that are equal in all columns are dealt by where they are read
+    salt = F.pmod(F.xxhash64(*lines.columns, F.spark_partition_id()), F.lit(salts)).cast("int")
+    few = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return rest.unionByName(heavy.withColumn("_salt", salt).join(few, [on, "_salt"]).drop("_salt"))

@@ -17,7 +17,7 @@ from carelake.catalog import (
 from carelake.functions.dates import parse_date
 from carelake.functions.keys import surrogate_id, visit_id
 from carelake.operators.dedupe import asc, desc, first_and_last_per_key
-from carelake.operators.joins import restrict_to
+from carelake.operators.joins import hot_keys, join_hub, restrict_to
 from carelake.operators.union import melt_roles, require, union_all
 from carelake.plans.stays import stays_for_join
 from carelake.sources.tables import Sources
@@ -83,7 +83,7 @@ def _role_label(tag: str):
     return label
 
 
-def build_condition_pmsi(src: Sources, stays: DataFrame) -> DataFrame:
+def build_condition_pmsi(src: Sources, stays: DataFrame, hot_rows: int | None = None) -> DataFrame:
     """Principal, related and associated diagnoses of the stays (one row per
     diagnosis role), without empty codes, distinct.  ``stays`` must be distinct,
     as ``build_stays`` returns it."""
@@ -105,9 +105,10 @@ def build_condition_pmsi(src: Sources, stays: DataFrame) -> DataFrame:
     # Distinct diagnoses joined to distinct stays give distinct rows: de-duplicate the
     # narrow diagnosis rows (combined map-side, so repeated copies never travel)
     # instead of the wide joined rows.
+    hot = hot_keys(dx, "visit_id", hot_rows)
     dx = dx.distinct()
     st = stays_for_join(stays, "person_id", "stay_start_date", "stay_end_date", "finess_geo")
-    j = dx.join(st, "visit_id")
+    j = join_hub(dx, st, "visit_id", hot)
     out = j.select(
         surrogate_id("person_id", "stay_start_date", "condition_code").alias("condition_id"),
         "person_id",

@@ -13,7 +13,7 @@ from carelake.functions.dates import date_origin, delay_date
 from carelake.functions.keys import flux_key, surrogate_id, visit_id
 from carelake.operators.aggregate import sum_by, windowed_total
 from carelake.operators.dedupe import asc, first_per_key
-from carelake.operators.joins import lookup
+from carelake.operators.joins import hot_keys, join_hub, lookup
 from carelake.operators.union import require, union_all
 from carelake.plans.prestations import claim_lines
 from carelake.plans.stays import stays_for_join
@@ -35,9 +35,8 @@ def nomenclature_by_vocabulary(ir: DataFrame) -> DataFrame:
     return union_all(parts).filter(F.col("drug_code").isNotNull()).distinct()
 
 
-def delivered_quantities(src: Sources) -> DataFrame:
-    """Delivered quantity per (claim, drug code, vocabulary), from the pharmacy and the
-    retrocession lines: one aggregate for the three vocabularies."""
+def delivered_lines(src: Sources) -> DataFrame:
+    """Pharmacy and retrocession lines by claim, drug code and vocabulary."""
     parts = []
     pha, ucd = src.get("ER_PHA_F"), src.get("ER_UCD_F")
     if pha is not None:
@@ -52,7 +51,13 @@ def delivered_quantities(src: Sources) -> DataFrame:
             strip_zeros("UCD_UCD_COD").alias("drug_code"),
             F.lit(UCD7).alias("drug_vocabulary"),
             to_int("UCD_DLV_NBR").alias("q")))
-    return sum_by(require(union_all(parts), "drug_dcir"), ["dcir_key", "drug_code", "drug_vocabulary"], "q")
+    return require(union_all(parts), "drug_dcir")
+
+
+def delivered_quantities(src: Sources) -> DataFrame:
+    """Delivered quantity per (claim, drug code, vocabulary): one aggregate for the three
+    vocabularies."""
+    return sum_by(delivered_lines(src), ["dcir_key", "drug_code", "drug_vocabulary"], "q")
 
 
 def with_atc(drugs: DataFrame, ir: DataFrame | None) -> DataFrame:
@@ -62,10 +67,10 @@ def with_atc(drugs: DataFrame, ir: DataFrame | None) -> DataFrame:
     return lookup(drugs, nomenclature_by_vocabulary(ir), ["drug_vocabulary", "drug_code"], "left")
 
 
-def build_drug_dcir(src: Sources, prestations: DataFrame) -> DataFrame:
+def build_drug_dcir(src: Sources, prestations: DataFrame, hot_rows: int | None = None) -> DataFrame:
     """Delivered quantity per claim line and drug, with its ATC class."""
-    med = delivered_quantities(src)
-    j = med.join(claim_lines(prestations, "presta_start_date"), "dcir_key")
+    hot = hot_keys(delivered_lines(src), "dcir_key", hot_rows)
+    j = join_hub(delivered_quantities(src), claim_lines(prestations, "presta_start_date"), "dcir_key", hot)
     # ATC labels (and their fan-out) joined after the claim join: they do not travel
     # through its shuffle
     j = with_atc(j, src.get("IR_PHA_R"))
@@ -133,7 +138,7 @@ def _drug_lines(df: DataFrame, s: DrugSource, branch: int) -> DataFrame:
         F.col(s.quantity).alias("_qty"))
 
 
-def build_drug_pmsi(src: Sources, stays: DataFrame) -> DataFrame:
+def build_drug_pmsi(src: Sources, stays: DataFrame, hot_rows: int | None = None) -> DataFrame:
     """Hospital drugs dated from the stay start (+ delay), quantities totalled per
     (stay, drug, date) within each source table."""
     parts = []
@@ -143,12 +148,13 @@ def build_drug_pmsi(src: Sources, stays: DataFrame) -> DataFrame:
             continue
         parts.append(_drug_lines(df, s, i))
     lines = require(union_all(parts), "drug_pmsi")
+    hot = hot_keys(lines, "visit_id", hot_rows)
     # Partial sums per (table, stay, drug, delay) before the stay join: combined
     # map-side, so a stay with very many lines reaches the join as one row per
     # distinct (drug, delay).  The totals below add these partial sums up.
     line_keys = [c for c in lines.columns if c != "_qty"]
     lines = lines.groupBy(*line_keys).agg(F.sum(to_int("_qty").cast("long")).alias("_qty"))
-    j = lines.join(stays_for_join(stays, "person_id", "stay_start_date"), "visit_id")
+    j = join_hub(lines, stays_for_join(stays, "person_id", "stay_start_date"), "visit_id", hot)
     drug_date = F.when(F.col("_by_delay"), delay_date("stay_start_date", "_delay")) \
         .otherwise(F.col("stay_start_date"))
     rows = j.select(

@@ -28,6 +28,7 @@ from carelake.functions.keys import stable_year, two_digit_year
 from carelake.operators.dedupe import asc, first_per_key
 from carelake.operators.joins import estimated_bytes, lookup
 from carelake.sinks import write_observed, write_table
+from carelake.sources import schemas
 from carelake.sources.readers import (
     discover_tables,
     ensure_columns,
@@ -172,7 +173,8 @@ def load_delivery(spark: SparkSession, csv_dir: str, out_dir: str, tables: Itera
                   date_columns: Mapping[str, list[str]] | None = None,
                   key_map: Mapping[str, Mapping[str, str]] | None = None,
                   year_files: int | None = None, missing_ok: bool = False,
-                  one_line_tables: Iterable[str] = ()) -> DataFrame:
+                  one_line_tables: Iterable[str] = (), schema_dir: str | None = None,
+                  link_file: str | None = None) -> DataFrame:
     """Load every listed table found as ``csv_dir/<table>.csv`` (a file or a folder of
     part files) into ``out_dir/<table>`` (parquet, partitioned by ``YEAR`` when
     year-split).  Without a list, every ``*.csv`` entry of the folder is a table named
@@ -184,9 +186,16 @@ def load_delivery(spark: SparkSession, csv_dir: str, out_dir: str, tables: Itera
     referential, which is loaded first.  Files of ``one_line_tables``, for which the
     delivery guarantees one row per line, are split into many tasks.
 
+    ``schema_dir`` and ``link_file`` name the delivery's own schema files and patient links
+    (``sources.schemas``); the tables they describe go by them, others by the catalog.
+
     Returns the load summary: one row per table with its row and shard counts.
     """
     csv_dir, out_dir = csv_dir.rstrip("/"), out_dir.rstrip("/")
+    if schema_dir is not None:
+        date_columns = {**schemas.date_columns(schemas.delivered_date_columns(spark, schema_dir)), **(date_columns or {})}
+    if link_file is not None:
+        key_map = {**schemas.patient_links(schemas.delivered_patient_links(spark, link_file)), **(key_map or {})}
     tables = discover_tables(spark, csv_dir) if tables is None else list(dict.fromkeys(tables))
     one_line = set(one_line_tables)
     found = {t: _read_raw(spark, f"{csv_dir}/{t}.csv", t not in one_line) for t in tables}

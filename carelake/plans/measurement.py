@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from carelake.catalog import ACE_SUFFIX, DCIR, NABM, OUTPUT_SCHEMAS
 from carelake.functions.codes import pad_code, to_int
 from carelake.functions.keys import flux_key, surrogate_id, visit_id
+from carelake.operators.joins import hot_keys, join_hub
 from carelake.operators.union import require, union_all
 from carelake.plans.prestations import claim_lines
 from carelake.plans.stays import stays_for_join
@@ -18,7 +19,9 @@ from carelake.sources.tables import Sources
 BIOLOGY_SOURCES = [("T_MCOaaFLSTC", "mco"), ("T_SSRaaFLSTC", "ssr")]
 
 
-def build_measurement_pmsi(src: Sources, stays: DataFrame) -> DataFrame:
+def build_measurement_pmsi(src: Sources, stays: DataFrame, hot_rows: int | None = None) -> DataFrame:
+    """Biology acts of external care with their stay; stays with ``hot_rows`` lines or more
+    are joined apart."""
     parts = []
     for table, fam in BIOLOGY_SOURCES:
         d = src.get(table)
@@ -28,7 +31,7 @@ def build_measurement_pmsi(src: Sources, stays: DataFrame) -> DataFrame:
                 "NABM_COD", "ACT_NBR",
                 F.lit(fam.upper() + ACE_SUFFIX).alias("measurement_source")))
     u = require(union_all(parts), "measurement_pmsi")
-    j = u.join(stays_for_join(stays, "person_id", "stay_start_date"), "visit_id")
+    j = join_hub(u, stays_for_join(stays, "person_id", "stay_start_date"), "visit_id", hot_keys(u, "visit_id", hot_rows))
     out = j.select(
         surrogate_id("visit_id", "stay_start_date", "NABM_COD").alias("measurement_id"),
         "person_id",
@@ -41,12 +44,13 @@ def build_measurement_pmsi(src: Sources, stays: DataFrame) -> DataFrame:
     return out.select(*OUTPUT_SCHEMAS["measurement_pmsi"].names)
 
 
-def build_measurement_dcir(src: Sources, prestations: DataFrame) -> DataFrame:
+def build_measurement_dcir(src: Sources, prestations: DataFrame, hot_rows: int | None = None) -> DataFrame:
+    """City biology acts, each once, with their claim."""
     bio = require(src.get("ER_BIO_F"), "measurement_dcir")
-    bio = bio.select(flux_key().alias("dcir_key"), "BIO_PRS_IDE",
-                     to_int("BIO_ACT_QSN").alias("quantity")).distinct()
+    bio = bio.select(flux_key().alias("dcir_key"), "BIO_PRS_IDE", to_int("BIO_ACT_QSN").alias("quantity"))
+    hot = hot_keys(bio, "dcir_key", hot_rows)
     lines = claim_lines(prestations, "presta_start_date", "presta_end_date")
-    j = bio.join(lines, "dcir_key")
+    j = join_hub(bio.distinct(), lines, "dcir_key", hot)
     out = j.select(
         surrogate_id("dcir_key", "presta_start_date", "BIO_PRS_IDE").alias("measurement_id"),
         "person_id",

@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 from carelake.catalog import OUTPUT_SCHEMAS
 from carelake.functions.codes import unit_number
 from carelake.functions.keys import visit_id
+from carelake.operators.joins import hot_keys, join_hub
 from carelake.operators.union import require, union_all
 from carelake.plans.stays import stays_for_join
 from carelake.sources.tables import Sources
 
 
-def build_medical_units(src: Sources, stays: DataFrame) -> DataFrame:
+def build_medical_units(src: Sources, stays: DataFrame, hot_rows: int | None = None) -> DataFrame:
+    """Units of the stays; stays with ``hot_rows`` lines or more are joined apart."""
     parts = []
     um = src.get("T_MCOaaUM")
     if um is not None:
@@ -33,5 +35,5 @@ def build_medical_units(src: Sources, stays: DataFrame) -> DataFrame:
             F.col("AUT_TYP_UM").alias("unit_authorization"),
             F.lit(None).cast("string").alias("PAR_DUR_SEJ")))
     u = require(union_all(parts), "medical_units")
-    out = u.join(stays_for_join(stays, "person_id"), "visit_id")
+    out = join_hub(u, stays_for_join(stays, "person_id"), "visit_id", hot_keys(u, "visit_id", hot_rows))
     return out.select(*OUTPUT_SCHEMAS["medical_units"].names)

@@ -7,26 +7,45 @@ from pyspark.sql import functions as F
 
 from carelake.catalog import DCIR_KEY_COLS, OUTPUT_SCHEMAS
 from carelake.functions.codes import to_int
-from carelake.functions.dates import parse_date
 from carelake.functions.keys import flux_key
 from carelake.operators.union import require
+from carelake.plans.transform import Step, StepCounts, dated, run_plan, selecting
 from carelake.sources.tables import Sources
 
 
-def build_prestations(src: Sources) -> DataFrame:
-    prs = require(src.get("ER_PRS_F"), "prestations")
-    out = prs.select(
+# what a claim line is read from, besides its key
+CLAIM_COLS = ["NUM_ENQ_IDT", "EXE_SOI_DTD", "EXE_SOI_DTF", "PRS_NAT_REF", "PSE_SPE_COD", "PSE_ACT_NAT", "PSP_SPE_COD",
+              "PSP_ACT_NAT", "ETB_PRE_FIN", "PRS_ACT_QTE"]
+
+
+def _claims(prs: DataFrame) -> DataFrame:
+    return prs.select(
         F.col("FLX_DIS_DTD"),
         flux_key().alias("dcir_key"),
         F.col("NUM_ENQ_IDT").alias("person_id"),
-        parse_date("EXE_SOI_DTD").alias("presta_start_date"),
-        parse_date("EXE_SOI_DTF").alias("presta_end_date"),
+        F.col("EXE_SOI_DTD").alias("presta_start_date"),
+        F.col("EXE_SOI_DTF").alias("presta_end_date"),
         F.col("PRS_NAT_REF").alias("prestation_type"),
         F.coalesce("PSE_SPE_COD", "PSE_ACT_NAT").alias("specialty_performing_professional"),
         F.coalesce("PSP_SPE_COD", "PSP_ACT_NAT").alias("specialty_prescribing_professional"),
         F.col("ETB_PRE_FIN").alias("finess_geo"),
         to_int("PRS_ACT_QTE").alias("quantity"))
-    return out.select(*OUTPUT_SCHEMAS["prestations"].names)
+
+
+PRESTATIONS_PLAN = {
+    "ER_PRS_F": [
+        selecting("columns", *DCIR_KEY_COLS, *CLAIM_COLS),
+        dated("EXE_SOI_DTD"),
+        dated("EXE_SOI_DTF"),
+        Step("claim lines", _claims),
+    ],
+}
+
+
+def build_prestations(src: Sources, counts: StepCounts | None = None) -> DataFrame:
+    """City-care claim lines: projections only."""
+    claims = require(run_plan(src, PRESTATIONS_PLAN, counts)["ER_PRS_F"], "prestations")
+    return claims.select(*OUTPUT_SCHEMAS["prestations"].names)
 
 
 def claim_lines(prestations: DataFrame, *extra: str) -> DataFrame:

@@ -13,8 +13,10 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from carelake.operators.joins import HOT_ROWS
 from carelake.plans.condition import build_condition_dcir, build_condition_pmsi
 from carelake.plans.device import build_device_dcir, build_device_pmsi
 from carelake.plans.drug import build_drug_dcir, build_drug_pmsi
@@ -24,7 +26,7 @@ from carelake.plans.person import build_causes_of_death, build_person
 from carelake.plans.prestations import build_prestations, claim_hub
 from carelake.plans.procedure import build_procedure
 from carelake.plans.stays import build_stays
-from carelake.sinks import write_hub, write_table
+from carelake.sinks import drop_hub, replace_partitions, write_hub, write_table
 from carelake.sources.readers import read_table
 from carelake.sources.tables import Sources
 
@@ -47,10 +49,18 @@ STEPS: dict[str, tuple[str | None, Callable[..., DataFrame]]] = {
 }
 
 
-def build_table(step: str, src: Sources, hubs: dict[str, DataFrame]) -> DataFrame:
-    """Plan of one table (lazy); ``hubs`` holds the hub tables it may need."""
+# builds that join many lines to a stored hub: keys with very many lines are joined apart
+LINE_BUILDS = [s for s, (hub, _) in STEPS.items() if hub in ("stays_pmsi", "prestations")]
+# hospital outputs, with the column that names their stay
+HOSPITAL = {"stays_pmsi": "stay_id"} | {s: "visit_id" for s, (hub, _) in STEPS.items() if hub == "stays_pmsi"}
+
+
+def build_table(step: str, src: Sources, hubs: dict[str, DataFrame], hot_rows: int | None = None) -> DataFrame:
+    """Plan of one table (lazy); ``hubs`` holds the hub tables it may need.  With
+    ``hot_rows`` one small job first looks for keys with so many lines."""
     hub, fn = STEPS[step]
-    return fn(src) if hub is None else fn(src, hubs[hub])
+    more = {"hot_rows": hot_rows} if step in LINE_BUILDS else {}
+    return fn(src) if hub is None else fn(src, hubs[hub], **more)
 
 
 def levels() -> list[list[str]]:
@@ -61,47 +71,81 @@ def levels() -> list[list[str]]:
     return [[s for s in STEPS if depth[s] == d] for d in range(max(depth.values()) + 1)]
 
 
-def stored_hub(table: DataFrame, step: str, out_dir: str) -> DataFrame:
+def hub_path(step: str, out_dir: str, years: Iterable[str] | None = None) -> str:
+    """Where a hub is laid out by its key; runs for other years have their own."""
+    if step == "prestations":
+        return f"{out_dir}/_hubs/claims"
+    return "-".join([f"{out_dir}/_hubs/stays", *(years or ())])
+
+
+def stored_hub(table: DataFrame, step: str, out_dir: str, years: Iterable[str] | None = None) -> DataFrame:
     """A written hub as the later builds read it: stays and claim lines laid out by the
-    key they are joined on, other tables as they are."""
+    key they are joined on, other tables as they are.  Of ``years`` only, the stays' other
+    ``YEAR`` folders are not read."""
     if step == "stays_pmsi":
-        return write_hub(table, f"{out_dir}/_hubs/stays", "stay_id")
+        if "YEAR" in table.columns:
+            table = (table.filter(F.col("YEAR").isin(*years)) if years else table).drop("YEAR")
+        return write_hub(table, hub_path(step, out_dir, years), "stay_id")
     if step == "prestations":
-        return write_hub(claim_hub(table), f"{out_dir}/_hubs/claims", "dcir_key")
+        return write_hub(claim_hub(table), hub_path(step, out_dir), "dcir_key")
     return table
 
 
+def year_of_stay(visit: str) -> Column:
+    """The two-digit year in a hospital visit key."""
+    return F.split_part(F.col(visit), F.lit("_"), F.lit(2))
+
+
 def build_all(spark: SparkSession, src: Sources, out_dir: str,
-              steps: Iterable[str] | None = None, max_concurrent_builds: int = 1) -> DataFrame:
-    """Build and write the tables; returns the build summary (table, rows).
+              steps: Iterable[str] | None = None, max_concurrent_builds: int = 1,
+              hot_rows: int | None = HOT_ROWS, by_year: bool = False, years: Iterable[str] | None = None) -> DataFrame:
+    """Build and write the tables; returns the build summary (table, rows written).
 
     Builds of one dependency level are independent; with ``max_concurrent_builds``
     above 1 they are submitted as concurrent jobs of the same application, which
-    keeps executors busy through each job's last tasks.
+    keeps executors busy through each job's last tasks.  Stays and claims with
+    ``hot_rows`` lines or more are joined apart (``operators.joins.join_hub``).
+
+    With ``by_year`` the hospital outputs are stored in one ``YEAR`` folder per year (a
+    column more).  ``years`` (two digits, implies ``by_year``) builds the hospital tables
+    of those years alone and replaces their folders, whatever other years the outputs
+    hold; other tables do not depend on the years and are written whole.
     """
     out_dir = out_dir.rstrip("/")
     wanted = set(STEPS) if steps is None else set(steps)
     if unknown := sorted(wanted - set(STEPS)):
         raise ValueError(f"unknown steps: {', '.join(unknown)}; known: {', '.join(STEPS)}")
+    if years is not None:
+        years = sorted({str(y) for y in years})
+        src = src.for_years(years)
     hubs: dict[str, DataFrame] = {}
     counts: dict[str, int] = {}
 
     def run(step: str) -> None:
-        counts[step] = write_table(build_table(step, src, hubs), f"{out_dir}/{step}")
-
-
-    for level in levels():
-        todo = [s for s in level if s in wanted]
-        for step in todo:
-            hub = STEPS[step][0]
-            if hub is not None and hub not in hubs:
-                hubs[hub] = stored_hub(read_table(spark, f"{out_dir}/{hub}"), hub, out_dir)
-        if max_concurrent_builds > 1 and len(todo) > 1:
-            with ThreadPoolExecutor(max_workers=max_concurrent_builds) as pool:
-                for f in [pool.submit(run, s) for s in todo]:
-                    f.result()
+        df, path = build_table(step, src, hubs, hot_rows), f"{out_dir}/{step}"
+        if step in HOSPITAL and (by_year or years is not None):
+            df = df.withColumn("YEAR", year_of_stay(HOSPITAL[step]))
+            counts[step] = write_table(df, path, ["YEAR"]) if years is None else replace_partitions(df, path, "YEAR", years)
         else:
+            counts[step] = write_table(df, path)
+
+    try:
+        for level in levels():
+            todo = [s for s in level if s in wanted]
             for step in todo:
-                run(step)
+                hub = STEPS[step][0]
+                if hub is not None and hub not in hubs:
+                    hubs[hub] = stored_hub(read_table(spark, f"{out_dir}/{hub}"), hub, out_dir, years)
+            if max_concurrent_builds > 1 and len(todo) > 1:
+                with ThreadPoolExecutor(max_workers=max_concurrent_builds) as pool:
+                    for f in [pool.submit(run, s) for s in todo]:
+                        f.result()
+            else:
+                for step in todo:
+                    run(step)
+    finally:
+        for hub in hubs:
+            if hub != "person":
+                drop_hub(spark, hub_path(hub, out_dir, years if hub == "stays_pmsi" else None))
     rows = [(s, counts[s]) for s in STEPS if s in counts]
     return spark.createDataFrame(rows, "table string, rows long")

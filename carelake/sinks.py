@@ -6,10 +6,14 @@ import hashlib
 import re
 import tempfile
 import uuid
+from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from carelake.sources.readers import is_missing_path
+
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
                 mode: str = "overwrite", max_records_per_file: int | None = None,
@@ -30,9 +34,10 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
 def write_observed(df: DataFrame, path: str, partition_by: list[str] | None = None,
                    mode: str = "overwrite", max_records_per_file: int | None = None,
                    files_per_partition: int | None = None, cluster_by: list[str] | None = None,
-                   **more: Column) -> dict:
+                   dynamic: bool = False, **more: Column) -> dict:
     """``write_table`` that returns the row count as ``rows`` and, observed in the same
-    pass, the aggregates of ``more`` by name."""
+    pass, the aggregates of ``more`` by name.  ``dynamic`` overwrites only the partitions
+    that have rows."""
     if partition_by and files_per_partition:
         keys = [F.col(c) for c in (cluster_by or df.columns)]
         bucket = F.pmod(F.xxhash64(*keys), F.lit(files_per_partition))
@@ -44,24 +49,61 @@ def write_observed(df: DataFrame, path: str, partition_by: list[str] | None = No
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if dynamic:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
     return dict(obs.get)
 
 
+def replace_partitions(df: DataFrame, path: str, column: str, values: Iterable[str], **how) -> int:
+    """Write the partitions ``column`` = one of ``values`` of a stored table anew and
+    return their row count; all other partitions stay as they are.
+
+    One dynamic overwrite replaces the partitions that have rows; a value without rows
+    leaves an empty partition.  Rows of other values are not written.  A folder whose
+    table is stored without the partitions is refused.
+    """
+    values = sorted(set(values))
+    spark = df.sparkSession
+    try:
+        stored = spark.read.parquet(path).columns
+    except AnalysisException as err:
+        if "UNABLE_TO_INFER_SCHEMA" not in str(err) and not is_missing_path(err):
+            raise
+        stored = [column]
+    if column not in stored:
+        raise ValueError(f"{path} is stored without {column} folders")
+    rows = df.filter(F.col(column).isin(*values))
+    done = write_observed(rows, path, [column], "overwrite", dynamic=True, found=F.collect_set(column), **how)
+    for value in sorted(set(values) - set(done["found"])):
+        df.limit(0).drop(column).write.mode("overwrite").parquet(f"{path}/{column}={value}")
+    return done["rows"]
+
+
 def write_hub(df: DataFrame, path: str, key: str) -> DataFrame:
     """Write ``df`` as parquet bucketed and sorted by ``key`` and return it as a table.
 
     Joins and aggregations on the key read it without a shuffle or sort of this side.
-    The table is external and named after its path, so a re-run replaces it.
+    The table is external and named after its path, so a re-run replaces it;
+    ``drop_hub`` takes its name out of the catalog again.
     """
     spark = df.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    name = f"carelake_hub_{hashlib.md5(path.encode()).hexdigest()}"
+    name = hub_name(path)
     (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).mode("overwrite")
      .option("path", path).saveAsTable(name))
     return spark.table(name)
 
 
+def hub_name(path: str) -> str:
+    return f"carelake_hub_{hashlib.md5(path.encode()).hexdigest()}"
+
+
+def drop_hub(spark: SparkSession, path: str) -> None:
+    """Forget a hub's table; its files stay."""
+    spark.sql(f"DROP TABLE IF EXISTS {hub_name(path)}")
+
+
 def write_csv(df: DataFrame, path: str, sep: str = ";", mode: str = "overwrite") -> None:
     """Raw-delivery layout: ``;``-separated text with a header row."""
     df.write.mode(mode).option("sep", sep).option("header", True).option("escape", '"').csv(path)

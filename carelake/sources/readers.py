@@ -13,9 +13,9 @@ from carelake.catalog import NA_TOKENS, all_strings
 from carelake.functions.codes import null_if_na
 
 
-# read behind the last column: holds the first field that a row has too many
+# read behind the last column where lines are rows: the first field that a row has too many
 SURPLUS = "_carelake_surplus"
-# the text of a row that is read as one line
+# the text of a row whose number of fields differs from the schema's
 LINE = "_carelake_line"
 
 
@@ -30,28 +30,50 @@ def csv_options(reader, sep: str = ";", multi_line: bool = True):
     Without, every line is a row and a large file is split into many tasks."""
     return (reader.option("sep", sep).option("header", True).option("quote", '"').option("escape", '"')
             .option("multiLine", multi_line).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", LINE)
-            # the text of a row is kept only where all its columns are read
-            .option("columnPruning", multi_line))
+            # fields are counted, and the text of a row kept, only where all its columns are read
+            .option("columnPruning", False))
 
 
 def csv_schema(columns: list[str], multi_line: bool = True) -> StructType:
     """What ``checked_rows`` asks a delivery file for."""
-    return all_strings([*columns, SURPLUS] if multi_line else [*columns, SURPLUS, LINE])
+    return all_strings([*columns, LINE] if multi_line else [*columns, SURPLUS, LINE])
 
 
-def checked_rows(df: DataFrame, columns: list[str]) -> DataFrame:
+def n_fields(line: Column | str, sep: str = ";") -> Column:
+    """Number of fields of a row's text; separators in quoted fields do not count."""
+    line = F.col(line) if isinstance(line, str) else line
+    quoted = f'(^|\\Q{sep}\\E)"[^"]*+(?:""[^"]*+)*+"'
+    bare = F.regexp_replace(line, quoted, "$1")
+    return F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit(""))) + 1
+
+
+def _refused(message: str, *parts: str) -> Column:
+    """A condition that fails the job, naming the row."""
+    named = [F.coalesce(F.col(p), F.lit("")) for p in parts]
+    return F.raise_error(F.concat(F.lit(message), *named)).cast("boolean")
+
+
+def checked_rows(df: DataFrame, columns: list[str], sep: str = ";") -> DataFrame:
     """Rows as ``columns`` with missing-value tokens as null; a row with more fields
-    than the header fails the job (shorter rows end in nulls), and so does a line with
-    an open quote where lines are rows."""
-    if LINE in df.columns:
-        # Spark keeps the text of rows shorter than the schema; with SURPLUS all others are
+    than the header fails the job, whatever the surplus fields hold (shorter rows end in
+    nulls), and so does a line with an open quote where lines are rows.
+
+    The reader keeps the text of every row whose number of fields is not the schema's.
+    Where lines are rows, the schema has one field more than the header, so the text is
+    there for every row but one with exactly that field too many.
+    """
+    separators = F.length(LINE) - F.length(F.replace(F.col(LINE), F.lit(sep), F.lit("")))
+    # separators are counted first: fields only where there could be too many
+    too_many = (separators >= len(columns)) & (n_fields(LINE, sep) > len(columns))
+    long_row = "a row has more fields than the header: "
+    if SURPLUS in df.columns:
         n_quotes = F.length(LINE) - F.length(F.replace(F.col(LINE), F.lit('"'), F.lit("")))
-        df = df.filter(F.when(n_quotes % 2 == 1, F.raise_error(F.concat(
-            F.lit("a field holds a line break or a lone quote, read the table with multi_line: "),
-            F.col(LINE))).cast("boolean")).otherwise(F.lit(True)))
-    whole = F.when(F.col(SURPLUS).isNotNull(), F.raise_error(F.concat(
-        F.lit("a row has more fields than the header, from: "), F.col(SURPLUS))).cast("boolean")).otherwise(F.lit(True))
-    return df.filter(whole).select(*[null_if_na(F.col(c), NA_TOKENS).alias(c) for c in columns])
+        open_quote = "a field holds a line break or a lone quote, read the table with multi_line: "
+        ok = (F.when(F.col(LINE).isNull(), _refused(long_row, columns[0], SURPLUS))
+              .when(n_quotes % 2 == 1, _refused(open_quote, LINE)).when(too_many, _refused(long_row, LINE)))
+    else:
+        ok = F.when(F.col(LINE).isNotNull() & too_many, _refused(long_row, LINE, columns[0]))
+    return df.filter(ok.otherwise(F.lit(True))).select(*[null_if_na(F.col(c), NA_TOKENS).alias(c) for c in columns])
 
 
 def read_csv_table(spark: SparkSession, path: str, schema: StructType | None = None,
@@ -60,13 +82,14 @@ def read_csv_table(spark: SparkSession, path: str, schema: StructType | None = N
 
     Never infers types (codes such as ``'001'`` keep their zeros).  Missing-value
     tokens (``NA``, ``null``, ``NaN``...) become null.  Quoted fields are read whole; a
-    row with too many fields is an error.  While a field may hold line breaks, one file
-    is read by one task; where the delivery guarantees one row per line, ``multi_line``
-    off splits large files, and a line that breaks the guarantee is an error.
+    row with too many fields is an error, empty ones included.  While a field may hold
+    line breaks, one file is read by one task; where the delivery guarantees one row per
+    line, ``multi_line`` off splits large files, and a line that breaks the guarantee is
+    an error.
     """
     columns = schema.names if schema is not None else csv_columns(spark, path, sep, multi_line)
     df = csv_options(spark.read, sep, multi_line).schema(csv_schema(columns, multi_line)).csv(path)
-    return checked_rows(df, columns)
+    return checked_rows(df, columns, sep)
 
 
 def discover_tables(spark: SparkSession, folder: str, suffix: str = ".csv") -> list[str]:

@@ -56,9 +56,10 @@ class Sources:
     def for_years(self, years: Iterable[str]) -> "Sources":
         """Hospital tables restricted to some 2-digit years, other tables unchanged.
 
-        Every table of a stay is in the stay's year shard and every hospital join
-        includes ``YEAR``, so hospital builds on these sources are exact for those
-        years; on ``YEAR``-partitioned storage the filter prunes whole folders.
+        Every table of a stay is in the stay's year shard, and every hospital join is on
+        the stay key with ``YEAR`` or on the visit id, which contains the year: hospital
+        builds on these sources are exact for those years.  On ``YEAR``-partitioned
+        storage the filter prunes whole folders.
         City-care years come from each table's own date and are not restricted.
         """
         years = [str(y) for y in years]

@@ -33,7 +33,7 @@ def delivery_stream(spark: SparkSession, folder: str, columns: list[str] | None
     reader = csv_options(spark.readStream.schema(csv_schema(columns, multi_line)), sep, multi_line)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return checked_rows(reader.csv(folder), columns)
+    return checked_rows(reader.csv(folder), columns, sep)
 
 
 def checkpoint_name(table: str, out_path: str) -> str:

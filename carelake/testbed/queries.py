@@ -8,6 +8,7 @@ the semantics, over the same tables (``oracle``).  Every query reads whole table
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,11 +33,12 @@ from carelake.plans import (
     build_stays,
 )
 from carelake.plans import load as load_plan
-from carelake.plans import quality
+from carelake.plans import quality, steps
 from carelake.plans.condition import CONDITION_ORDER
 from carelake.catalog import shard_name
 from carelake.plans.drug import delivered_quantities, with_atc
-from carelake.sinks import scratch_path, write_csv, write_table
+from carelake.plans.transform import StepCounts
+from carelake.sinks import replace_partitions, scratch_path, write_csv, write_hub, write_table
 from carelake.sources import readers
 from carelake.testbed import oracle as O
 from carelake.testbed.standins import standin, standin_sources, standin_sql
@@ -140,7 +142,7 @@ def x10_delay_date(spark, sf):
                      dates.delay_date("start", "delay").alias("event_date"))
 
 
-_FMT_SQL = """CASE event_id % 8
+_FMT_SQL = """CASE event_id % 12
   WHEN 0 THEN strftime(ts, '%d/%m/%Y')
   WHEN 1 THEN upper(strftime(ts, '%d%b%Y:%H:%M:%S'))
   WHEN 2 THEN upper(strftime(ts, '%d%b%Y'))
@@ -148,18 +150,31 @@ _FMT_SQL = """CASE event_id % 8
   WHEN 4 THEN ' ' || strftime(ts, '%Y-%m-%d')
   WHEN 5 THEN upper(strftime(ts, '%-d%b%Y'))
   WHEN 6 THEN upper(strftime(ts, '%-d%b%Y:')) || CAST(hour(ts) AS VARCHAR) || ':' || CAST(minute(ts) AS VARCHAR) || ':2'
+  WHEN 7 THEN strftime(ts, '%Y%m%-d')
+  WHEN 8 THEN strftime(ts, '%Y%-m%d')
+  WHEN 9 THEN strftime(ts, '%Y%-m%-d')
+  WHEN 10 THEN strftime(ts, '%-d/%-m/%Y')
   ELSE 'n/a' END"""
 
 
+def _compact_sql(t: str) -> str:
+    """A compact date for DuckDB, by the number of digits after the year."""
+    md = f"substr({t}, 5)"
+    two = f"(substr({md}, 1, 2) IN ('01', '02', '03', '04', '05', '06', '07', '08', '09', '10', '11', '12') AND substr({md}, 3) <> '0')"
+    cut = f"CASE WHEN length({md}) = 4 OR length({md}) = 3 AND {two} THEN 2 ELSE 1 END"
+    parts = f"substr({t}, 1, 4) || '-' || substr({md}, 1, {cut}) || '-' || substr({md}, 1 + {cut})"
+    return f"CASE WHEN regexp_full_match({t}, '[0-9]{{6,8}}') THEN try_strptime({parts}, '%Y-%m-%d') END"
+
+
 @query("x12_multi_format", f"""
 SELECT event_id, t AS date_text,
   CAST(coalesce(try_strptime(trim(t), '%d/%m/%Y'), try_strptime(trim(t), '%d%b%Y:%H:%M:%S'),
-                try_strptime(trim(t), '%d%b%Y'), try_strptime(trim(t), '%Y%m%d'),
+                try_strptime(trim(t), '%d%b%Y'), {_compact_sql("trim(t)")},
                 try_strptime(trim(t), '%Y-%m-%d')) AS DATE) AS parsed
 FROM (SELECT event_id, {_FMT_SQL} AS t FROM events)""")
 def x12_multi_format(spark, sf):
     e = _t(spark, sf, "events")
-    k = F.col("event_id") % 8
+    k = F.col("event_id") % 12
     t = (F.when(k == 0, F.date_format("ts", "dd/MM/yyyy"))
          .when(k == 1, F.upper(F.date_format("ts", "ddMMMyyyy:HH:mm:ss")))
          .when(k == 2, F.upper(F.date_format("ts", "ddMMMyyyy")))
@@ -167,6 +182,8 @@ def x12_multi_format(spark, sf):
          .when(k == 4, F.concat(F.lit(" "), F.date_format("ts", "yyyy-MM-dd")))
          .when(k == 5, F.upper(F.date_format("ts", "dMMMyyyy")))
          .when(k == 6, F.concat(F.upper(F.date_format("ts", "dMMMyyyy:H:m")), F.lit(":2")))
+         .when(k == 7, F.date_format("ts", "yyyyMMd")).when(k == 8, F.date_format("ts", "yyyyMdd"))
+         .when(k == 9, F.date_format("ts", "yyyyMd")).when(k == 10, F.date_format("ts", "d/M/yyyy"))
          .otherwise(F.lit("n/a")))
     df = e.select("event_id", t.alias("date_text"))
     return df.select("event_id", "date_text", dates.parse_any_date("date_text").alias("parsed"))
@@ -758,21 +775,25 @@ def b8_rehab_external(spark, sf):
 # Raw-claims load (B15): multi-format dates, year window, patient key, hash year
 # ---------------------------------------------------------------------------
 
-_RAW_DATE_SQL = """CASE o_orderkey % 5
+_RAW_DATE_SQL = """CASE o_orderkey % 7
   WHEN 0 THEN strftime(o_orderdate, '%d/%m/%Y')
   WHEN 1 THEN strftime(o_orderdate, '%Y%m%d')
   WHEN 2 THEN strftime(o_orderdate, '%Y-%m-%d')
   WHEN 3 THEN upper(strftime(o_orderdate, '%d%b%Y'))
+  WHEN 4 THEN strftime(o_orderdate, '%Y%m%-d')
+  WHEN 5 THEN strftime(o_orderdate, '%Y%-m%-d')
   ELSE '' END"""
 
 
 def _raw_stays(spark, sf) -> DataFrame:
     o = _t(spark, sf, "orders")
-    k = F.col("o_orderkey") % 5
+    k = F.col("o_orderkey") % 7
     t = (F.when(k == 0, F.date_format("o_orderdate", "dd/MM/yyyy"))
          .when(k == 1, F.date_format("o_orderdate", "yyyyMMdd"))
          .when(k == 2, F.date_format("o_orderdate", "yyyy-MM-dd"))
          .when(k == 3, F.upper(F.date_format("o_orderdate", "ddMMMyyyy")))
+         .when(k == 4, F.date_format("o_orderdate", "yyyyMMd"))
+         .when(k == 5, F.date_format("o_orderdate", "yyyyMd"))
          .otherwise(F.lit("")))
     return o.select((F.col("o_orderkey") % 97).cast("string").alias("ETA_NUM"),
                     F.col("o_orderkey").cast("string").alias("RSA_NUM"),
@@ -783,7 +804,7 @@ def _raw_stays(spark, sf) -> DataFrame:
 
 def _load_sql() -> str:
     parsed = ("CAST(coalesce(try_strptime(trim(t), '%d/%m/%Y'), try_strptime(trim(t), '%d%b%Y'), "
-              "try_strptime(trim(t), '%Y%m%d'), try_strptime(trim(t), '%Y-%m-%d')) AS DATE)")
+              f"{_compact_sql('trim(t)')}, try_strptime(trim(t), '%Y-%m-%d')) AS DATE)")
     h = ("CAST(('0x' || substr(md5(concat_ws('|', CAST(o_orderkey % 97 AS VARCHAR), "
          "CAST(o_orderkey AS VARCHAR))), 1, 8)) AS BIGINT)")
     return f"""
@@ -949,3 +970,77 @@ def q5_key_collisions(spark, sf):
 
 
 __all__ = ["Q", "SQL", "standin_sql"]
+
+
+# ---------------------------------------------------------------------------
+# Hot keys on a stored hub, year-wise replacement, step counts, delivered schemas
+# ---------------------------------------------------------------------------
+
+def _on_stored_stays(name: str) -> Query:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        """The build on stays laid out by their id, every stay of 4 lines joined apart."""
+        src = _src(spark, sf)
+        stays = write_hub(_stays(spark, sf, src), scratch_path(spark, "stays"), "stay_id")
+        return steps.build_table(name, src, {"stays_pmsi": stays}, hot_rows=4)
+    return run
+
+
+query("j9_hot_stays", O.table_sql("measurement_pmsi"))(_on_stored_stays("measurement_pmsi"))
+query("j10_hot_stays", O.table_sql("medical_units"))(_on_stored_stays("medical_units"))
+query("j15_hot_stays", O.table_sql("drug_pmsi"))(_on_stored_stays("drug_pmsi"))
+
+
+@query("k1_replace_years", _with(["T_MCOaaC"], """
+SELECT ETA_NUM, RSA_NUM, YEAR, CASE WHEN YEAR IN ('12', '13') THEN 'again' ELSE 'first' END AS run FROM T_MCOaaC
+WHERE NOT (YEAR = '13' AND CAST(ETA_NUM AS INTEGER) % 2 = 0)"""))
+def k1_replace_years(spark, sf):
+    """All years stored, then two of them replaced, one with fewer rows."""
+    c = standin(spark, sf, "T_MCOaaC").select("ETA_NUM", "RSA_NUM", "YEAR")
+    path = scratch_path(spark, "k1_years")
+    write_table(c.withColumn("run", F.lit("first")), path, partition_by=["YEAR"])
+    again = c.filter(~((F.col("YEAR") == "13") & (F.col("ETA_NUM").cast("int") % 2 == 0))).withColumn("run", F.lit("again"))
+    replace_partitions(again, path, "YEAR", ["12", "13"])
+    return readers.read_table(spark, path).select("ETA_NUM", "RSA_NUM", "YEAR", "run")
+
+
+@query("e2_step_counts", O.compose(["IR_BEN_R", "KI_CCI_R", "KI_ECD_R", "ER_PRS_F"], [
+    ("known", "SELECT * FROM IR_BEN_R WHERE trim(NUM_ENQ_IDT) <> ''"),
+    ("n", """SELECT (SELECT count(*) FROM IR_BEN_R) AS ben, (SELECT count(*) FROM known) AS known,
+             (SELECT count(DISTINCT NUM_ENQ_IDT) FROM known) AS patients, (SELECT count(*) FROM KI_CCI_R) AS cci,
+             (SELECT count(*) FROM (SELECT DISTINCT NUM_ENQ_IDT FROM KI_CCI_R)) AS dead, (SELECT count(*) FROM KI_ECD_R) AS ecd,
+             (SELECT count(*) FROM ER_PRS_F) AS prs""")], """
+SELECT v.* FROM n, (VALUES ('person', 'IR_BEN_R', 1, 'columns', n.ben), ('person', 'IR_BEN_R', 2, 'known patients', n.known),
+  ('person', 'IR_BEN_R', 3, 'date BEN_DTE_MAJ', n.known), ('person', 'IR_BEN_R', 4, 'date BEN_DCD_DTE', n.known),
+  ('person', 'IR_BEN_R', 5, 'latest update', n.patients), ('person', 'KI_CCI_R', 1, 'certificates', n.cci),
+  ('person', 'KI_CCI_R', 2, 'date DCD_KI', n.cci), ('person', 'KI_CCI_R', 3, 'earliest', n.dead),
+  ('causes_of_death', 'KI_CCI_R', 1, 'main cause', n.cci), ('causes_of_death', 'KI_ECD_R', 1, 'associated causes', n.ecd),
+  ('prestations', 'ER_PRS_F', 1, 'columns', n.prs), ('prestations', 'ER_PRS_F', 2, 'date EXE_SOI_DTD', n.prs),
+  ('prestations', 'ER_PRS_F', 3, 'date EXE_SOI_DTF', n.prs), ('prestations', 'ER_PRS_F', 4, 'claim lines', n.prs)
+) v(build, source, position, step, rows)"""))
+def e2_step_counts(spark, sf):
+    """Rows that each step of three builds left, observed while the builds ran."""
+    src = standin_sources(spark, sf, ["IR_BEN_R", "KI_CCI_R", "KI_ECD_R", "ER_PRS_F"])
+    rows = []
+    for name, build in (("person", build_person), ("causes_of_death", lambda s, c: build_causes_of_death(s, build_person(s), c)),
+                        ("prestations", build_prestations)):
+        counts = StepCounts()
+        write_table(build(src, counts), scratch_path(spark, f"e2_{name}"))
+        rows += [(name, *r) for r in counts.rows()]
+    return spark.createDataFrame(rows, "build string, source string, position int, step string, rows long")
+
+
+@query("s7_delivered_schemas", f"""
+SELECT ETA_NUM, RSA_NUM, EXE_SOI_DTF AS ARRIVED, NIR_ANO_17 AS WHO, EXE_SOI_DTD, NIR_ANO_17 AS NUM_ENQ, NIR_ANO_17 AS NUM_ENQ_IDT, YEAR
+FROM ({_load_sql()})""")
+def s7_delivered_schemas(spark, sf):
+    """A delivery whose own schema and link files name one more date column and another
+    patient column than the catalog."""
+    root = scratch_path(spark, "s7_delivery")
+    raw = _raw_stays(spark, sf).withColumnsRenamed({"EXE_SOI_DTF": "ARRIVED", "NIR_ANO_17": "WHO"})
+    raw = raw.withColumn("ARRIVED", F.date_format(dates.parse_date("ARRIVED"), "yyyy-MM-dd"))
+    write_csv(raw.select("ETA_NUM", "RSA_NUM", "ARRIVED", "WHO", "EXE_SOI_DTD"), f"{root}/csv/T_MCOaaC.csv")
+    fields = [{"name": c, "type": "date" if c in ("EXE_SOI_DTD", "ARRIVED") else "string"} for c in raw.columns]
+    for name, said in (("schemas/T_MCOaaC.json", {"fields": fields}), ("links", {"T_MCOaaC": {"col": "WHO", "ref_col": "BEN_NIR_PSA"}})):
+        spark.createDataFrame([(json.dumps(said),)], "value string").coalesce(1).write.text(f"{root}/{name}")
+    load_plan.load_delivery(spark, f"{root}/csv", f"{root}/final", schema_dir=f"{root}/schemas", link_file=f"{root}/links")
+    return readers.read_table(spark, f"{root}/final/T_MCOaaC")

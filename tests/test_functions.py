@@ -161,3 +161,21 @@ def test_one_digit_days_and_times(spark):
     texts = ["5JAN2022", "05JAN2022", "5JAN2022:10:00:00", "05JAN2022:1:2:3", "5/1/2022", "2022-1-5", "20220105"]
     df = frame(spark, "t", [(t,) for t in texts])
     assert {str(r[0]) for r in df.select(parse_any_date("t")).collect()} == {"2022-01-05"}
+
+
+def test_compact_dates_read_by_position(spark):
+    """Month and day take two digits where they can, as a left-to-right digit parser reads them."""
+    from datetime import datetime
+
+    texts = [f"2014{rest}" for n in range(1, 5) for rest in (f"{i:0{n}d}" for i in range(0, 10 ** n, 1 if n < 4 else 7))]
+
+    def plain(t):
+        try:
+            return datetime.strptime(t, "%Y%m%d").date()
+        except ValueError:
+            return None
+
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {r["t"]: r["d"] for r in df.select("t", parse_any_date("t").alias("d")).collect()}
+    assert got == {t: plain(t) for t in texts}
+    assert str(got["2014115"]) == "2014-11-05" and str(got["201415"]) == "2014-01-05" and str(got["201411"]) == "2014-01-01"

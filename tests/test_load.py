@@ -294,3 +294,37 @@ def test_no_local_scratch_off_a_local_master(spark, monkeypatch):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         sinks.shared_dir(Session)
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+@pytest.mark.parametrize("row", ["1;2;3;4", "1;2;3;;x", "1;2;3;", "1;2;3;;", ";;;;", '1;"2;x";3;4', '"a""b;";2;"3";"4;"', "1;2;3;;;;;;;;y"])
+def test_rows_with_too_many_fields_fail(spark, tmp_path, multi_line, row):
+    write(tmp_path / "T.csv", f"a;b;c\n7;8;9\n{row}\n4;5;6")
+    df = read_csv_table(spark, str(tmp_path / "T.csv"), multi_line=multi_line)
+    with pytest.raises(Exception, match="more fields than the header"):
+        df.collect()
+    with pytest.raises(Exception, match="more fields than the header"):
+        df.count()
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_rows_with_enough_or_fewer_fields_stay(spark, tmp_path, multi_line):
+    write(tmp_path / "T.csv", 'a;b;c\n1;2;3\n1;2\n1\n;;\n"x;y";"p""q;";"z;;;"\nu"v;w;x"y')
+    got = rows(read_csv_table(spark, str(tmp_path / "T.csv"), multi_line=multi_line))
+    assert got == rows(spark.createDataFrame(
+        [("1", "2", "3"), ("1", "2", None), ("1", None, None), (None, None, None), ("x;y", 'p"q;', "z;;;"), ('u"v', "w", 'x"y')],
+        "a string, b string, c string"))
+    assert read_csv_table(spark, str(tmp_path / "T.csv"), multi_line=multi_line).count() == 6
+    write(tmp_path / "U.csv", "a\n1\n2")
+    assert read_csv_table(spark, str(tmp_path / "U.csv"), multi_line=multi_line).count() == 2
+    write(tmp_path / "V.csv", "a\n1\n2;")
+    with pytest.raises(Exception, match="more fields"):
+        read_csv_table(spark, str(tmp_path / "V.csv"), multi_line=multi_line).count()
+
+
+def test_line_breaks_in_quoted_fields_are_not_fields(spark, tmp_path):
+    write(tmp_path / "T.csv", 'a;b\n"one;\ntwo";2\n"x\n;";"y;\n"')
+    assert rows(read_csv_table(spark, str(tmp_path / "T.csv"))) == [("one;\ntwo", "2"), ("x\n;", "y;\n")]
+    write(tmp_path / "U.csv", 'a;b\n"one;\ntwo";2;\n1;2')
+    with pytest.raises(Exception, match="more fields"):
+        read_csv_table(spark, str(tmp_path / "U.csv")).collect()
