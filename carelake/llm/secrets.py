@@ -77,6 +77,11 @@ _RULES = {
 }
 
 
+# of what a failed match began in: no later start in the same run matches, since all of
+# them would have to go on behind its end in the same way
+_FAILED_RUN = {"web_token": re.compile(r"[A-Za-z0-9_-]+")}
+
+
 def _automaton() -> ahocorasick.Automaton:
     out = ahocorasick.Automaton()
     for kind, (keywords, _, _) in _RULES.items():
@@ -105,6 +110,8 @@ def find_secrets(text: str, automaton: ahocorasick.Automaton) -> list[tuple[int,
             free[kind] = m.end()
             if check(m):
                 spans.append((start, m.end(), kind))
+        elif kind in _FAILED_RUN:
+            free[kind] = _FAILED_RUN[kind].match(text, start).end()
     return sorted(spans, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
