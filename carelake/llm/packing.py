@@ -59,7 +59,12 @@ class WordMemo:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.added = {t.content: np.array([i], dtype="<u4").tobytes() for i, t in added.items()}
+        # tokens that take white space or a word's edge with them: their texts are not cut
+        self.whole = any(t.lstrip or t.rstrip or t.single_word for t in added.values())
+        longest = sorted(self.added, key=len, reverse=True)
+        self.cut = re.compile(f"({'|'.join(map(re.escape, longest))})") if longest else None
         # new words go through the same vocabulary as ranks, which is much faster
         self.ranked = _as_ranks(self.tokenizer)
         size = self.tokenizer.get_vocab_size()
@@ -112,6 +117,17 @@ class WordMemo:
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text.  A vocabulary cuts texts at its added tokens before all else,
+        so the ids are those of the parts between them."""
+        if self.cut is None or not any(map(self.cut.search, texts)):
+            return self._encode(texts)
+        if self.whole:
+            return [self._ids(t).tobytes() if self.cut.search(t) else self._encode([t])[0] for t in texts]
+        parts = [self.cut.split(t) for t in texts]
+        between = iter(self._encode([p for part in parts for p in part[::2]]))
+        return [b"".join(self.added[p] if i % 2 else next(between) for i, p in enumerate(part)) for part in parts]
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         out = self._joined([t.split(" ") for t in texts])
         odd = [i for i, x in enumerate(out) if x is None]
         again = self._joined([_CUT.split(texts[i]) for i in odd]) if odd else []

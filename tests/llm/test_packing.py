@@ -13,9 +13,7 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
 def ids_of(tokenizer, text):
@@ -23,7 +21,8 @@ def ids_of(tokenizer, text):
 
 
 ODD = ["", " ", "  ", "a", " a", "a ", "a  b", "a   b", "a \n b", "a\n\n b c", "x\t y", "it's we'll 'd", "é ü ñ 中文 字",
-       "<|endoftext|> a <|endoftext|>", "a b  c", "1 2  33\n", "a \x1c b\x1d c", " \n \n", "a" * 3000, "!? ..  ##"]
+       "<|endoftext|> a <|endoftext|>", "hello <|endoftext|> world", "<|endoftext|>", "<|endoftext|><|endoftext|>", "a<|endoftext|>b c",
+       "<|endoftext|", "<<|endoftext|>>", "a <|endoftext|>  <|endoftext|>\n", "é<|endoftext|> ü", "a b  c", "1 2  33\n", "a \x1c b\x1d c", " \n \n", "a" * 3000, "!? ..  ##"]
 
 
 def test_remembered_words_give_the_same_ids(tokenizer, sample):
@@ -32,6 +31,12 @@ def test_remembered_words_give_the_same_ids(tokenizer, sample):
     assert [np.frombuffer(x, dtype="<u4").tolist() for x in got] == [ids_of(tokenizer, t)[:-1] for t in texts]
 
 
+def test_added_tokens_are_one_id(tokenizer):
+    end = tokenizer.token_to_id("<|endoftext|>")
+    (ids,) = packing.WordMemo(PATH).encode(["hello <|endoftext|> world"])
+    assert np.frombuffer(ids, dtype="<u4").tolist() == [31373, 220, end, 995] == ids_of(tokenizer, "hello <|endoftext|> world")[:-1]
+
+
 def check_packing(counts, capacity):
     table = packing.packed_lengths(counts, capacity)
     used = {}

@@ -44,7 +44,6 @@ def test_against_brute_force(spark, packed):
     clean = {d for d, _, n_hit, _ in contaminated(docs, items) if not n_hit}
     docs = [x for x in docs if x[0] in clean]
     tokenizer = Tokenizer.from_file(vocabulary())
-    tokenizer.encode_special_tokens = True
     want = []
     for doc, text in docs:
         ids = tokenizer.encode(text, add_special_tokens=False).ids + [packing.END_ID]
