@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -31,9 +31,38 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def exact(column: str) -> Column:
+    """The column of this name, whatever characters the name has."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
+def free_names(columns: Iterable[str], *wanted: str) -> list[str]:
+    """Names that none of ``columns`` has, in any case, one for each of ``wanted``."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def keep_rows(docs: DataFrame, column: str, keep: Callable[[pa.Array], list[bool]]) -> DataFrame:
+    """The rows for which ``keep`` says so of a batch of ``column``, all columns kept."""
+    at, names = docs.columns.index(column), docs.columns
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(keep(batch.column(at)), type=pa.bool_()))
+
+    return plain.mapInArrow(clean, plain.schema).toDF(*names)
+
+
 def whole_text(text_col: str) -> Column:
     """The text of a row; null counts as empty."""
-    return F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    return F.coalesce(exact(text_col).cast("string"), F.lit(""))
 
 
 def partitions(df: DataFrame) -> int:
@@ -66,5 +95,5 @@ def record_batches(columns: Iterable[tuple[str, pa.DataType, list]]) -> pa.Recor
 
 def row_key(id_col: str, text_col: str) -> Column:
     """A digest of a row's id and text: rows with equal keys hold the same id and text."""
-    ident = F.coalesce(F.concat(F.lit("="), F.col(id_col).cast("string")), F.lit("null"))
+    ident = F.coalesce(F.concat(F.lit("="), exact(id_col).cast("string")), F.lit("null"))
     return F.md5(F.concat_ws("\n", ident, whole_text(text_col)))

@@ -11,7 +11,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelake.llm.common import record_batches, slices
+from carelake.llm.common import keep_rows, record_batches, slices
 
 ORDERS = (2, 3)
 BUCKET_BITS = 16
@@ -196,14 +196,11 @@ def with_known_language(docs: DataFrame, model: LanguageModel, text_col: str = "
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(text_col).to_pylist()
-            if shared.value.languages:
-                _, sure = predict(shared.value, texts)
-                keep = [p >= min_score for p in sure]
-            else:
-                keep = [has_letter(t) for t in texts]
-            yield batch.filter(pa.array(keep, type=pa.bool_()))
-
-    return docs.mapInArrow(clean, docs.schema)
+    def known(column: pa.Array) -> list[bool]:
+        texts = column.to_pylist()
+        if not shared.value.languages:
+            return [has_letter(t) for t in texts]
+        _, sure = predict(shared.value, texts)
+        return [p >= min_score for p in sure]
+
+    return keep_rows(docs, text_col, known)
