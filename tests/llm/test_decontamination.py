@@ -74,14 +74,27 @@ def test_driver_sample(spark, sample):
     assert got(df, items) == brute([(d, t) for d, t, _ in rows], [(r["item_id"], r["text"]) for r in items.collect()])
 
 
-def test_filter(spark, docs_of):
+@pytest.mark.parametrize("block", [8_000_000, 300])
+@pytest.mark.parametrize("name", ["source", "meta.src", "row_key", "rk", "window", "part"])
+def test_filter(spark, docs_of, monkeypatch, block, name):
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", block)
     rows, items = variety()
     clean = sorted((d for d, _, n, _ in brute(rows, items) if not n), key=str)
-    out = decontamination.without_contaminated(docs_of(rows), bench(spark, items))
-    assert sorted((r["doc_id"] for r in out.collect()), key=str) == clean and len(out.columns) == 5
+    df = docs_of(rows).withColumnRenamed("source", name)
+    out = decontamination.without_contaminated(df, bench(spark, items))
+    assert sorted((r["doc_id"] for r in out.collect()), key=str) == clean and out.columns == df.columns
+    assert {r[name] for r in out.collect()} == {"s"}
     assert decontamination.without_contaminated(docs_of(rows), bench(spark, [])).count() == len(rows)
 
 
+def test_a_window_of_many_items_and_a_long_item(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", 2_000)
+    shared = " ".join(f"w{i}" for i in range(12))
+    items = [(i, shared) for i in range(300)] + [(1000, " ".join(f"v{i}" for i in range(2000)))]
+    rows = [(1, "x " + shared.upper()), (2, " ".join(f"v{i}" for i in range(995, 1010))), (3, shared[:-4]), (4, "x")] * 2
+    assert got(docs_of(rows), bench(spark, items)) == brute(rows, items)
+
+
 def test_empty_tables(spark, docs_of):
     assert got(docs_of([]), bench(spark, [(1, "a b")])) == []
     assert got(docs_of([(1, "a b")]), bench(spark, [])) == [(1, 2, 0, ())]
