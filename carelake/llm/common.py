@@ -60,6 +60,19 @@ def keep_rows(docs: DataFrame, column: str, keep: Callable[[pa.Array], list[bool
     return plain.mapInArrow(clean, plain.schema).toDF(*names)
 
 
+def copies_of(docs: DataFrame, key: Column, key_name: str, name: str) -> DataFrame:
+    """``key, copies`` of the keys of more than one row; counted before the shuffle."""
+    return docs.groupBy(key.alias(key_name)).agg(F.count(F.lit(1)).alias(name)).filter(F.col(name) > 1)
+
+
+def one_of_each(rows: DataFrame, key: str, several: Column) -> DataFrame:
+    """Of the rows for which ``several`` holds any one per key, all others as they are.  A
+    key's rows are put together before the shuffle, however many they are."""
+    (first,) = free_names(rows.columns, "row")
+    picked = rows.filter(several).groupBy(key).agg(F.first(F.struct(*[exact(c) for c in rows.columns])).alias(first))
+    return rows.filter(~several).unionByName(picked.select(*[F.col(first)[c].alias(c) for c in rows.columns]))
+
+
 def whole_text(text_col: str) -> Column:
     """The text of a row; null counts as empty."""
     return F.coalesce(exact(text_col).cast("string"), F.lit(""))

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carelake.llm.common import exact, free_names, record_batches, row_key, slices, whole_text, written
+from carelake.llm.common import copies_of, exact, free_names, one_of_each, record_batches, row_key, slices, whole_text, written
 
 # a chunk that finds no boundary closes after so many lines
 MAX_LINES = 4
@@ -107,7 +107,7 @@ def chunk_keys(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
         return _mixed(span + (ends - starts).astype(np.uint64) * _BASE).view(np.int64)
 
 
-def chunked(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def chunked(texts: list[str], key_bits: int = 64) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(text, first line, end line, key) of all chunks of some texts, lines by text."""
     lines: list[str] = []
     ends = []
@@ -122,7 +122,7 @@ def chunked(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
         keys = chunk_keys(hashes, starts, closes)
     of = np.searchsorted(stops, starts, side="right")
     first = np.concatenate([[0], stops[:-1]]) if len(stops) else stops
-    return of, starts - first[of], closes - first[of], keys
+    return of, starts - first[of], closes - first[of], keys >> np.int64(64 - key_bits)
 
 
 def chunk_texts(lines: list[str], spans: list[tuple[int, int]]) -> list[bytes]:
@@ -147,25 +147,33 @@ def chunk_texts(lines: list[str], spans: list[tuple[int, int]]) -> list[bytes]:
     return [out[s] for s in spans]
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _counted(key_bits: int):
     """Chunks as keys, with a number for the place: of its row key and first line."""
-    for batch in batches:
-        for part in slices(batch, "text", _TEXT_AT_ONCE):
-            of, starts, _, keys = chunked(part.column("text").to_pylist())
-            with np.errstate(over="ignore"):
-                rows = line_hashes(part.column("rk").to_pylist())[of]
-                spots = _mixed(rows + starts.astype(np.uint64) * _BASE).view(np.int64)
-            yield record_batches([("key", pa.int64(), keys), ("spot", pa.int64(), spots)])
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", _TEXT_AT_ONCE):
+                of, starts, _, keys = chunked(part.column("text").to_pylist(), key_bits)
+                with np.errstate(over="ignore"):
+                    rows = line_hashes(part.column("rk").to_pylist())[of]
+                    spots = _mixed(rows + starts.astype(np.uint64) * _BASE).view(np.int64)
+                yield record_batches([("key", pa.int64(), keys), ("spot", pa.int64(), spots)])
+
+    return count
 
-def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _placed(key_bits: int):
     """Chunks as keys and places."""
-    for batch in batches:
-        for part in slices(batch, "text", _TEXT_AT_ONCE):
-            of, starts, ends, keys = chunked(part.column("text").to_pylist())
-            yield record_batches([
-                ("rk", pa.string(), part.column("rk").take(pa.array(of))), ("start", pa.int64(), starts),
-                ("end", pa.int64(), ends), ("key", pa.int64(), keys)])
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", _TEXT_AT_ONCE):
+                of, starts, ends, keys = chunked(part.column("text").to_pylist(), key_bits)
+                yield record_batches([
+                    ("rk", pa.string(), part.column("rk").take(pa.array(of))), ("start", pa.int64(), starts),
+                    ("end", pa.int64(), ends), ("key", pa.int64(), keys)])
+
+    return place
 
 
 def _with_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,11 +214,11 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield record_batches([("rk", pa.string(), batch.column("rk")), ("spans", _SPANS, merged)])
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key_bits: int = 64) -> DataFrame:
     """``rk, spans``: per document (by its row key) the line ranges to remove, disjoint
     and by start; rows of one id and text are one document here.
 
-    Chunks are counted by a 64-bit hash (least and largest of the numbers of their places,
+    Chunks are counted by a hash of ``key_bits`` (least and largest of the numbers of their places,
     combined before the shuffle).  The chunks that occur in two places are then compared by their bytes: a
     hash whose least and largest bytes are the same stands for one text.  Where they are
     not, texts that differ share a hash, and these few chunks are told apart by their
@@ -221,10 +229,10 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     base = base.withColumn("rk", row_key("doc_id", "text"))
     kind = base.schema["doc_id"].dataType.simpleString()
     place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("rk"), F.col("start"))
-    twice = (base.mapInArrow(_counted, "key bigint, spot bigint").groupBy("key")
+    twice = (base.mapInArrow(_counted(key_bits), "key bigint, spot bigint").groupBy("key")
              .agg(F.min("spot").alias("one"), F.max("spot").alias("other")).filter("one <> other").select("key"))
     twice = written(twice, "repeated")
-    candidates = (base.mapInArrow(_placed, "rk string, start bigint, end bigint, key bigint").join(twice, "key")
+    candidates = (base.mapInArrow(_placed(key_bits), "rk string, start bigint, end bigint, key bigint").join(twice, "key")
                   .groupBy("rk").agg(F.collect_set(F.struct("start", "end", "key")).alias("spans")))
     one = base.groupBy("rk").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"))
     found = written(one.join(candidates, "rk"), "candidates")
@@ -244,12 +252,6 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return spans.mapInArrow(_merged, "rk string, spans array<struct<start:bigint,end:bigint>>")
 
 
-def _copies(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``rk, copies``: row keys of more than one row."""
-    return (docs.groupBy(row_key(id_col, text_col).alias("rk")).agg(F.count(F.lit(1)).alias("copies"))
-            .filter("copies > 1"))
-
-
 def _n_lines(text: Column) -> Column:
     return (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("long")
 
@@ -312,16 +314,14 @@ def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: st
     with one id and a text of several lines one stays (of those that differ in other
     columns, any one); repeated rows of other texts all stay.
     """
-    key, ranges, copies, first = free_names(docs.columns, "row_key", "spans", "copies", "row")
+    key, ranges, copies = free_names(docs.columns, "row_key", "spans", "copies")
     names = [exact(c) for c in docs.columns]
     spans = repeated_spans(docs, id_col, text_col).toDF(key, ranges)
     keyed = docs.withColumn(key, row_key(id_col, text_col))
-    joined = keyed.join(spans, key, "left").join(_copies(docs, id_col, text_col).toDF(key, copies), key, "left")
+    joined = keyed.join(spans, key, "left")
+    joined = joined.join(copies_of(docs, row_key(id_col, text_col), key, copies), key, "left")
     several = F.col(copies).isNotNull() & _goes_whole(whole_text(text_col))
-    # one row of each key, whichever columns they have
-    picked = joined.filter(several).groupBy(key).agg(F.first(F.struct(*names, F.col(ranges))).alias(first))
-    picked = picked.select(F.col(first)[ranges].alias(ranges), *[F.col(first)[c].alias(c) for c in docs.columns])
-    rows = joined.filter(~several).select(ranges, *names).unionByName(picked)
+    rows = one_of_each(joined, key, several)
     text = F.when(F.col(ranges).isNull(), exact(text_col)).otherwise(_remaining(exact(text_col), F.col(ranges)))
     rewritten = rows.select(ranges, *[text.alias(c) if c == text_col else exact(c) for c in docs.columns])
     return rewritten.filter(F.col(ranges).isNull() | exact(text_col).rlike(r"\S")).select(*names)

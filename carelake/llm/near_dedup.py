@@ -8,11 +8,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from carelake.llm.common import record_batches, row_key, slices, whole_text, written
+from carelake.llm.common import (copies_of, exact, free_names, one_of_each, record_batches, row_key, slices,
+                                 whole_text, written)
 from carelake.llm.components import connected_components
 
 SHINGLE_WORDS = 5
@@ -275,26 +276,25 @@ class _Side:
 
     def __init__(self, rows: list[dict]):
         self.rows = rows
-        self.n = np.array([len(r["shingles"]) // 8 for r in rows])
+        self.n = np.array([r["n"] for r in rows])
         self.label = np.array([r["label"] for r in rows], dtype=object)
         self.cls = np.array([r["cls"] for r in rows], dtype=object)
         self.pivot = np.array([r["pivot"] for r in rows])
         self.has = [np.array([r[form] is not None for r in rows]) for form in ("few", "many")]
         empty = np.full(_BUCKETS, _EMPTY, dtype=np.uint16)
         self.regs = [np.array([empty if r[form] is None else _form(r[form]) for r in rows]) for form in ("few", "many")]
-        self.sets = [np.frombuffer(r["shingles"], dtype=np.uint64) for r in rows]
 
 
-def _block_links(key: int, pivots: list[dict], members: list[dict]) -> Iterator[tuple[bytes, bytes]]:
-    """Links between pivots and members of other components, found by the estimate and
-    confirmed on the full sets.  A pair that meets in several large buckets is compared
-    in the one with the smallest key."""
+def _likely(key: int, pivots: list[dict], members: list[dict]) -> Iterator[tuple[dict, dict]]:
+    """Pairs of a pivot and a member of another component that the sizes and the estimate
+    leave open.  A pair that meets in several large buckets is compared in the one with
+    the smallest key."""
     if not pivots or not members:
         return
     side = _Side(members)
     wanted = SHARE_OF_HUNDRED / 100
     for p in pivots:
-        n, own = len(p["shingles"]) // 8, np.frombuffer(p["shingles"], dtype=np.uint64)
+        n = p["n"]
         maybe = ((side.label != p["label"]) & (100 * np.minimum(side.n, n) >= SHARE_OF_HUNDRED * np.maximum(side.n, n))
                  & ~(side.pivot & (side.cls <= p["cls"])))
         open_, likely = maybe.copy(), np.zeros(len(members), dtype=bool)
@@ -309,38 +309,49 @@ def _block_links(key: int, pivots: list[dict], members: list[dict]) -> Iterator[
             likely[at] = share >= wanted - SIGMAS * np.sqrt(wanted * (1 - wanted) / np.maximum(1, used))
             open_[at] = False
         for i in np.flatnonzero(likely | open_):
-            member = members[i]
-            if min(p["keys"] & member["keys"]) == key and linked(own, side.sets[i]):
-                yield max(p["cls"], member["cls"]), min(p["cls"], member["cls"])
+            if min(p["keys"] & members[i]["keys"]) == key:
+                yield p, members[i]
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[dict], list[dict]]]:
     """Rows sorted by (key, part, block): one block of pivots and members at a time."""
     current, sides = None, ([], [])
-
-    def found() -> pa.RecordBatch:
-        links = list(_block_links(current[0], *sides))
-        return record_batches([("a", pa.binary(), [a for a, _ in links]), ("b", pa.binary(), [b for _, b in links])])
-
     for batch in batches:
         for row in batch.to_pylist():
             group = (row["key"], row["part"], row["block"])
             if group != current:
                 if current:
-                    yield found()
+                    yield current, *sides
                 current, sides = group, ([], [])
             row["keys"] = set(row["keys"])
             sides[row["member"]].append(row)
     if current:
-        yield found()
+        yield current, *sides
+
+
+def _open_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """By registers alone: the rows of each block that a pair leaves open."""
+    for (key, part, block), pivots, members in _in_blocks(batches):
+        rows = {(side, r["cls"]) for pair in _likely(key, pivots, members) for side, r in enumerate(pair)}
+        n = len(rows)
+        yield record_batches([("key", pa.int64(), [key] * n), ("part", pa.int32(), [part] * n),
+                              ("block", pa.int32(), [block] * n), ("member", pa.int32(), [side for side, _ in rows]),
+                              ("cls", pa.binary(), [cls for _, cls in rows])])
+
+
+def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of each block, confirmed on the full sets."""
+    for (key, _, _), pivots, members in _in_blocks(batches):
+        links = [(max(p["cls"], m["cls"]), min(p["cls"], m["cls"])) for p, m in _likely(key, pivots, members)
+                 if linked(*[np.frombuffer(r["shingles"], dtype=np.uint64) for r in (p, m)])]
+        yield record_batches([("a", pa.binary(), [a for a, _ in links]), ("b", pa.binary(), [b for _, b in links])])
 
 
 def _with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "text", _TEXT_AT_ONCE):
             sets = [x.tobytes() for x in shingle_sets(part.column("text").to_pylist())]
-            yield record_batches([(c, pa.binary(), part.column(c)) for c in ("cls", "few", "many")]
-                                 + [("shingles", pa.binary(), sets)])
+            yield record_batches([("cls", pa.binary(), part.column("cls")), ("shingles", pa.binary(), sets)])
 
 
 def _links_in_blocks(large: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
@@ -348,7 +359,8 @@ def _links_in_blocks(large: DataFrame, classes: DataFrame, texts: DataFrame) ->
 
     The classes outside a bucket's largest component are compared with all its classes
     of other components.  Both sides are dealt out into blocks of bounded size, which
-    are compared inside a task; only links come out.
+    are compared inside a task: first by their registers, which tell which rows of a block
+    a pair leaves open; these rows alone get their full sets, and only links come out.
     """
     main = (large.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
             .groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("size"))
@@ -356,20 +368,23 @@ def _links_in_blocks(large: DataFrame, classes: DataFrame, texts: DataFrame) ->
                     F.ceil(F.col("size") / BLOCK_ROWS).cast("int").alias("parts"),
                     F.ceil((F.col("size") - F.col("top.n")) / BLOCK_ROWS).cast("int").alias("blocks")))
     keys = large.groupBy("cls").agg(F.collect_list("key").alias("keys"))  # at most the bands of two forms
-    described = classes.select("cls", "few", "many").join(keys.select("cls"), "cls").join(texts, "cls")
-    sets = described.select("cls", "few", "many", "text").mapInArrow(
-        _with_sets, "cls binary, few binary, many binary, shingles binary")
-    sets = written(sets.join(keys, "cls"), "large-sets")
-    rows = (large.select("key", "cls", "label").join(main, "key").withColumn("pivot", F.col("label") != F.col("main"))
-            .join(sets, "cls"))
+    described = written(classes.select("cls", "few", "many", F.col("n_shingles").alias("n")).join(keys, "cls"), "large-classes")
+    rows = large.select("key", "cls", "label").join(main, "key").withColumn("pivot", F.col("label") != F.col("main"))
+    rows = rows.join(described, "cls")
     own = F.xxhash64("cls")
     members = rows.withColumns({"part": F.pmod(own, "parts").cast("int"), "member": F.lit(1),
                                 "block": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))})
     pivots = rows.filter("pivot").withColumns({"block": F.pmod(own, "blocks").cast("int"), "member": F.lit(0),
                                                "part": F.explode(F.sequence(F.lit(0), F.col("parts") - 1))})
-    columns = ["key", "part", "block", "member", "cls", "label", "pivot", "few", "many", "shingles", "keys"]
-    dealt = members.select(*columns).unionAll(pivots.select(*columns)).repartition("key", "part", "block")
-    found = dealt.sortWithinPartitions("key", "part", "block").mapInArrow(_blocks, "a binary, b binary")
+    place = ["key", "part", "block"]
+    columns = [*place, "member", "cls", "label", "pivot", "few", "many", "n", "keys"]
+    dealt = written(members.select(*columns).unionAll(pivots.select(*columns)), "large-blocks")
+    left = dealt.repartition(*place).sortWithinPartitions(*place).mapInArrow(
+        _open_rows, "key bigint, part int, block int, member int, cls binary")
+    left = written(left, "large-open")
+    sets = texts.join(left.select("cls").distinct(), "cls").select("cls", "text").mapInArrow(_with_sets, "cls binary, shingles binary")
+    whole = dealt.join(left, [*place, "member", "cls"]).join(written(sets, "large-sets"), "cls")
+    found = whole.repartition(*place).sortWithinPartitions(*place).mapInArrow(_block_links, "a binary, b binary")
     return written(found, "large-links")
 
 
@@ -458,12 +473,12 @@ def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
     the smallest id (null ids last; of repeated ids and texts any one row).  Documents
     without words all stay."""
     found = _grouped(docs, id_col, text_col)
-    key, plain, nth = "carelake_row_key", "carelake_no_words", "carelake_row_number"
+    key, plain, copies = free_names(docs.columns, "row_key", "no_words", "copies")
     best = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("rk"))).alias("best")
     kept = (found.filter("label is not null").groupBy("label").agg(best)
             .select(F.col("best.rk").alias(key), F.lit(False).alias(plain))
             .unionAll(found.filter("label is null").select(F.col("rk").alias(key), F.lit(True).alias(plain)).distinct()))
-    one = Window.partitionBy(key).orderBy(F.lit(1))
     keyed = docs.withColumn(key, row_key(id_col, text_col)).join(kept, key)
-    return (keyed.withColumn(nth, F.row_number().over(one)).filter(F.col(plain) | (F.col(nth) == 1))
-            .select(*docs.columns))
+    keyed = keyed.join(copies_of(docs, row_key(id_col, text_col), key, copies), key, "left")
+    rows = one_of_each(keyed, key, F.col(copies).isNotNull() & ~F.col(plain))
+    return rows.select(*[exact(c) for c in docs.columns])

@@ -3,6 +3,7 @@
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 from carelake.llm import divergence
@@ -75,8 +76,20 @@ def test_groups_without_terms_and_empty_table(spark):
 
 
 def test_long_text_is_cut_between_terms(spark, monkeypatch):
-    monkeypatch.setattr(divergence, "_BYTES_AT_ONCE", 7)
-    monkeypatch.setattr(divergence, "_HELD", 2)
     text = "Aé bcdefghijklmnopqrstuvwxyz,cc  dd1ee " * 20
     rows = [(text, "l", "s"), (text + "zz", "l", "t"), ("zz zz", "l", "t")]
     assert audited(spark, rows, 1) == plain(rows, 1)
+    whole = [w for part in divergence._terms(text.encode()) for w in part]
+    for size in (1, 7, 50):
+        monkeypatch.setattr(divergence, "_BYTES_AT_ONCE", size)
+        assert [w for part in divergence._terms(text.encode()) for w in part] == whole and len(whole) == 100
+
+
+def test_counts_held_by_a_task_are_passed_on(monkeypatch):
+    monkeypatch.setattr(divergence, "_HELD", 2)
+    rows = {"lang": ["l", "l", "m"], "source": ["s", "s", "t"], "text": ["b a a", "a c", "a"]}
+    out = [r for b in divergence._counted(iter([pa.RecordBatch.from_pydict(rows)])) for r in b.to_pylist()]
+    n = Counter()
+    for r in out:
+        n[r["lang"], r["source"], r["term"]] += r["n"]
+    assert n == {("l", "s", None): 0, ("m", "t", None): 0, ("l", "s", "a"): 3, ("l", "s", "b"): 1, ("l", "s", "c"): 1, ("m", "t", "a"): 1}

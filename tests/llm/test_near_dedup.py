@@ -64,6 +64,26 @@ def test_estimate_is_close():
             assert k == 128 and abs(found - share) < 0.2
 
 
+def test_recall_near_the_threshold():
+    """Pairs of 75 to 80 shared of 100: how many meet in a band and pass the estimate."""
+    rng = np.random.default_rng(6)
+    found = planted = 0
+    for size in (8, 20, 60, 150, 300, 500, 1200, 5000):
+        for _ in range(250):
+            union = size + size // 4
+            both = -(-75 * union // 100) + int(rng.integers(0, max(1, union // 20)))
+            pool = np.unique(rng.integers(0, 2**63, union + 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
+            pool = rng.permutation(pool)[:union]
+            cut = both + (union - both) // 2
+            a, b = np.sort(pool[:cut]), np.sort(np.concatenate([pool[:both], pool[cut:]]))
+            assert near_dedup.linked(a, b)
+            x, y = near_dedup.registers(a), near_dedup.registers(b)
+            meet = len(np.intersect1d(near_dedup.band_keys(*x), near_dedup.band_keys(*y))) > 0
+            planted += 1
+            found += meet and near_dedup.may_link(x, y, len(a), len(b))
+    assert found >= 0.999 * planted
+
+
 def edited(words, rng, edits):
     words = list(words)
     for _ in range(edits):
@@ -114,5 +134,39 @@ def test_filter_keeps_one_of_each_group(docs_of):
     assert sorted(r["doc_id"] for r in out.collect()) == [1, 3, 4, 5]
 
 
+@pytest.mark.parametrize("name", ["meta.src", "row_key", "copies", "cls", "a`b"])
+def test_columns_of_any_name_and_many_repeated_rows(docs_of, name):
+    rows = [(1, "a b c d e f"), (None, ""), (None, ""), (2, "a b c d e f"), (2, "a b c d e f")] + [(None, "q r s")] * 50 + [(None, None)] * 5
+    df = docs_of(rows).withColumnRenamed("source", name)
+    out = near_dedup.without_near_duplicates(df)
+    assert out.columns == df.columns and {r[name] for r in out.collect()} == {"s"}
+    left = [(r["doc_id"], r["text"]) for r in out.collect()]
+    assert sorted(left, key=str) == sorted([(1, "a b c d e f"), (None, "q r s")] + [(None, "")] * 2 + [(None, None)] * 5, key=str)
+
+
+def test_unrelated_classes_of_a_large_bucket_move_no_sets(docs_of, monkeypatch):
+    """Of classes that meet by chance only the registers are dealt out."""
+    seen = {}
+    whole = near_dedup.written
+
+    def watched(df, name):
+        out = whole(df, name)
+        seen[name] = out.count()
+        return out
+
+    monkeypatch.setattr(near_dedup, "written", watched)
+    rng = random.Random(8)
+    rows = [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(60))) for i in range(80)]
+    rows += [(500, rows[79][1] + " more"), (501, rows[3][1][:-4])]
+    base = docs_of(rows).selectExpr("doc_id", "text", "cast(doc_id as string) AS rk")
+    described = base.mapInArrow(near_dedup._described, "doc_id long, rk string, n_shingles long, cls binary, few binary, many binary")
+    large = described.selectExpr("7L AS key", "cls", "cls AS label")
+    texts = described.join(base.select("rk", "text"), "rk").select("cls", "text")
+    id_of = {bytes(r["cls"]): r["doc_id"] for r in described.collect()}
+    links = {frozenset((id_of[bytes(r["a"])], id_of[bytes(r["b"])])) for r in near_dedup._links_in_blocks(large, described, texts).collect()}
+    assert links == {frozenset((79, 500)), frozenset((3, 501))}
+    assert seen["large-blocks"] >= 160 and seen["large-sets"] <= 8
+
+
 def test_empty_table(docs_of):
     assert near_dedup.near_duplicates(docs_of([])).count() == 0

@@ -38,10 +38,8 @@ def coded(spark, rows, kind="array<double>"):
     return {r["id"]: r for r in out.collect()}, books
 
 
-@pytest.mark.parametrize("leaves", [4096, 3])
 @pytest.mark.parametrize("scale", [1.0, 1e6, 1e12])
-def test_against_plain_integers(spark, monkeypatch, leaves, scale):
-    monkeypatch.setattr(vector_codes, "_LEAVES_AT_ONCE", leaves)
+def test_against_plain_integers(spark, scale):
     rng = np.random.default_rng(int(scale) % 97)
     rows = [(i, (scale * np.round(rng.standard_normal(16), 1)).tolist(), i % 3 or None) for i in range(120)]
     got, books = coded(spark, rows)
@@ -55,7 +53,9 @@ def test_against_plain_integers(spark, monkeypatch, leaves, scale):
             assert {r["label_error"] for r in got.values() if r["label"] == label} == {sum(own) if own else None}
 
 
-def test_walk_shares_prefixes_and_finds_the_first_nearest():
+@pytest.mark.parametrize("leaves", [4096, 100, 1])
+def test_walk_shares_prefixes_and_finds_the_first_nearest(monkeypatch, leaves):
+    monkeypatch.setattr(vector_codes, "_LEAVES_AT_ONCE", leaves)
     rng = np.random.default_rng(2)
     parts = np.unique(rng.integers(-2, 3, (3000, 5)), axis=0)
     entries = rng.integers(-2, 3, (7, 5)).tolist()
