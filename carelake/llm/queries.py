@@ -226,6 +226,48 @@ _SQL_OP7 = rf"""
 
 
 
+_SQL_OP5 = r"""
+    WITH d AS (SELECT row_number() OVER () AS rid, doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+         w AS (SELECT rid, pos, md5(b[pos + 1:pos + 200]) AS k FROM (SELECT rid, b, unnest(range(greatest(n - 199, 0))) AS pos FROM d)),
+         hit AS (SELECT rid, pos FROM w JOIN (SELECT k FROM w GROUP BY k HAVING count(*) > 1) USING (k)),
+         runs AS (SELECT rid, min(pos) AS low, max(pos) + 200 AS high FROM (
+                      SELECT *, sum(new) OVER (PARTITION BY rid ORDER BY pos) AS run FROM (
+                          SELECT *, CASE WHEN pos - lag(pos) OVER (PARTITION BY rid ORDER BY pos) <= 200 THEN 0 ELSE 1 END AS new FROM hit))
+                  GROUP BY rid, run),
+         cut AS (SELECT rid, sum(high - low) AS n_removed, count(*) AS n_spans, max(high) AS tail,
+                        string_agg(hex(b[past + 1:low]), '' ORDER BY low) AS kept
+                 FROM (SELECT *, coalesce(lag(high) OVER (PARTITION BY rid ORDER BY low), 0) AS past FROM runs) JOIN d USING (rid) GROUP BY rid)
+    SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+           sha256(unhex(coalesce(kept, '') || hex(b[coalesce(tail, 0) + 1:n]))) AS kept_sha256
+    FROM d LEFT JOIN cut USING (rid)"""
+
+_SQL_OP6 = r"""
+    WITH t AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+         d AS (SELECT *, row_number() OVER (PARTITION BY doc_id, text ORDER BY rid) AS copy, string_split(text, chr(10)) AS lines,
+                      md5(coalesce('=' || CAST(doc_id AS VARCHAR), 'null') || chr(10) || text) AS rk FROM t),
+         l AS (SELECT *, regexp_full_match(line, '[\t-\r\x1c-\x20\x85\p{Z}]*') AS blank FROM (
+                   SELECT rid, doc_id, rk, lines, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM d WHERE copy = 1)),
+         near AS (SELECT *, max(CASE WHEN NOT blank THEN i END) OVER (PARTITION BY rid ORDER BY i ROWS UNBOUNDED PRECEDING) AS above,
+                         min(CASE WHEN NOT blank THEN i END) OVER (PARTITION BY rid ORDER BY i DESC ROWS UNBOUNDED PRECEDING) AS below,
+                         lead(blank) OVER (PARTITION BY rid ORDER BY i) AS next_blank FROM l),
+         spans AS (SELECT rid, doc_id, rk, lines, i AS low, i + 1 AS high FROM near WHERE next_blank IS NOT NULL AND NOT (blank AND next_blank)
+                   UNION ALL SELECT rid, doc_id, rk, lines, above, i FROM near WHERE blank AND i - above >= 2
+                   UNION ALL SELECT rid, doc_id, rk, lines, i, below FROM near WHERE blank AND below - i >= 2),
+         again AS (SELECT rid, low, high, row_number() OVER (PARTITION BY array_to_string(lines[low:high], chr(10))
+                                                             ORDER BY doc_id IS NULL, doc_id, rk, low) AS nth FROM spans),
+         gone AS (SELECT DISTINCT rid, unnest(range(low, high + 1)) AS i FROM again WHERE nth > 1),
+         runs AS (SELECT rid, count(*) AS n_removed, count(*) FILTER (WHERE new) AS n_spans FROM (
+                      SELECT rid, coalesce(i - lag(i) OVER (PARTITION BY rid ORDER BY i) > 1, true) AS new FROM gone) GROUP BY rid),
+         kept AS (SELECT rid, string_agg(line, chr(10) ORDER BY i) AS text FROM l ANTI JOIN gone USING (rid, i) GROUP BY rid),
+         one AS (SELECT rid, rk, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, coalesce(kept.text, '') AS left_over
+                 FROM d LEFT JOIN runs USING (rid) LEFT JOIN kept USING (rid) WHERE copy = 1),
+         said AS (SELECT DISTINCT rid FROM l WHERE NOT blank),
+         all_of AS (SELECT d.doc_id, len(d.lines) AS n, d.copy > 1 AND len(d.lines) > 1 AND said.rid IS NOT NULL AS whole, one.*
+                    FROM d JOIN one USING (rk) LEFT JOIN said ON said.rid = one.rid)
+    SELECT doc_id, CAST(n AS BIGINT) AS n_lines, CAST(CASE WHEN whole THEN n ELSE n_removed END AS BIGINT) AS n_removed,
+           CAST(CASE WHEN whole THEN 1 ELSE n_spans END AS BIGINT) AS n_spans, CASE WHEN whole THEN '' ELSE left_over END AS text FROM all_of"""
+
+
 def _sql_op12(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
     """Integer codebooks of ``embeddings``, one statement a round; equal lengths that the
     parts divide."""
@@ -287,6 +329,8 @@ SQL = {
                           first_value(doc_id) OVER w AS keep_id, row_number() OVER w AS rn
                    FROM t WINDOW w AS (PARTITION BY norm ORDER BY length(text) DESC, doc_id ASC NULLS LAST))
         SELECT doc_id, keep_id, group_size, rn = 1 AS kept, text_sha256 FROM s""",
+    "op5_suffix_dedup": _SQL_OP5,
+    "op6_line_dedup": _SQL_OP6,
     "op7_revisit_resolution": _SQL_OP7,
     "op8_decontamination": _SQL_OP8,
     "op10_minhash_near_dedup": _SQL_OP10,

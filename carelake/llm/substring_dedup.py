@@ -232,11 +232,6 @@ def shared_ranges(stretches: list[tuple[bytes, int]]) -> list[tuple[int, int] |
     the other.
     """
     n = len(stretches)
-    if n == 2:
-        (x, p), (y, q) = stretches
-        left = common_prefix(x[:p][::-1], y[:q][::-1])
-        right = common_prefix(x[p:], y[q:])
-        return [(p - left, p + right), (q - left, q + right)] if left + right >= LENGTH else [None, None]
     ahead = _Sorted([x[p:] for x, p in stretches])
     behind = _Sorted([x[:p][::-1] for x, p in stretches])
     alive = np.arange(n)
