@@ -4,6 +4,7 @@ The table builds are batch jobs over complete deliveries; only the load step has
 natural incremental form (new delivery files arriving in a folder).
 """
 
+from carelake.streaming.compact import read_batches, stream_load_merged
 from carelake.streaming.load import delivery_stream, stream_load
 
-__all__ = ["delivery_stream", "stream_load"]
+__all__ = ["delivery_stream", "read_batches", "stream_load", "stream_load_merged"]

@@ -1044,3 +1044,18 @@ def s7_delivered_schemas(spark, sf):
         spark.createDataFrame([(json.dumps(said),)], "value string").coalesce(1).write.text(f"{root}/{name}")
     load_plan.load_delivery(spark, f"{root}/csv", f"{root}/final", schema_dir=f"{root}/schemas", link_file=f"{root}/links")
     return readers.read_table(spark, f"{root}/final/T_MCOaaC")
+
+
+@query("k2_stream_merged", _load_sql())
+def k2_stream_merged(spark, sf):
+    """The incremental load in several micro-batches that are merged on the way."""
+    from carelake.streaming import read_batches, stream_load_merged
+
+    root = scratch_path(spark, "stream_merged")
+    write_csv(_raw_stays(spark, sf).repartition(5), f"{root}/T_MCOaaC")
+    q = stream_load_merged(spark, f"{root}/T_MCOaaC", "T_MCOaaC", f"{root}/final", checkpoint=f"{root}/ckpt",
+                           max_files_per_trigger=1, merge_every=2)
+    q.awaitTermination(600)
+    if q.exception() is not None:
+        raise q.exception()
+    return read_batches(spark, f"{root}/final")
