@@ -12,7 +12,8 @@ Layout
 - ``streaming``  incremental form of the load for delivery folders.
 - ``testbed``    stand-in claims tables derived from the driver's test tables.
 
-Every builder is a pure function of DataFrames; nothing is collected to the driver.
+Every builder is a pure function of DataFrames that collects nothing (with ``hot_rows`` it
+asks for a bounded list of keys).  The load collects one row per table or year.
 """
 
 __version__ = "0.1.0"

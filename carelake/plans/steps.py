@@ -10,6 +10,7 @@ its own lines alone.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -98,7 +99,8 @@ def year_of_stay(visit: str) -> Column:
 
 def build_all(spark: SparkSession, src: Sources, out_dir: str,
               steps: Iterable[str] | None = None, max_concurrent_builds: int = 1,
-              hot_rows: int | None = HOT_ROWS, by_year: bool = False, years: Iterable[str] | None = None) -> DataFrame:
+              hot_rows: int | None = HOT_ROWS, by_year: bool = False, years: Iterable[str] | None = None,
+              seconds: dict[str, float] | None = None) -> DataFrame:
     """Build and write the tables; returns the build summary (table, rows written).
 
     Builds of one dependency level are independent; with ``max_concurrent_builds``
@@ -110,6 +112,8 @@ def build_all(spark: SparkSession, src: Sources, out_dir: str,
     column more).  ``years`` (two digits, implies ``by_year``) builds the hospital tables
     of those years alone and replaces their folders, whatever other years the outputs
     hold; other tables do not depend on the years and are written whole.
+
+    ``seconds`` is filled with the time of each step and of each hub's layout.
     """
     out_dir = out_dir.rstrip("/")
     wanted = set(STEPS) if steps is None else set(steps)
@@ -121,13 +125,19 @@ def build_all(spark: SparkSession, src: Sources, out_dir: str,
     hubs: dict[str, DataFrame] = {}
     counts: dict[str, int] = {}
 
+    def timed(name: str, since: float) -> None:
+        if seconds is not None:
+            seconds[name] = time.perf_counter() - since
+
     def run(step: str) -> None:
+        since = time.perf_counter()
         df, path = build_table(step, src, hubs, hot_rows), f"{out_dir}/{step}"
         if step in HOSPITAL and (by_year or years is not None):
             df = df.withColumn("YEAR", year_of_stay(HOSPITAL[step]))
             counts[step] = write_table(df, path, ["YEAR"]) if years is None else replace_partitions(df, path, "YEAR", years)
         else:
             counts[step] = write_table(df, path)
+        timed(step, since)
 
     try:
         for level in levels():
@@ -135,7 +145,9 @@ def build_all(spark: SparkSession, src: Sources, out_dir: str,
             for step in todo:
                 hub = STEPS[step][0]
                 if hub is not None and hub not in hubs:
+                    since = time.perf_counter()
                     hubs[hub] = stored_hub(read_table(spark, f"{out_dir}/{hub}"), hub, out_dir, years)
+                    timed(f"{hub} hub", since)
             if max_concurrent_builds > 1 and len(todo) > 1:
                 with ThreadPoolExecutor(max_workers=max_concurrent_builds) as pool:
                     for f in [pool.submit(run, s) for s in todo]:
