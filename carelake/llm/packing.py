@@ -22,9 +22,6 @@ END_ID = 2
 BROADCAST_OFFSETS = 500_000
 
 _TEXT_AT_ONCE = 4_000_000
-_MEMO_WORDS = 300_000
-_WORDS_AT_ONCE = 2_000
-_CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
 def _byte_characters() -> dict[str, int]:
@@ -47,101 +44,45 @@ def _as_ranks(tokenizer):
     return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-class WordMemo:
-    """Token ids of texts, remembered word by word.
+class TextIds:
+    """Token ids of texts, little-endian unsigned 32-bit.
 
-    The vocabulary's splitting rule never joins characters across a single space
-    between two non-space characters, so the ids of a text are those of its words (each
-    with the space before it).  Values are little-endian unsigned 32-bit ids.
+    The vocabulary's merges are in the order of its ids, so its ids are those of the same
+    vocabulary as ranks, which is several times faster; both split texts alike.  Texts are
+    cut at the vocabulary's added tokens before all else, so their ids are those of the
+    parts between them.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.ranked = _as_ranks(self.tokenizer)
         added = self.tokenizer.get_added_tokens_decoder()
         self.added = {t.content: np.array([i], dtype="<u4").tobytes() for i, t in added.items()}
         # tokens that take white space or a word's edge with them: their texts are not cut
         self.whole = any(t.lstrip or t.rstrip or t.single_word for t in added.values())
         longest = sorted(self.added, key=len, reverse=True)
         self.cut = re.compile(f"({'|'.join(map(re.escape, longest))})") if longest else None
-        # new words go through the same vocabulary as ranks, which is much faster
-        self.ranked = _as_ranks(self.tokenizer)
-        size = self.tokenizer.get_vocab_size()
-        self.spaced = np.array([(self.tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
-        self.first: dict[str, bytes | None] = {}
-        self.later: dict[str, bytes | None] = {}
-
-    def _forget(self, known: dict) -> None:
-        if len(known) > _MEMO_WORDS:
-            known.clear()
-
-    def _learn_first(self, words: list[str]) -> None:
-        self._forget(self.first)
-        for word in set(words) - self.first.keys():
-            plain = not word or not word[-1].isspace()
-            self.first[word] = self._ids(word).tobytes() if plain else None
-
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
-
-    def _learn_later(self, texts: list[list[str]]) -> None:
-        """New words are encoded together, each after a space: only the first id of such
-        a word can begin with a space, which tells the words' ids apart."""
-        self._forget(self.later)
-        new = set().union(*texts) - self.later.keys()
-        odd = [w for w in new if not w or w[0].isspace() or w[-1].isspace()]
-        new.difference_update(odd)
-        words = list(new)
-        for i in range(0, len(words), _WORDS_AT_ONCE):
-            some = words[i:i + _WORDS_AT_ONCE]
-            ids = np.array(self.ranked.encode_ordinary(" " + " ".join(some)), dtype="<u4")
-            raw, starts = ids.tobytes(), (4 * np.flatnonzero(self.spaced[ids])).tolist()
-            if len(starts) != len(some):  # a character that is white space to one of the two only
-                self.later.update((w, self._ids(" " + w).tobytes()) for w in some)
-                continue
-            self.later.update((w, raw[low:high]) for w, low, high in zip(some, starts, [*starts[1:], len(raw)]))
-        self.later.update(dict.fromkeys(odd))
-
-    def _joined(self, texts: list[list[str]]) -> list[bytes | None]:
-        starts = [words.pop(0) for words in texts]
-        self._learn_first(starts)
-        self._learn_later(texts)
-        first, later = self.first, self.later.__getitem__
-        out: list[bytes | None] = []
-        for start, words in zip(starts, texts):
-            try:
-                out.append(first[start] + b"".join(map(later, words)))
-            except TypeError:  # white space at a word's edge: not a safe cut
-                out.append(None)
-        return out
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text.  A vocabulary cuts texts at its added tokens before all else,
-        so the ids are those of the parts between them."""
-        if self.cut is None or not any(map(self.cut.search, texts)):
-            return self._encode(texts)
-        if self.whole:
-            return [self._ids(t).tobytes() if self.cut.search(t) else self._encode([t])[0] for t in texts]
-        parts = [self.cut.split(t) for t in texts]
-        between = iter(self._encode([p for part in parts for p in part[::2]]))
-        return [b"".join(self.added[p] if i % 2 else next(between) for i, p in enumerate(part)) for part in parts]
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        out = self._joined([t.split(" ") for t in texts])
-        odd = [i for i, x in enumerate(out) if x is None]
-        again = self._joined([_CUT.split(texts[i]) for i in odd]) if odd else []
-        for i, ids in zip(odd, again):
-            out[i] = self._ids(texts[i]).tobytes() if ids is None else ids
-        return out
+    def _plain(self, text: str) -> bytes:
+        return self.ranked.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
+
+    def encode(self, text: str) -> bytes:
+        if self.cut is None or not self.cut.search(text):
+            return self._plain(text)
+        if self.whole:
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        parts = self.cut.split(text)
+        return b"".join(self.added[p] if i % 2 else self._plain(p) for i, p in enumerate(parts))
 
 
 @functools.lru_cache(maxsize=2)
-def _memo(path: str) -> WordMemo:
+def _text_ids(path: str) -> TextIds:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return WordMemo(path)
+    return TextIds(path)
 
 
 def cuts(n: int, capacity: int) -> Iterator[tuple[int, int]]:
@@ -161,9 +102,8 @@ def _pieces(path: str, capacity: int, end_id: int):
         for batch in batches:
             for part in slices(batch, "text", _TEXT_AT_ONCE):
                 rows: list[tuple] = []
-                ids_of = _memo(path).encode(part.column("text").to_pylist())
-                for doc, ids in enumerate(ids_of):
-                    ids += end
+                for doc, text in enumerate(part.column("text")):
+                    ids = _text_ids(path).encode(text.as_py()) + end
                     for piece, (start, length) in enumerate(cuts(len(ids) // 4, capacity)):
                         rows.append((doc, piece, start, length, seen[length], ids[4 * start:4 * (start + length)]))
                         seen[length] += 1

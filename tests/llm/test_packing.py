@@ -1,4 +1,5 @@
 import random
+import time
 import zlib
 
 import numpy as np
@@ -25,15 +26,36 @@ ODD = ["", " ", "  ", "a", " a", "a ", "a  b", "a   b", "a \n b", "a\n\n b c", "
        "<|endoftext|", "<<|endoftext|>>", "a <|endoftext|>  <|endoftext|>\n", "é<|endoftext|> ü", "a b  c", "1 2  33\n", "a \x1c b\x1d c", " \n \n", "a" * 3000, "!? ..  ##"]
 
 
-def test_remembered_words_give_the_same_ids(tokenizer, sample):
-    texts = ODD + [t for _, t, _ in sample[1]]
-    got = packing.WordMemo(PATH).encode(texts)
-    assert [np.frombuffer(x, dtype="<u4").tolist() for x in got] == [ids_of(tokenizer, t)[:-1] for t in texts]
+def same_ids(tokenizer, texts):
+    encoder = packing.TextIds(PATH)
+    return all(np.frombuffer(encoder.encode(t), dtype="<u4").tolist() == ids_of(tokenizer, t)[:-1] for t in texts)
+
+
+def test_ids_are_those_of_the_vocabulary(tokenizer, sample):
+    assert same_ids(tokenizer, ODD + [t for _, t, _ in sample[1]])
+
+
+def test_ids_of_every_character_and_of_white_space(tokenizer):
+    """Both ways of splitting agree on what is a letter, a digit and white space."""
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    blocks = ["".join(every[i:i + 50]) for i in range(0, len(every), 50)]
+    assert same_ids(tokenizer, [f"a{c}b {c} 1{c}  {c}\n{c}" for c in [*blocks, *every[:0x3100]]])
+    rng = random.Random(3)
+    pool = [chr(c) for c in (9, 10, 11, 12, 13, 28, 31, 32, 0x85, 0xA0, 0x1680, 0x180E, 0x2003, 0x200B, 0x2028, 0x3000, 0xFEFF)]
+    pool += [*"aB1.'é中ß٣, ", "'s", "'ll", " the", "<|endoftext|>", "<|"]
+    assert same_ids(tokenizer, ["".join(rng.choices(pool, k=rng.randrange(20))) for _ in range(20_000)])
+
+
+def test_long_words_take_linear_time(tokenizer):
+    started = time.monotonic()
+    for unit in ("a", "é", "1", "!", " ", "\n", "aé1"):
+        packing.TextIds(PATH).encode(unit * 300_000)
+    assert time.monotonic() - started < 60
 
 
 def test_added_tokens_are_one_id(tokenizer):
     end = tokenizer.token_to_id("<|endoftext|>")
-    (ids,) = packing.WordMemo(PATH).encode(["hello <|endoftext|> world"])
+    ids = packing.TextIds(PATH).encode("hello <|endoftext|> world")
     assert np.frombuffer(ids, dtype="<u4").tolist() == [31373, 220, end, 995] == ids_of(tokenizer, "hello <|endoftext|> world")[:-1]
 
 
