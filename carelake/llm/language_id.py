@@ -18,6 +18,8 @@ BUCKET_BITS = 16
 SMOOTHING = 0.1
 # labelled rows per language that the model is fitted on, in expectation
 TRAIN_ROWS = 4000
+# languages that the model learns at most, those with most labelled rows; a megabyte each
+MAX_LANGUAGES = 256
 UNKNOWN = "und"
 
 _CHARS_AT_ONCE = 1_000_000
@@ -131,9 +133,12 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train_language_model(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
-                         seed_col: str = "doc_id", rows_per_language: int = TRAIN_ROWS) -> LanguageModel:
+                         seed_col: str = "doc_id", rows_per_language: int = TRAIN_ROWS,
+                         max_languages: int = MAX_LANGUAGES) -> LanguageModel:
     """Fit the model on at most about ``rows_per_language`` rows of each language,
-    picked by a hash of ``seed_col`` (all rows of rarer languages).
+    picked by a hash of ``seed_col`` (all rows of rarer languages).  Of more than
+    ``max_languages`` labels those with most rows are learned (ties by name), which bounds
+    what is sent to the tasks.
 
     Rows with a null language, or whose text is null or has no letter, teach nothing;
     without any usable row the model knows no language.  Counting is one pass with a
@@ -142,7 +147,8 @@ def train_language_model(labelled: DataFrame, text_col: str = "text", lang_col:
     """
     rows = labelled.select(F.col(seed_col).alias("seed"), F.col(lang_col).cast("string").alias("lang"),
                            F.col(text_col).cast("string").alias("text")).filter("lang is not null")
-    per_lang = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    labels = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages)
+    per_lang = {r["lang"]: r["n"] for r in labels.collect()}
     span = 1 << 20
     limit = F.create_map(*[F.lit(x) for k, n in per_lang.items()
                            for x in (k, min(span, span * rows_per_language // n + 1))]) if per_lang else None

@@ -1,6 +1,8 @@
+import math
 import zlib
 
 import numpy as np
+import pytest
 
 from carelake.llm import language_id
 
@@ -74,3 +76,57 @@ def test_no_labels_and_empty_tables(docs_of):
     assert nothing.languages == []
     empty = docs_of([])
     assert language_id.predict_language(empty, language_id.train_language_model(empty)).count() == 0
+
+
+MULTIPLIERS = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)
+
+
+def plain_grams(text):
+    """(order, bucket) of every bigram and trigram, one by one in plain integers."""
+    text = f" {text.lower()} "
+    for i in range(len(text) - 2):
+        for order in (2, 3):
+            h = order
+            for c, m in zip(text[i:i + order], MULTIPLIERS):
+                h = (h + ord(c) * m) % 2 ** 32
+            h = (h ^ h >> 15) * 0x2C1B3C6D % 2 ** 32
+            yield order, h >> 16
+
+
+def test_whole_operator_against_plain_counting(sample):
+    """Training counts, priors, sums and posteriors by dictionaries."""
+    df, rows = sample
+    learn = [(t, lang) for d, t, lang in rows if zlib.crc32(str(d).encode()) % 4 != 2 and lang is not None]
+    counts, totals = {}, {}
+    for t, lang in learn:
+        totals[lang] = totals.get(lang, 0) + 1
+        if t is not None and any(c.isalpha() for c in t):
+            own = counts.setdefault(lang, {2: {}, 3: {}})
+            for order, bucket in plain_grams(t):
+                own[order][bucket] = own[order].get(bucket, 0) + 1
+    sums = {(lang, order): sum(of[order].values()) + 0.1 * 2 ** 16 for lang, of in counts.items() for order in (2, 3)}
+    model = language_id.train_language_model(df.filter(~language_id.held_out("doc_id")))
+    got = {r["doc_id"]: r for r in language_id.predict_language(df, model).collect()}
+    for doc, text, _ in rows:
+        if text is None or not any(c.isalpha() for c in text):
+            assert (got[doc]["lang_pred"], got[doc]["score"]) == ("und", 0.0)
+            continue
+        grams = list(plain_grams(text))
+        log = {lang: math.log(totals[lang] / sum(totals[x] for x in counts)) + sum(
+            math.log((of[order].get(bucket, 0) + 0.1) / sums[lang, order]) for order, bucket in grams) for lang, of in counts.items()}
+        best = max(sorted(log), key=log.get)
+        assert got[doc]["lang_pred"] == best
+        assert abs(got[doc]["score"] - 1 / sum(math.exp(x - log[best]) for x in log.values())) < 1e-6
+
+
+def test_languages_are_bounded(docs_of):
+    df = docs_of([(i, f"some text {i}", f"l{i % 7}" if i % 2 else "en") for i in range(60)])
+    model = language_id.train_language_model(df, max_languages=3)
+    assert model.languages == ["en", "l1", "l3"] and model.weights.shape[0] == 3
+
+
+@pytest.mark.parametrize("name", ["meta.src", "score", "a`b"])
+def test_filter_keeps_columns_of_any_name(docs_of, name):
+    df = docs_of(rows()).withColumnRenamed("source", name)
+    kept = language_id.with_known_language(df, language_id.train_language_model(df))
+    assert kept.columns == df.columns and {r[name] for r in kept.collect()} == {"s"}
