@@ -265,7 +265,8 @@ FROM med_atc m JOIN (SELECT DISTINCT dcir_key, person_id, presta_start_date FROM
   ON m.dcir_key = p.dcir_key
 """
 
-# (table, family, eta, key, ace, delay column or None, quantity column, code required)
+# Fixed values that must equal the source system's: (table, family, eta, key, ace, delay column or None, quantity
+# column, code required)
 DRUG_BRANCHES = [
     ("T_MCOaaFHSTC", "mco", "ETA_NUM", "SEQ_NUM", True, None, "QUA", True),
     ("T_MCOaaMEDTHROMBO", "mco", "ETA_NUM", "RSA_NUM", False, "DAT_DELAI", "ADM_NBR", False),
