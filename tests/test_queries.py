@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages",
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
           "benchmark"]
 # the corpus queries are tested in tests/llm, those with SQL also here
 CORPUS = {n for n in entry.queries() if n == "pipeline" or re.match(r"op\d+_", n)}
