@@ -66,7 +66,7 @@ class TextIds:
         self.cut = re.compile(f"({'|'.join(map(re.escape, longest))})") if longest else None
 
     def _plain(self, text: str) -> bytes:
-        return self.ranked.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
+        return np.array(self.ranked.encode_ordinary(text), dtype="<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
         if self.cut is None or not self.cut.search(text):
