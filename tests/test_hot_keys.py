@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from carelake.operators.joins import hot_keys, join_hub
-from carelake.plans import build_person, build_prestations, build_stays, steps
+from carelake.plans import build_drug_dcir, build_person, build_prestations, build_stays, steps
 from carelake.plans.prestations import claim_hub
 from carelake.sinks import drop_hub, hub_name, write_hub
 from helpers import rows
@@ -79,3 +79,19 @@ def test_build_all_leaves_no_table_in_the_catalog(spark, tmp_path):
     before = {t.name for t in spark.catalog.listTables()}
     steps.build_all(spark, delivery(spark), str(tmp_path), hot_rows=1)
     assert {t.name for t in spark.catalog.listTables()} == before
+
+
+def test_drug_lines_are_dealt_once_for_sums_and_join(spark, no_broadcast):
+    src = delivery(spark)
+    lines = build_drug_dcir(src, build_prestations(src), hot_rows=None)._jdf.queryExecution().executedPlan().toString()
+    dealt = [x for x in lines.splitlines() if "Exchange hashpartitioning(dcir_key" in x and "drug_code" in x]
+    assert dealt == []  # no shuffle by claim and code besides the one by claim
+    assert "REPARTITION_BY_COL" in lines
+
+
+def test_lines_of_a_hot_claim_are_summed_before_they_are_dealt(spark, no_broadcast):
+    src = delivery(spark)
+    plan = build_drug_dcir(src, build_prestations(src), hot_rows=1)._jdf.queryExecution().executedPlan().toString()
+    rest, heavy = plan.split("REPARTITION_BY_COL", 1)
+    assert "partial_sum(cast(q" in heavy and any(
+        "Exchange hashpartitioning(dcir_key" in x and "drug_code" in x for x in heavy.splitlines())
