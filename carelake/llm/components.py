@@ -21,12 +21,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
                      .select("node", F.least("node", "low").alias("label")), "labels")
     while True:
         seen = labels.select(F.col("node").alias("next"), F.col("label").alias("theirs"))
-        lower = (both.join(seen, "next").groupBy("node").agg(F.min("theirs").alias("theirs"))
-                 .join(labels, "node").select("node", "label", F.least("label", "theirs").alias("lower")))
+        own = labels.select("node", F.col("label").alias("theirs"), "label")
+        lower = (both.join(seen, "next").select("node", "theirs", F.lit(None).cast(labels.schema["label"].dataType).alias("label"))
+                 .unionAll(own).groupBy("node").agg(F.min("theirs").alias("lower"), F.max("label").alias("label")))
         jump = labels.select(F.col("node").alias("lower"), F.col("label").alias("far"))
-        moved = written(lower.join(jump, "lower").select("node", F.least("lower", "far").alias("to"),
-                                                         (F.least("lower", "far") < F.col("label")).alias("changed")),
-                        "labels")
+        moved = written(lower.join(jump, "lower").select("node", F.col("far").alias("to"),
+                                                         (F.col("far") < F.col("label")).alias("changed")), "labels")
         labels = moved.select("node", F.col("to").alias("label"))
         if moved.filter("changed").isEmpty():
             return labels

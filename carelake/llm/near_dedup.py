@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -257,11 +258,20 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, name: str
     return written(grouped.mapInArrow(_verified, "a binary, b binary"), f"{name}-links")
 
 
-def _labelled(live: DataFrame, edges: DataFrame) -> DataFrame:
+def _relabelled(first: DataFrame, links: DataFrame) -> DataFrame:
+    """``label, joined``: of the labels in ``first`` (or classes without any) that
+    ``links`` connect, the one that stands for their component."""
+    ends = links.select("a", "b")
+    for c in ("a", "b"):
+        own = first.select(F.col("cls").alias(c), "label")
+        ends = ends.join(own, c, "left").withColumn(c, F.coalesce("label", c)).drop("label")
+    found = connected_components(ends.filter("a <> b"))
+    return found.select(F.col("node").alias("label"), F.col("label").alias("joined"))
+
+
+def _labelled(live: DataFrame, labels: DataFrame) -> DataFrame:
     """Bucket rows with the component of their class."""
-    labels = connected_components(edges)
-    return (live.join(labels.withColumnRenamed("node", "cls"), "cls", "left")
-            .select("key", "cls", F.coalesce("label", "cls").alias("label")))
+    return live.join(labels, "cls", "left").select("key", "cls", F.coalesce("label", "cls").alias("label"))
 
 
 def _open_buckets(rows: DataFrame) -> DataFrame:
@@ -388,16 +398,18 @@ def _links_in_blocks(large: DataFrame, classes: DataFrame, texts: DataFrame) ->
     return written(found, "large-links")
 
 
-def _all_links(live: DataFrame, star: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links that connect every two classes which meet in a bucket and are linked.
+def _components(live: DataFrame, star: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """``cls, label``: the component of every class, over links that connect every two
+    classes which meet in a bucket and are linked.
 
     First every class is compared with the most central class of each of its buckets.
     In the buckets that still hold several components, pairs across components follow:
     as rows in small buckets, in blocks inside tasks in larger ones.  No pair across
-    components is left out and none inside one is needed.
+    components is left out and none inside one is needed.  What these pairs link are
+    components of the first step, so only their labels are joined further.
     """
-    edges = _confirmed(star, classes, texts, "star")
-    rows = written(_open_buckets(_labelled(live, edges)), "open")
+    labels = connected_components(_confirmed(star, classes, texts, "star")).withColumnRenamed("node", "cls")
+    rows = written(_open_buckets(_labelled(live, labels)), "open")
     small = rows.filter(F.col("size") <= SMALL_BUCKET)
     other = small.select("key", F.col("cls").alias("b"), F.col("label").alias("label_b"))
     pairs = (small.join(other, "key").filter((F.col("cls") > F.col("b")) & (F.col("label") != F.col("label_b")))
@@ -410,9 +422,11 @@ def _all_links(live: DataFrame, star: DataFrame, classes: DataFrame, texts: Data
     large = rows.filter(F.col("size") > SMALL_BUCKET)
     if not large.isEmpty():
         more.append(_links_in_blocks(large, classes, texts))
-    for found in more:
-        edges = edges.unionAll(found)
-    return edges
+    named = classes.select("cls").join(labels, "cls", "left").select("cls", F.coalesce("label", "cls").alias("label"))
+    if not more:
+        return named
+    joined = _relabelled(labels, reduce(DataFrame.unionAll, more))
+    return named.join(joined, "label", "left").select("cls", F.coalesce("joined", "label").alias("label"))
 
 
 def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -438,10 +452,7 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     top = (live.join(central, "cls").groupBy("key").agg(F.max(F.struct("meets", "cls")).alias("top"))
            .select("key", F.col("top.cls").alias("b")))
     star = written(live.join(top, "key").filter("cls <> b").select(F.col("cls").alias("a"), "b").distinct(), "star")
-    edges = _all_links(live.select("key", "cls"), star, classes, texts)
-    labels = connected_components(edges).withColumnRenamed("node", "cls")
-    named = classes.select("cls", "low_id").join(labels, "cls", "left").select(
-        "cls", F.coalesce("label", "cls").alias("label"), "low_id")
+    named = _components(live.select("key", "cls"), star, classes, texts).join(classes.select("cls", "low_id"), "cls")
     lowest = named.groupBy("label").agg(F.min("low_id").alias("component"))
     named = written(named.select("cls", "label").join(lowest, "label"), "components")
     smallest = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component"))
@@ -461,7 +472,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Rows with equal sets form one class before anything else, so copies cost one row
     in a map-side combined group.  Registers are banded; classes that meet are compared
-    as described at ``_all_links``: every meeting pair of different components is
+    as described at ``_components``: every meeting pair of different components is
     estimated, then verified on full sets.
     """
     return _grouped(docs, id_col, text_col).select(

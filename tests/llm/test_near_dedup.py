@@ -122,6 +122,35 @@ def test_blocks_of_a_large_bucket(docs_of, monkeypatch, block):
     assert got(docs_of(rows)) == brute(rows)
 
 
+def test_later_links_join_labels_alone(docs_of, monkeypatch):
+    """Components of the first step are not looked for again with all their links."""
+    calls, plain = [], near_dedup.connected_components
+
+    def watched(edges):
+        found = plain(edges)
+        calls.append(({bytes(x) for r in edges.collect() for x in r}, {bytes(r["node"]): bytes(r["label"]) for r in found.collect()}))
+        return found
+
+    monkeypatch.setattr(near_dedup, "connected_components", watched)
+    rng = random.Random(4)
+    rows = []
+    for size in (60, 150, 300, 500):
+        words = [f"w{size}x{i}" for i in range(size)]
+        for i in range(14):
+            rows.append((size * 100 + i, edited(words, rng, size // 35)))
+        for i in range(10):
+            words = edited(words, rng, size // 50 + 1).split(" ")
+            rows.append((size * 100 + 50 + i, " ".join(words)))
+    assert got(docs_of(rows)) == brute(rows)
+    assert all(calls[0][1].get(x, x) == x for ends, _ in calls[1:] for x in ends)
+
+
+def test_links_between_components_join_their_labels(spark):
+    first = spark.createDataFrame([("b", "a"), ("a", "a"), ("d", "c"), ("c", "c"), ("f", "e"), ("e", "e")], "cls string, label string")
+    links = spark.createDataFrame([("b", "d"), ("x", "d"), ("f", "e")], "a string, b string")
+    assert {tuple(r) for r in near_dedup._relabelled(first, links).collect()} == {("a", "a"), ("c", "a"), ("x", "a")}
+
+
 def test_driver_sample(sample):
     df, rows = sample
     assert got(df) == brute([(d, t) for d, t, _ in rows])
