@@ -5,6 +5,6 @@ natural incremental form (new delivery files arriving in a folder).
 """
 
 from carelake.streaming.compact import read_batches, stream_load_merged
-from carelake.streaming.load import delivery_stream, stream_load
+from carelake.streaming.load import await_loaded, delivery_stream, stream_load
 
-__all__ = ["delivery_stream", "read_batches", "stream_load", "stream_load_merged"]
+__all__ = ["await_loaded", "delivery_stream", "read_batches", "stream_load", "stream_load_merged"]

@@ -67,3 +67,12 @@ def stream_load(spark: SparkSession, folder: str, table: str, out_path: str,
     if is_year_split(table):
         writer = writer.partitionBy("YEAR")
     return writer.start()
+
+
+def await_loaded(run: StreamingQuery) -> None:
+    """Wait until a run has loaded all files that it found, however long it takes; a run
+    that failed raises.  (With a time limit, a run that is still loading when it is over
+    would be read as if it were done.)"""
+    run.awaitTermination()
+    if run.exception() is not None:
+        raise run.exception()
