@@ -1,6 +1,8 @@
 """What a large run needs of the builds: one sort for totals, hashed joins, files that grow with the rows."""
 
 import datetime as dt
+import re
+from collections import Counter
 from types import SimpleNamespace
 
 import pytest
@@ -8,7 +10,9 @@ from pyspark.sql import functions as F
 
 from carelake.operators.aggregate import windowed_total
 from carelake.operators.joins import join_hub
-from carelake.plans import build_drug_pmsi, build_person, build_stays, quality
+from carelake.plans import build_drug_pmsi, build_measurement_pmsi, build_person, build_prestations, build_stays, quality, steps
+from carelake.plans.stays import FAMILIES
+from carelake.sinks import drop_hub, write_hub
 from carelake.sources.tables import Sources
 from carelake.testbed import queries, standins
 from helpers import frame, rows
@@ -80,3 +84,54 @@ def test_delivered_files_grow_with_the_rows(monkeypatch):
     for size, n in ((0, 5), (5 * queries.PART_BYTES, 5), (5 * queries.PART_BYTES + 1, 10), (500 * queries.PART_BYTES, 500)):
         monkeypatch.setattr(queries.joins, "estimated_bytes", lambda df, size=size: size)
         assert queries._part_files(SimpleNamespace(), 5) == n
+
+
+def shuffles(df, column=""):
+    """Shuffles of a plan as first planned, by ``column`` first."""
+    return re.findall(rf"Exchange hashpartitioning\({column}[^\n]*", plan(df))
+
+
+def test_stays_are_dealt_for_the_joins_on_them(spark, no_broadcast):
+    src = delivery(spark)
+    stays = build_stays(src, build_person(src), include_rehab_external=True)
+    joined = build_measurement_pmsi(src, stays)
+    assert len(shuffles(joined)) == len(shuffles(stays)) + 1 and len(shuffles(joined, "visit_id")) == 1
+    # a family: control rows by patient and by stay, details by their columns and by stay
+    families = sum(src.get(f.control) is not None and src.get(f.detail) is not None for f in FAMILIES)
+    assert len(shuffles(stays, "stay_id")) <= 3 * families + 1
+
+
+def test_keys_that_print_alike_are_no_stay(spark):
+    """Underscores and missing parts: the stay id of other keys, or of none."""
+    keys = [("1", "2", "22"), ("1_2", "3", "22"), ("1", "2_3", "22"), ("4", None, "22"), (None, "4", "22"), ("5", "6", None), ("22", "7", "8")]
+    control = frame(spark, "ETA_NUM RSA_NUM YEAR EXE_SOI_DTD EXE_SOI_DTF NUM_ENQ_IDT",
+                    [(*k, "01/02/2022", None, f"P{i}") for i, k in enumerate(keys)] * 2)
+    placed = [(k, "A") for k in keys if k != keys[2]] + [(keys[0], "A"), (keys[0], "B"), (keys[0], "C"), (("8", "22_7", "22"), "A")]
+    units = frame(spark, "ETA_NUM RSA_NUM YEAR ETA_NUM_GEO UM_ORD_NUM RUM_ORD_NUM", [(*k, g, "1", "1") for k, g in placed])
+    person = spark.createDataFrame([(f"P{i}",) for i in range(7) if i != 4], "person_id string")
+    stays = build_stays(Sources({"T_MCOaaC": control, "T_MCOaaUM": units}), person)
+    want = control.alias("c").distinct().join(units.distinct(), ["ETA_NUM", "RSA_NUM", "YEAR"]).join(
+        person, F.col("NUM_ENQ_IDT") == F.col("person_id")).select("person_id", F.col("ETA_NUM_GEO").alias("finess_geo"))
+    assert rows(stays, ["person_id", "finess_geo"]) == rows(want.distinct())
+    assert [r[0] for r in rows(stays, ["person_id"])] == ["P0"] * 3 + ["P1", "P6"]
+
+
+@pytest.mark.parametrize("step", steps.COMBINED_BUILDS)
+def test_lines_are_shuffled_once(spark, no_broadcast, tmp_path, step):
+    src = delivery(spark)
+    stays = build_stays(src, build_person(src))
+    hubs = {"stays_pmsi": stays, "prestations": build_prestations(src)}
+    twice, once = steps.build_table(step, src, hubs), steps.build_table(step, src, hubs, hot_rows=10 ** 9)
+    assert len(shuffles(once)) == len(shuffles(twice)) - 1
+    assert rows(once) == rows(twice) == rows(steps.build_table(step, src, hubs, hot_rows=1)) != []
+
+
+def test_dealt_rows_are_stored_without_a_shuffle(spark, no_broadcast, tmp_path):
+    src = delivery(spark)
+    stays, path = build_stays(src, build_person(src)), str(tmp_path / "stays")
+    hub = write_hub(stays, path, "stay_id", dealt=True)
+    assert rows(hub) == rows(stays) != []
+    buckets = Counter(re.search(r"_(\d{5})\.", f)[1] for f in hub.inputFiles())
+    assert set(buckets.values()) == {1}
+    assert shuffles(build_measurement_pmsi(src, hub), "stay_id") == [] and len(shuffles(build_measurement_pmsi(src, hub))) == 1
+    drop_hub(spark, path)
